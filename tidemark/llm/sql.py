@@ -11,8 +11,8 @@ m AS (SELECT doc_id, k, CASE WHEN k <= 50 + lag(k) OVER (PARTITION BY doc_id ORD
 i AS (SELECT doc_id, k, sum(new) OVER (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS island FROM m),
 r AS (SELECT doc_id, min(k) AS a, max(k) + 50 AS b FROM i GROUP BY doc_id, island),
 n AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM r GROUP BY 1),
-c AS (SELECT doc_id, a AS at, b AS nxt FROM r UNION ALL SELECT doc_id, 0, 0 FROM s),
-o AS (SELECT doc_id, nxt AS a, lead(at) OVER (PARTITION BY doc_id ORDER BY nxt, at) AS b FROM c),
+c AS (SELECT doc_id, a AS pos, b AS nxt FROM r UNION ALL SELECT doc_id, 0, 0 FROM s),
+o AS (SELECT doc_id, nxt AS a, lead(pos) OVER (PARTITION BY doc_id ORDER BY nxt, pos) AS b FROM c),
 p AS (SELECT o.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n_bytes) - a)), '' ORDER BY a) AS kept FROM o JOIN s USING (doc_id) GROUP BY 1)
 SELECT s.doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
 FROM s JOIN p USING (doc_id) LEFT JOIN n USING (doc_id)""",
