@@ -155,6 +155,8 @@ def boundaries(text: np.ndarray, order: np.ndarray, first: np.ndarray, stop: int
 
 def least_owner(contexts: list[bytes], owners: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """For every window of every context (in order): the least owner of any context with that window."""
+    if not contexts:
+        return np.zeros(0, np.int64)
     text = np.frombuffer(b"".join(contexts), np.uint8)
     sizes = np.array([len(c) for c in contexts], np.int64)
     ends = np.cumsum(sizes)
@@ -175,7 +177,8 @@ def least_owner(contexts: list[bytes], owners: np.ndarray, length: int = LENGTH)
 
 # ---- Spark
 
-_KEYS = "k1 long, k2 long, ord long"
+#: Never null, so that joins add no filter and the shuffled texts are used again as they are.
+_KEYS = "k1 long not null, k2 long not null, ord long not null"
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -212,15 +215,17 @@ def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.n
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed block, each as planes of its numbers' bytes (the high ones hardly vary)."""
     head = np.array([len(arrays), *(a.nbytes for a in arrays)], np.int64).tobytes()
-    return squeeze(head + b"".join(a.tobytes() for a in arrays))
+    return squeeze(head + b"".join(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in map(np.ascontiguousarray, arrays)))
 
 
 def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     data = expand(data)
     sizes = np.frombuffer(data, np.int64, len(kinds), 8)
     ends = 8 * (1 + len(kinds)) + np.cumsum(sizes)
-    return [np.frombuffer(data[e - s : e], k) for e, s, k in zip(ends, sizes, kinds, strict=True)]
+    planes = (np.frombuffer(data[e - s : e], np.uint8).reshape(np.dtype(k).itemsize, -1).T for e, s, k in zip(ends, sizes, kinds, strict=True))
+    return [np.ascontiguousarray(x).view(k).ravel() for x, k in zip(planes, kinds, strict=True)]
 
 
 def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece: int) -> DataFrame:
@@ -251,8 +256,12 @@ def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece
     return texts.mapInArrow(run, "bucket int, payload binary")
 
 
+#: Parts of a bucket that are judged one by one; anchors of one hash are in one part.
+PARTS = 8
+
+
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per text of a bucket: the anchors whose hash another text has too."""
+    """Per text of a bucket: first window, windows and part of the anchors whose hash another text has too."""
     parts = [_unpack(p, "<u4", "<u4", "<u4", "u1", "<i8") for p in pdf["payload"]]
     keys = np.concatenate([p[4].reshape(-1, 3) for p in parts])
     base = np.cumsum([0, *(len(p[4]) // 3 for p in parts)])
@@ -264,70 +273,77 @@ def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
     start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     size = np.diff(np.r_[start, len(h)])
     shared = np.repeat(doc[start] != doc[start + size - 1], size)
-    doc, place, count = doc[shared], place[shared], count[shared]
+    doc, place, count, part = doc[shared], place[shared], count[shared], h[shared] % np.uint32(PARTS)
     order = np.lexsort((place, doc))
-    doc, place, count = doc[order], place[order], count[order]
+    doc, place, count, part = doc[order], place[order], count[order], part[order]
     cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
     ends = np.r_[cut[1:], len(doc)] if len(cut) else cut
     mine = keys[doc[cut]]
-    rows = [np.r_[place[a:b], count[a:b].astype(np.uint32)].astype("<u4").tobytes() for a, b in zip(cut, ends, strict=True)]
+    packed = np.stack([place, count.astype(np.uint32) << np.uint32(8) | part.astype(np.uint32)], axis=1).astype("<u4")
+    rows = [packed[a:b].tobytes() for a, b in zip(cut, ends, strict=True)]
     return pd.DataFrame({"k1": mine[:, 0], "k2": mine[:, 1], "bucket": int(pdf["bucket"].iloc[0]), "found": rows})
 
 
 def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
-    """(bucket, payload): the contexts of some texts that belong to a bucket."""
+    """(bucket, payload): the contexts of some texts that belong to a part of a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[int, list[tuple]] = {}
-            found = batch.column("found").to_pylist()
-            at = 0
-            for keys, _, texts in _pieces(batch, piece):
-                for key, text in zip(keys, texts, strict=True):
-                    for row in found[at]:
-                        numbers = np.frombuffer(row["found"], "<u4").reshape(2, -1)
-                        held.setdefault(row["bucket"], []).append((key, numbers, b"".join(text[a : a + c + length - 1] for a, c in numbers.T.tolist())))
-                    at += 1
-            names, payloads = list(held), []
-            for name in names:
-                rows = held[name]
-                payloads.append(_pack(np.array([k for k, _, _ in rows], np.int64).ravel(), np.array([n.shape[1] for _, n, _ in rows], np.uint32), np.concatenate([n[0] for _, n, _ in rows]), np.concatenate([n[1] for _, n, _ in rows]).astype(np.uint8), np.frombuffer(b"".join(c for _, _, c in rows), np.uint8)))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
-
-    return joined.mapInArrow(run, "bucket int, payload binary")
+            found, at = batch.column("found").to_pylist(), 0
+            for keys, sizes, texts in _pieces(batch, piece):
+                rows = found[at : at + len(texts)]
+                at += len(texts)
+                per_row = [len(r["found"]) // 8 for one in rows for r in one]
+                numbers = np.frombuffer(b"".join(r["found"] for one in rows for r in one), "<u4").reshape(-1, 2)
+                bucket = np.repeat(np.array([r["bucket"] for one in rows for r in one], np.int64), per_row)
+                doc = np.repeat(np.repeat(np.arange(len(rows)), [len(one) for one in rows]), per_row)
+                place, count = numbers[:, 0], (numbers[:, 1] >> np.uint32(8)).astype(np.int64)
+                bucket = bucket * PARTS + (numbers[:, 1] & np.uint32(255))
+                order = np.lexsort((place, doc, bucket))
+                bucket, doc, place, count = bucket[order], doc[order], place[order], count[order]
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                start = (np.cumsum(sizes) - sizes)[doc] + place
+                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                names, payloads = bucket[cuts], []
+                for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True):
+                    used, local = np.unique(doc[a:b], return_inverse=True)
+                    width = count[a:b] + length - 1
+                    member = np.repeat(start[a:b] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+                    payloads.append(_pack(keys[used].ravel(), local.astype("<u4"), place[a:b].astype("<u4"), count[a:b].astype(np.uint8), data[member]))
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
+
+    return joined.mapInArrow(run, "bucket long, payload binary")
 
 
 def _judge(length: int):
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Per text of a bucket: runs (first window, windows) that another text with a smaller id has."""
-        keys, per_doc, place, count, seen, owners, ids = [], [], [], [], {}, [], []
+        """Per text of a part: runs (first window, windows) that another text with a smaller id has."""
+        keys, docs, place, count, ids, base = [], [], [], [], [], 0
+        seen: dict[bytes, int] = {}
+        owners: list[int] = []
         for payload in pdf["payload"]:
-            k, n, p, c, data = _unpack(payload, "<i8", "<u4", "<u4", "u1", "u1")
+            k, local, p, c, data = _unpack(payload, "<i8", "<u4", "<u4", "u1", "u1")
             k, raw, at = k.reshape(-1, 3), data.tobytes(), 0
-            owner = np.repeat(k[:, 2], n)
-            for size, o in zip((c.astype(np.int64) + length - 1).tolist(), owner.tolist(), strict=True):
-                text = raw[at : at + size]
+            for size, o in zip((c.astype(np.int64) + length - 1).tolist(), k[local, 2].tolist(), strict=True):
+                i = seen.setdefault(raw[at : at + size], len(seen))
                 at += size
-                i = seen.setdefault(text, len(seen))
                 ids.append(i)
                 if i == len(owners):
                     owners.append(o)
                 elif o < owners[i]:
                     owners[i] = o
             keys.append(k)
-            per_doc.append(n)
-            place.append(p)
-            count.append(c)
-        contexts = list(seen)
-        windows = np.array([len(c) for c in contexts], np.int64) - length + 1
-        least = np.empty(int(windows.sum()), np.int64)
+            docs.append(local.astype(np.int64) + base)
+            place.append(p.astype(np.int64))
+            count.append(c.astype(np.int64))
+            base += len(k)
+        windows = np.array([len(c) for c in seen], np.int64) - length + 1
         bounds = np.cumsum(windows) - windows
-        least[:] = least_owner(contexts, np.array(owners, np.int64), length)
-        key, n = np.concatenate(keys), np.concatenate(per_doc).astype(np.int64)
-        p, c, i = np.concatenate(place).astype(np.int64), np.concatenate(count).astype(np.int64), np.array(ids, np.int64)
-        doc = np.repeat(np.repeat(np.arange(len(n)), n), c)
+        least = least_owner(list(seen), np.array(owners, np.int64), length)
+        del seen
+        key, anchor_doc, p, c, i = np.concatenate(keys), *(np.concatenate(x) for x in (docs, place, count)), np.array(ids, np.int64)
         within = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
-        window = np.repeat(p, c) + within
+        doc, window = np.repeat(anchor_doc, c), np.repeat(p, c) + within
         gone = least[np.repeat(bounds[i], c) + within] < key[doc, 2]
         doc, window = doc[gone], window[gone]
         cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (window[1:] != window[:-1] + 1)]) if len(doc) else np.zeros(0, np.int64)
