@@ -4,7 +4,8 @@ SQL = {
     "op5_substrings": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 s AS (SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, h FROM d),
-w AS (SELECT doc_id, k, substr(h, 2 * k + 1, 100) AS x FROM (SELECT doc_id, h, unnest(range(greatest(n_bytes - 49, 0))) AS k FROM s)),
+v AS MATERIALIZED (SELECT doc_id, b, substr(h, 2 * b + 1, 298) AS y FROM (SELECT doc_id, h, unnest(range(0, greatest(n_bytes - 49, 0), 100)) AS b FROM s)),
+w AS (SELECT doc_id, b + k AS k, substr(y, 2 * k + 1, 100) AS x FROM (SELECT doc_id, b, y, unnest(range(greatest(len(y) // 2 - 49, 0))) AS k FROM v)),
 f AS (SELECT x, min(doc_id) AS first FROM w GROUP BY x),
 g AS (SELECT w.doc_id, k FROM w JOIN f USING (x) WHERE first < w.doc_id),
 m AS (SELECT doc_id, k, CASE WHEN k <= 50 + lag(k) OVER (PARTITION BY doc_id ORDER BY k) THEN 0 ELSE 1 END AS new FROM g),
