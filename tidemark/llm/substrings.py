@@ -178,7 +178,7 @@ def least_owner(contexts: list[bytes], owners: np.ndarray, length: int = LENGTH)
 # ---- Spark
 
 #: Never null, so that joins add no filter and the shuffled texts are used again as they are.
-_KEYS = "k1 long not null, k2 long not null, ord long not null"
+_KEYS = "k1 long not null, k2 int not null, ord long not null"
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 def _keyed(documents: DataFrame, *more) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return documents.select(F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"), *more)
+    return documents.select(F.xxhash64(text).alias("k1"), F.hash(text).alias("k2"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"), *more)
 
 
 def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
@@ -250,38 +250,34 @@ def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece
                 for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True):
                     used, local = np.unique(owner[a:b], return_inverse=True)
                     names.append(int(bucket[a]))
-                    payloads.append(_pack((h[a:b] >> np.uint64(32)).astype(np.uint32), local.astype(np.uint32), place[a:b].astype(np.uint32), count[a:b].astype(np.uint8), keys[used].ravel()))
+                    payloads.append(_pack((h[a:b] >> np.uint64(32)).astype(np.uint32), local.astype(np.uint32), place[a:b].astype(np.uint32), count[a:b].astype(np.uint8), keys[used, 0], keys[used, 1].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
 
     return texts.mapInArrow(run, "bucket int, payload binary")
 
 
 #: Parts of a bucket that are judged one by one; anchors of one hash are in one part.
-PARTS = 8
+PARTS = 16
 
 
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per text of a bucket: first window, windows and part of the anchors whose hash another text has too."""
-    parts = [_unpack(p, "<u4", "<u4", "<u4", "u1", "<i8") for p in pdf["payload"]]
-    keys = np.concatenate([p[4].reshape(-1, 3) for p in parts])
-    base = np.cumsum([0, *(len(p[4]) // 3 for p in parts)])
-    h = np.concatenate([p[0] for p in parts])
-    doc = np.concatenate([p[1].astype(np.int64) + b for p, b in zip(parts, base, strict=False)])
-    place, count = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
+    """The anchors of a bucket whose hash two texts have: (text, where), one row an anchor.
+
+    ``where`` holds, from the high bits down, bucket and part (24), windows (8) and first window (32).
+    """
+    parts = [_unpack(p, "<u4", "<u4", "<u4", "u1", "<i8", "<i4") for p in pdf["payload"]]
+    base = np.cumsum([0, *(len(p[4]) for p in parts)])
+    h, place, count, k1, k2 = (np.concatenate([p[k] for p in parts]) for k in (0, 2, 3, 4, 5))
+    doc = np.concatenate([p[1] + np.uint32(b) for p, b in zip(parts, base, strict=False)])
+    del parts
     order = np.lexsort((doc, h))
-    h, doc, place, count = h[order], doc[order], place[order], count[order]
-    start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    ordered, owner = h[order], doc[order]
+    start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     size = np.diff(np.r_[start, len(h)])
-    shared = np.repeat(doc[start] != doc[start + size - 1], size)
-    doc, place, count, part = doc[shared], place[shared], count[shared], h[shared] % np.uint32(PARTS)
-    order = np.lexsort((place, doc))
-    doc, place, count, part = doc[order], place[order], count[order], part[order]
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    ends = np.r_[cut[1:], len(doc)] if len(cut) else cut
-    mine = keys[doc[cut]]
-    packed = np.stack([place, count.astype(np.uint32) << np.uint32(8) | part.astype(np.uint32)], axis=1).astype("<u4")
-    rows = [packed[a:b].tobytes() for a, b in zip(cut, ends, strict=True)]
-    return pd.DataFrame({"k1": mine[:, 0], "k2": mine[:, 1], "bucket": int(pdf["bucket"].iloc[0]), "found": rows})
+    shared = np.sort(order[np.repeat(owner[start] != owner[start + size - 1], size)])
+    code = int(pdf["bucket"].iloc[0]) * PARTS + (h[shared] % np.uint32(PARTS)).astype(np.int64)
+    where = code << 40 | count[shared].astype(np.int64) << 32 | place[shared].astype(np.int64)
+    return pd.DataFrame({"k1": k1[doc[shared]], "k2": k2[doc[shared]], "where": where})
 
 
 def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
@@ -293,12 +289,9 @@ def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
             for keys, sizes, texts in _pieces(batch, piece):
                 rows = found[at : at + len(texts)]
                 at += len(texts)
-                per_row = [len(r["found"]) // 8 for one in rows for r in one]
-                numbers = np.frombuffer(b"".join(r["found"] for one in rows for r in one), "<u4").reshape(-1, 2)
-                bucket = np.repeat(np.array([r["bucket"] for one in rows for r in one], np.int64), per_row)
-                doc = np.repeat(np.repeat(np.arange(len(rows)), [len(one) for one in rows]), per_row)
-                place, count = numbers[:, 0], (numbers[:, 1] >> np.uint32(8)).astype(np.int64)
-                bucket = bucket * PARTS + (numbers[:, 1] & np.uint32(255))
+                where = np.array([w for one in rows for w in one], np.int64)
+                doc = np.repeat(np.arange(len(rows)), [len(one) for one in rows])
+                bucket, count, place = where >> 40, where >> 32 & 255, where & 0xFFFFFFFF
                 order = np.lexsort((place, doc, bucket))
                 bucket, doc, place, count = bucket[order], doc[order], place[order], count[order]
                 data = np.frombuffer(b"".join(texts), np.uint8)
@@ -309,7 +302,7 @@ def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
                     used, local = np.unique(doc[a:b], return_inverse=True)
                     width = count[a:b] + length - 1
                     member = np.repeat(start[a:b] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-                    payloads.append(_pack(keys[used].ravel(), local.astype("<u4"), place[a:b].astype("<u4"), count[a:b].astype(np.uint8), data[member]))
+                    payloads.append(_pack(keys[used, 0], keys[used, 1].astype(np.int32), keys[used, 2], local.astype("<u4"), place[a:b].astype("<u4"), count[a:b].astype(np.uint8), data[member]))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
 
     return joined.mapInArrow(run, "bucket long, payload binary")
@@ -322,8 +315,8 @@ def _judge(length: int):
         seen: dict[bytes, int] = {}
         owners: list[int] = []
         for payload in pdf["payload"]:
-            k, local, p, c, data = _unpack(payload, "<i8", "<u4", "<u4", "u1", "u1")
-            k, raw, at = k.reshape(-1, 3), data.tobytes(), 0
+            k1, k2, owner, local, p, c, data = _unpack(payload, "<i8", "<i4", "<i8", "<u4", "<u4", "u1", "u1")
+            k, raw, at = np.stack([k1, k2.astype(np.int64), owner], axis=1), data.tobytes(), 0
             for size, o in zip((c.astype(np.int64) + length - 1).tolist(), k[local, 2].tolist(), strict=True):
                 i = seen.setdefault(raw[at : at + size], len(seen))
                 at += size
@@ -373,7 +366,7 @@ def _finished(joined: DataFrame, length: int) -> DataFrame:
     """(k1, k2, rep, n_bytes, ranges, kept_sha256, whole_sha256) of each distinct text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("rep", pa.int64()), ("n_bytes", pa.int64()), ("ranges", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
+        schema = pa.schema([("k1", pa.int64()), ("k2", pa.int32()), ("rep", pa.int64()), ("n_bytes", pa.int64()), ("ranges", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
         for batch in batches:
             rows = []
             for k1, k2, rep, z, runs in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "ord", "z", "runs")), strict=True):
@@ -387,18 +380,18 @@ def _finished(joined: DataFrame, length: int) -> DataFrame:
                 rows.append({"k1": k1, "k2": k2, "rep": rep, "n_bytes": len(text), "ranges": [list(r) for r in ranges], "kept_sha256": sha.hexdigest()})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return joined.select("k1", "k2", "ord", "z", "runs").mapInArrow(run, "k1 long, k2 long, rep long, n_bytes long, ranges array<array<long>>, kept_sha256 string")
+    return joined.select("k1", "k2", "ord", "z", "runs").mapInArrow(run, "k1 long, k2 int, rep long, n_bytes long, ranges array<array<long>>, kept_sha256 string")
 
 
-def find_repeats(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_bytes: int = 16 << 20, piece: int = 8 << 20) -> DataFrame:
+def find_repeats(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_bytes: int = 32 << 20, piece: int = 3 << 20) -> DataFrame:
     """Per document: doc_id, n_bytes, ranges (deleted bytes, half open, disjoint), kept_sha256."""
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     texts = _texts(documents)
-    shared = _anchor_rows(texts, buckets, length, anchor, piece).groupBy("bucket").applyInPandas(_shared_anchors, "k1 long, k2 long, bucket int, found binary")
-    per_text = shared.groupBy("k1", "k2").agg(F.collect_list(F.struct("bucket", "found")).alias("found"))
-    contexts = _context_rows(texts.join(per_text, ["k1", "k2"]).select("k1", "k2", "ord", "z", "found"), length, piece)
-    runs = contexts.groupBy("bucket").applyInPandas(_judge(length), "k1 long, k2 long, runs binary").groupBy("k1", "k2").agg(F.collect_list("runs").alias("runs"))
+    shared = _anchor_rows(texts, buckets, length, anchor, piece).groupBy("bucket").applyInPandas(_shared_anchors, "k1 long, k2 int, where long")
+    per_text = shared.groupBy("k1", "k2").agg(F.collect_list("where").alias("found"))
+    contexts = _context_rows(texts.join(per_text, ["k1", "k2"]).select("k1", "k2", "ord", "z", "found"), length, 2 * piece)
+    runs = contexts.groupBy("bucket").applyInPandas(_judge(length), "k1 long, k2 int, runs binary").groupBy("k1", "k2").agg(F.collect_list("runs").alias("runs"))
     done = _finished(texts.join(runs, ["k1", "k2"], "left"), length)
     rows = _keyed(documents, F.col("doc_id").cast("long").alias("doc_id")).join(done, ["k1", "k2"])
     copy = (F.col("ord") > F.col("rep")) & (F.col("n_bytes") >= length)
