@@ -62,16 +62,30 @@ def minhash_family(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 2**31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 2**32, n, dtype=np.uint32)
 
 
+def in_pieces(texts: list[str | None], chars: int = 1 << 20) -> list[tuple[int, int]]:
+    """Ranges of ``texts`` of about so many characters, so that arrays over their bytes stay small."""
+    out, at, held = [], 0, 0
+    for k, text in enumerate(texts):
+        held += len(text or "") + 1
+        if held >= chars:
+            out.append((at, k + 1))
+            at, held = k + 1, 0
+    return [*out, (at, len(texts))] if at < len(texts) else out
+
+
 def signatures(texts: list[str | None], family: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(len(texts) x hashes of the least hash values, windows of each text); rows of texts without words are all ones."""
-    h, count = shingle_hashes(texts)
-    x = (h >> np.uint64(32)).astype(np.uint32)
     out = np.full((len(texts), len(family[0])), 2**32 - 1, np.uint32)
-    full = np.flatnonzero(count > 0)
-    if len(full):
-        cuts = (np.cumsum(count) - count)[full]
-        for k, (a, b) in enumerate(zip(*family, strict=True)):
-            y = x * a + b
-            y ^= y >> np.uint32(15)
-            out[full, k] = np.minimum.reduceat(y * np.uint32(0x2C1B3C6D), cuts)
-    return out, count
+    counts = np.zeros(len(texts), np.int64)
+    for low, high in in_pieces(texts):
+        h, count = shingle_hashes(texts[low:high])
+        counts[low:high] = count
+        x = (h >> np.uint64(32)).astype(np.uint32)
+        full = np.flatnonzero(count > 0)
+        if len(full):
+            cuts = (np.cumsum(count) - count)[full]
+            for k, (a, b) in enumerate(zip(*family, strict=True)):
+                y = x * a + b
+                y ^= y >> np.uint32(15)
+                out[low + full, k] = np.minimum.reduceat(y * np.uint32(0x2C1B3C6D), cuts)
+    return out, counts
