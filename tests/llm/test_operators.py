@@ -1,0 +1,435 @@
+"""Brute force, exact round trips and edge cases of the corpus operators."""
+
+import hashlib
+import math
+import random
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, contamination, graph, html, lines, near_duplicates, packing, pii, quality, sharding, shingles, substrings
+
+ODD = [(1, None, None), (2, "", "en"), (None, "a b c d e f g h", None), (3, "a b c d e f g h", "en"), (3, "a b c d e f g h", "en"), (4, "x" * 5000, "en"), (5, "é \U0001f600 <|im_end|>\n\n", "fr")]
+SCHEMA = "doc_id long, text string, lang string"
+
+
+@pytest.fixture
+def odd(spark):
+    """Nulls, empty and long texts, ties, repeated rows, and columns whose names the operators use too."""
+    clash = {c: F.lit("x") for c in ("k1", "k2", "node", "uid", "size", "shard", "ranges", "before", "score", "row", "source", "n_chars")}
+    return spark.createDataFrame(ODD, SCHEMA).withColumns(clash | {"n_chars": F.lit(0).cast("long")})
+
+
+@pytest.fixture
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA + ", n_chars long")
+
+
+FRAMES = {
+    "shard": sharding.shard_documents,
+    "quality": quality.judge,
+    "pii": lambda d: pii.digest(pii.pseudonymise(d, b"k")),
+    "substrings": lambda d: substrings.digest(substrings.find_repeats(d)),
+    "lines": lambda d: lines.digest(lines.without_repeats(d)),
+    "contamination": lambda d: contamination.digest(contamination.find_overlaps(d, d.select(F.col("doc_id").alias("item_id"), "text"))),
+    "jaccard": near_duplicates.classes,
+    "packing": lambda d: packing.pack_documents(d).where("piece = 0"),
+}
+
+
+@pytest.mark.parametrize("name", FRAMES)
+def test_odd_rows_and_empty_tables(odd, empty, name):
+    assert FRAMES[name](odd).count() == len(ODD)
+    assert FRAMES[name](empty).count() == 0
+
+
+@pytest.mark.parametrize("stage", [lambda d: quality.Rules(d).keep(d), lines.dedup_stage, near_duplicates.one_of_each, lambda d: contamination.clean_documents(d, d.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 99"))])
+def test_stages_keep_columns(odd, empty, stage):
+    assert stage(odd).columns == odd.columns and stage(odd).count() <= len(ODD)
+    assert stage(empty).count() == 0
+
+
+# ---- sharding
+
+
+def _shard(key, n, regions=3, racks=2):
+    def draw(leaf):
+        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)
+        u = (xxhash.xxh64_intdigest(struct.pack("<i", leaf), seed=seed) >> 11) * 2.0**-53 + 2.0**-54
+        return -math.log(u)
+
+    return min(range(n), key=draw)
+
+
+def test_shards_by_brute_force(spark):
+    rows = [(i, f"t{i}") for i in range(2000)] + [(None, "n")]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), rows_per_task=20).collect()
+    assert all(r.shard == _shard(r.doc_id, 24) and r.grown_shard == _shard(r.doc_id, 25) for r in got)
+    assert all(r.grown_shard in (r.shard, 24) for r in got) and any(r.grown_shard == 24 for r in got)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+        assert r.text_crc32 == zlib.crc32(b"n" if r.doc_id is None else f"t{r.doc_id}".encode())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_a_weight_moves_only_its_own_leaf(spark):
+    frame = spark.range(3000).withColumnRenamed("id", "doc_id")
+    old = sharding.tree(12)
+    new = [sharding.Leaf(x.shard, x.region, x.rack, 3.0 if x.shard == 5 else 1.0) for x in old]
+    a = {r.doc_id: r.shard for r in sharding.assign(frame, old).collect()}
+    b = {r.doc_id: r.shard for r in sharding.assign(frame, new).collect()}
+    assert {b[k] for k in a if a[k] != b[k]} == {5}
+    assert 0.15 < sum(s == 5 for s in b.values()) / 3000 < 0.29  # 3 / 14
+
+
+# ---- quality
+
+
+def _kn_slow(texts):
+    """Interpolated modified Kneser-Ney of order 4, straight from its definition."""
+    order = quality.ORDER
+    counts = Counter()
+    for t in texts:
+        s = [0] * (order - 1) + quality.symbols([t])[0].tolist()[order - 1 :]
+        counts.update(tuple(s[k : k + order]) for k in range(len(t)))
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+    out = {n: quality.discounts(np.array(list(c.values()))) for n, c in levels.items()}
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / (1 << quality.BITS)
+        same = {x: c for x, c in levels[n].items() if x[:-1] == g[:-1]}
+        total, d = sum(same.values()), out[n]
+        back = sum(d[min(c, 3)] for c in same.values()) / total
+        return (levels[n][g] - d[min(levels[n][g], 3)]) / total + back * p(g[1:])
+
+    return {g: math.log(p(g)) for g in counts}
+
+
+def test_kneser_ney_by_definition():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcA .,\n") for _ in range(40)) for _ in range(12)]
+    keys = np.concatenate([quality.grams([t])[0] for t in texts])
+    unique, counts = np.unique(keys, return_counts=True)
+    got = dict(zip(*(x.tolist() for x in quality.kneser_ney(unique, counts)), strict=True))
+    want = _kn_slow(texts)
+    assert len(got) == len(want)
+    for gram, value in want.items():
+        key = 0
+        for s in gram:
+            key = key << quality.BITS | s
+        assert got[key] == pytest.approx(value, abs=1e-9)
+
+
+def test_scores_and_stats(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rules = quality.Rules(docs)
+    got = {r.doc_id: r for r in rules.verdicts().collect()}
+    rows = docs.collect()
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.text)
+        seen = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        hit = {p for k in range(len(words) - 7) if seen[tuple(words[k : k + 8])] > 1 for p in range(k, k + 8)}
+        full = [x for x in r.text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        g = got[r.doc_id]
+        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", r.text)), len(full) - len(set(full)), len(hit))
+        assert g.base_failed == (len(words) < 20 or 100 * len(hit) > 30 * len(words)) and not (g.base_failed and g.kept)
+    kept = {r.doc_id for r in rules.keep(docs).collect()}
+    assert kept == {k for k, r in got.items() if r.kept}
+    small = quality.Rules(docs, broadcast_bytes=1)  # language by language
+    assert {r.doc_id: (r.kept, round(r.perplexity, 6)) for r in small.verdicts().collect()} == {k: (r.kept, round(r.perplexity, 6)) for k, r in got.items()}
+    assert {r.doc_id for r in small.keep(docs).collect()} == kept
+
+
+def test_dense_and_sorted_lookup_agree():
+    keys = np.unique(np.random.default_rng(0).integers(0, 1 << 28, 5000).astype(np.uint32))
+    values = np.arange(len(keys), dtype=np.float32)
+    assert (quality.Scorer(keys, values, limit=0)(keys) == values).all() and (quality.Scorer(keys[:500], values[:500])(keys[:500]) == values[:500]).all()
+
+
+# ---- HTML
+
+
+def test_held_out_layouts():
+    model, hit, kept, main = html.train(), 0, 0, 0
+    for page, labels in html.labelled_pages(200, seed=77):
+        for got, want in zip(model.decode(page), labels, strict=True):
+            hit, kept, main = hit + (got & want), kept + got, main + want
+    assert hit / kept > 0.96 and hit / main > 0.96
+
+
+def test_viterbi_is_the_best_sequence():
+    model = html.train()
+    for page, _ in html.labelled_pages(40, seed=5):
+        page = page[:9]
+        u = model.potentials(page)
+        best = max(range(1 << len(page)), key=lambda m: sum(u[i] for i in range(len(page)) if m >> i & 1) + sum(model.step[m >> i - 1 & 1, m >> i & 1] for i in range(1, len(page))))
+        assert model.decode(page) == [best >> i & 1 for i in range(len(page))]
+
+
+def test_pages_of_the_table(spark, data):
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    for r in html.extract_pages(pages).join(pages.select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1]
+        import html as std
+
+        want = " ".join(std.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1)>|<br>", " ", inner))).split())
+        assert r.text == want and r.n_chars == len(want)
+
+
+@pytest.mark.parametrize("page", [None, "", "<", "<p", "plain text", "<p class='a", "<script>x", "<!-- open", "</div></p>", "&#0;&bogus;", "<a href='" + "x" * 10000])
+def test_broken_pages(page):
+    assert isinstance(html.extract(page, html.train()), str)
+
+
+# ---- personal data
+
+VALUES = {
+    "card": "4539 1488 0343 6467", "ip": "192.168.10.254", "date": "1987-02-28", "ssn": "123-45-6789", "phone": "+1 (212) 555-0123",
+    "email": "jane.doe-7@mail.example.com", "iban": "DE89 3704 0044 0532 0130 00", "secret": 'api_key = "0123456789abcdef0123"',
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_pseudonyms_keep_format_and_invert(kind):
+    text = f"Before {VALUES[kind]}, after {VALUES[kind]} end"
+    found = pii.spans(text, b"key")
+    assert [f[0] for f in found] == [kind, kind] and found[0][3] == found[1][3] != VALUES[kind]
+    hidden = pii.replaced(text, found)
+    again = pii.spans(hidden, b"key", inverse=True)
+    assert [f[0] for f in again] == [kind, kind] and pii.replaced(hidden, again) == text
+    assert re.sub(r"\d", "9", re.sub(r"[a-z]", "a", hidden)) == re.sub(r"\d", "9", re.sub(r"[a-z]", "a", text)) or kind in ("ip", "secret")
+
+
+@pytest.mark.parametrize("text", ["4539 1488 0343 6468", "1987-02-30", "300.1.1.1", "000-12-3456", "Version 2.0.", "DE00 3704 0044 0532 0130 00", "1.2.3.4.5", None, ""])
+def test_invalid_values_stay(text):
+    assert pii.spans(text, b"key") == []
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 1000])
+def test_feistel_is_a_permutation(size):
+    f = pii.Feistel(b"key", "test", size)
+    assert sorted(map(f.forward, range(size))) == list(range(size)) and all(f.back(f.forward(x)) == x for x in range(size))
+
+
+# ---- substrings
+
+
+def test_windows_by_brute_force():
+    rng = random.Random(2)
+    for length in (3, 5, 9):
+        for _ in range(60):
+            contexts = list({bytes(rng.choice(b"ab") for _ in range(rng.randint(length, length + 7))) for _ in range(rng.randint(1, 9))})
+            owners = rng.sample(range(100), len(contexts))
+            least = {}
+            for c, o in zip(contexts, owners, strict=True):
+                for k in range(len(c) - length + 1):
+                    least[c[k : k + length]] = min(o, least.get(c[k : k + length], 10**9))
+            want = [least[c[k : k + length]] for c in contexts for k in range(len(c) - length + 1)]
+            assert substrings.least_owner(contexts, np.array(owners), length).tolist() == want
+
+
+def test_removed_bytes_by_brute_force(spark):
+    rng = random.Random(4)
+    shared = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (49, 50, 51, 120, 300)]
+    texts = ["".join(rng.choice(shared) if rng.random() < 0.4 else "".join(rng.choice("abcdefgh ") for _ in range(30)) for _ in range(rng.randint(0, 8))) for _ in range(60)]
+    rows = [*enumerate(texts), (60, "z" * 400), (61, "z" * 120), (62, texts[5]), (63, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.digest(substrings.find_repeats(frame, bucket_bytes=4000, piece=3000)).collect()}
+    first: dict[bytes, int] = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - 49):
+            if first.setdefault(data[k : k + 50], i) < i:
+                gone[k : k + 50] = b"\1" * 50
+        spans = len(re.findall(rb"\1+", bytes(gone)))
+        kept = bytes(c for c, g in zip(data, gone, strict=True) if not g)
+        assert got[i] == (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+
+
+# ---- lines
+
+
+@pytest.mark.parametrize("need", [2, 3, 5])
+def test_runs_by_brute_force(spark, need):
+    rng = random.Random(need)
+    pool = ["a", "b", "c", "", " ", "one two three four five"]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(30)]
+    got = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"), need).collect()}
+    seen: set = set()
+    gone = defaultdict(set)
+    for i, text in docs:
+        full = [(k, x) for k, x in enumerate(text.split("\n")) if x.strip()]
+        for k in range(len(full)):
+            for n in {1, need}:
+                part = full[k : k + n]
+                if len(part) < n or (n == 1 and len(part[0][1].split()) < 5):
+                    continue
+                name = (n, *(x for _, x in part))
+                if name in seen:
+                    gone[i] |= set(range(part[0][0], part[-1][0] + 1))
+                seen.add(name)
+    for i, text in docs:
+        assert got[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[i])
+
+
+# ---- contamination
+
+
+def test_windows_in_blocks_and_shards(spark):
+    rng = random.Random(1)
+    word = lambda: rng.choice("abcdefghij") * rng.randint(1, 2)
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([20, 13, 5, 1, 0, 30])] + [(6, None)]
+    items[3] = (3, "unique")
+    docs = [(i, " ".join([*(word() for _ in range(9)), *(rng.choice(items)[1] or "").upper().split(), "unique" if i % 7 == 0 else "end"])) for i in range(60)] + [(60, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for i, text in docs:
+        w = contamination.words(text)
+        hit, found = set(), set()
+        for j, item in items:
+            q = contamination.words(item)
+            n = min(13, len(q))
+            grams = {tuple(q[k : k + n]) for k in range(len(q) - n + 1)} if n else set()
+            for k in range(len(w) - n + 1):
+                if n and tuple(w[k : k + n]) in grams:
+                    hit |= set(range(k, k + n))
+                    found.add(str(j))
+        want[i] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w))
+    for options in ({}, {"words_per_shard": 20}, {"block_bytes": 60}):
+        got = contamination.digest(contamination.find_overlaps(d, b, **options)).collect()
+        assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == want
+        assert {r.doc_id for r in contamination.clean_documents(d, b, **options).collect()} == {i for i, x in want.items() if not x[4]}
+
+
+# ---- near duplicates
+
+
+def _sets(texts):
+    return [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := re.findall(r"[^\x20\x09-\x0D]+", t or "")) else set() for t in texts]
+
+
+def test_shingles_match_word_windows():
+    texts = ["", None, "a", "a b c d", "a b c d e", "a b c d e f a b c d e", " \n lead  and\ttail ", "é à ü ß ñ ê", "a b c d"]
+    h, count = shingles.shingle_hashes(texts)
+    parts = np.split(h, np.cumsum(count)[:-1])
+    assert [len(set(p.tolist())) for p in parts] == [len(s) for s in _sets(texts)] and set(parts[3].tolist()) == set(parts[8].tolist())
+
+
+def test_classes_by_brute_force(spark):
+    rng = random.Random(9)
+    base = [[f"w{rng.randint(0, 400)}" for _ in range(rng.randint(1, 80))] for _ in range(12)]
+    texts = []
+    for words in base:
+        for _ in range(rng.choice([1, 2, 12])):
+            copy = list(words)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 9)}"
+            texts.append(" ".join(copy))
+    texts += [texts[0], texts[0], None, "", "one"]
+    sets, n = _sets(texts), len(texts)
+    linked = [[j for j in range(n) if j != i and ((texts[i] or "") == (texts[j] or "") or (sets[i] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])))] for i in range(n)]
+    root = list(range(n))
+    for _ in range(n):
+        root = [min([root[i], *(root[j] for j in linked[i])]) for i in range(n)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (512, 4):
+        got = {r.doc_id: (r.class_id, r.n_links) for r in near_duplicates.classes(frame, block=block).collect()}
+        assert got == {i: (root[i], len(linked[i])) for i in range(n)}
+    assert {r.doc_id for r in near_duplicates.one_of_each(frame).collect()} == set(root)
+
+
+def test_posterior_bound():
+    for n in (32, 64, 160):
+        m = near_duplicates.least_agreements(n, 0.8, 1e-9)
+        draws = np.random.default_rng(0).beta(m, n - m + 2, 200_000)  # one agreement fewer
+        assert 0 < m < n and (draws >= 0.8).mean() < 1e-4
+
+
+def test_components(spark):
+    edges = [(1, 2), (2, 3), (9, 8), (3, 9), (20, 21), (5, 5)] + [(100, k) for k in range(101, 140)] + [(k, k + 1) for k in range(200, 240)]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 20: 20, 21: 20} | dict.fromkeys(range(100, 140), 100) | dict.fromkeys(range(200, 241), 200)
+
+
+# ---- packing
+
+
+def _optimum(lengths, size):
+    best = [len(lengths)]
+
+    def place(k, bins):
+        if len(bins) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(bins)
+            return
+        for b in {x: i for i, x in enumerate(bins)}.values():
+            if bins[b] + lengths[k] <= size:
+                place(k + 1, [*bins[:b], bins[b] + lengths[k], *bins[b + 1 :]])
+        place(k + 1, [*bins, lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_bounds_hold():
+    rng = random.Random(6)
+    for _ in range(80):
+        lengths = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 9))), reverse=True)
+        optimum, (bins, offsets, fills) = _optimum(lengths, 20), packing.best_fit(np.array(lengths), 20)
+        assert packing.lower_bound(np.array(lengths), 20) <= optimum <= len(fills) and fills.max() <= 20
+        assert all(sum(x for x, b in zip(lengths, bins, strict=True) if b == k) == f for k, f in enumerate(fills))
+
+
+def test_two_encoders_give_the_same_ids(spark, data):
+    import public_tokenizers
+
+    slow, fast = packing.encoder(public_tokenizers.path("byte_bpe_50k.json")), packing.encoder(packing.default_path())
+    texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").limit(60).collect()] + ["<|endoftext|>", "", "  \n\t x", "日本  é"]
+    assert [slow(t) for t in texts] == [fast(t) for t in texts]
+
+
+def test_packed_table(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rows = packing.pack_documents(docs, per_partition=40).collect()
+    encode, texts = packing.encoder(packing.default_path()), {r.doc_id: r.text for r in docs.collect()}
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    assert set(by_doc) == set(texts)
+    for k, pieces in by_doc.items():
+        ids = np.array([*encode(texts[k]), packing.END_ID], "<u4")
+        pieces.sort(key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces))) and sum(r.length for r in pieces) == len(ids) and all(r.length == 1024 for r in pieces[1:])
+        assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in pieces)
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda r: r.offset)
+        assert all(r.offset == sum(x.length for x in pieces[:k]) for k, r in enumerate(pieces)) and sum(r.length for r in pieces) <= 1024
+    assert len(by_sequence) <= sum(r.length for r in rows) / 1024 * 1.02 + 2
+
+
+# ---- chat
+
+
+def test_any_turns_come_back(spark):
+    rows = [(1, 2, "assistant", "b<|im_end|>\n"), (1, 1, "user", r"<\|im_sep|> <\\|"), (1, 3, "assistant", "c<|im_sep|>"), (2, None, None, None), (2, 0, "a~\nb", "\U0001f600"), (None, 0, "assistant", ""), (1, 3, "assistant", "c<|im_sep|>")]
+    out = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: r for r in out.select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()}
+    for conv in (1, 2, None):
+        want = sorted(((-1 if t is None else t, r or "", x or "") for c, t, r, x in rows if c == conv))
+        assert [tuple(t) for t in got[conv].turns] == [(r, x) for _, r, x in want]
+        assert got[conv].loss == "".join(x for _, r, x in want if r == "assistant")
+    assert got[1].formatted.count("<|im_start|>") == 2

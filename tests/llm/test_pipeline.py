@@ -1,0 +1,28 @@
+"""The pipeline's stages on a small table, each against what it must keep."""
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from tidemark.llm import contamination, near_duplicates, quality
+
+
+def test_stages(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    seen = [docs]
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, seen[-1], data).persist()
+        assert out.columns == docs.columns and 0 < out.count() <= seen[-1].count(), (k, name)
+        seen.append(out)
+    ids = lambda frame: {r.doc_id for r in frame.select("doc_id").collect()}
+    assert ids(seen[1]) == ids(quality.judge(docs).where("kept"))
+    classes = near_duplicates.classes(seen[2])
+    assert ids(seen[3]) == {r.class_id for r in classes.collect()}
+    found = contamination.digest(contamination.find_overlaps(seen[3], spark.read.parquet(f"{data}/benchmark.parquet")))
+    assert ids(seen[4]) == ids(found.where("not contaminated"))
+    packed = corpus_pipeline.STAGES[-1][1](spark, seen[4], data)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == ids(seen[4])
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
+def test_run(spark, data):
+    assert corpus_pipeline.run(spark, data).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified"]

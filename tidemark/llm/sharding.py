@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import settled
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -98,6 +100,8 @@ def with_slots(frame: DataFrame, order: list[str], rows_per_task: int = 50_000,
     own = F.row_number().over(Window.partitionBy("shard", "_block").orderBy(*order)).cast("long") - 1
     if blocks == 1:
         return split.withColumn("slot", own).drop("_block")
+    split = settled(split)  # read twice below; narrow rows
+    own = F.row_number().over(Window.partitionBy("shard", "_block").orderBy(*order)).cast("long") - 1
     sizes = split.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shifts = sizes.select("shard", "_block", before.cast("long").alias("_before"))
