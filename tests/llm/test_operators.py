@@ -253,7 +253,7 @@ def test_removed_bytes_by_brute_force(spark):
         for k in range(len(data) - 49):
             if first.setdefault(data[k : k + 50], i) < i:
                 gone[k : k + 50] = b"\1" * 50
-        spans = len(re.findall(rb"\1+", bytes(gone)))
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
         kept = bytes(c for c, g in zip(data, gone, strict=True) if not g)
         assert got[i] == (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
 
@@ -401,9 +401,10 @@ def test_two_encoders_give_the_same_ids(spark, data):
     assert [slow(t) for t in texts] == [fast(t) for t in texts]
 
 
-def test_packed_table(spark, data):
+@pytest.mark.parametrize(("per_partition", "slack"), [(8192, 1.02), (40, 1.05)])  # forty documents leave best fit little choice
+def test_packed_table(spark, data, per_partition, slack):
     docs = spark.read.parquet(f"{data}/documents.parquet")
-    rows = packing.pack_documents(docs, per_partition=40).collect()
+    rows = packing.pack_documents(docs, per_partition=per_partition).collect()
     encode, texts = packing.encoder(packing.default_path()), {r.doc_id: r.text for r in docs.collect()}
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -418,7 +419,7 @@ def test_packed_table(spark, data):
     for pieces in by_sequence.values():
         pieces.sort(key=lambda r: r.offset)
         assert all(r.offset == sum(x.length for x in pieces[:k]) for k, r in enumerate(pieces)) and sum(r.length for r in pieces) <= 1024
-    assert len(by_sequence) <= sum(r.length for r in rows) / 1024 * 1.02 + 2
+    assert len(by_sequence) <= sum(r.length for r in rows) / 1024 * slack + 2
 
 
 # ---- chat
