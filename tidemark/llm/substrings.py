@@ -257,7 +257,7 @@ def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece
 
 
 #: Parts of a bucket that are judged one by one; anchors of one hash are in one part.
-PARTS = 16
+PARTS = 8
 
 
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
