@@ -216,6 +216,18 @@ def test_invalid_values_stay(text):
     assert pii.spans(text, b"key") == []
 
 
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [("+1 (826) 555-4081 190.137.223.204 x", ["phone", "ip"]), ("+44 20 7946 0958 170.1.2.3", ["phone", "ip"]), ("12 4539 1488 0343 6467 and", ["card"]),
+     ("4539 1488 0343 6467 12", ["card"]), ("ES91 2100 0418 4502 0005 1332 WORD", ["iban"]), ("+1 212 555 0123 4539 1488 0343 6467", ["phone", "card"])],
+)
+def test_neighbours_do_not_hide_a_value(text, kinds):
+    found = pii.spans(text, b"key")
+    assert [f[0] for f in found] == kinds
+    hidden = pii.replaced(text, found)
+    assert pii.replaced(hidden, pii.spans(hidden, b"key", inverse=True)) == text
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 1000])
 def test_feistel_is_a_permutation(size):
     f = pii.Feistel(b"key", "test", size)
@@ -284,6 +296,12 @@ def test_runs_by_brute_force(spark, need):
         assert got[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[i])
 
 
+def test_frequent_lines_are_split(spark):
+    docs = spark.createDataFrame([(i, "a line that all of these share\n" + f"another one of number {i} here") for i in range(3000)], "doc_id long, text string")
+    got = lines.digest(lines.without_repeats(docs)).collect()
+    assert sum(r.n_removed for r in got) == 2999 and all(r.n_removed == (r.doc_id > 0) for r in got)
+
+
 # ---- contamination
 
 

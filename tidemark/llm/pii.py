@@ -206,12 +206,13 @@ def _card(key: bytes, text: str, inverse: bool) -> str | None:
     return "".join(next(chars) if c.isdigit() else c for c in text)
 
 
-@kind("phone", r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])|(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])")
+@kind("phone", r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,5}(?![.\-]?[0-9])|(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])")
 def _phone(key: bytes, text: str, inverse: bool) -> str | None:
-    """All digits after the country code."""
+    """All digits after the country code; numbers under +1 have eleven."""
     code = re.match(r"\+[1-9][0-9]{0,2}(?=[ .(\-])|\+1|\+[2-9][0-9]", text)
     head = code[0] if code else ""
-    if not 8 <= sum(c.isdigit() for c in text) + (0 if code else 1) <= 15:
+    n = sum(c.isdigit() for c in text) + (0 if code else 1)
+    if n != 11 if head in ("", "+1") else not 8 <= n <= 15:
         return None
     return head + _alike("phone" + head, key, text[len(head) :], inverse)
 
@@ -230,19 +231,37 @@ def _pattern() -> re.Pattern:
     return re.compile("|".join(f"(?P<{name}>{pattern})" for name, (pattern, _) in KINDS.items()))
 
 
+@functools.lru_cache(maxsize=len(KINDS))
+def _pattern_of(name: str) -> re.Pattern:
+    return re.compile(KINDS[name][0])
+
+
 #: A text without any of these cannot hold a value.
 _HINT = re.compile(r"[@0-9]")
 
 
+def _validated(text: str, m: re.Match, key: bytes, inverse: bool) -> tuple[str, int, int, str] | None:
+    """The longest valid value at the start of a match: all of it, or less by words (the next value may follow a blank)."""
+    name, end = m.lastgroup, m.end()
+    while end > m.start():
+        if end == m.end() or _pattern_of(name).fullmatch(text, m.start(), end):
+            image = KINDS[name][1](key, text[m.start() : end], inverse)
+            if image is not None:
+                return name, m.start(), end, image
+        end = text.rfind(" ", m.start(), end)
+    return None
+
+
 def spans(text: str | None, key: bytes, inverse: bool = False) -> list[tuple[str, int, int, str]]:
-    """(kind, start, end, pseudonym) of every validated value."""
+    """(kind, start, end, pseudonym) of every validated value; after a match that fails, the search goes on inside it."""
     if not text or not _HINT.search(text):
         return []
-    out = []
-    for m in _pattern().finditer(text):
-        image = KINDS[m.lastgroup][1](key, m[0], inverse)
-        if image is not None:
-            out.append((m.lastgroup, m.start(), m.end(), image))
+    out, at = [], 0
+    while m := _pattern().search(text, at):
+        found = _validated(text, m, key, inverse)
+        if found:
+            out.append(found)
+        at = found[2] if found else m.start() + 1
     return out
 
 
