@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources.tables import table
 
-__all__ = ["settled", "shared_folder", "table"]
+__all__ = ["settled", "shared_folder", "spread_join", "table"]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,3 +22,19 @@ def settled(frame: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint(eager=True)
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], rows: str, salt: list[str], shares: int = 1000) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which is settled, has one row a key and the number of its partners in ``rows``.
+
+    A key with more than one in ``shares`` of all partners is split by a hash of ``salt``
+    into parts of that size.  Fewer than ``shares`` keys can be so frequent, which bounds both what is broadcast and the added rows.
+    """
+    total = one.agg(F.sum(rows)).first()[0] or 0
+    share = total // shares + 1
+    parts = F.ceil(F.col(rows) / share).cast("int")
+    hot = one.where(F.col(rows) > share).select(*keys, parts.alias("_parts"))
+    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*salt), F.col("_parts")).cast("int"))
+    salted = many.join(F.broadcast(hot), keys, "left").withColumn("_part", part).drop("_parts")
+    spread = one.withColumn("_part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    return salted.join(spread, [*keys, "_part"]).drop("_part")
