@@ -255,7 +255,12 @@ def test_removed_bytes_by_brute_force(spark):
     rng = random.Random(4)
     shared = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (49, 50, 51, 120, 300)]
     texts = ["".join(rng.choice(shared) if rng.random() < 0.4 else "".join(rng.choice("abcdefgh ") for _ in range(30)) for _ in range(rng.randint(0, 8))) for _ in range(60)]
-    rows = [*enumerate(texts), (60, "z" * 400), (61, "z" * 120), (62, texts[5]), (63, None)]
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    lone = [noise(50) for _ in range(40)]  # one shared window each, with its anchor anywhere
+    texts += [noise(rng.randint(0, 30)) + s + noise(rng.randint(0, 30)) for s in lone + lone]
+    texts += [noise(20) + noise(k) * 40 for k in (2, 3, 7, 16, 33)] + [noise(9) + ("xy" * 60)[k:] for k in (0, 1, 40)]
+    n = len(texts)
+    rows = [*enumerate(texts), (n, "z" * 400), (n + 1, "z" * 120), (n + 2, texts[5]), (n + 3, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.digest(substrings.find_repeats(frame, bucket_bytes=4000, piece=3000)).collect()}
     first: dict[bytes, int] = {}

@@ -7,8 +7,9 @@ bounded share of the text in one place:
 1. Equal texts become one (the least id); later copies are deleted whole, so only
    different texts meet below.
 2. Anchors: every 50-byte window belongs to its least-hashed 16-byte string, so equal windows have
-   equal anchors at equal distances, and an anchor's windows are adjacent.  An anchor hash seen
-   in one text only cannot hold a repeat; about six in seven drop out here.
+   equal anchors at equal distances, and an anchor's windows are adjacent.  A window also holds
+   the 16 bytes before its anchor or the 16 after it, so an anchor can hold a repeat only if another
+   text has it with the same bytes on one side; all others drop out here.
 3. The bytes around the other anchors (a context: their windows) go to a bucket by
    anchor hash.  There the distinct contexts form a small text, with its suffix
    order and Burrows-Wheeler transform.  Breadth-first backward extension starts
@@ -53,11 +54,18 @@ def expand(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def anchors(data: np.ndarray, doc: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, windows) of the anchors of concatenated texts; ``doc``: the text of each byte."""
+#: Names of sides: no window of the anchor has that side; the anchor has several places, so its sides say nothing.
+NONE, OPEN = 0, 1
+
+
+def anchors(data: np.ndarray, doc: np.ndarray, length: int, anchor: int, most: int = 200) -> tuple[np.ndarray, ...]:
+    """(hash, first window, windows, name of the bytes before, of those after) of the anchors of concatenated texts.
+
+    ``doc``: the text of each byte.  Runs of more than ``most`` windows (a hash that recurs) come in parts.
+    """
     n = len(data)
     if n < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.uint16)
     h = _GEAR[data]
     done = 1
     while done < anchor:  # hash of a string from the hashes of its halves
@@ -66,17 +74,35 @@ def anchors(data: np.ndarray, doc: np.ndarray, length: int, anchor: int) -> tupl
         h ^= h >> np.uint64(32)
         done += step
     least, width = h, length - anchor + 1
+    place = np.arange(len(h), dtype=np.int32)  # the first place of a window's least hash
     done = 1
     while done < width:
         step = min(done, width - done)
+        later = least[step:] < least[:-step]
         least = np.minimum(least[:-step], least[step:])
+        place = np.where(later, place[step:], place[:-step])
         done += step
     inside = doc[: n - length + 1] == doc[length - 1 :]
     # windows with one least hash in a row share an anchor, as long as its place is the same
     change = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (inside[1:] != inside[:-1]) | (doc[1 : n - length + 1] != doc[: n - length])])
     count = np.diff(np.r_[change, len(least)])
     keep = inside[change]
-    return least[change][keep], change[keep], count[keep]
+    hashes, first, count = split_long(least[change][keep], change[keep], count[keep], most)
+    return hashes, first, count, *_sides(h, place, first, count, width, anchor)
+
+
+def _sides(h: np.ndarray, place: np.ndarray, first: np.ndarray, count: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the ``anchor`` bytes before and after each anchor: windows that start far before it share the former, others the latter."""
+    at, last = place[first], first + count - 1
+    several = place[last] != at
+    if 2 * anchor > width:  # too short a window to hold a whole side
+        several[:] = True
+    half = width // 2
+    sides = []
+    for used, where in ((at - first >= half, at - anchor), (at - last < half, at + anchor)):
+        name = np.maximum(h[np.where(used & ~several, where, 0)] >> np.uint64(48), 2).astype(np.uint16)
+        sides.append(np.where(several, OPEN, np.where(used, name, NONE)).astype(np.uint16))
+    return sides[0], sides[1]
 
 
 def split_long(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,27 +115,37 @@ def split_long(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, most: i
     return hashes[at], first[at] + k * most, np.minimum(most, count[at] - k * most)
 
 
-def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Places of ``text`` by the strings from there to the end of their context; ``left``: bytes up to that end.  Ties by place."""
+def suffix_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """Places of ``text`` by their next ``depth`` bytes, or by those to the end of their context; ``left``: bytes up to that end.
+
+    Prefix doubling that sorts only what is still tied.
+    """
     n = len(text)
     key = np.zeros(n, np.uint64)
-    for k in range(6):
+    for k in range(7):
         symbol = np.zeros(n, np.uint64)
         symbol[: max(n - k, 0)] = text[k:].astype(np.uint64) + np.uint64(1)
-        key = key << np.uint64(10) | np.where(left > k, symbol, np.uint64(0))
+        key = key << np.uint64(9) | np.where(left > k, symbol, np.uint64(0))
     order = np.argsort(key, kind="stable")
-    depth = 6
-    while True:
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]])
-        if depth >= left.max(initial=0) or rank.max(initial=0) == n:
-            return order
-        later = np.zeros(n, np.int64)
-        later[: n - depth] = rank[depth:]
-        key = (rank.astype(np.uint64) << np.uint64(32)) | np.where(left > depth, later, 0).astype(np.uint64)
-        order = np.argsort(key, kind="stable")
-        depth *= 2
+    key = key[order]
+    opens = np.r_[True, key[1:] != key[:-1]]  # whether a place begins a group of ties
+    rank = np.empty(n, np.int64)  # where its group begins
+    rank[order] = np.maximum.accumulate(np.where(opens, np.arange(n), 0))
+    known = 7
+    while known < depth:
+        at = np.flatnonzero(~(opens & np.r_[opens[1:], True]))
+        if not len(at):
+            break
+        place = order[at]
+        later = np.where(left[place] > known, rank[np.minimum(place + known, n - 1)] + 1, 0)
+        key = rank[place] << 32 | later
+        by = np.argsort(key, kind="stable")
+        key, place = key[by], place[by]
+        opens[at] = np.r_[True, key[1:] != key[:-1]]
+        order[at] = place
+        rank[place] = np.maximum.accumulate(np.where(opens[at], at, 0))
+        known *= 2
+    return order
 
 
 def boundaries(text: np.ndarray, order: np.ndarray, first: np.ndarray, stop: int) -> np.ndarray:
@@ -163,7 +199,7 @@ def least_owner(contexts: list[bytes], owners: np.ndarray, length: int = LENGTH)
     left = np.repeat(ends, sizes) - np.arange(len(text))
     first = np.zeros(len(text), bool)
     first[ends - sizes] = True
-    order = suffix_order(text, left)
+    order = suffix_order(text, left, length)
     group = np.cumsum(boundaries(text, order, first, length) >= 0)
     window = left[order] >= length
     group, place = group[window], order[window]
@@ -220,6 +256,15 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return squeeze(head + b"".join(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in map(np.ascontiguousarray, arrays)))
 
 
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Differences, modulo 2**32, of numbers that mostly rise slowly."""
+    return np.diff(a.astype(np.uint32), prepend=np.uint32(0))
+
+
+def _sums(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     data = expand(data)
     sizes = np.frombuffer(data, np.int64, len(kinds), 8)
@@ -236,13 +281,13 @@ def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece
             for keys, sizes, found in _pieces(batch, piece):
                 data = np.frombuffer(b"".join(found), np.uint8)
                 doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-                h, first, count = split_long(*anchors(data, doc, length, anchor), 200)
+                h, first, count, before, after = anchors(data, doc, length, anchor)
                 if not len(h):
                     continue
                 h = mix(h)
                 bucket = (h % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
-                h, first, count, bucket = h[order], first[order], count[order], bucket[order]
+                h, first, count, before, after, bucket = (x[order] for x in (h, first, count, before, after, bucket))
                 owner = doc[first]
                 place = first - (np.cumsum(sizes) - sizes)[owner]
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -250,7 +295,7 @@ def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece
                 for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True):
                     used, local = np.unique(owner[a:b], return_inverse=True)
                     names.append(int(bucket[a]))
-                    payloads.append(_pack((h[a:b] >> np.uint64(32)).astype(np.uint32), local.astype(np.uint32), place[a:b].astype(np.uint32), count[a:b].astype(np.uint8), keys[used, 0], keys[used, 1].astype(np.int32)))
+                    payloads.append(_pack((h[a:b] >> np.uint64(40)).astype(np.uint32), _steps(local), _steps(place[a:b]), count[a:b].astype(np.uint8), before[a:b], after[a:b], keys[used, 0], keys[used, 1].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
 
     return texts.mapInArrow(run, "bucket int, payload binary")
@@ -260,21 +305,35 @@ def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece
 PARTS = 8
 
 
+def _in_two(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether another text has the key too."""
+    order = np.lexsort((doc, key))
+    ordered, owner = key[order], doc[order]
+    start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[start, len(key)])
+    out = np.empty(len(key), bool)
+    out[order] = np.repeat(owner[start] != owner[start + size - 1], size)
+    return out
+
+
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The anchors of a bucket whose hash two texts have: (text, where), one row an anchor.
+    """The anchors of a bucket that two texts have with a common side: (text, where), one row an anchor.
 
     ``where`` holds, from the high bits down, bucket and part (24), windows (8) and first window (32).
     """
-    parts = [_unpack(p, "<u4", "<u4", "<u4", "u1", "<i8", "<i4") for p in pdf["payload"]]
-    base = np.cumsum([0, *(len(p[4]) for p in parts)])
-    h, place, count, k1, k2 = (np.concatenate([p[k] for p in parts]) for k in (0, 2, 3, 4, 5))
-    doc = np.concatenate([p[1] + np.uint32(b) for p, b in zip(parts, base, strict=False)])
+    parts = [_unpack(p, "<u4", "<u4", "<u4", "u1", "<u2", "<u2", "<i8", "<i4") for p in pdf["payload"]]
+    base = np.cumsum([0, *(len(p[6]) for p in parts)])
+    h, count, before, after, k1, k2 = (np.concatenate([p[k] for p in parts]) for k in (0, 3, 4, 5, 6, 7))
+    place = np.concatenate([_sums(p[2]) for p in parts])
+    doc = np.concatenate([_sums(p[1]) + np.uint32(b) for p, b in zip(parts, base, strict=False)])
     del parts
-    order = np.lexsort((doc, h))
-    ordered, owner = h[order], doc[order]
-    start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    size = np.diff(np.r_[start, len(h)])
-    shared = np.sort(order[np.repeat(owner[start] != owner[start + size - 1], size)])
+    shared = np.flatnonzero(_in_two(h, doc))
+    wide, owner = h[shared].astype(np.uint64) << np.uint64(16), doc[shared]
+    keep = np.isin(h[shared], np.unique(h[shared][before[shared] == OPEN]))  # sides do not tell these apart
+    for side in (before[shared], after[shared]):
+        told = np.flatnonzero(side > OPEN)
+        keep[told] |= _in_two(wide[told] | side[told].astype(np.uint64), owner[told])
+    shared = shared[keep]
     code = int(pdf["bucket"].iloc[0]) * PARTS + (h[shared] % np.uint32(PARTS)).astype(np.int64)
     where = code << 40 | count[shared].astype(np.int64) << 32 | place[shared].astype(np.int64)
     return pd.DataFrame({"k1": k1[doc[shared]], "k2": k2[doc[shared]], "where": where})
@@ -302,7 +361,7 @@ def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
                     used, local = np.unique(doc[a:b], return_inverse=True)
                     width = count[a:b] + length - 1
                     member = np.repeat(start[a:b] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-                    payloads.append(_pack(keys[used, 0], keys[used, 1].astype(np.int32), keys[used, 2], local.astype("<u4"), place[a:b].astype("<u4"), count[a:b].astype(np.uint8), data[member]))
+                    payloads.append(_pack(keys[used, 0], keys[used, 1].astype(np.int32), keys[used, 2], _steps(local), _steps(place[a:b]), count[a:b].astype(np.uint8), data[member]))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
 
     return joined.mapInArrow(run, "bucket long, payload binary")
@@ -316,6 +375,7 @@ def _judge(length: int):
         owners: list[int] = []
         for payload in pdf["payload"]:
             k1, k2, owner, local, p, c, data = _unpack(payload, "<i8", "<i4", "<i8", "<u4", "<u4", "u1", "u1")
+            local, p = _sums(local), _sums(p)
             k, raw, at = np.stack([k1, k2.astype(np.int64), owner], axis=1), data.tobytes(), 0
             for size, o in zip((c.astype(np.int64) + length - 1).tolist(), k[local, 2].tolist(), strict=True):
                 i = seen.setdefault(raw[at : at + size], len(seen))
