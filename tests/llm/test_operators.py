@@ -424,6 +424,17 @@ def test_two_encoders_give_the_same_ids(spark, data):
     assert [slow(t) for t in texts] == [fast(t) for t in texts]
 
 
+def test_ids_are_those_of_the_contract():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    model, encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.encoder(packing.default_path())
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    edge = packing.LONG_BLANK
+    for text in ("<|endoftext|><|endoftext|>x", "<|endoftext", *("a" + c * n + "b" for c in " \n\u3000" for n in (edge - 1, edge, edge + 1, 1_000_000))):
+        assert encode(text) == model.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize(("per_partition", "slack"), [(8192, 1.02), (40, 1.05)])  # forty documents leave best fit little choice
 def test_packed_table(spark, data, per_partition, slack):
     docs = spark.read.parquet(f"{data}/documents.parquet")

@@ -18,6 +18,7 @@ gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -30,16 +31,24 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import settled
 
 END_ID = 2
+LONG_BLANK = 10_000  # characters of white space in a row that tiktoken is not given; it fails at a million
 _loaded: dict[str, Callable[[str], list[int]]] = {}
 
 
 def encoder(path: str) -> Callable[[str], list[int]]:
     """Text to ids by a byte-level BPE file, loaded once per worker.
 
-    A ``.json`` file goes to ``tokenizers``; its twin in rank form (``.tiktoken``) to
-    ``tiktoken``, which gives the same ids several times faster.
+    The ids are those of ``tokenizers`` with ``add_special_tokens=False``: an added token
+    spelled out in a text is that token.  A ``.json`` file goes there; a ``.tiktoken`` file
+    (the same ranks) goes to ``tiktoken``, several times faster, but for the texts it treats
+    otherwise: those that hold an added token, and runs of white space on which its regular
+    expression overflows the stack.  These go to the ``.json`` twin.
     """
     if path not in _loaded:
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(re.sub(r"\.tiktoken$", ".json", path))
+        slow = lambda text: model.encode(text, add_special_tokens=False).ids
         if path.endswith(".tiktoken"):
             import base64
 
@@ -48,13 +57,12 @@ def encoder(path: str) -> Callable[[str], list[int]]:
 
             with open(path, "rb") as file:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
-            _loaded[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            added = [t.content for t in model.get_added_tokens_decoder().values()]
+            blank = re.compile(r"\s{%d}" % LONG_BLANK)
+            _loaded[path] = lambda text: slow(text) if any(t in text for t in added) or (len(text) >= LONG_BLANK and blank.search(text)) else fast(text)
         else:
-            from tokenizers import Tokenizer
-
-            model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True
-            _loaded[path] = lambda text: model.encode(text, add_special_tokens=False).ids
+            _loaded[path] = slow
     return _loaded[path]
 
 
