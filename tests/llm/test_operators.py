@@ -336,6 +336,30 @@ def test_windows_in_blocks_and_shards(spark):
         assert {r.doc_id for r in contamination.clean_documents(d, b, **options).collect()} == {i for i, x in want.items() if not x[4]}
 
 
+REPEATED = "doc_id long, text string, lang string, row string"
+
+
+def test_one_bad_row_takes_no_other_of_its_id(spark):
+    hit, clean = "alpha beta gamma delta", "nothing of the kind is in here"
+    docs = spark.createDataFrame([(i, t + f" {k}", "en", "r") for k, (i, t) in enumerate([(None, hit), (None, clean), (7, hit), (7, clean), (7, clean), (8, hit)])], REPEATED).repartition(3)
+    items = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "elsewhere")], "item_id long, text string")
+    want = [(None, clean + " 1"), (7, clean + " 3"), (7, clean + " 4")]
+    for options in ({}, {"block_bytes": 10}):
+        got = contamination.clean_documents(docs, items, **options)
+        assert got.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_rules_keep_the_same_rows_at_both_sizes(spark):
+    rng = random.Random(8)
+    good = lambda: " ".join("".join(rng.choice("abcde") for _ in range(5)) for _ in range(40))
+    rows = [(i, t, lang, "r") for i in (None, 7) for lang in ("en", "fr", None) for t in ("too short", good(), good())] + [(7, None, "de", "r"), (9, "", "de", "r")]
+    docs = spark.createDataFrame(rows, REPEATED).repartition(3)
+    want = sorted((r for r in rows if r[1] and len(r[1]) > 20), key=str)
+    for options in ({}, {"broadcast_bytes": 1}):
+        assert sorted(map(tuple, quality.Rules(docs, **options).keep(docs).collect()), key=str) == want
+
+
 # ---- near duplicates
 
 

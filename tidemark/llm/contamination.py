@@ -24,11 +24,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import settled
@@ -132,10 +133,10 @@ def _search_shard(texts: list[str | None], queries: Queries) -> list[tuple[int,
     # verbatim matches longer than a window: consecutive places on one diagonal
     order = np.lexsort((place, place - position, item))
     p, i, d = place[order], item[order], (place - position)[order]
-    chain = np.r_[True, (np.diff(p) != 1) | (np.diff(i) != 0) | (np.diff(d) != 0)]
-    group = np.cumsum(chain) - 1
-    ends = np.bincount(group) - 1 + length[order][chain]
-    owner = doc[p[chain]]
+    begins = np.r_[True, (np.diff(p) != 1) | (np.diff(i) != 0) | (np.diff(d) != 0)]
+    group = np.cumsum(begins) - 1
+    ends = np.bincount(group) - 1 + length[order][begins]
+    owner = doc[p[begins]]
     for k in np.unique(doc[place]):
         a, b = first[k], first[k] + sizes[k]
         edge = np.flatnonzero(np.diff(np.r_[0, hit[a:b].astype(np.int8), 0]))
@@ -188,6 +189,19 @@ def _searched(documents: DataFrame, queries: Queries, words_per_shard: int) -> D
     return documents.select("row", "doc_id", "text").mapInArrow(run, _FOUND)
 
 
+def _in_blocks(keyed: DataFrame, blocks: Iterator[list], window: int, words_per_shard: int) -> DataFrame:
+    """Hits of all blocks, one row per ``row`` of ``keyed``, which is settled."""
+    found = None
+    for block in blocks:
+        part = settled(_searched(keyed, prepare(block, window), words_per_shard))
+        found = part if found is None else settled(_merged(found.unionByName(part)))
+    return found
+
+
+def _n_hit() -> Column:
+    return F.aggregate("ranges", F.lit(0).cast("long"), lambda acc, r: acc + r["b"] - r["a"])
+
+
 def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 32 << 20, words_per_shard: int = 2_000_000) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (sorted), longest, ranges (hit words, half open)."""
     blocks = _blocks(benchmark, block_bytes)
@@ -198,12 +212,8 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     else:
         # rows are keyed by a place in a settled table, so null and repeated ids stay apart
         keyed = settled(rows).withColumn("row", F.monotonically_increasing_id())
-        found = None
-        for block in (first, second, *blocks):
-            part = settled(_searched(keyed, prepare(block, window), words_per_shard))
-            found = part if found is None else settled(_merged(found.unionByName(part)))
-    n_hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda acc, r: acc + r["b"] - r["a"])
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.array_sort("items").alias("items"), "longest", "ranges")
+        found = _in_blocks(keyed, chain((first, second), blocks), window, words_per_shard)
+    return found.select("doc_id", "n_words", _n_hit().alias("n_hit"), F.array_sort("items").alias("items"), "longest", "ranges")
 
 
 def _merged(found: DataFrame) -> DataFrame:
@@ -238,14 +248,17 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WI
     """``documents`` without the contaminated rows, all columns as they were.
 
     With one block of items the verdict is reached where the row is read, so no
-    text is shuffled; with more, the few contaminated ids are joined away.
+    text is shuffled; with more, the rows are settled and the places of the contaminated
+    ones joined away, so that no other row with the same or no id goes with them.
     """
     blocks = _blocks(benchmark, block_bytes)
     first, second = next(blocks, []), next(blocks, None)
     if second is not None:
-        found = find_overlaps(documents, benchmark, window, block_bytes, words_per_shard)
-        bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad")).distinct()
-        return documents.join(bad, documents["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+        whole = settled(documents.select(F.struct(*documents.columns).alias("_all"))).withColumn("row", F.monotonically_increasing_id())
+        keyed = whole.select("row", F.col("_all.doc_id").cast("long").alias("doc_id"), F.col("_all.text").alias("text"))
+        found = _in_blocks(keyed, chain((first, second), blocks), window, words_per_shard)
+        bad = found.where(contaminated(_n_hit(), F.col("n_words"))).select("row")
+        return whole.join(bad, "row", "left_anti").select("_all.*")
     shared = documents.sparkSession.sparkContext.broadcast(prepare(first, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
