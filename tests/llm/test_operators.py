@@ -151,6 +151,19 @@ def test_scores_and_stats(spark, data):
     assert {r.doc_id for r in small.keep(docs).collect()} == kept
 
 
+def test_bands_reject_noise_and_keep_clean_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r.kept for r in quality.judge(docs).where("not base_failed").select("doc_id", "kept").collect()}
+    noise, clean = defaultdict(list), defaultdict(list)
+    for r in docs.where(F.col("doc_id").isin(list(got))).collect():
+        marked = [bool(re.search(r"[#*$%&|<>]", w)) for w in r.text.split()]
+        (noise if sum(marked) >= 0.3 * len(marked) else clean)[r.lang].append(got[r.doc_id])
+    judged = sum(noise.values(), [])
+    assert sum(judged) < 0.2 * len(judged)  # over all languages
+    for lang, found in clean.items():
+        assert not all(noise[lang]) and sum(found) >= 0.97 * len(found)
+
+
 def test_dense_and_sorted_lookup_agree():
     keys = np.unique(np.random.default_rng(0).integers(0, 1 << 28, 5000).astype(np.uint32))
     values = np.arange(len(keys), dtype=np.float32)
