@@ -49,6 +49,17 @@ def test_rsi_without_losses_is_100(spark, kind):
     assert got[13] is None and got[14] == 100.0 and got[19] == 100.0
 
 
+def test_as_of_carries_the_value_over_blocks(spark):
+    left = spark.createDataFrame([(i, i * 7) for i in range(12)] + [(99, None)], "id long, t long")
+    right = spark.createDataFrame([(8, 1.0), (9, 2.0), (41, None), (63, 3.0)], "rt long, v double")
+    want = {i: max(((t, v) for t, v in [(8, 1.0), (9, 2.0), (41, None), (63, 3.0)] if t <= i * 7), default=(0, None), key=lambda x: x[0])[1] for i in range(12)} | {99: None}
+    for salt in (None, "_ts div 10"):
+        out = market.as_of(left, right, [], "t", "rt", "v", "id", salt)
+        assert {r.id: r.v for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_block" in plan
+
+
 def test_as_of_keeps_a_null_value_in_force(spark):
     left = spark.createDataFrame([("k", 5, 1), ("k", 1, 2), ("k", 9, 3)], "k string, t int, id int")
     right = spark.createDataFrame([("k", 2, 7.0), ("k", 6, None)], "k string, rt int, v double")

@@ -130,12 +130,19 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, righ
     """Each left row with the right ``value`` in force at its time: one union, one shuffle, one window.
 
     The value travels in a struct, so that a right row whose value is null still counts.
-    Without keys, ``salt`` (a column expression giving a date or block) bounds the window's
-    partitions: the right side's last value of each block is carried forward first.
+    ``salt`` (an expression over ``_ts`` that never falls, giving a date or block) bounds the
+    window's partitions: the right side's last value of each block is carried into the later ones first.
     """
     side = [F.col(k) for k in keys]
     a = left.select(*side, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).alias("_v"))
     b = right.select(*side, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), F.lit(None).alias("_row"), F.struct(F.col(value).alias("v")).alias("_v"))
-    w = Window.partitionBy(*keys).orderBy("_ts", "_side", F.col(f"_row.{left_id}")).rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
+    both, block = a.unionByName(b), []
+    if salt:
+        both, block = both.withColumn("_block", F.expr(salt)), ["_block"]
+        ends = both.groupBy(*keys, "_block").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_ts"))).alias("_v"))
+        earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.withColumn("_v", F.last("_v", ignorenulls=True).over(earlier)).where("_v is not null")
+        both = both.unionByName(carried.withColumn("_side", F.lit(0)), allowMissingColumns=True)  # without a time: before all of its block
+    w = Window.partitionBy(*keys, *block).orderBy("_ts", "_side", F.col(f"_row.{left_id}")).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     return both.where("_side = 1").select("_row.*", F.col("_v.v").alias(value))
