@@ -1,14 +1,15 @@
-"""Line deduplication: repeated runs of lines by prefix doubling over line names.
+"""Line deduplication: repeated runs of lines by hashed names of fixed-length runs.
 
 Each document is the sequence of its lines that hold a word.  A line's name is its
-hash; prefix doubling names the run of 2d lines at a place by the names of the two runs of
-d lines it is made of, and a run of any length T by two overlapping runs of the
-greatest power of two.  Places whose runs of T lines have one name form an interval of
-the suffix array with common prefix T or more.  (Hash names take the place of ranks: equal
-names are all that intervals need, and they cost no sort.)  A maximal repeated run of at
-least T lines is the union of its runs of T lines, so depth T reveals all of them.
-
-The first place of an interval in order (doc_id, text hash, line) stays; at every
+hash; the name of the run of T lines at a place is made of the names of shorter runs, doubled up
+to T.  With the least run length of 2 that is one step: the names are those of pairs of adjacent lines.
+Places of one name are grouped.  There are no ranks, no suffix array and no common-prefix intervals.
+
+The lines deleted are those of all repeated runs of at least T lines, since a longer one consists of
+runs of T lines.  The runs reported are unions of touching or overlapping deleted ones, as the query's SQL has
+it; a union need not repeat as a whole anywhere (a1 a2 b1 b2 after a1 a2 and b1 b2 elsewhere is one run of 4).
+
+The first place of a name in order (doc_id, text hash, line) stays; at every
 later place the lines are deleted, as judged on the input.  A single line repeats on its own if it has at least
 ``min_words`` words.  Lines without a word inside a deleted run go with it.
 
