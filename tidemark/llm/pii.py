@@ -8,6 +8,10 @@ written in the same format, with its check digits.  Equal values get equal
 pseudonyms in every document, different values different ones, and whoever has
 the key can invert the map.  Anything that fails validation is left as it is.
 
+Not looked for, so left in the text: secrets without a digit (passwords of letters) or without
+a name such as token before them; phone numbers with neither + nor a bracketed area code
+(212-555-0123); dates with the month as a word (12 March 1990) or a year outside 1900 to 2099; names and addresses of people.
+
 Null and empty texts have no values and stay as they are; repeated rows are
 treated alike; extra columns are ignored.
 """
