@@ -1,24 +1,38 @@
 """Settings, layers, registry, feeds, command line, streams."""
 
+import io
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import cli, streaming
+from tidemark import cli, logs, streaming
 from tidemark.settings import Settings
 from tidemark.sources import feeds, layers, registry, tables
 
 
 def test_settings_from_file_and_environment(tmp_path):
     env = tmp_path / ".env"
-    env.write_text("# comment\nTIDEMARK_LOG_LEVEL=debug\nTIDEMARK_BROKER_APP_KEY='k'\nOTHER=1\n")
-    got = Settings.load(env, {"TIDEMARK_APP_ENV": "test"})
-    assert (got.app_env, got.log_level, got.broker_app_key, got.broker_environment) == ("test", "debug", "k", "paper")
-    assert "'k'" not in repr(got)
-    assert Settings.load(env, {"TIDEMARK_BROKER_ENVIRONMENT": "live", "TIDEMARK_BROKER_LIVE_URL": "u"}).broker_base_url == "u"
+    env.write_text("# comment\nTIDEMARK_LOG=debug\nexport TIDEMARK_FEED_LIVE_TRADES_KEY='k'\nTIDEMARK_FEED_LIVE_TRADES_URL_PAPER=p\nOTHER=1\n")
+    got = Settings.load(env, {"TIDEMARK_STAGE": "test", "TIDEMARK_FEED_LIVE_TRADES_URL_LIVE": "u"})
+    assert (got.stage, got.log, got.root, list(got.feeds)) == ("test", "debug", "lake", ["live_trades"])
+    feed = got.feeds["live_trades"]
+    assert feed.credentials == {"key": "k"} and "'k'" not in repr(got) and feed.url == "u"
+    assert Settings.load(env, {"TIDEMARK_FEED_LIVE_TRADES_MODE": "paper"}).feeds["live_trades"].url == "p"
     with pytest.raises(ValueError):
-        Settings.load(env, {"TIDEMARK_BROKER_ENVIRONMENT": "demo"})
+        _ = Settings.load(env, {"TIDEMARK_FEED_LIVE_TRADES_MODE": "demo"}).feeds["live_trades"].url
+
+
+def test_log_lines_are_json(spark):
+    out = io.StringIO()
+    log = logs.attach("info", out)
+    log.info("wrote %d", 3, extra={"fields": {"layer": "gold"}})
+    log.debug("not shown")
+    line = json.loads(out.getvalue())
+    assert (line["level"], line["from"], line["says"], line["layer"]) == ("INFO", "tidemark", "wrote 3", "gold")
+    with pytest.raises(ValueError):
+        logs.attach("loud")
+    logs.quiet_spark(spark, "error")
 
 
 @pytest.mark.parametrize(("name", "normal"), [("a.json", "a.json"), ("a/../b.json", "b.json"), ("x/./y", "x/y")])
@@ -86,7 +100,7 @@ def test_paged_feed(spark):
 def test_cli(capsys):
     assert cli.main(["version"]) == 0 and capsys.readouterr().out.strip() == "0.1.0"
     assert cli.main([]) == 2
-    assert cli.main(["queries"]) == 0 and "fair_value_gap" in capsys.readouterr().out
+    assert cli.main(["queries"]) == 0 and "valuation_gap" in capsys.readouterr().out
     assert cli.main(["run", "nothing", "--data", "x"]) == 1
 
 

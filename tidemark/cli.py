@@ -26,7 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = build_parser()
     args = parser.parse_args(argv)
     settings = Settings.load()
-    logs.set_up(settings.log_level)
+    logs.attach(settings.log)
     if args.command is None:
         parser.print_help()
         return 2
@@ -49,7 +49,10 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     from tidemark.session import build_session
 
-    frame = QUERIES[args.name](build_session(), args.data)
+    spark = build_session()
+    logs.quiet_spark(spark, settings.log)
+    logs.LOGGER.info("query starts", extra={"fields": {"query": args.name, "data": args.data}})
+    frame = QUERIES[args.name](spark, args.data)
     if args.out:
         frame.write.mode("overwrite").parquet(args.out)
     else:

@@ -58,7 +58,7 @@ def _enriched(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query
-def fair_value_gap(spark, base):
+def valuation_gap(spark, base):
     latest = _latest(spark, base)
     frame = latest.join(valuation.peer_multiples(latest), "peer_group", "left")
     out = valuation.value_range(valuation.value_with(frame))

@@ -34,7 +34,7 @@ _ENR = """e AS (SELECT d.*, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1
   FROM documents d LEFT JOIN labels l USING (doc_id))"""
 
 ORACLE: dict[str, str] = {
-    "fair_value_gap": f"""WITH {_LATEST},
+    "valuation_gap": f"""WITH {_LATEST},
 g AS (SELECT *, greatest(least(coalesce(fcf_growth, 0), 0.2::DOUBLE), -0.2::DOUBLE) AS gr FROM l LEFT JOIN p USING (peer_group)),
 v AS (SELECT *, (fcf * list_sum(list_transform(range(1, 6), lambda n: pow(1 + gr, n) / pow(1.1::DOUBLE, n)))
                  + fcf * pow(1 + gr, 5) * 1.02::DOUBLE / 0.08::DOUBLE / pow(1.1::DOUBLE, 5)) / nullif(shares, 0) AS dcf0,
