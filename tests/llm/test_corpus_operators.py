@@ -410,6 +410,30 @@ def test_classes_by_brute_force(spark):
     assert {r.doc_id for r in near_duplicates.one_of_each(frame).collect()} == set(root)
 
 
+def test_a_chain_is_compared_by_buckets(spark):
+    words = [f"w{k}" for k in range(3100)]
+    texts = [" ".join(words[i : i + 60]) for i in range(0, 3000)]  # neighbours up to 6 apart are linked: (56 - d) / (56 + d)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    reps = near_duplicates._representatives(frame, 160).withColumn("nid", F.monotonically_increasing_id()).persist()
+    units = near_duplicates._units(reps, 32, 5, 32)
+    assert units.where("band >= 0").count() > 0 and units.agg(F.max("size")).first()[0] < 300
+    got = {r.doc_id: (r.class_id, r.n_links) for r in near_duplicates.classes(frame, block=32).collect()}
+    reps.unpersist()
+    assert got == {i: (0, min(i, 6) + min(2999 - i, 6)) for i in range(3000)}
+
+
+def test_one_of_each_tells_texts_apart_not_ids(spark):
+    one = " ".join(f"a{k}" for k in range(40))
+    rows = [(1, one, "en", "x"), (1, "wholly different words stand in this text", "en", "x"), (2, one + " b", "en", "x"), (None, one, "en", "x"), (None, "alone", "fr", "x"), (None, "alone", "fr", "x"),
+            (None, "alone", "fr", "a"), (7, "", "de", "x"), (8, None, "de", "x"), (9, "alone too", None, "y"), (9, "alone too", None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _row string").repartition(3)
+    got = near_duplicates.one_of_each(docs)
+    want = [rows[0], rows[1], rows[6], rows[7], rows[10]]
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    found = sorted(((r.doc_id, r.class_id, r.copy_of, r.n_links) for r in near_duplicates.classes(docs).where("doc_id is not null").collect()), key=str)
+    assert found == [(1, 1, 1, 0), (1, 1, 1, 2), (2, 1, 2, 2), (7, 7, 7, 1), (8, 7, 7, 1), (9, 9, 9, 1), (9, 9, 9, 1)]
+
+
 def test_posterior_bound():
     for n in (32, 64, 160):
         m = near_duplicates.least_agreements(n, 0.8, 1e-9)
