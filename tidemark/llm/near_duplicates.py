@@ -136,15 +136,13 @@ def _representatives(documents: DataFrame, hashes: int) -> DataFrame:
             here[new] = True
             n = np.zeros(len(keys), np.int64)
             n[new] = count
-            offsets = pa.array(np.r_[0, np.cumsum(here)].astype(np.int32) * hashes, mask=np.r_[~here, False])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("k1", "k2", "ord")), pa.array(n, mask=~here), pa.ListArray.from_arrays(offsets, pa.array(sig.view(np.int32).ravel()))],
-                ["k1", "k2", "ord", "n", "sig"],
-            )
+            coded = np.full(len(keys), None, object)
+            coded[new] = [row.tobytes() for row in sig]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k1", "k2", "ord")), pa.array(n, mask=~here), pa.array(coded, pa.binary())], ["k1", "k2", "ord", "n", "sig"])
             if len(seen) > SEEN:
                 seen.clear()
 
-    signed = keyed(documents).mapInArrow(run, "k1 long, k2 long, ord long, n long, sig array<int>")
+    signed = keyed(documents).mapInArrow(run, "k1 long, k2 long, ord long, n long, sig binary")
     return signed.groupBy("k1", "k2").agg(
         F.min("ord").alias("ord"), F.count("*").alias("copies"), F.first("n", ignorenulls=True).alias("n"), F.first("sig", ignorenulls=True).alias("sig")
     )
@@ -152,7 +150,7 @@ def _representatives(documents: DataFrame, hashes: int) -> DataFrame:
 
 def _placed(reps: DataFrame, bands: int, rows: int) -> DataFrame:
     """(nid, band, bucket) of every text with words."""
-    key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.slice("sig", b * rows + 1, F.lit(rows))).alias("bucket")))
+    key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.col("sig").substr(4 * rows * b + 1, F.lit(4 * rows))).alias("bucket")))
     return reps.where("n > 0").select("nid", F.inline(key))
 
 
@@ -191,7 +189,7 @@ def _tasks(units: DataFrame, block: int) -> DataFrame:
 
 def _pairs_left(part: pd.DataFrame, rows: int, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of a unit's rows (or between its two blocks) that the posterior keeps, each in the first band it shares."""
-    sig = np.stack(part["sig"].to_numpy())
+    sig = np.frombuffer(b"".join(part["sig"]), "<u4").reshape(len(part), -1)
     block, low, high, band = part["block"].to_numpy(), int(part["i"].iloc[0]), int(part["j"].iloc[0]), int(part["band"].iloc[0])
     left = np.arange(len(part)) if low == high else np.flatnonzero(block == low)
     right = left if low == high else np.flatnonzero(block == high)
@@ -259,8 +257,7 @@ def link(documents: DataFrame, percent: int = 80, tolerance: float = 1e-9, bands
     """
     # numbered by place in the settled table: unique, and the same whenever it is read
     reps = settled(_representatives(documents, bands * rows)).withColumn("nid", F.monotonically_increasing_id())
-    task = settled(_tasks(settled(_units(reps, bands, rows, block)), block))
-    signed = task.join(reps.select("nid", "sig"), "nid")
+    signed = _tasks(settled(_units(reps, bands, rows, block)), block).join(reps.select("nid", "sig"), "nid")
     left = settled(signed.groupBy("task", "i", "j").applyInPandas(_prune(percent, tolerance, rows), "g long, band int, nid long, block int, task long, i int, j int"))
     used = reps.join(left.select("nid").distinct(), "nid", "left_semi").select("nid", "k1", "k2", "ord", "copies", "sig")
     texts = keyed(documents).join(used, ["ord", "k1", "k2"]).dropDuplicates(["nid"]).select("nid", "copies", "sig", "text")
