@@ -1,8 +1,8 @@
 """Connected components as alternating star steps over an edge table.
 
 Each round hangs every node's neighbours on its least neighbour (large star, then
-small star); hubs are summed on the map side, and no component is ever gathered in one
-place.  Rounds are checkpointed, so the plan stays short and lost executors cost one round.
+small star); hubs are summed on the map side and split where they are joined, so no component is ever
+gathered in one place.  Rounds are checkpointed, so the plan stays short and lost executors cost one round.
 """
 
 from __future__ import annotations
@@ -10,14 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import settled
+from tidemark.llm.common import settled, spread_join
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Edges (a, b) with b < a; one star step."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    joined = both.join(least, "a")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
+    if large:  # a hub is split by its neighbours, so that its edges do not meet in one task
+        least = settled(least)
+        joined = spread_join(both, least, ["a"], "n", ["b"])
+    else:
+        joined = both.join(least, "a")
     if large:  # every larger neighbour of a node hangs on the node's least neighbour or itself
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:  # a node and its smaller neighbours hang on the least of them
