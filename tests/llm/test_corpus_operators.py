@@ -92,49 +92,72 @@ def test_a_weight_moves_only_its_own_leaf(spark):
 # ---- quality
 
 
-def _kn_slow(texts):
-    """Interpolated modified Kneser-Ney of order 4, straight from its definition."""
-    order = quality.ORDER
-    counts = Counter()
-    for t in texts:
-        s = [0] * (order - 1) + quality.symbols([t])[0].tolist()[order - 1 :]
-        counts.update(tuple(s[k : k + order]) for k in range(len(t)))
-    levels = {order: counts}
-    for n in range(order - 1, 0, -1):
-        levels[n] = Counter(g[1:] for g in levels[n + 1])
-    out = {n: quality.discounts(np.array(list(c.values()))) for n, c in levels.items()}
-
-    def p(g):
-        n = len(g)
-        if not n:
-            return 1 / (1 << quality.BITS)
-        same = {x: c for x, c in levels[n].items() if x[:-1] == g[:-1]}
-        total, d = sum(same.values()), out[n]
-        back = sum(d[min(c, 3)] for c in same.values()) / total
-        return (levels[n][g] - d[min(levels[n][g], 3)]) / total + back * p(g[1:])
-
-    return {g: math.log(p(g)) for g in counts}
-
-
-def test_kneser_ney_by_definition():
+def _plain_scores(rows, vocabulary, frequent):
+    """Score of each (lang, text), straight from the definitions: no hashes, no buckets; and the counts."""
+    strip = lambda w: w[:-1] if len(w) > 1 and w[-1] in ".,;:!?" else w
+    plain = [(lang or "", [strip(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")]) for lang, t in rows]
+    count = Counter((lang, w) for lang, ws in plain for w in ws)
+    known = {x for x, n in count.items() if n >= vocabulary}
+
+    def form(w):
+        size = len(w.encode())
+        return (any(c in "#*$%&|<>" for c in w), any(c in "0123456789" for c in w), sum("A" <= c <= "Z" for c in w) > 1, any(ord(c) > 127 for c in w), (size > 3) + (size > 7) + (size > 12))
+
+    sequences = [[(lang, 0), *((lang, w) if (lang, w) in known else (lang, 1, form(w)) for w in ws), (lang, 0)] if ws else [] for lang, ws in plain]
+    pairs = Counter(p for s in sequences for p in zip(s, s[1:], strict=False))
+    total, before, after = Counter(), Counter(), defaultdict(list)
+    for (v, w), n in pairs.items():
+        total[v] += n
+        before[w] += 1
+        after[v].append(n)
+    cut, low, size = {}, {}, {}
+    for lang in {x for x, _ in plain}:
+        mine = [n for (v, _), n in pairs.items() if v[0] == lang]
+        cut[lang] = quality.discounts([mine.count(k) for k in (1, 2, 3, 4)])
+        ways = [n for w, n in before.items() if w[0] == lang]
+        low[lang] = quality.discounts([ways.count(k) for k in (1, 2, 3, 4)])
+        size[lang] = quality.SHAPES + 1 + sum(x[0] == lang for x in known)
+
+    def single(w):
+        ways = [n for x, n in before.items() if x[0] == w[0]]
+        d = low[w[0]]
+        return (before[w] - d[min(before[w], 3)] + sum(d[min(n, 3)] for n in ways) / size[w[0]]) / sum(ways)
+
+    singles = {w: single(w) for w in before}
+    out = []
+    for s in sequences:
+        own, value = Counter(zip(s, s[1:], strict=False)), 0.0
+        for (v, w), k in own.items():
+            d = cut[v[0]]
+            c, mass = pairs[v, w] - k, max(total[v] - k, 1)
+            back = sum(d[min(n, 3)] for n in after[v]) / total[v]
+            value -= k * math.log(((c - d[min(c, 3)]) / mass if c else 0) + back * singles[w])
+        out.append(value / (len(s) - 1) if s else None)
+    return out
+
+
+def test_scores_by_definition(spark):
     rng = random.Random(3)
-    texts = ["".join(rng.choice("abcA .,\n") for _ in range(40)) for _ in range(12)]
-    keys = np.concatenate([quality.grams([t])[0] for t in texts])
-    unique, counts = np.unique(keys, return_counts=True)
-    got = dict(zip(*(x.tolist() for x in quality.kneser_ney(unique, counts)), strict=True))
-    want = _kn_slow(texts)
-    assert len(got) == len(want)
-    for gram, value in want.items():
-        key = 0
-        for s in gram:
-            key = key << quality.BITS | s
-        assert got[key] == pytest.approx(value, abs=1e-9)
-
-
-def test_scores_and_stats(spark, data):
+    pool = {x: ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(25)] + ["#x1", "ABC", "|", "end."] for x, letters in (("en", "abcdé"), ("fr", "fghij"))}
+    rows = [(x, " ".join(rng.choice(pool[x]) if rng.random() < 0.9 else f"new{rng.random()}" for _ in range(rng.randint(0, 60)))) for x in ("en", "fr") * 30]
+    rows += [rows[0], ("en", None), ("fr", ""), ("fr", rows[0][1])]
+    docs = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    want = _plain_scores(rows, 2, 2)
+    for options in ({}, {"bucket_bytes": 1500, "chunk": 800}):
+        got = {r.doc_id: r for r in quality.judge(docs, **options).collect()}
+        for k, value in enumerate(want):
+            assert (got[k].perplexity is None) if value is None else math.log(got[k].perplexity) == pytest.approx(value, abs=1.5 / quality.NAT), k
+
+
+def test_hash_of_pairs_is_a_permutation():
+    key = np.r_[np.arange(1000), np.random.default_rng(1).integers(0, 1 << 40, 1000)].astype(np.uint64)
+    assert (quality.unhashed(quality.hashed(key)) == key).all() and quality.hashed(key).max() < 1 << 40
+
+
+def test_stats_bands_and_verdicts(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     rules = quality.Rules(docs)
-    got = {r.doc_id: r for r in rules.verdicts().collect()}
+    got = {r.doc_id: r for r in rules.verdicts(docs).collect()}
     rows = docs.collect()
     for r in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", r.text)
@@ -144,10 +167,21 @@ def test_scores_and_stats(spark, data):
         g = got[r.doc_id]
         assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", r.text)), len(full) - len(set(full)), len(hit))
         assert g.base_failed == (len(words) < 20 or 100 * len(hit) > 30 * len(words)) and not (g.base_failed and g.kept)
-    kept = {r.doc_id for r in rules.keep(docs).collect()}
-    assert kept == {k for k, r in got.items() if r.kept}
-    small = quality.Rules(docs, broadcast_bytes=1)  # language by language
-    assert {r.doc_id: (r.kept, round(r.perplexity, 6)) for r in small.verdicts().collect()} == {k: (r.kept, round(r.perplexity, 6)) for k, r in got.items()}
+    # the band again: median, then quartiles of the distances, from the scores themselves
+    for lang in {r.lang for r in rows}:
+        mine = [g for r in rows if r.lang == lang and not (g := got[r.doc_id]).base_failed]
+        floor = lambda x: math.floor(x * quality.NAT + 1e-9) / quality.NAT
+        at = lambda values, share: sorted(values)[math.ceil(share * len(values)) - 1]
+        middle = floor(at([math.log(g.perplexity) for g in mine], 0.5))
+        z = [(math.log(g.perplexity) - middle) / math.sqrt(1 + quality.SHORT / g.n_words) for g in mine]
+        spread = max(floor(at(z, 0.75)) - floor(at(z, 0.25)), 0.01)
+        for g, d in zip(mine, z, strict=True):
+            if min(abs(d + rules.below * spread), abs(d - rules.above * spread)) > 0.005:
+                assert g.kept == (-rules.below * spread <= d <= rules.above * spread)
+    kept = {k for k, r in got.items() if r.kept}
+    assert {r.doc_id for r in rules.keep(docs).collect()} == kept
+    small = quality.Rules(docs, bucket_bytes=20_000, chunk=9000)
+    assert {r.doc_id: (r.kept, r.perplexity) for r in small.verdicts(docs).collect()} == {k: (r.kept, r.perplexity) for k, r in got.items()}
     assert {r.doc_id for r in small.keep(docs).collect()} == kept
 
 
@@ -164,11 +198,6 @@ def test_bands_reject_noise_and_keep_clean_text(spark):
         assert not all(noise[lang]) and sum(found) >= 0.97 * len(found)
 
 
-def test_dense_and_sorted_lookup_agree():
-    keys = np.unique(np.random.default_rng(0).integers(0, 1 << 28, 5000).astype(np.uint32))
-    values = np.arange(len(keys), dtype=np.float32)
-    assert (quality.Scorer(keys, values, limit=0)(keys) == values).all() and (quality.Scorer(keys[:500], values[:500])(keys[:500]) == values[:500]).all()
-
 
 # ---- HTML
 
@@ -369,8 +398,8 @@ def test_rules_keep_the_same_rows_at_both_sizes(spark):
     rows = [(i, t, lang, "r") for i in (None, 7) for lang in ("en", "fr", None) for t in ("too short", good(), good())] + [(7, None, "de", "r"), (9, "", "de", "r")]
     docs = spark.createDataFrame(rows, REPEATED).repartition(3)
     want = sorted((r for r in rows if r[1] and len(r[1]) > 20), key=str)
-    for options in ({}, {"broadcast_bytes": 1}):
-        assert sorted(map(tuple, quality.Rules(docs, **options).keep(docs).collect()), key=str) == want
+    for options in ({}, {"bucket_bytes": 100, "chunk": 50}):
+        assert sorted(map(tuple, quality.Rules(docs, below=1e6, above=1e6, **options).keep(docs).collect()), key=str) == want
 
 
 # ---- near duplicates

@@ -26,21 +26,29 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind][:n]
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word, words of each text)."""
+def word_spans(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, start and end of every word in them, words of each text)."""
     coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join([*coded, b""]), np.uint8)
-    n = len(data)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     gap = _SEPARATOR[data]
     edge = np.diff(np.r_[True, gap].astype(np.int8))
     start = np.flatnonzero(edge == -1)
     stop = np.flatnonzero(edge == 1)  # every text is followed by a separator
-    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up", n))]
-    words = mix((total[stop] - total[start]) * _power("down", n)[start])
     ends = np.cumsum([len(c) + 1 for c in coded])
-    return words, np.diff(np.r_[0, np.searchsorted(start, ends)])
+    return data, start, stop, np.diff(np.r_[0, np.searchsorted(start, ends)])
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of every span."""
+    n = len(data)
+    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up", n))]
+    return mix((total[stop] - total[start]) * _power("down", n)[start])
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, words of each text)."""
+    data, start, stop, sizes = word_spans(texts)
+    return (span_hashes(data, start, stop) if len(data) else np.zeros(0, np.uint64)), sizes
 
 
 def shingle_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
