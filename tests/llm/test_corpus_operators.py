@@ -92,6 +92,13 @@ def test_a_weight_moves_only_its_own_leaf(spark):
 # ---- quality
 
 
+def six_bits(word, lang):
+    """The six bits by which predecessors are counted (of the operator's own word hash)."""
+    data = word.encode()
+    h = shingles.span_hashes(np.frombuffer(data, np.uint8), np.zeros(1, np.int64), np.full(1, len(data)))
+    return int(h[0]) >> 58
+
+
 def _plain_scores(rows, vocabulary, frequent):
     """Score of each (lang, text), straight from the definitions: no hashes, no buckets; and the counts."""
     strip = lambda w: w[:-1] if len(w) > 1 and w[-1] in ".,;:!?" else w
@@ -104,7 +111,15 @@ def _plain_scores(rows, vocabulary, frequent):
         return (any(c in "#*$%&|<>" for c in w), any(c in "0123456789" for c in w), sum("A" <= c <= "Z" for c in w) > 1, any(ord(c) > 127 for c in w), (size > 3) + (size > 7) + (size > 12))
 
     sequences = [[(lang, 0), *((lang, w) if (lang, w) in known else (lang, 1, form(w)) for w in ws), (lang, 0)] if ws else [] for lang, ws in plain]
-    pairs = Counter(p for s in sequences for p in zip(s, s[1:], strict=False))
+    spelled = [[None, *(six_bits(w, lang) for w in ws), None] if ws else [] for lang, ws in plain]
+    pairs, seen = Counter(), defaultdict(set)
+    for s, h in zip(sequences, spelled, strict=True):
+        for k, p in enumerate(zip(s, s[1:], strict=False)):
+            pairs[p] += 1
+            seen[p].add((h[k - 1] if k else h[k + 2] if k + 2 < len(h) else None) or 0)
+    for p, bits in seen.items():  # different predecessors by linear counting, from 60 of 64 on the plain count
+        if len(bits) < 60:
+            pairs[p] = min(pairs[p], max(1, round(-64 * math.log(1 - len(bits) / 64))))
     total, before, after = Counter(), Counter(), defaultdict(list)
     for (v, w), n in pairs.items():
         total[v] += n
@@ -129,7 +144,7 @@ def _plain_scores(rows, vocabulary, frequent):
         own, value = Counter(zip(s, s[1:], strict=False)), 0.0
         for (v, w), k in own.items():
             d = cut[v[0]]
-            c, mass = pairs[v, w] - k, max(total[v] - k, 1)
+            c, mass = max(pairs[v, w] - k, 0), max(total[v] - k, 1)
             back = sum(d[min(n, 3)] for n in after[v]) / total[v]
             value -= k * math.log(((c - d[min(c, 3)]) / mass if c else 0) + back * singles[w])
         out.append(value / (len(s) - 1) if s else None)
@@ -170,11 +185,10 @@ def test_stats_bands_and_verdicts(spark, data):
     # the band again: median, then quartiles of the distances, from the scores themselves
     for lang in {r.lang for r in rows}:
         mine = [g for r in rows if r.lang == lang and not (g := got[r.doc_id]).base_failed]
-        floor = lambda x: math.floor(x * quality.NAT + 1e-9) / quality.NAT
-        at = lambda values, share: sorted(values)[math.ceil(share * len(values)) - 1]
-        middle = floor(at([math.log(g.perplexity) for g in mine], 0.5))
+        at = lambda values, share: np.percentile([math.floor(x * quality.NAT + 1e-9) for x in values], 100 * share) / quality.NAT
+        middle = at([math.log(g.perplexity) for g in mine], 0.5)
         z = [(math.log(g.perplexity) - middle) / math.sqrt(1 + quality.SHORT / g.n_words) for g in mine]
-        spread = max(floor(at(z, 0.75)) - floor(at(z, 0.25)), 0.01)
+        spread = max(at(z, 0.75) - at(z, 0.25), 0.01)
         for g, d in zip(mine, z, strict=True):
             if min(abs(d + rules.below * spread), abs(d - rules.above * spread)) > 0.005:
                 assert g.kept == (-rules.below * spread <= d <= rules.above * spread)
