@@ -58,20 +58,37 @@ def test_stages_keep_columns(odd, empty, stage):
 # ---- sharding
 
 
-def _shard(key, n, regions=3, racks=2):
-    def draw(leaf):
-        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)
-        u = (xxhash.xxh64_intdigest(struct.pack("<i", leaf), seed=seed) >> 11) * 2.0**-53 + 2.0**-54
-        return -math.log(u)
-
-    return min(range(n), key=draw)
+def _shard(key, where, used):
+    """The descent in plain Python; ``used`` counts its hashes."""
+
+    def draw(level, label, weight):
+        used[0] += 1
+        h = 42
+        for data in (None if key is None else struct.pack("<q", key), struct.pack("<i", level), struct.pack("<i", label)):
+            h = h if data is None else xxhash.xxh64_intdigest(data, seed=h)
+        return -math.log((h >> 11) * 2.0**-53 + 2.0**-54) / weight
+
+    weight = lambda leaves: sum(x.weight for x in leaves)
+    regions = sorted({x.region for x in where.base})
+    options = [(draw(sharding.REGION, g, weight([x for x in where.base if x.region == g])), 0, g) for g in regions]
+    options += [(draw(sharding.INCREMENT, k, x.weight), 1, k) for k, x in enumerate(where.increments)]
+    _, grown, pick = min(options)
+    if grown:
+        return where.increments[pick].shard
+    inside = [x for x in where.base if x.region == pick]
+    rack = min(sorted({x.rack for x in inside}), key=lambda r: draw(sharding.RACK, (pick << 16) + r, weight([x for x in inside if x.rack == r])))
+    return min((x for x in inside if x.rack == rack), key=lambda x: draw(sharding.SHARD, x.shard, x.weight)).shard
 
 
 def test_shards_by_brute_force(spark):
     rows = [(i, f"t{i}") for i in range(2000)] + [(None, "n")]
     got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), rows_per_task=20).collect()
-    assert all(r.shard == _shard(r.doc_id, 24) and r.grown_shard == _shard(r.doc_id, 25) for r in got)
-    assert all(r.grown_shard in (r.shard, 24) for r in got) and any(r.grown_shard == 24 for r in got)
+    now, later, used = sharding.tree(24), sharding.tree(25), [0]
+    assert all(r.shard == _shard(r.doc_id, now, used) for r in got) and used[0] == 9 * len(rows)
+    assert all(r.grown_shard == _shard(r.doc_id, later, used) for r in got) and used[0] <= 19 * len(rows)
+    assert all(r.grown_shard in (r.shard, 24) for r in got) and 30 < sum(r.grown_shard == 24 for r in got) < 140
+    assert all(40 < n < 140 for n in Counter(r.shard for r in got).values()) and len({r.shard for r in got}) == 24
+    assert all((r.region, r.rack) == (r.shard % 3, r.shard // 3 % 2) for r in got if r.grown_shard != 24)
     slots = defaultdict(list)
     for r in got:
         slots[r.shard].append(r.slot)
@@ -79,14 +96,25 @@ def test_shards_by_brute_force(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
-def test_a_weight_moves_only_its_own_leaf(spark):
-    frame = spark.range(3000).withColumnRenamed("id", "doc_id")
+def _placed(spark, where):
+    return {r.doc_id: (r.region, r.rack, r.shard) for r in sharding.assign(spark.range(3000).withColumnRenamed("id", "doc_id"), where).collect()}
+
+
+def test_an_increment_moves_only_into_its_leaf(spark):
+    old = sharding.tree(12)
+    a, b = _placed(spark, old), _placed(spark, old.grown(sharding.Leaf(5, 2, 1, 2.0)))
+    assert {b[k][2] for k in a if a[k] != b[k]} == {5}
+    assert 0.15 < sum(x[2] == 5 for x in b.values()) / 3000 < 0.29  # 3 / 14
+    c = _placed(spark, old.grown(sharding.Leaf(5, 2, 1, 2.0), sharding.Leaf(12, 7, 0, 1.0)))  # a region of its own
+    assert {c[k] for k in b if b[k] != c[k]} == {(7, 0, 12)}
+
+
+def test_a_base_weight_moves_only_its_subtrees(spark):
     old = sharding.tree(12)
-    new = [sharding.Leaf(x.shard, x.region, x.rack, 3.0 if x.shard == 5 else 1.0) for x in old]
-    a = {r.doc_id: r.shard for r in sharding.assign(frame, old).collect()}
-    b = {r.doc_id: r.shard for r in sharding.assign(frame, new).collect()}
-    assert {b[k] for k in a if a[k] != b[k]} == {5}
-    assert 0.15 < sum(s == 5 for s in b.values()) / 3000 < 0.29  # 3 / 14
+    a, b = _placed(spark, old), _placed(spark, sharding.Tree(tuple(sharding.Leaf(x.shard, x.region, x.rack, 0.0 if x.shard == 5 else 1.0) for x in old.base)))
+    moved = [(a[k], b[k]) for k in a if a[k] != b[k]]
+    assert moved and all((2 in (x[0], y[0])) for x, y in moved) and not any(y[2] == 5 for _, y in moved)
+    assert all(x[1] == 1 or y[1] == 1 for x, y in moved if x[0] == y[0] == 2)  # within the region: only rack 1's weight changed
 
 
 # ---- quality

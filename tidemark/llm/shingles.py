@@ -26,11 +26,15 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind][:n]
 
 
-def word_spans(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes of all texts, start and end of every word in them, words of each text)."""
+def word_spans(texts: list[str | None], separator: np.ndarray = _SEPARATOR, fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, start and end of every word in them, words of each text).
+
+    ``separator``: which bytes end a word (the blank among them); ``fold``: what each byte is read as.
+    """
     coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join([*coded, b""]), np.uint8)
-    gap = _SEPARATOR[data]
+    data = data if fold is None else fold[data]
+    gap = separator[data]
     edge = np.diff(np.r_[True, gap].astype(np.int8))
     start = np.flatnonzero(edge == -1)
     stop = np.flatnonzero(edge == 1)  # every text is followed by a separator
