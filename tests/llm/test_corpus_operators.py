@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, graph, html, lines, near_duplicates, packing, pii, quality, sharding, shingles, substrings
+from tidemark.llm import chat, contamination, graph, html, lines, near_duplicates, packing, pii, quality, sharding, shingles, substrings, suffixes
 
 ODD = [(1, None, None), (2, "", "en"), (None, "a b c d e f g h", None), (3, "a b c d e f g h", "en"), (3, "a b c d e f g h", "en"), (4, "x" * 5000, "en"), (5, "é \U0001f600 <|im_end|>\n\n", "fr")]
 SCHEMA = "doc_id long, text string, lang string"
@@ -394,6 +394,33 @@ def test_frequent_lines_are_split(spark):
 # ---- contamination
 
 
+def _plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def test_suffix_order_and_search():
+    rng = random.Random(5)
+    for _ in range(60):
+        runs = [[rng.randint(1, 3) for _ in range(rng.randint(1, 9))] for _ in range(rng.randint(1, 6))]
+        ids = np.array([x for r in runs for x in r], np.uint32)
+        left = np.concatenate([np.arange(len(r), 0, -1) for r in runs])
+        suffix = lambda p, ids=ids, left=left: ids[p : p + left[p]].tolist()
+        got = suffixes.order(ids, left)
+        assert [suffix(p) for p in got] == sorted(suffix(p) for p in range(len(ids)))
+        query = np.array([rng.randint(1, 3) for _ in range(4)], np.uint32)
+        for size in range(1, 5):
+            low, high = suffixes.interval(ids, left, got, query, np.zeros(1, np.int64), np.array([size]))
+            assert sorted(got[low[0] : high[0]].tolist()) == [p for p in range(len(ids)) if suffix(p)[:size] == query[:size].tolist()]
+
+
+def test_many_equal_items(spark):
+    d = spark.createDataFrame([(1, "word " * 300), (2, "other words " * 50), (None, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(i, "word") for i in range(10_000)] + [(10_000, "w " * 13 + "x")], "item_id long, text string")
+    got = {r.doc_id: r for r in contamination.digest(contamination.find_overlaps(d, b)).collect()}
+    assert (got[1].n_hit, got[1].n_items, got[1].longest) == (300, 10_000, 1) and got[2].n_hit == got[None].n_hit == 0
+    assert got[1].items_sha256 == hashlib.sha256(",".join(sorted(map(str, range(10_000)))).encode()).hexdigest()
+
+
 def test_windows_in_blocks_and_shards(spark):
     rng = random.Random(1)
     word = lambda: rng.choice("abcdefghij") * rng.randint(1, 2)
@@ -403,10 +430,10 @@ def test_windows_in_blocks_and_shards(spark):
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     want = {}
     for i, text in docs:
-        w = contamination.words(text)
+        w = _plain_words(text)
         hit, found = set(), set()
         for j, item in items:
-            q = contamination.words(item)
+            q = _plain_words(item)
             n = min(13, len(q))
             grams = {tuple(q[k : k + n]) for k in range(len(q) - n + 1)} if n else set()
             for k in range(len(w) - n + 1):
