@@ -131,3 +131,45 @@ def test_year_on_year(spark):
     rows = [("s", dt.date(2020 + m // 12, m % 12 + 1, 1), 10.0 + m) for m in range(13)]
     got = [r.yoy for r in macro.year_on_year(spark.createDataFrame(rows, "series_id string, month date, value double")).orderBy("month").collect()]
     assert got[:12] == [None] * 12 and got[12] == pytest.approx(1.2)
+
+
+def _series(spark, n=400):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.choice((0, 7, 90)) + 11 * k), k, float(rng.randint(1, 40)), rng.randint(0, 9)) for i in ("a", "b") for k in range(n)]
+    return spark.createDataFrame(rows, "instrument string, ts timestamp_ntz, trade_id long, price double, qty long")
+
+
+@pytest.mark.parametrize("kind", [market.returns, market.moving_average, market.volatility, market.volume_change, market.rsi_sma, market.rsi_wilder])
+def test_pieces_of_a_series_give_the_same(spark, kind):
+    frame = _series(spark)
+    name = {"returns": "ret", "moving_average": "ma", "volatility": "vol", "volume_change": "qty_ratio"}.get(kind.__name__, "rsi")
+    rows = lambda size: {(r.instrument, r.trade_id): r[name] for r in kind(frame, size=size).collect()}
+    whole = rows(10_000)
+    assert len(whole) == 800
+    for size in (21, 50):
+        got = rows(size)
+        assert got.keys() == whole.keys() and all(got[k] == (None if v is None else pytest.approx(v, abs=1e-9)) for k, v in whole.items())
+
+
+def test_wilder_by_its_recursion(spark):
+    frame = _series(spark, 120)
+    got = {r.trade_id: r.rsi for r in market.rsi_wilder(frame, size=30).where("instrument = 'a'").collect()}
+    gain = loss = 0.0
+    prices = [(r.price, r.trade_id) for r in frame.where("instrument = 'a'").orderBy("ts", "trade_id").collect()]
+    for k, (price, trade) in enumerate(prices):
+        move = price - prices[k - 1][0] if k else 0.0
+        up, down = max(move, 0.0), max(-move, 0.0)
+        gain, loss = (gain + up / 14, loss + down / 14) if k <= 14 else ((gain * 13 + up) / 14, (loss * 13 + down) / 14)
+        assert got[trade] is None if k < 14 else got[trade] == pytest.approx(100 - 100 / (1 + gain / loss))
+
+
+def test_a_missing_month_or_year_gives_no_change(spark):
+    rows = [("s", dt.date(2020 + m // 12, m % 12 + 1, 1), 10.0 + m) for m in range(24) if m != 3]
+    got = {r.month: r.yoy for r in macro.year_on_year(spark.createDataFrame(rows, "series_id string, month date, value double")).collect()}
+    assert got[dt.date(2021, 4, 1)] is None and got[dt.date(2021, 5, 1)] == pytest.approx(12 / 14)
+    names = "company_id long, fiscal_year int, revenue double, operating_income double, net_income double, operating_cash_flow double, capex double, assets double, liabilities double, shares double, equity double, eps double"
+    years = [(1, y, *([float(y)] * 9), 1.0) for y in (2019, 2020, 2022)]
+    growth = {r.fiscal_year: r.revenue_growth for r in statements.with_metrics(spark.createDataFrame(years, names)).collect()}
+    assert growth[2020] is not None and growth[2022] is None

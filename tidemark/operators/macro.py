@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import change
@@ -13,6 +13,6 @@ def monthly_totals(orders: DataFrame) -> DataFrame:
 
 
 def year_on_year(series: DataFrame) -> DataFrame:
-    """Change against the twelfth observation before."""
-    w = Window.partitionBy("series_id").orderBy("month")
-    return series.withColumn("yoy", change(F.col("value"), F.lag("value", 12).over(w)))
+    """Change against the same month a year before; null where that month is missing."""
+    before = series.select("series_id", F.add_months("month", 12).alias("month"), F.col("value").alias("_before"))
+    return series.withColumn("month", F.col("month").cast("date")).join(before, ["series_id", "month"], "left").withColumn("yoy", change(F.col("value"), F.col("_before"))).drop("_before")

@@ -1,12 +1,13 @@
 """Price and volume analytics over ticks ``(instrument, ts, trade_id, price, qty)``.
 
-Ordered operators partition by instrument, and, where an instrument may hold
-most rows, work on bars rather than ticks: the bar aggregation combines on the
-map side, so an instrument's ticks never meet in one task.
+An instrument may hold most rows, so none of its series is ever sorted in one task.  ``numbered`` sorts it by hours and adds
+up the hours' counts; ``in_pieces`` cuts the numbered series into equal pieces, each with the last rows of the piece before, so
+that a frame over the last n rows finds them.  Bars combine on the map side.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,28 +46,63 @@ def vwap(frame: DataFrame, width: str) -> DataFrame:
     return out.select("instrument", F.col("w.start").alias("bar_start"), F.try_divide("turnover", "volume").alias("vwap"), "volume", "trades")
 
 
+PIECE = 50_000  # rows of a series in one task
+
+
+def numbered(frame: DataFrame, block: str = "hour") -> DataFrame:
+    """``frame`` with ``rn``, the place of each tick in its instrument's series (from 1)."""
+    cut = F.date_trunc(block, F.col("ts"))
+    own = F.row_number().over(Window.partitionBy("instrument", "_block").orderBy("ts", "trade_id"))
+    earlier = Window.partitionBy("instrument").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = frame.groupBy("instrument", cut.alias("_block")).agg(F.count("*").alias("_n"))
+    shifts = sizes.select(F.col("instrument").alias("_i"), F.col("_block").alias("_b"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = frame.withColumn("_block", cut).withColumn("_own", own)
+    same = F.col("instrument").eqNullSafe(F.col("_i")) & F.col("_block").eqNullSafe(F.col("_b"))
+    return placed.join(shifts, same).withColumn("rn", F.col("_own") + F.col("_before")).drop("_block", "_own", "_before", "_i", "_b")
+
+
+def in_pieces(frame: DataFrame, back: int, size: int = PIECE) -> DataFrame:
+    """Numbered rows by ``_piece``; the last ``back`` rows of each piece also stand, not ``_mine``, at the head of the next."""
+    size = max(size, back)
+    number = F.floor((F.col("rn") - 1) / size)
+    lent = F.col("rn") > (number + 1) * size - back
+    copies = F.array_compact(F.array(F.struct(number.alias("_piece"), F.lit(True).alias("_mine")), F.when(lent, F.struct((number + 1).alias("_piece"), F.lit(False).alias("_mine")))))
+    return frame.select("*", F.inline(copies))
+
+
+def _over_pieces(frame: DataFrame, back: int, columns: dict[str, Column], size: int, *steps: dict[str, Column]) -> DataFrame:
+    """``frame`` with window columns that look at most ``back`` rows back; later ``steps`` may use earlier ones."""
+    out = in_pieces(numbered(frame), back, size)
+    for step in (columns, *steps):
+        out = out.withColumns(step)
+    return out.where("_mine").drop("_piece", "_mine")
+
+
 def _series() -> Window:
-    return Window.partitionBy("instrument").orderBy("ts", "trade_id")
+    return Window.partitionBy("instrument", "_piece").orderBy("rn")
 
 
-def returns(frame: DataFrame) -> DataFrame:
+def _ret() -> Column:
     before = F.lag("price").over(_series())
-    return frame.withColumn("ret", F.try_divide(F.col("price") - before, before))
+    return F.try_divide(F.col("price") - before, before)
+
+
+def returns(frame: DataFrame, size: int = PIECE) -> DataFrame:
+    return _over_pieces(frame, 1, {"ret": _ret()}, size)
 
 
-def moving_average(frame: DataFrame, n: int = 20) -> DataFrame:
-    return frame.withColumn("ma", F.avg("price").over(_series().rowsBetween(1 - n, 0)))
+def moving_average(frame: DataFrame, n: int = 20, size: int = PIECE) -> DataFrame:
+    return _over_pieces(frame, n - 1, {"ma": F.avg("price").over(_series().rowsBetween(1 - n, 0))}, size)
 
 
-def volatility(frame: DataFrame, n: int = 20) -> DataFrame:
-    return returns(frame).withColumn("vol", F.stddev_samp("ret").over(_series().rowsBetween(1 - n, 0)))
+def volatility(frame: DataFrame, n: int = 20, size: int = PIECE) -> DataFrame:
+    return _over_pieces(frame, n, {"ret": _ret()}, size, {"vol": F.stddev_samp("ret").over(_series().rowsBetween(1 - n, 0))})
 
 
-def volume_change(frame: DataFrame, n: int = 20) -> DataFrame:
+def volume_change(frame: DataFrame, n: int = 20, size: int = PIECE) -> DataFrame:
     """Change against the preceding trade, and ratio to the mean of the ``n`` before."""
-    before = F.lag("qty").over(_series())
     mean = F.avg("qty").over(_series().rowsBetween(-n, -1))
-    return frame.select("*", (F.col("qty") - before).alias("qty_change"), F.try_divide(F.col("qty").cast("double"), mean).alias("qty_ratio"))
+    return _over_pieces(frame, n, {"qty_change": F.col("qty") - F.lag("qty").over(_series()), "qty_ratio": F.try_divide(F.col("qty").cast("double"), mean)}, size)
 
 
 def _rsi(gain: Column, loss: Column) -> Column:
@@ -74,38 +110,77 @@ def _rsi(gain: Column, loss: Column) -> Column:
     return F.when(loss == 0, F.lit(100.0)).otherwise(100.0 - 100.0 / (1.0 + F.try_divide(gain, loss)))
 
 
-def rsi_sma(frame: DataFrame, n: int = 14) -> DataFrame:
+def _moves() -> dict[str, Column]:
+    move = F.col("price") - F.lag("price").over(_series())
+    return {"up": F.greatest(move, F.lit(0.0)), "down": F.greatest(-move, F.lit(0.0))}
+
+
+def rsi_sma(frame: DataFrame, n: int = 14, size: int = PIECE) -> DataFrame:
     """RSI from plain means of the last ``n`` moves; null before the series has so many."""
-    w = _series()
-    move = F.col("price") - F.lag("price").over(w)
-    moved = frame.withColumn("up", F.greatest(move, F.lit(0.0))).withColumn("down", F.greatest(-move, F.lit(0.0))).withColumn("rn", F.row_number().over(w))
-    frame = w.rowsBetween(1 - n, 0)
-    return moved.withColumn("rsi", F.when(F.col("rn") > n, _rsi(F.avg("up").over(frame), F.avg("down").over(frame)))).drop("up", "down", "rn")
+    last = _series().rowsBetween(1 - n, 0)
+    mean = {"rsi": F.when(F.col("rn") > n, _rsi(F.avg("up").over(last), F.avg("down").over(last)))}
+    return _over_pieces(frame, n, _moves(), size, mean).drop("up", "down", "rn")
 
 
-def rsi_wilder(frame: DataFrame, n: int = 14) -> DataFrame:
-    """Wilder's recursive RSI.
+def rsi_wilder(frame: DataFrame, n: int = 14, size: int = PIECE) -> DataFrame:
+    """Wilder's recursive RSI, piece by piece.
 
-    The recursion is no fixed frame, so each instrument's series goes to one
-    Arrow batch.  At scale feed it bars (bounded per instrument), not ticks.
+    A mean follows g' = a g + move / n with a = (n - 1) / n, so a whole piece is one such step too: its length gives the factor, its
+    discounted moves the rest.  The pieces' steps, one row each, are chained from the mean of the first ``n`` moves; then every piece
+    is finished from its own start, in parallel.  A null price counts as no move.
     """
+    a = (n - 1) / n
+    ticks_ = frame.select("instrument", "ts", "trade_id", "price")
+    moved = _over_pieces(ticks_, 1, {k: F.coalesce(v, F.lit(0.0)) for k, v in _moves().items()}, size).withColumn("_piece", F.floor((F.col("rn") - 1) / size))
+    later = F.col("rn") > n + 1
+    kept = F.pow(F.lit(a), ((F.col("_piece") + 1) * size - F.col("rn")).cast("double"))  # the last piece is the shorter one; nothing follows it
+    steps = moved.groupBy("instrument", "_piece").agg(
+        *(F.sum(F.when(F.col("rn").between(2, n + 1), F.col(c) / n)).alias(f"first_{c}") for c in ("up", "down")),
+        *(F.sum(F.when(later, F.col(c) / n * kept)).alias(f"more_{c}") for c in ("up", "down")),
+        F.count(F.when(later, 1)).alias("m"),
+    )
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "trade_id"], kind="stable")
-        moves = pdf["price"].diff().to_numpy()
-        out: list[float | None] = []
-        gain = loss = 0.0
-        for k, move in enumerate(moves):
-            up, down = (max(move, 0.0), max(-move, 0.0)) if k else (0.0, 0.0)
-            if k <= n:
-                gain, loss = gain + up / n, loss + down / n
-            else:
-                gain, loss = (gain * (n - 1) + up) / n, (loss * (n - 1) + down) / n
-            out.append(None if k < n else 100.0 if loss == 0 else 100.0 - 100.0 / (1.0 + gain / loss))
-        return pdf.assign(rsi=pd.array(out, dtype="Float64"))[["instrument", "ts", "trade_id", "price", "rsi"]]
-
-    schema = "instrument string, ts timestamp_ntz, trade_id long, price double, rsi double"
-    return frame.select("instrument", "ts", "trade_id", "price").groupBy("instrument").applyInPandas(walk, schema)
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_piece").reset_index(drop=True)
+        for c in ("up", "down"):
+            first, more, m = pdf[f"first_{c}"].fillna(0).to_numpy(), pdf[f"more_{c}"].fillna(0).to_numpy(), pdf["m"].to_numpy()
+            start, value = np.zeros(len(pdf)), 0.0
+            for k in range(len(pdf)):
+                start[k] = value = value + first[k]  # the seed grows until it is whole
+                value = value * a ** int(m[k]) + more[k]
+            pdf[f"start_{c}"] = start
+        return pdf[["instrument", "_piece", "start_up", "start_down"]]
+
+    starts = steps.groupBy("instrument").applyInPandas(chain, "instrument string, _piece long, start_up double, start_down double")
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rn", kind="stable")
+        rn = pdf["rn"].to_numpy()
+        begins = int((rn <= n + 1).sum())
+        gain, loss = (recursion(pdf[c].to_numpy(np.float64)[begins:] / n, a, float(pdf[f"start_{c}"].iloc[0])) for c in ("up", "down"))
+        out = np.full(len(pdf), np.nan)
+        if begins and rn[begins - 1] == n + 1:
+            gain, loss = (np.r_[pdf[f"start_{c}"].iloc[0], x] for c, x in (("up", gain), ("down", loss)))
+            begins -= 1
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[begins:] = np.where(loss == 0, 100.0, 100.0 - 100.0 / (1.0 + gain / loss))
+        return pdf.assign(rsi=pd.Series(out, index=pdf.index).astype("Float64").where(~np.isnan(out), pd.NA))[["instrument", "ts", "trade_id", "price", "rsi"]]
+
+    same = moved["instrument"].eqNullSafe(starts["instrument"]) & (moved["_piece"] == starts["_piece"])
+    joined = moved.join(starts, same).select(moved["instrument"], "ts", "trade_id", "price", "rn", "up", "down", moved["_piece"], "start_up", "start_down")
+    kind = dict(frame.dtypes)["ts"]
+    return joined.groupBy("instrument", "_piece").applyInPandas(finish, f"instrument string, ts {kind}, trade_id long, price double, rsi double")
+
+
+def recursion(x: np.ndarray, a: float, start: float, step: int = 128) -> np.ndarray:
+    """g[k] = a g[k - 1] + x[k] from g[-1] = start, in runs short enough that powers of ``a`` stay in range."""
+    out, powers = np.empty(len(x)), a ** np.arange(1, step + 1)
+    for at in range(0, len(x), step):
+        part = x[at : at + step]
+        p = powers[: len(part)]
+        out[at : at + step] = p * (start + np.cumsum(part / p))
+        start = out[at + len(part) - 1]
+    return out
 
 
 def hourly_volume(frame: DataFrame) -> DataFrame:

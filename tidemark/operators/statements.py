@@ -36,13 +36,13 @@ def yearly_statements(lineitem: DataFrame) -> DataFrame:
 
 
 def with_metrics(statements: DataFrame, tax_rate: float = 0.25) -> DataFrame:
-    """FCF, EPS, ROE, ROIC and growth against the company's preceding fiscal year on record.
+    """FCF, EPS, ROE, ROIC and growth against the company's preceding fiscal year; null where that year is missing.
 
     ROIC uses liabilities plus equity as invested capital, since cash and debt are
     not reported separately.  A first year has no growth and no average equity.
     """
     w = Window.partitionBy("company_id").orderBy("fiscal_year")
-    before = lambda name: F.lag(name).over(w)
+    before = lambda name: F.when(F.lag("fiscal_year").over(w) == F.col("fiscal_year") - 1, F.lag(name).over(w))
     return statements.select(
         "*",
         (F.col("operating_cash_flow") - F.col("capex")).alias("fcf"),

@@ -177,11 +177,11 @@ def latest_price(spark, base):
 
 @query
 def price_fx_asof(spark, base):
-    """Prices of every instrument but 'view' converted at the rate in force: the last 'view' tick of the day, no later."""
-    all_ticks = _ticks(spark, base).withColumn("day", F.to_date("ts"))
-    fx = all_ticks.where("instrument = 'view'").select("day", F.col("ts").alias("fx_ts"), F.col("price").alias("fx"))
-    px = all_ticks.where("instrument <> 'view'").select("instrument", "day", "ts", "trade_id", "price")
-    out = market.as_of(px, fx, ["day"], "ts", "fx_ts", "fx", "trade_id")
+    """Prices of every instrument but 'view' converted at the rate in force: the last 'view' tick no later.  Sorted by days, rates carried over."""
+    all_ticks = _ticks(spark, base)
+    fx = all_ticks.where("instrument = 'view'").select(F.col("ts").alias("fx_ts"), F.col("price").alias("fx"))
+    px = all_ticks.where("instrument <> 'view'").select("instrument", "ts", "trade_id", "price")
+    out = market.as_of(px, fx, [], "ts", "fx_ts", "fx", "trade_id", salt="to_date(_ts)")
     return out.select("instrument", "trade_id", "fx", F.round(F.col("price") * F.col("fx"), 4).alias("converted"))
 
 

@@ -17,11 +17,11 @@ st AS (SELECT *, assets - liabilities AS equity, net_income / nullif(shares, 0)
          sum(CASE WHEN l_linestatus = 'O' THEN l_extendedprice * 1.2::DOUBLE ELSE l_extendedprice * 0.6::DOUBLE END) AS liabilities, sum(l_quantity) AS shares
   FROM lineitem GROUP BY 1, 2))"""
 _MET = _ST + """,
-m AS (SELECT *, operating_cash_flow - capex AS fcf,
-  net_income / nullif((equity + lag(equity) OVER w) / 2, 0) AS roe, operating_income * 0.75::DOUBLE / nullif(liabilities + equity, 0) AS roic,
-  (revenue - lag(revenue) OVER w) / nullif(abs(lag(revenue) OVER w), 0) AS revenue_growth,
-  (operating_cash_flow - capex - lag(operating_cash_flow - capex) OVER w) / nullif(abs(lag(operating_cash_flow - capex) OVER w), 0) AS fcf_growth
-  FROM st WINDOW w AS (PARTITION BY company_id ORDER BY fiscal_year))"""
+m AS (SELECT a.*, a.operating_cash_flow - a.capex AS fcf,
+  a.net_income / nullif((a.equity + b.equity) / 2, 0) AS roe, a.operating_income * 0.75::DOUBLE / nullif(a.liabilities + a.equity, 0) AS roic,
+  (a.revenue - b.revenue) / nullif(abs(b.revenue), 0) AS revenue_growth,
+  (a.operating_cash_flow - a.capex - (b.operating_cash_flow - b.capex)) / nullif(abs(b.operating_cash_flow - b.capex), 0) AS fcf_growth
+  FROM st a LEFT JOIN st b ON b.company_id = a.company_id AND b.fiscal_year = a.fiscal_year - 1)"""
 _LATEST = _MET + """,
 c AS (SELECT s_suppkey AS company_id, s_name AS company, n_name AS exchange, r_name AS peer_group, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS price
       FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
@@ -80,9 +80,9 @@ SELECT d.instrument, d.trade_id, round(CASE WHEN s.rn IS NULL THEN NULL WHEN l =
 u AS (SELECT *, avg(volume) OVER (PARTITION BY instrument, hour ORDER BY day ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS usual FROM h)
 SELECT instrument, day, hour, volume, round(usual, 8) AS usual, round(volume / nullif(usual, 0), 8) AS ratio, coalesce(volume / nullif(usual, 0) >= 2, false) AS surge FROM u""",
     "latest_price": f"WITH {_TICKS} SELECT instrument, max(ts) AS ts, arg_max(price, (ts, trade_id)) AS price FROM t GROUP BY 1",
-    "price_fx_asof": f"""WITH {_TICKS}, fx AS (SELECT CAST(ts AS DATE) AS day, ts AS fx_ts, price AS fx FROM t WHERE instrument = 'view'),
-px AS (SELECT *, CAST(ts AS DATE) AS day FROM t WHERE instrument <> 'view')
-SELECT instrument, trade_id, fx, round(price * fx, 4) AS converted FROM px ASOF LEFT JOIN fx ON px.day = fx.day AND px.ts >= fx.fx_ts""",
+    "price_fx_asof": f"""WITH {_TICKS}, fx AS (SELECT ts AS fx_ts, price AS fx FROM t WHERE instrument = 'view'),
+px AS (SELECT * FROM t WHERE instrument <> 'view')
+SELECT instrument, trade_id, fx, round(price * fx, 4) AS converted FROM px ASOF LEFT JOIN fx ON px.ts >= fx.fx_ts""",
     "news_dedup": "SELECT sha256(lower(trim(text, ' '))) AS text_sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1",
     "news_company_map": """SELECT DISTINCT doc_id, company FROM documents,
  (VALUES ('alpha', 'thanedble'), ('alpha', 'erineha'), ('beta', 'license'), ('gamma', 'enleauxai'), ('gamma', 'nicht')) a(company, alias) WHERE contains(lower(text), alias)""",
@@ -92,7 +92,8 @@ SELECT instrument, trade_id, fx, round(price * fx, 4) AS converted FROM px ASOF
     "top_issues": f"""WITH {_ENR} SELECT source, doc_id, sentiment, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank
  FROM e WHERE sentiment IS NOT NULL QUALIFY rank <= 3""",
     "macro_yoy": """WITH s AS (SELECT o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2)
-SELECT series_id, month, round(value, 4) AS value, round((value - lag(value, 12) OVER w) / nullif(abs(lag(value, 12) OVER w), 0), 4) AS yoy FROM s WINDOW w AS (PARTITION BY series_id ORDER BY month)""",
+SELECT s.series_id, s.month, round(s.value, 4) AS value, round((s.value - b.value) / nullif(abs(b.value), 0), 4) AS yoy
+FROM s LEFT JOIN s b ON b.series_id = s.series_id AND b.month = s.month - INTERVAL 12 MONTH""",
     "enabled_companies": """SELECT * FROM (VALUES ('samsung_electronics', '삼성전자', 'Samsung Electronics', '005930', 'KRX', 'KRW', true), ('sk_hynix', 'SK하이닉스', 'SK hynix', '000660', 'KRX', 'KRW', true))
  c(company_id, name_ko, name_en, ticker, exchange, currency, enabled) WHERE enabled""",
     "bronze_json_roundtrip": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS again FROM events",

@@ -16,6 +16,7 @@ BASE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -25,3 +26,16 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     if master:
         builder = builder.master(master)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: ``spark.checkpoint.dir``; only on a single machine one by the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-shared").rstrip("/")
+
+
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,7 +8,7 @@ from pathlib import Path
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT = Path(__file__).resolve().parents[2] / "conf" / "companies.yaml"
+DEFAULT = Path(__file__).with_name("companies.yaml")  # goes with the package wherever it is installed
 SCHEMA = "company_id string not null, name_ko string not null, name_en string not null, ticker string not null, exchange string not null, currency string not null, enabled boolean not null"
 TEXT_FIELDS = ("name_ko", "name_en", "ticker", "exchange", "currency")
 

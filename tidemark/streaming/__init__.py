@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import market
+from tidemark.session import shared_folder
 from tidemark.sources.tables import table
 
 
@@ -39,19 +40,26 @@ def surge_against(bars: DataFrame, usual: DataFrame, threshold: float = 2.0) ->
     return live.join(usual, ["instrument", "hour"], "left").withColumn("surge", F.coalesce(ratio >= threshold, F.lit(False)))
 
 
-def _checkpoint(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder; a relative one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "spark-warehouse/checkpoints"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
-    """Run over all input available now and return the result table (small results: memory sink)."""
-    name = f"out_{uuid.uuid4().hex}"
-    spark = stream.sparkSession
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", _checkpoint(spark)).trigger(availableNow=True).start()
+    """Run over all input available now and return the result as a table in the shared folder.
+
+    ``append``: every batch's rows; ``complete``: the last batch, which has all.  A batch that is replayed replaces its own files.
+    """
+    spark, folder, done = stream.sparkSession, _folder(stream.sparkSession), []
+
+    def write(frame: DataFrame, batch_id: int) -> None:
+        frame.write.mode("overwrite").parquet(f"{folder}/rows/{batch_id}")
+        done.append(f"{folder}/rows/{batch_id}")
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.parquet(*(sorted(set(done)) if mode == "append" else done[-1:]))
 
 
 def run_to_sinks(stream: DataFrame, sinks: dict[str, Callable[[DataFrame], None]], checkpoint: str, mode: str = "update"):
