@@ -15,7 +15,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 os.environ["PYTHONPATH"] = f"{Path(__file__).resolve().parent}:{os.environ.get('PYTHONPATH', '')}"
 
-from tidemark.plans.catalog import QUERIES  # noqa: E402
+from tidemark.plans import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = ("valuation_gap", "statements_by_year", "fcf_eps_roe_growth", "bars_5m", "vwap_5m", "volatility", "volume_surge_tod", "price_fx_asof", "news_dedup", "news_sentiment_mix", "macro_yoy")

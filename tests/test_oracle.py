@@ -3,8 +3,7 @@
 import pytest
 from compare import connect, difference
 
-from tidemark.plans.catalog import QUERIES
-from tidemark.plans.oracle import ORACLE
+from tidemark.plans import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
         for key, company in read_companies().items():
             print(f"{key}\t{company.ticker}\t{company.name_en}\t{'on' if company.enabled else 'off'}")
         return 0
-    from tidemark.plans.catalog import QUERIES
+    from tidemark.plans import QUERIES
 
     if args.command == "queries":
         print("\n".join(sorted(QUERIES)))

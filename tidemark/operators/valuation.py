@@ -47,6 +47,16 @@ def peer_pb() -> Column:
     return _positive(F.col("peer_pb_multiple") * _positive(F.try_divide("equity", "shares")))
 
 
+def residual_income(rate: float = 0.10, years: int = 5) -> Column:
+    """Book value and ``years`` of return on equity beyond ``rate``, discounted."""
+    excess = F.aggregate(F.sequence(F.lit(1), F.lit(years)), F.lit(0.0), lambda acc, n: acc + F.col("equity") * (F.col("roe") - rate) / F.pow(F.lit(1 + rate), n.cast("double")))
+    return _positive(F.try_divide(F.col("equity") + excess, F.col("shares")))
+
+
+#: Models that are known but not part of the range.
+EXTRA: dict[str, Model] = {"residual": residual_income}
+
+
 def peer_multiples(latest: DataFrame) -> DataFrame:
     """Median price multiples per peer group; loss makers and unpriced companies don't count."""
     pe = F.when((F.col("eps") > 0) & (F.col("price") > 0), F.col("price") / F.col("eps"))

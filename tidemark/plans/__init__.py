@@ -1 +1,7 @@
-"""Registered queries and the SQL that states each one independently."""
+"""Registered queries and the SQL that checks them."""
+
+from tidemark.plans import serving, serving_oracle  # noqa: F401  (they register themselves)
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]

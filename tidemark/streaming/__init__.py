@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,22 +45,47 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
+def run_to_table(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
     """Run over all input available now and return the result as a table in the shared folder.
 
-    ``append``: every batch's rows; ``complete``: the last batch, which has all.  A batch that is replayed replaces its own files.
+    ``append``: every batch's rows; ``complete``: the last batch, which has all; ``update``: of each key the last batch's row.
+    A batch that is replayed replaces its own files.
     """
-    spark, folder, done = stream.sparkSession, _folder(stream.sparkSession), []
+    spark, folder, done = stream.sparkSession, _folder(stream.sparkSession), {}
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{folder}/rows/{batch_id}")
-        done.append(f"{folder}/rows/{batch_id}")
+        done[batch_id] = f"{folder}/rows/{batch_id}"
+        frame.write.mode("overwrite").parquet(done[batch_id])
 
     query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     if not done:
         return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(*(sorted(set(done)) if mode == "append" else done[-1:]))
+    if mode != "update":
+        return spark.read.parquet(*(done.values() if mode == "append" else [done[max(done)]]))
+    parts = [spark.read.parquet(path).withColumn("_batch", F.lit(k)) for k, path in done.items()]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "_batch").alias("r")).select("r.*")
+
+
+def extremes(ticks: DataFrame) -> DataFrame:
+    """Ticks seen, highest and lowest price of each instrument, kept as own state: three numbers a key, whatever arrives."""
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        n, high, low = state.get if state.exists else (0, None, None)
+        for pdf in frames:
+            prices = pdf["price"].dropna()
+            n += len(pdf)
+            if len(prices):
+                high = max(prices.max(), prices.max() if high is None else high)
+                low = min(prices.min(), prices.min() if low is None else low)
+        state.update((n, None if high is None else float(high), None if low is None else float(low)))
+        yield pd.DataFrame({"instrument": [key[0]], "ticks": [n], "highest": [high], "lowest": [low]})
+
+    out = "instrument string, ticks long, highest double, lowest double"
+    return ticks.select("instrument", "price").groupBy("instrument").applyInPandasWithState(update, out, "n long, high double, low double", "update", "NoTimeout")
 
 
 def run_to_sinks(stream: DataFrame, sinks: dict[str, Callable[[DataFrame], None]], checkpoint: str, mode: str = "update"):
