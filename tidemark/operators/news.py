@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text_key
@@ -33,15 +33,20 @@ def map_companies(news: DataFrame, aliases: list[tuple[str, str]]) -> DataFrame:
     return news.select("doc_id", low.alias("_low")).select("doc_id", F.explode(F.array_compact(F.array(*hits))).alias("company"))
 
 
-def keywords(text: Column, k: int, letters: int = 6) -> Column:
-    """The ``k`` most frequent ASCII words of at least ``letters`` letters, ties in alphabetical order; no shuffle."""
-    words = F.array_sort(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{%d,}" % letters), F.lit(0)))
-    # equal words stand together: a word's count is how far its first and last place are apart
-    places = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    firsts = F.filter(places, lambda p: (p["i"] == 0) | (F.get(words, p["i"] - 1) != p["w"]))
-    ends = F.concat(F.slice(F.transform(firsts, lambda p: p["i"]), 2, F.greatest(F.size(firsts), F.lit(1))), F.array(F.size(words)))
-    counted = F.zip_with(firsts, ends, lambda p, e: F.struct((p["i"] - e).alias("n"), p["w"].alias("w")))
-    return F.transform(F.slice(F.array_sort(F.filter(counted, lambda c: c["w"].isNotNull())), 1, k), lambda c: c["w"])
+def keywords(news: DataFrame, k: int, letters: int = 6) -> DataFrame:
+    """``news`` with ``keywords``: the ``k`` most frequent ASCII words of at least ``letters`` letters, ties in alphabetical order; no shuffle.
+
+    Step by step in columns of their own, so that nothing is computed anew for every word.
+    """
+    out = news.withColumn("_words", F.array_sort(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{%d,}" % letters), F.lit(0))))
+    # equal words stand together: a word's count is the distance of the places where runs begin
+    pairs = F.zip_with("_words", F.concat(F.array(F.lit("")), "_words"), lambda w, before: F.struct(w.alias("w"), before.alias("before")))
+    begins = F.filter(F.transform(pairs, lambda p, i: F.struct(p["w"].alias("w"), p["before"].alias("before"), i.alias("i"))), lambda p: p["w"].isNotNull() & (p["w"] != p["before"]))
+    out = out.withColumn("_begins", begins)
+    ends = F.concat(F.transform(F.slice("_begins", 2, F.greatest(F.size("_begins"), F.lit(1))), lambda p: p["i"]), F.array(F.size("_words")))
+    counted = F.zip_with("_begins", ends, lambda p, e: F.struct((p["i"] - e).alias("n"), p["w"].alias("w")))
+    top = F.slice(F.array_sort(F.filter(counted, lambda c: c["w"].isNotNull())), 1, k)
+    return out.withColumn("keywords", F.transform(top, lambda c: c["w"])).drop("_words", "_begins")
 
 
 def with_results(news: DataFrame, results: DataFrame) -> DataFrame:

@@ -99,7 +99,8 @@ def volume_last_3h(spark, base):
 def statement_trend(spark, base):
     """Each company's years in order, with the running total."""
     w = Window.partitionBy("company_id").orderBy("fiscal_year")
-    out = _statements(spark, base).select("company_id", "fiscal_year", _r("revenue", 2), F.round(F.sum(F.round("revenue", 2)).over(w), 1).alias("revenue_to_date"), F.row_number().over(w).cast("long").alias("n_years"))
+    cents = F.round(F.col("revenue") * 100).cast("long")
+    out = _statements(spark, base).select("company_id", "fiscal_year", cents.alias("revenue_cents"), F.sum(cents).over(w).alias("cents_to_date"), F.row_number().over(w).cast("long").alias("n_years"))
     return out.orderBy("company_id", "fiscal_year")
 
 
@@ -152,7 +153,7 @@ def silver_ticks(spark, base):
 @query
 def news_keywords(spark, base):
     """The three most frequent long words of each text."""
-    return table(spark, base, "documents").select("doc_id", F.array_join(news.keywords(F.col("text"), 3), ",").alias("keywords"))
+    return news.keywords(table(spark, base, "documents").select("doc_id", "text"), 3).select("doc_id", F.array_join("keywords", ",").alias("keywords"))
 
 
 @query

@@ -28,7 +28,7 @@ SELECT company_id, round(CASE WHEN x > 0 THEN x END, 4) AS value_residual FROM v
  FROM h WINDOW w AS (PARTITION BY instrument, CAST(bar_start AS DATE) ORDER BY volume DESC)""",
     "volume_last_3h": f"""WITH {_HOURS} SELECT instrument, bar_start, CAST(sum(volume) OVER w AS BIGINT) AS volume_3h, count(*) OVER w AS bars
  FROM h WINDOW w AS (PARTITION BY instrument ORDER BY bar_start RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW)""",
-    "statement_trend": f"""WITH {_ST} SELECT company_id, fiscal_year, round(revenue, 2) AS revenue, round(sum(round(revenue, 2)) OVER w, 1) AS revenue_to_date, row_number() OVER w AS n_years
+    "statement_trend": f"""WITH {_ST} SELECT company_id, fiscal_year, CAST(round(revenue * 100) AS BIGINT) AS revenue_cents, CAST(sum(CAST(round(revenue * 100) AS BIGINT)) OVER w AS BIGINT) AS cents_to_date, row_number() OVER w AS n_years
  FROM st WINDOW w AS (PARTITION BY company_id ORDER BY fiscal_year) ORDER BY 1, 2""",
     "news_page": "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20 OFFSET 20",
     "nations_with_both": "SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier",
