@@ -5,19 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import remove_folder, shared_folder
 from tidemark.sources.tables import table
 
-__all__ = ["settled", "shared_folder", "spread_join", "table"]
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where none is set (a single machine), a folder by the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-shared").rstrip("/")
+__all__ = ["remove_folder", "settled", "shared_folder", "spread_join", "table"]
 
 
 def settled(frame: DataFrame) -> DataFrame:
-    """``frame`` computed once into the shared folder, its lineage cut; Spark removes the files when it is no longer used."""
+    """``frame`` computed once into the shared folder, its lineage cut; sessions of ``build_session`` remove the files once it is no longer used."""
     context = frame.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(frame.sparkSession))

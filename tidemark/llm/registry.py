@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +28,9 @@ def op3_html(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, base: str) -> DataFrame:
-    """The key stands for one from a key store; pseudonyms hold within one key."""
-    return pii.digest(pii.pseudonymise(table(spark, base, "documents"), b"demonstration key"))
+    """Pseudonyms hold within one key: that of ``TIDEMARK_PSEUDONYM_KEY``, or one drawn for this run."""
+    key = os.environ.get("TIDEMARK_PSEUDONYM_KEY", "").encode() or secrets.token_bytes(32)
+    return pii.digest(pii.pseudonymise(table(spark, base, "documents"), key))
 
 
 def op5_substrings(spark: SparkSession, base: str) -> DataFrame:
