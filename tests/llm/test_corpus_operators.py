@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -252,6 +253,35 @@ def test_held_out_layouts():
     assert hit / kept > 0.96 and hit / main > 0.96
 
 
+@pytest.mark.parametrize(("family", "least"), [("neutral", 0.9), ("bare", 0.9), ("table", 0.75)])
+def test_held_out_families(family, least):
+    """Pages of a family that the model never saw."""
+    model, right, n = html.train(families=tuple(f for f in html.FAMILIES if f != family)), 0, 0
+    for page, labels in html.labelled_pages(150, seed=78, families=(family,)):
+        right, n = right + sum(a == b for a, b in zip(model.decode(page), labels, strict=True)), n + len(page)
+    assert right / n > least
+
+
+def test_pages_without_wrappers():
+    model, said = html.train(), [f"Paragraph number {k} says something of its own, at some length." for k in range(6)]
+    menu = "<ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul>"
+    assert html.extract(f"<body>{menu}{''.join(f'<p>{x}</p>' for x in said)}</body>", model) == " ".join(said)
+    assert html.extract("<body><div class='q1'><h1>A short title</h1><p>It rains today.</p><p>It rained yesterday too.</p></div></body>", model) == "A short title It rains today. It rained yesterday too."
+    kept = html.extract("<article><h1>On sums</h1><p>We know that <math><mi>a</mi>+<mi>b</mi></math> is what we want to have here.</p><xmp>a plain listing of some words</xmp></article>", model)
+    assert "a+b is" in kept and "plain listing" in kept
+
+
+@pytest.mark.parametrize("unit", ["<a '", "<a ", "<a '\">", "<div>x", "<div><span>", "</x>", "<li>", "<!--", "<", "<p class=\"", "<td>y", "<svg><p>", "&amp", "'\"<b>"])
+def test_parsing_time_is_linear(unit):
+    times = []
+    for size in (50_000, 400_000):
+        page = "<article><p>start</p>" + unit * (size // len(unit)) + "<p>end</p>"
+        began = time.process_time()
+        html.blocks(page)
+        times.append(time.process_time() - began)
+    assert times[1] < 30 * max(times[0], 0.02) and times[1] < 12
+
+
 def test_viterbi_is_the_best_sequence():
     model = html.train()
     for page, _ in html.labelled_pages(40, seed=5):

@@ -6,10 +6,12 @@ ancestors' tags and class or id words and the shape of its text.  It is trained
 on labelled pages (``labelled_pages``: a bounded, documented set of generated layouts, since the tables
 carry no labels) by stochastic gradients of the log likelihood, and decoded by Viterbi.
 
-Character references are decoded; white space inside a block becomes one space;
-kept blocks are joined by one space.  Nothing else is dropped or capped.
+Character references are decoded; white space inside a block (no-break spaces too) becomes one space;
+kept blocks are joined by one space.  Nothing else is dropped or capped: content that browsers show, such as that of
+``math``, ``object`` or ``xmp``, is text.  Parsing takes time in proportion to the page, however its tags and quotes are broken or nested;
+a block's features come from its nearest ``ANCESTORS`` block-level ancestors.
 A null or empty page, or one without main text, gives an empty text; repeated rows
-are extracted each on their own; extra columns are ignored.
+are extracted each on their own; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,12 +37,16 @@ BLOCK = frozenset(
     "iframe label legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style title template noscript iframe textarea svg math object xmp noembed noframes".split())
+UNSEEN = frozenset("script style title template noscript iframe textarea noembed noframes".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select body html div section article aside nav main form".split())
 P_STAYS = frozenset("button label option td th li".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+ANCESTORS = 64
+IMPLIED = frozenset(("html", "body"))  # a page has them whether or not it says so
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[\"'>]")
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in UNSEEN}
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -64,81 +71,130 @@ def _mark(tag: str, attrs: str) -> str:
     return ".".join([tag, *sorted(set(words))])
 
 
+class _Tags:
+    """The tags of a page, each found in time in proportion to its length."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.size = page, len(page)
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()  # places outside quotes from which no end of a tag can be reached
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes begin at ``at``; the next one of any kind if quotes don't close; -1: none."""
+        if at > self.last[">"]:
+            return -1
+        here, seen = at, []
+        while here not in self.dead:
+            seen.append(here)
+            m = _STOP.search(self.page, here)
+            if not m:
+                break
+            c = m[0]
+            if c == ">":
+                return m.start()
+            if m.end() > self.last[c]:
+                break
+            here = self.page.find(c, m.end()) + 1
+        self.dead.update(seen)
+        return self.page.find(">", at)
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, closing, name, attributes) of each; comments and declarations have no name."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                stop = page.find("-->", start + 4)
+                at = self.size if stop < 0 else stop + 3
+                yield start, at, False, "", ""
+                continue
+            if page.startswith(("<!", "<?"), start):
+                stop = page.find(">", start)
+                at = self.size if stop < 0 else stop + 1
+                yield start, at, False, "", ""
+                continue
+            m = _NAME.match(page, start + 1)
+            stop = self.end(m.end()) if m else -1
+            if stop < 0:  # no tag: text
+                at = start + 1
+                continue
+            at, name = stop + 1, m[2].lower()
+            attrs = page[m.end() : stop]
+            if name in UNSEEN and not m[1] and not attrs.endswith("/"):
+                close = _ENDS[name].search(page, at)
+                at = close.end() if close else self.size
+            yield start, at, bool(m[1]), name, attrs
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, with decoded and trimmed text."""
     stack: list[tuple[str, str]] = []
+    path: list[str] = []  # marks of the block-level ones on the stack
+    open_: Counter[str] = Counter()
     out: list[Block] = []
     parts: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    linked, at = 0, 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(m for t, m in stack if t in BLOCK), text, linked))
+                out.append(Block(tuple(path[-ANCESTORS:]), text, linked))
             parts.clear()
         linked = 0
 
     def close(index: int) -> None:
-        nonlocal in_link
         if any(t in BLOCK for t, _ in stack[index:]):
             flush()
-        in_link -= sum(t == "a" for t, _ in stack[index:])
-        del stack[index:]
-
-    size, find = len(page), _TAG.search
-    while at < size:
-        m = find(page, at)
-        stop = m.start() if m else size
-        if stop > at:
-            text = page[at:stop]
-            parts.append(text)
-            if in_link:
-                linked += len(text)
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        while len(stack) > index:
+            tag, _ = stack.pop()
+            open_[tag] -= 1
+            if tag in BLOCK and tag not in IMPLIED:
+                path.pop()
+
+    def close_nearest(tags: frozenset[str] | set[str], scope: frozenset[str]) -> None:
+        if not any(open_[t] for t in tags):
+            return
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in tags:
+                close(i)
+                return
+            if stack[i][0] in scope:
+                return
+
+    def say(text: str) -> None:
+        nonlocal linked
+        parts.append(text)
+        if open_["a"]:
+            linked += len(text)
+
+    for start, end, closing, tag, attrs in _Tags(page):
+        if start > at:
+            say(page[at:start])
+        at = end
         if not tag:
             continue
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            continue
-        attrs = m[3] or m[6] or ""
-        if tag in VOID:
+        if closing:
+            close_nearest({tag}, frozenset())
+        elif tag in VOID:
             if tag in BLOCK:
                 flush()
             else:
                 parts.append(" " if tag == "br" else "")
-            continue
-        if tag in UNSEEN:
-            if not attrs.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
-            continue
-        if tag in BLOCK:
-            flush()
-            if tag not in P_STAYS or tag == "li":
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        close(i)
-                        break
-                    if stack[i][0] in BLOCK:
-                        break
-            if tag in CLOSES:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in CLOSES[tag]:
-                        close(i)
-                        break
-                    if stack[i][0] in SCOPE:
-                        break
-        if tag == "a":
-            in_link += 1
-        stack.append((tag, _mark(tag, attrs) if attrs else tag))
+        elif tag not in UNSEEN:
+            if tag in BLOCK:
+                flush()
+                if tag not in P_STAYS or tag == "li":
+                    close_nearest({"p"}, BLOCK)
+                if tag in CLOSES:
+                    close_nearest(CLOSES[tag], SCOPE)
+            mark = _mark(tag, attrs) if attrs else tag
+            stack.append((tag, mark))
+            open_[tag] += 1
+            if tag in BLOCK and tag not in IMPLIED:
+                path.append(mark)
+    if at < len(page):
+        say(page[at:])
     flush()
     return out
 
@@ -254,11 +310,15 @@ OTHER_NAMES = {
 }
 
 
+#: Layout families of generated pages: named wrappers, wrappers with meaningless or no names, no wrapper at all, tables.
+FAMILIES = ("named", "named", "named", "neutral", "neutral", "bare", "table")
+
+
 class _Writer:
     """Generates one page and the label of each of its leaf blocks."""
 
-    def __init__(self, seed: int) -> None:
-        self.rng, self.out, self.labels = random.Random(seed), [], []
+    def __init__(self, seed: int, families: tuple[str, ...] = FAMILIES) -> None:
+        self.rng, self.out, self.labels, self.families = random.Random(seed), [], [], families
 
     def words(self, n: int) -> str:
         return " ".join("".join(self.rng.choice("aeiou") + self.rng.choice("bcdfglmnprstv") for _ in range(self.rng.randint(1, 4))) for _ in range(n))
@@ -288,6 +348,8 @@ class _Writer:
         generic = self.rng.random() < 0.4
         tag = "div" if generic else tag
         attrs = f' {self.rng.choice(["class", "id"])}="{self.rng.choice(OTHER_NAMES[kind])}"' if generic or tag in ("div", "section") or self.rng.random() < 0.5 else ""
+        if kind == "menu" and self.rng.random() < 0.15:
+            attrs = self.strange()
         self.out.append(f"<{tag}{attrs}>")
         if kind == "menu":
             self.links(0, kind)
@@ -333,7 +395,53 @@ class _Writer:
                 self.labels.append(0)
         self.out.append(f"</{tag}>")
 
+    def strange(self) -> str:
+        """A class that says nothing."""
+        return f' class="{self.words(1)[:4]}{self.rng.randint(0, 99)}"' if self.rng.random() < 0.6 else ""
+
     def main(self) -> None:
+        family = self.rng.choice(self.families)
+        if family == "named":
+            return self.named_main()
+        if family == "neutral":
+            tag = self.rng.choice(["div", "div", "section"])
+            deep = self.rng.randint(1, 3)
+            self.out.append("".join(f"<{tag}{self.strange()}>" for _ in range(deep)))
+            self.body()
+            self.out.append(f"</{tag}>" * deep)
+        elif family == "bare":
+            self.body()
+        else:
+            self.block(self.rng.choice(["h1", "h2"]), self.words(self.rng.randint(2, 9)), 1)
+            self.out.append(f"<table{self.strange()}>")
+            for _ in range(self.rng.randint(2, 9)):
+                self.out.append("<tr>")
+                for _ in range(self.rng.randint(1, 3)):
+                    self.block(self.rng.choice(["td", "td", "td", "th"]), self.words(self.rng.randint(1, 5)) if self.rng.random() < 0.5 else self.sentence(3, 30), 1)
+                self.out.append("</tr>")
+            self.out.append("</table>")
+            if self.rng.random() < 0.5:
+                self.block("p", self.sentence(4, 40), 1)
+        return None
+
+    def body(self) -> None:
+        """A heading and paragraphs, often few and short."""
+        if self.rng.random() < 0.8:
+            self.block(self.rng.choice(["h1", "h1", "h2"]), self.words(self.rng.randint(1, 9)), 1)
+        most = self.rng.choice([3, 4, 12, 40, 100])
+        for _ in range(self.rng.choice([1, 2, 2, 3, 6, 9])):
+            kind = self.rng.random()
+            if kind < 0.85:
+                self.block("p" if self.rng.random() < 0.8 else "div", self.sentence(2, most), 1, self.strange() if self.rng.random() < 0.2 else "")
+            elif kind < 0.93:
+                self.block(self.rng.choice(["h2", "h3"]), self.words(self.rng.randint(1, 5)), 1)
+            else:
+                self.out.append("<ul>")
+                for _ in range(self.rng.randint(2, 4)):
+                    self.block("li", self.sentence(2, 16), 1)
+                self.out.append("</ul>")
+
+    def named_main(self) -> None:
         shape = self.rng.random()
         tag = "article" if shape < 0.45 else "main" if shape < 0.6 else self.rng.choice(["div", "div", "section", "td"])
         attrs = self.named(MAIN_NAMES) if tag in ("article", "main") else f' {self.rng.choice(["class", "id"])}="{self.rng.choice(MAIN_NAMES)}"' if self.rng.random() < 0.75 else ""
@@ -382,6 +490,8 @@ class _Writer:
         pick = self.rng.random
         before = [k for k, p in (("top", 0.5), ("menu", 0.8), ("notice", 0.3), ("advert", 0.45), ("form", 0.2), ("side", 0.15)) if pick() < p]
         after = [k for k, p in (("advert", 0.2), ("side", 0.45), ("comments", 0.4), ("form", 0.2), ("notice", 0.2), ("menu", 0.1), ("bottom", 0.85)) if pick() < p]
+        if pick() < 0.25:  # nothing but the article
+            before = after = []
         self.out.append(f'<!DOCTYPE html><html><head><title>{self.words(3)}</title><script>var t="</p>";</script></head><body>')
         for k in before:
             self.other(k)
@@ -393,11 +503,11 @@ class _Writer:
         return "".join(self.out), self.labels
 
 
-def labelled_pages(n: int, seed: int = 1) -> list[tuple[list[Block], list[int]]]:
+def labelled_pages(n: int, seed: int = 1, families: tuple[str, ...] = FAMILIES) -> list[tuple[list[Block], list[int]]]:
     """``n`` generated pages as (blocks, label of each block)."""
     out = []
     for k in range(n):
-        page, labels = _Writer(seed * 1_000_003 + k).page()
+        page, labels = _Writer(seed * 1_000_003 + k, families).page()
         found = blocks(page)
         if found and len(found) == len(labels):
             out.append((found, labels))
@@ -405,9 +515,9 @@ def labelled_pages(n: int, seed: int = 1) -> list[tuple[list[Block], list[int]]]
 
 
 @functools.lru_cache(maxsize=4)
-def train(pages: int = 1000, epochs: int = 4, rate: float = 0.1, decay: float = 1e-4) -> Model:
+def train(pages: int = 1500, epochs: int = 4, rate: float = 0.1, decay: float = 1e-4, families: tuple[str, ...] = FAMILIES) -> Model:
     """The model, fitted on a bounded set of labelled pages; the same on every run."""
-    data, model = labelled_pages(pages), Model()
+    data, model = labelled_pages(pages, families=families), Model()
     order = random.Random(0)
     for epoch in range(epochs):
         order.shuffle(data)
@@ -423,7 +533,7 @@ def extract(page: str | None, model: Model) -> str:
     return " ".join(b.text for b, keep in zip(found, model.decode(found), strict=True) if keep)
 
 
-def extract_pages(pages: DataFrame, training_pages: int = 1000) -> DataFrame:
+def extract_pages(pages: DataFrame, training_pages: int = 1500) -> DataFrame:
     """(page_id, url, text, n_chars) of every page.  No shuffle."""
     trained = train(training_pages)
     shared = pages.sparkSession.sparkContext.broadcast((trained.weight, trained.step))
