@@ -342,6 +342,66 @@ def test_neighbours_do_not_hide_a_value(text, kinds):
     assert pii.replaced(hidden, pii.spans(hidden, b"key", inverse=True)) == text
 
 
+def _plain_values(text):
+    """Values of the table's shapes, found word by word: no expression of the operator is used."""
+    import calendar
+
+    found, tokens = Counter(), text.split()
+    bare = [t.strip(".,;:!?()\"'#*$%&|<>") for t in tokens]
+    digits = lambda t: t.isascii() and t.isdigit()
+
+    def luhn(n):
+        total = sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(n)))
+        return total % 10 == 0
+
+    def rest(iban):
+        return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+    k = 0
+    while k < len(bare):
+        t, step = bare[k], 1
+        four = [x for x in bare[k : k + 9]]
+        if t.count("@") == 1 and "." in t.split("@")[1] and t.split("@")[0]:
+            found["email", t] += 1
+        elif t.count(".") == 3 and all(digits(x) and int(x) < 256 and str(int(x)) == x for x in t.split(".")):
+            found["ip", t] += 1
+        elif t.count("-") == 2 and [len(x) for x in t.split("-")] == [3, 2, 4] and all(map(digits, t.split("-"))):
+            a, b, c = t.split("-")
+            if a not in ("000", "666") and a < "900" and b != "00" and c != "0000":
+                found["ssn", t] += 1
+        elif t.count("-") == 2 and [len(x) for x in t.split("-")] == [4, 2, 2] and all(map(digits, t.split("-"))):
+            y, m, d = map(int, t.split("-"))
+            if 1900 <= y <= 2099 and 1 <= m <= 12 and 1 <= d <= calendar.monthrange(y, m)[1]:
+                found["date", t] += 1
+        elif len(t) == 4 and t[:2].isalpha() and t[:2].isupper() and digits(t[2:]):
+            for n in range(9, 3, -1):
+                whole = "".join(four[:n])
+                if len(four) >= n and 15 <= len(whole) <= 34 and whole.isalnum() and whole.isascii() and whole.upper() == whole and all(len(x) == 4 for x in four[: n - 1]) and rest(whole) == 1:
+                    found["iban", " ".join(four[:n])] += 1
+                    step = n
+                    break
+        elif digits(t.replace("-", "")) and 13 <= len(t.replace("-", "")) <= 19 and luhn(t.replace("-", "")):
+            found["card", t] += 1
+        elif digits(t) and len(t) == 4 and len(four) >= 4 and all(digits(x) and len(x) == 4 for x in four[:4]) and luhn("".join(four[:4])):
+            found["card", " ".join(four[:4])] += 1
+            step = 4
+        k += step
+    return found
+
+
+def test_values_of_the_table_by_a_slow_finder():
+    import duckdb
+
+    rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    kinds, found = ("email", "ip", "ssn", "date", "iban", "card"), Counter()
+    for _, text in rows:
+        got = Counter((k, text[a:b]) for k, a, b, _ in pii.spans(text, b"key") if k in kinds)
+        want = _plain_values(text)
+        assert got == want
+        found.update(k for k, _ in got.elements())
+    assert set(found) <= set(kinds) and len(found) >= 4 and sum(found.values()) > 50
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 1000])
 def test_feistel_is_a_permutation(size):
     f = pii.Feistel(b"key", "test", size)

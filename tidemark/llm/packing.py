@@ -11,8 +11,8 @@ one partition is left, or the rounds are used up.  The pieces of one partition
 are bounded, so no task grows with the input.
 
 A null text is an empty one (just the end token).  Rows are told apart by their
-place in the checkpointed token table, so null or repeated ids are packed one by one; an empty table
-gives an empty result.
+place in the checkpointed token table, so null or repeated ids are packed one by one; extra columns are ignored; an empty table
+gives an empty result.  Partitions whose gap is left after the last round stay uncertified (column ``certified``).
 """
 
 from __future__ import annotations
@@ -168,6 +168,8 @@ _PLACED = "rid long, length long, sequence_id long, offset long, open boolean, c
 
 def pack(tokens: DataFrame, size: int = 1024, per_partition: int = 8192, rounds: int = 5, share: float = 0.1) -> DataFrame:
     """One row per piece with its sequence and offset.  ``tokens`` as ``tokenize`` gives them, settled."""
+    if not 1 <= rounds <= 8:
+        raise ValueError("1 to 8 rounds")  # they are the high bits of a sequence's number
     rows = tokens.withColumn("rid", F.monotonically_increasing_id())
     items = rows.select("rid", (F.col("n_ids") % size).alias("length"), F.floor(F.col("n_ids") / size).cast("long").alias("n_full"))
     n, done, first = items.count(), None, None

@@ -12,8 +12,11 @@ Not looked for, so left in the text: secrets without a digit (passwords of lette
 a name such as token before them; phone numbers with neither + nor a bracketed area code
 (212-555-0123); dates with the month as a word (12 March 1990) or a year outside 1900 to 2099; names and addresses of people.
 
+Values are equal if they are written alike: the same date in another format, a phone number with and without its
+country code, or an address in other case is another value with a pseudonym of its own.
+
 Null and empty texts have no values and stay as they are; repeated rows are
-treated alike; extra columns are ignored.
+treated alike; a very long text is searched whole, a match at a time; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
