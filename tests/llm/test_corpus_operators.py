@@ -452,27 +452,46 @@ def test_removed_bytes_by_brute_force(spark):
 # ---- lines
 
 
+def _plain_runs(docs, need=2):
+    """(text left, maximal runs with an earlier copy) of each document, straight from the definition."""
+    full = {i: [(k, x) for k, x in enumerate(text.split("\n")) if x.strip()] for i, text in docs}
+    earlier, out = [], {}
+    for i, text in docs:
+        gone, longest = set(), []
+        words = [x for _, x in full[i]]
+        for p in range(len(words)):
+            size = 0
+            for other, q in [*earlier, *((words, q) for q in range(p))]:
+                n = 0
+                while p + n < len(words) and q + n < len(other) and words[p + n] == other[q + n]:
+                    n += 1
+                size = max(size, n)
+            if size < need:
+                size = min(size, int(len(words[p].split()) >= 5))
+            if size:
+                gone |= set(range(full[i][p][0], full[i][p + size - 1][0] + 1))
+                if not any(b >= p + size for _, b in longest):
+                    longest.append((p, p + size))
+        out[i] = ("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(longest), max((b - a for a, b in longest), default=0))
+        earlier += [(words, q) for q in range(len(words))]
+    return out
+
+
 @pytest.mark.parametrize("need", [2, 3, 5])
 def test_runs_by_brute_force(spark, need):
-    rng = random.Random(need)
-    pool = ["a", "b", "c", "", " ", "one two three four five"]
-    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(30)]
-    got = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"), need).collect()}
-    seen: set = set()
-    gone = defaultdict(set)
-    for i, text in docs:
-        full = [(k, x) for k, x in enumerate(text.split("\n")) if x.strip()]
-        for k in range(len(full)):
-            for n in {1, need}:
-                part = full[k : k + n]
-                if len(part) < n or (n == 1 and len(part[0][1].split()) < 5):
-                    continue
-                name = (n, *(x for _, x in part))
-                if name in seen:
-                    gone[i] |= set(range(part[0][0], part[-1][0] + 1))
-                seen.add(name)
-    for i, text in docs:
-        assert got[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[i])
+    for seed in range(need, need + 2):
+        rng = random.Random(seed)
+        pool = ["a", "b", "c", "", " ", "one two three four five", "d", "e"][: 6 + seed % 3]
+        docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(25)]
+        docs += [(25 + k, "\n".join(f"line {x}" for x in range(3 * k, 30 + k))) for k in range(5)] + [(30, docs[3][1]), (31, docs[3][1] + "\nz")]
+        got = {r.doc_id: (r.text, r.n_runs, r.longest_run) for r in lines.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"), need).collect()}
+        assert got == _plain_runs(docs, need)
+
+
+def test_runs_are_true_repeats(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nq"), (2, "x\nb\nc"), (3, "a\nb\nc"), (4, "1\n2"), (5, "3\n4"), (6, "1\n2\n3\n4"), (7, "1\n2\n3\n4"), (None, "1\n2")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_runs, r.longest_run) for r in lines.digest(lines.without_repeats(docs)).collect()}
+    assert got == {1: (0, 0, 0), 2: (0, 0, 0), 3: (3, 2, 2), 4: (0, 0, 0), 5: (0, 0, 0), 6: (4, 2, 2), 7: (4, 1, 4), None: (2, 1, 2)}
 
 
 def test_frequent_lines_are_split(spark):

@@ -1,26 +1,28 @@
-"""Line deduplication: repeated runs of lines by hashed names of fixed-length runs.
+"""Line deduplication: prefix doubling over line sequences, common-prefix intervals, maximal repeated runs.
 
-Each document is the sequence of its lines that hold a word.  A line's name is its
-hash; the name of the run of T lines at a place is made of the names of shorter runs, doubled up
-to T.  With the least run length of 2 that is one step: the names are those of pairs of adjacent lines.
-Places of one name are grouped.  There are no ranks, no suffix array and no common-prefix intervals.
+Each document is the sequence of its lines that hold a word.  A line's number is its hash; the rank of the run of
+2^k lines at a place is the hash of those lines' numbers, so that equal ranks mean equal runs.  The places of one rank are an interval of the
+suffix array, all suffixes with a common prefix of at least 2^k lines.  Only the intervals are needed, not their order, so
+places are grouped by rank instead of sorted, which also holds where a third of all lines are the same one.
 
-The lines deleted are those of all repeated runs of at least T lines, since a longer one consists of
-runs of T lines.  The runs reported are unions of touching or overlapping deleted ones, as the query's SQL has
-it; a union need not repeat as a whole anywhere (a1 a2 b1 b2 after a1 a2 and b1 b2 elsewhere is one run of 4).
+The first place of an interval in order (doc_id, text hash, line) stays; at every later place the lines are deleted, as judged on the
+input.  A single line repeats on its own if it has at least ``min_words`` words, a run if it has at least ``min_lines`` lines; what goes are
+the lines of all such repeats, and lines without a word inside them.
 
-The first place of a name in order (doc_id, text hash, line) stays; at every
-later place the lines are deleted, as judged on the input.  A single line repeats on its own if it has at least
-``min_words`` words.  Lines without a word inside a deleted run go with it.
+The runs reported are maximal: a run of n lines has an earlier verbatim copy, the n + 1 lines from the same place have none, and
+no longer such run of the document contains it.  Such a run can begin only where an earlier copy of its first ``min_lines`` lines follows another
+line (or at the first line of the document), so lengths are looked for at these places only: first by doubling, from ``min_lines`` on; then, in
+the interval of the greatest such length that repeats, all lengths up to twice as many.  Each member of an interval names as many runs as it may
+have lines, so the work is in proportion to the lines that repeat.
 
 A null id comes after all others; a null or empty text has no lines; rows equal in id
-and text count as one place; other columns stay as they are; an empty table gives an
+and text count as one place; a very long text is one row of line numbers; other columns stay as they are; an empty table gives an
 empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import settled, spread_join
@@ -28,75 +30,160 @@ from tidemark.llm.common import settled, spread_join
 MIN_LINES, MIN_WORDS = 2, 5
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 _NONE = "array<struct<a:int,b:int>>"
+_LAST = 2**63 - 1
+PLACE = ("ord", "u1", "u2", "idx")
 
 
-def _uid(documents: DataFrame) -> Column:
-    return F.xxhash64("doc_id", "text")
+def _uid() -> list[Column]:
+    """A 128-bit name of a document's id and text."""
+    return [F.xxhash64("doc_id", "text").alias("u1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("u2")]
 
 
-def _sequence(documents: DataFrame, min_words: int) -> DataFrame:
-    """(uid, doc_id, idx, line, h, c, enough): the lines with words, with their name."""
-    lines = F.filter(
-        F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x"))),
-        lambda s: s["x"].rlike(_HAS_WORD),
-    )
+def _sequences(documents: DataFrame, min_words: int) -> DataFrame:
+    """(u1, u2, ord, seq): per document its lines with words: place in the text, 96-bit number, whether it has enough words."""
     enough = r"^\s*(?:\S+\s+){%d}\S" % (min_words - 1)
-    out = documents.where("text is not null").select(_uid(documents).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(lines).alias("idx", "s"))
-    return out.select(
-        "uid", "doc_id", "idx", F.col("s.line").alias("line"), F.xxhash64("s.x").alias("h"), F.hash("s.x").alias("c"),
-        F.col("s.x").rlike(enough).alias("enough"),
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x"))), lambda s: s["x"].rlike(_HAS_WORD))
+    seq = F.transform(lines, lambda s: F.struct(s["line"].alias("line"), F.xxhash64(s["x"]).alias("h"), F.hash(s["x"]).alias("c"), s["x"].rlike(enough).alias("enough")))
+    return documents.where("text is not null").select(*_uid(), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"), seq.alias("seq"))
+
+
+def _places(sequences: DataFrame, min_lines: int) -> DataFrame:
+    """(ord, u1, u2, idx, a, b, h, c, before, run, left): single lines with enough words and runs of ``min_lines``, with the line before and the lines left."""
+    n = F.size("seq")
+    rows = sequences.select("ord", "u1", "u2", n.alias("n"), "seq", F.posexplode("seq").alias("idx", "s"))
+    more = [F.get("seq", F.col("idx") + k) for k in range(1, min_lines)]
+    rows = rows.select("ord", "u1", "u2", "n", "idx", "s", *(m.alias(f"t{k}") for k, m in enumerate(more)), F.get("seq", F.col("idx") - 1)["h"].alias("before"))
+    kind = lambda run, h, c, b: F.struct(run.alias("run"), h.alias("h"), c.alias("c"), b.alias("b"))
+    one = F.when(F.col("s.enough"), kind(F.lit(False), F.xxhash64("s.h", F.lit("one")), F.col("s.c"), F.col("s.line") + 1))
+    parts, last = ["s", *(f"t{k}" for k in range(min_lines - 1))], f"t{min_lines - 2}"
+    two = F.when(F.col(last).isNotNull(), kind(F.lit(True), F.xxhash64(*(f"{x}.h" for x in parts)), F.hash(*(f"{x}.c" for x in parts)), F.col(f"{last}.line") + 1))
+    rows = rows.select("ord", "u1", "u2", "idx", F.col("s.line").alias("a"), "before", (F.col("n") - F.col("idx")).alias("left"), F.explode(F.array_compact(F.array(one, two))).alias("k"))
+    return rows.select("ord", "u1", "u2", "idx", "a", "k.b", "k.h", "k.c", "before", "k.run", "left")
+
+
+def _place() -> Column:
+    return F.struct(*PLACE)
+
+
+def _starts(later: DataFrame) -> DataFrame:
+    """Of the runs with an earlier copy, those at which a maximal one may begin."""
+    runs = later.where("run")
+    other = ~F.col("before").eqNullSafe(F.col("first.before"))
+    second = runs.where(other).groupBy("h", "c").agg(F.min(_place()).alias("second"))
+    sizes = runs.groupBy("h", "c").agg(F.count("*").alias("n"))
+    second = settled(second.join(sizes, ["h", "c"]))
+    sure = other | (F.col("idx") == 0)
+    rest = spread_join(runs.where(~sure), second, ["h", "c"], "n", ["u1", "idx"]).where(F.col("second") < _place())
+    keep = [*PLACE, "h", "c", "left"]
+    return runs.where(sure).select(*keep).unionByName(rest.select(*keep))
+
+
+def _named(asked: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(ord, u1, u2, idx, start, size, h, c): the rank of each run that ``asked`` names by its documents' ``wants`` (idx, start, size)."""
+    seqs = sequences.select("u1", "u2", "ord", F.transform("seq", lambda s: s["h"]).alias("hs"), F.transform("seq", lambda s: s["c"]).alias("cs")).dropDuplicates(["u1", "u2"])
+    rows = asked.join(seqs, ["u1", "u2"]).select("ord", "u1", "u2", "hs", "cs", F.explode("wants").alias("w"))
+    size = F.col("w.size")
+    return rows.select(
+        "ord", "u1", "u2", F.col("w.idx").alias("idx"), F.col("w.start").alias("start"), size.alias("size"),
+        F.xxhash64(size, F.slice("hs", F.col("w.idx") + 1, size)).alias("h"), F.hash(size, F.slice("cs", F.col("w.idx") + 1, size)).alias("c"),
     )
 
 
-def _runs(sequence: DataFrame, length: int) -> DataFrame:
-    """Names (h, c) of the runs of ``length`` lines at each place; null where the document ends before."""
-    w = Window.partitionBy("uid").orderBy("idx")
-    # several rows may share (uid, idx) where whole rows repeat: one of them is enough
-    out = sequence.withColumn("_again", F.row_number().over(Window.partitionBy("uid", "idx").orderBy("line"))).where("_again = 1").drop("_again")
-    out = out.withColumns({"rh": F.col("h"), "rc": F.col("c")})
-    done = 1
-    while done < length:
-        step = min(done, length - done)
-        both = lambda name, step=step: F.lead(name, step).over(w)
-        out = out.withColumns({"rh2": both("rh"), "rc2": both("rc")})
-        whole = F.col("rh").isNotNull() & F.col("rh2").isNotNull()
-        out = out.withColumns(
-            {
-                "rh": F.when(whole, F.xxhash64("rh", "rh2", F.lit(step))),
-                "rc": F.when(whole, F.hash("rc", "rc2", F.lit(step))),
-            }
-        ).drop("rh2", "rc2")
-        done += step
-    return out.withColumn("end", F.lead("line", length - 1).over(w) + 1 if length > 1 else F.col("line") + 1)
-
-
-def repeated(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(uid, ranges): per text the line ranges to delete, sorted, disjoint, half open."""
-    runs = _runs(_sequence(documents, min_words), min_lines)
-    single = F.when(F.col("enough"), F.struct(F.xxhash64("h", F.lit("one")).alias("h"), F.col("c").alias("c"), (F.col("line") + 1).alias("b")))
-    run = F.when(F.col("rh").isNotNull() & F.col("rc").isNotNull(), F.struct(F.col("rh").alias("h"), F.col("rc").alias("c"), F.col("end").alias("b")))
-    places = runs.select("uid", "doc_id", F.col("line").alias("a"), F.explode(F.array_compact(F.array(*([single, run] if min_lines > 1 else [single])))).alias("u"))
-    places = places.select("uid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), "a", F.col("u.b").alias("b"), F.col("u.h").alias("h"), F.col("u.c").alias("c"))
-    first = settled(places.groupBy("h", "c").agg(F.min(F.struct("ord", "uid", "a")).alias("first"), F.count("*").alias("n")).where("n > 1"))
-    later = spread_join(places, first, ["h", "c"], "n", ["uid", "a"]).where(F.struct("ord", "uid", "a") != F.col("first")).select("uid", "a", "b")
-    w = Window.partitionBy("uid").orderBy("a", "b")
-    before = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = later.withColumn("new", F.coalesce(F.col("a") > before, F.lit(True)).cast("int"))
-    islands = marked.withColumn("island", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ranges = islands.groupBy("uid", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    return ranges.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("ranges"))
-
-
-def without_repeats(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with deleted lines cut from ``text``, and the columns ``ranges`` and ``before`` (the text as it was)."""
-    found = repeated(documents, min_lines, min_words).withColumnRenamed("uid", "_uid").withColumnRenamed("ranges", "_ranges")
-    joined = documents.withColumn("_uid", _uid(documents)).join(found, "_uid", "left").drop("_uid")
+def _repeating(named: DataFrame) -> DataFrame:
+    """Of the starts in ``named``, the runs that have an earlier copy."""
+    first = settled(named.groupBy("size", "h", "c").agg(F.min(_place()).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    return spread_join(named.where("start"), first, ["size", "h", "c"], "n", ["u1", "idx"]).where(F.col("first") < _place())
+
+
+def _wants(members: DataFrame, sizes: Column) -> DataFrame:
+    """(u1, u2, wants): what each document has to name, from members (idx, start, left) and the sizes that their interval asks for."""
+    rows = members.select("u1", "u2", "idx", "start", F.explode(F.filter(sizes, lambda n: n <= F.col("left"))).alias("size"))
+    return rows.groupBy("u1", "u2").agg(F.collect_set(F.struct("idx", "start", "size")).alias("wants"))
+
+
+def _doubled(least: int, most: Column) -> Column:
+    return F.filter(F.array(*(F.lit(least << k) for k in range(28) if least << k < 1 << 30)), lambda n: n <= most)
+
+
+def _lengths(places: DataFrame, starts: DataFrame, sequences: DataFrame, min_lines: int) -> DataFrame:
+    """(u1, u2, idx, size): the longest run from each start that has an earlier copy."""
+    # the members of the starts' intervals, and how far these ask
+    asks = starts.groupBy("h", "c").agg(F.max("left").alias("most"))
+    sizes = places.where("run").groupBy("h", "c").agg(F.count("*").alias("n"))
+    asks = settled(asks.join(sizes, ["h", "c"]))
+    mark = starts.select("u1", "u2", "idx", F.lit(True).alias("start")).distinct()
+    members = spread_join(places.where("run").select("u1", "u2", "idx", "left", "h", "c"), asks, ["h", "c"], "n", ["u1", "idx"]).join(mark, ["u1", "u2", "idx"], "left")
+    members = members.withColumn("start", F.coalesce("start", F.lit(False)))
+    powers = settled(_named(_wants(members, _doubled(min_lines, F.col("most"))), sequences))
+    best = settled(_repeating(powers).groupBy("u1", "u2", "idx").agg(F.max(F.struct("size", "h", "c")).alias("best")).select("u1", "u2", "idx", "best.*"))
+    # in the interval of the greatest of them: every length up to the next
+    groups = best.groupBy("size", "h", "c").agg(F.lit(1).alias("_one"))
+    counts = powers.groupBy("size", "h", "c").agg(F.count("*").alias("n"))
+    groups = settled(groups.join(counts, ["size", "h", "c"]).drop("_one"))
+    mine = best.select("u1", "u2", "idx", "size", "h", "c", F.lit(True).alias("mine"))
+    inner = spread_join(powers.drop("start"), groups, ["size", "h", "c"], "n", ["u1", "idx"]).join(mine, ["u1", "u2", "idx", "size", "h", "c"], "left")
+    inner = inner.select("u1", "u2", "idx", F.coalesce("mine", F.lit(False)).alias("start"), "size")
+    left = sequences.select("u1", "u2", F.size("seq").alias("n")).dropDuplicates(["u1", "u2"])
+    inner = inner.join(left, ["u1", "u2"]).withColumn("left", F.col("n") - F.col("idx"))
+    between = F.sequence(F.col("size") + 1, F.greatest(2 * F.col("size") - 1, F.col("size") + 1))
+    more = _repeating(settled(_named(_wants(inner, between), sequences))).select("u1", "u2", "idx", "size")
+    return best.select("u1", "u2", "idx", "size").unionByName(more).groupBy("u1", "u2", "idx").agg(F.max("size").alias("size"))
+
+
+def _joined(ranges: Column) -> Column:
+    """Sorted ranges with touching and overlapping ones made one."""
+    start = F.array().cast(_NONE)
+
+    def add(acc: Column, r: Column) -> Column:
+        last = F.element_at(acc, -1)
+        grown = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"))))
+        return F.when((F.size(acc) > 0) & (r["a"] <= F.coalesce(last["b"], F.lit(-1))), grown).otherwise(F.concat(acc, F.array(r)))
+
+    return F.aggregate(ranges, start, add)
+
+
+def repeated(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, runs: bool = True) -> DataFrame:
+    """(u1, u2, ranges, n_runs, longest_run): per text the line ranges to delete, sorted, disjoint, half open; with ``runs`` its maximal repeats."""
+    if min_lines < 2:
+        raise ValueError("a run has two lines at least")
+    sequences = _sequences(documents, min_words)
+    places = settled(_places(sequences, min_lines))
+    first = settled(places.groupBy("h", "c").agg(F.min(F.struct(*PLACE, "before")).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    later = spread_join(places, first, ["h", "c"], "n", ["u1", "idx"])
+    later = later.where(F.struct(*(F.col(f"first.{c}") for c in PLACE)) < _place())
+    if not runs:
+        return _ranges(later)
+    later = settled(later.drop("n"))
+    starts = settled(_starts(later))
+    found = _lengths(places, starts, sequences, min_lines).unionByName(later.where("not run").select("u1", "u2", "idx", F.lit(1).alias("size")))
+    listed = found.groupBy("u1", "u2").agg(F.array_sort(F.collect_set(F.struct("idx", (-F.col("size")).alias("less")))).alias("runs"))
+    # longest first at each place: what does not reach beyond all before it is contained
+    kept = F.aggregate(
+        "runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"), F.lit(0).alias("most")),
+        lambda acc, r: F.when(r["idx"] - r["less"] > acc["end"], F.struct((r["idx"] - r["less"]).alias("end"), (acc["n"] + 1).alias("n"), F.greatest(acc["most"], -r["less"]).alias("most"))).otherwise(acc),
+    )
+    counted = listed.select("u1", "u2", kept.alias("k")).select("u1", "u2", F.col("k.n").cast("long").alias("n_runs"), F.col("k.most").cast("long").alias("longest_run"))
+    return _ranges(later).join(counted, ["u1", "u2"], "left")
+
+
+def _ranges(later: DataFrame) -> DataFrame:
+    return later.groupBy("u1", "u2").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("r")).select("u1", "u2", _joined(F.col("r")).alias("ranges"))
+
+
+def without_repeats(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, runs: bool = True) -> DataFrame:
+    """``documents`` with deleted lines cut from ``text``, and the columns ``ranges``, ``before`` (the text as it was), ``n_runs`` and ``longest_run``."""
+    new = ("ranges", "before", *(("n_runs", "longest_run") if runs else ()))
+    found = repeated(documents, min_lines, min_words, runs)
+    found = found.withColumnsRenamed({c: f"_{c}" for c in found.columns})
+    u1, u2 = _uid()
+    joined = documents.withColumns({"_u1": u1, "_u2": u2}).join(found, ["_u1", "_u2"], "left")
     inside = lambda i: F.exists("_ranges", lambda r: (r["a"] <= i) & (i < r["b"]))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~inside(i)), "\n")
-    names = [c for c in documents.columns if c not in ("text", "ranges", "before")]
+    names = [c for c in documents.columns if c not in ("text", *new)]
     return joined.select(
         *names, F.when(F.col("_ranges").isNull(), F.col("text")).otherwise(kept).alias("text"),
         F.coalesce("_ranges", F.array().cast(_NONE)).alias("ranges"), F.col("text").alias("before"),
+        *(F.coalesce(f"_{c}", F.lit(0)).alias(c) for c in new[2:]),
     )
 
 
@@ -105,17 +192,16 @@ def _has_word(line: Column) -> Column:
 
 
 def digest(deduplicated: DataFrame) -> DataFrame:
-    """Per document: lines with words, those deleted, runs, the longest run in lines, and the digest of what is left."""
+    """Per document: lines with words, those deleted, maximal runs with an earlier copy, the longest of them, and the digest of what is left."""
     n = lambda text: F.coalesce(F.size(F.filter(F.split(text, "\n"), _has_word)), F.lit(0)).cast("long")
-    longest = F.coalesce(F.array_max(F.transform("ranges", lambda r: r["b"] - r["a"])), F.lit(0)).cast("long")
     kept = F.when(F.size("ranges") > 0, n("text")).otherwise(n("before"))
-    out = deduplicated.select("doc_id", n("before").alias("n_lines"), kept.alias("_kept"), F.size("ranges").cast("long").alias("n_runs"), longest.alias("longest_run"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    out = deduplicated.select("doc_id", n("before").alias("n_lines"), kept.alias("_kept"), "n_runs", "longest_run", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
     return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), (F.col("n_lines") - F.col("_kept")).alias("n_removed"), "n_runs", "longest_run", "kept_sha256")
 
 
 def dedup_stage(documents: DataFrame) -> DataFrame:
     """``documents`` without repeated lines; a document that loses all its words goes."""
-    out = without_repeats(documents)
+    out = without_repeats(documents, runs=False)
     out = out.where((F.size("ranges") == 0) | F.coalesce(F.col("text").rlike(_HAS_WORD), F.lit(False)))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("ranges") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -47,21 +47,24 @@ WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WH
 l AS (SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS idx
       FROM (SELECT doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS x FROM s) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 r AS (SELECT *, lead(x) OVER w AS x2, lead(line) OVER w + 1 AS b2 FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY line)),
-p AS (SELECT doc_id, line AS a, line + 1 AS b, x AS one, NULL AS two FROM r WHERE regexp_matches(x, '^\s*(?:\S+\s+){4}\S')
-      UNION ALL SELECT doc_id, line, b2, x, x2 FROM r WHERE x2 IS NOT NULL),
+p AS (SELECT doc_id, idx, line AS a, line + 1 AS b, x AS one, NULL AS two FROM r WHERE regexp_matches(x, '^\s*(?:\S+\s+){4}\S')
+      UNION ALL SELECT doc_id, idx, line, b2, x, x2 FROM r WHERE x2 IS NOT NULL),
 f AS (SELECT *, min((doc_id, a)) OVER (PARTITION BY one, two) AS first FROM p),
-g AS (SELECT doc_id, a, b FROM f WHERE (doc_id, a) <> first),
-m AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM g),
-i AS (SELECT doc_id, a, b, sum(new) OVER (PARTITION BY doc_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM m),
-k AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM i GROUP BY doc_id, island),
-n AS (SELECT doc_id, count(*) AS n_runs, max(b - a) AS longest_run FROM k GROUP BY 1),
-d AS (SELECT DISTINCT l.doc_id, line FROM l JOIN k ON k.doc_id = l.doc_id AND line >= a AND line < b),
-c AS (SELECT doc_id, count(*) AS n_removed FROM d GROUP BY 1),
-e AS (SELECT u.doc_id, string_agg(u.x, chr(10) ORDER BY u.line) AS kept FROM (SELECT doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS x FROM s) u
-      LEFT JOIN k ON k.doc_id = u.doc_id AND u.line >= k.a AND u.line < k.b WHERE k.doc_id IS NULL GROUP BY 1)
+g AS (SELECT * FROM f WHERE (doc_id, a) <> first),
+d AS (SELECT DISTINCT l.doc_id, line FROM l JOIN g ON g.doc_id = l.doc_id AND line >= a AND line < b),
+h AS (SELECT DISTINCT u.doc_id, u.line FROM (SELECT doc_id, unnest(range(len(parts))) AS line FROM s) u JOIN g ON g.doc_id = u.doc_id AND u.line >= a AND u.line < b),
+q AS (SELECT v.doc_id, v.idx, e.doc_id AS doc2, e.idx - v.idx AS diagonal FROM p v JOIN p e ON v.one = e.one AND v.two = e.two WHERE (e.doc_id, e.idx) < (v.doc_id, v.idx)),
+c AS (SELECT *, idx - row_number() OVER (PARTITION BY doc_id, doc2, diagonal ORDER BY idx) AS chain FROM q),
+m AS (SELECT doc_id, idx, max(upto) + 2 - idx AS size FROM (SELECT doc_id, idx, max(idx) OVER (PARTITION BY doc_id, doc2, diagonal, chain) AS upto FROM c) GROUP BY 1, 2
+      UNION ALL SELECT doc_id, idx, 1 FROM g WHERE two IS NULL),
+z AS (SELECT doc_id, idx, max(size) AS size FROM m GROUP BY 1, 2),
+k AS (SELECT doc_id, count(*) AS n_runs, max(size) AS longest_run FROM (SELECT *, max(idx + size) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM z)
+      WHERE before IS NULL OR idx + size > before GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n_removed FROM d GROUP BY 1),
+e AS (SELECT u.doc_id, string_agg(u.x, chr(10) ORDER BY u.line) AS kept FROM (SELECT doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS x FROM s) u ANTI JOIN h USING (doc_id, line) GROUP BY 1)
 SELECT t.doc_id, coalesce((SELECT count(*) FROM l WHERE l.doc_id = t.doc_id), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
        coalesce(longest_run, 0) AS longest_run, sha256(coalesce(kept, '')) AS kept_sha256
-FROM documents t LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN e USING (doc_id)""",
+FROM documents t LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN e USING (doc_id)""",
     "op10_chat": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
   SELECT conv_id, turn, role, text FROM conversations
