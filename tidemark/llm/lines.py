@@ -146,7 +146,7 @@ def repeated(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     """(u1, u2, ranges, n_runs, longest_run): per text the line ranges to delete, sorted, disjoint, half open; with ``runs`` its maximal repeats."""
     if min_lines < 2:
         raise ValueError("a run has two lines at least")
-    sequences = _sequences(documents, min_words)
+    sequences = settled(_sequences(documents, min_words))  # read by every step
     places = settled(_places(sequences, min_lines))
     first = settled(places.groupBy("h", "c").agg(F.min(F.struct(*PLACE, "before")).alias("first"), F.count("*").alias("n")).where("n > 1"))
     later = spread_join(places, first, ["h", "c"], "n", ["u1", "idx"])
