@@ -49,15 +49,17 @@ def _sequences(documents: DataFrame, min_words: int) -> DataFrame:
 
 def _places(sequences: DataFrame, min_lines: int) -> DataFrame:
     """(ord, u1, u2, idx, a, b, h, c, before, run, left): single lines with enough words and runs of ``min_lines``, with the line before and the lines left."""
-    n = F.size("seq")
-    rows = sequences.select("ord", "u1", "u2", n.alias("n"), "seq", F.posexplode("seq").alias("idx", "s"))
-    more = [F.get("seq", F.col("idx") + k) for k in range(1, min_lines)]
-    rows = rows.select("ord", "u1", "u2", "n", "idx", "s", *(m.alias(f"t{k}") for k, m in enumerate(more)), F.get("seq", F.col("idx") - 1)["h"].alias("before"))
     kind = lambda run, h, c, b: F.struct(run.alias("run"), h.alias("h"), c.alias("c"), b.alias("b"))
-    one = F.when(F.col("s.enough"), kind(F.lit(False), F.xxhash64("s.h", F.lit("one")), F.col("s.c"), F.col("s.line") + 1))
-    parts, last = ["s", *(f"t{k}" for k in range(min_lines - 1))], f"t{min_lines - 2}"
-    two = F.when(F.col(last).isNotNull(), kind(F.lit(True), F.xxhash64(*(f"{x}.h" for x in parts)), F.hash(*(f"{x}.c" for x in parts)), F.col(f"{last}.line") + 1))
-    rows = rows.select("ord", "u1", "u2", "idx", F.col("s.line").alias("a"), "before", (F.col("n") - F.col("idx")).alias("left"), F.explode(F.array_compact(F.array(one, two))).alias("k"))
+
+    def at(line: Column, i: Column) -> Column:
+        # within the row, so that a long document's sequence is not copied to each of its lines
+        parts = [line, *(F.get("seq", i + k) for k in range(1, min_lines))]
+        one = F.when(line["enough"], kind(F.lit(False), F.xxhash64(line["h"], F.lit("one")), line["c"], line["line"] + 1))
+        two = F.when(i + min_lines <= F.size("seq"), kind(F.lit(True), F.xxhash64(*(x["h"] for x in parts)), F.hash(*(x["c"] for x in parts)), parts[-1]["line"] + 1))
+        return F.struct(i.alias("idx"), line["line"].alias("a"), F.get("seq", i - 1)["h"].alias("before"), (F.size("seq") - i).alias("left"), F.array_compact(F.array(one, two)).alias("kinds"))
+
+    rows = sequences.select("ord", "u1", "u2", F.inline(F.transform("seq", at)))
+    rows = rows.select("ord", "u1", "u2", "idx", "a", "before", "left", F.explode("kinds").alias("k"))
     return rows.select("ord", "u1", "u2", "idx", "a", "k.b", "k.h", "k.c", "before", "k.run", "left")
 
 
