@@ -19,7 +19,8 @@ bounded share of the text in one place:
    intervals of equal 50-byte strings.
 4. The least id of each such interval decides, for every document, which windows go.
 
-Anchor hashes only choose what meets; equality is decided on the bytes themselves.
+Anchor hashes only choose what meets; equality is decided on the bytes themselves.  What goes to a bucket names its texts by their
+number in the piece of a few megabytes that was read together; the pieces' own lists of texts are sent once, and answers come back by piece.
 
 A null id comes after all others; a null or empty text has no bytes; rows with equal
 ids do not count as smaller than each other; extra columns are ignored; an empty
@@ -35,10 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.blocks import expand, pack, squeeze, steps, sums, unpack
 from tidemark.llm.shingles import mix
 
 LENGTH, ANCHOR = 50, 16
@@ -46,14 +48,6 @@ _LAST = 2**63 - 1
 _GEAR = np.random.default_rng(3).integers(0, 2**64, 256, dtype=np.uint64)
 
 
-def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
-
-
-def expand(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
 #: Names of sides: no window of the anchor has that side; the anchor has several places, so its sides say nothing.
 NONE, OPEN = 0, 1
 
@@ -250,55 +244,55 @@ def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.n
         yield keys[rows], np.array([len(t) for t in texts], np.int64), texts
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed block, each as planes of its numbers' bytes (the high ones hardly vary)."""
-    head = np.array([len(arrays), *(a.nbytes for a in arrays)], np.int64).tobytes()
-    return squeeze(head + b"".join(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in map(np.ascontiguousarray, arrays)))
+def _directory(keys: np.ndarray, piece: int, buckets: int) -> tuple[int, int, bytes]:
+    """The row that names a piece's texts; it travels with the others, below the buckets."""
+    return -1 - piece % buckets, piece, pack(keys[:, 0], keys[:, 1])
 
 
-def _steps(a: np.ndarray) -> np.ndarray:
-    """Differences, modulo 2**32, of numbers that mostly rise slowly."""
-    return np.diff(a.astype(np.uint32), prepend=np.uint32(0))
+def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "piece", "payload"])
 
 
-def _sums(steps: np.ndarray) -> np.ndarray:
-    return np.cumsum(steps, dtype=np.uint32)
+_ASKED = "bucket long, piece long, payload binary"
+_ANSWER = "piece long, texts binary, answer binary"
 
 
-def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
-    data = expand(data)
-    sizes = np.frombuffer(data, np.int64, len(kinds), 8)
-    ends = 8 * (1 + len(kinds)) + np.cumsum(sizes)
-    planes = (np.frombuffer(data[e - s : e], np.uint8).reshape(np.dtype(k).itemsize, -1).T for e, s, k in zip(ends, sizes, kinds, strict=True))
-    return [np.ascontiguousarray(x).view(k).ravel() for x, k in zip(planes, kinds, strict=True)]
+def _numbers(buckets: int) -> Iterator[int]:
+    """Numbers of pieces, apart for all tasks, spread over the buckets."""
+    task = TaskContext.get().partitionId()
+    return iter(range(task << 32 | task % buckets, (task + 1) << 32))
 
 
 def _anchor_rows(texts: DataFrame, buckets: int, length: int, anchor: int, piece: int) -> DataFrame:
-    """(bucket, payload): the anchors of some texts that belong to a bucket."""
+    """(bucket, piece, payload): the anchors of some texts that belong to a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _numbers(buckets)
         for batch in batches:
             for keys, sizes, found in _pieces(batch, piece):
+                number = next(numbers)
                 data = np.frombuffer(b"".join(found), np.uint8)
                 doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
                 h, first, count, before, after = anchors(data, doc, length, anchor)
                 if not len(h):
                     continue
                 h = mix(h)
-                bucket = (h % np.uint64(buckets)).astype(np.int32)
+                bucket = (h % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 h, first, count, before, after, bucket = (x[order] for x in (h, first, count, before, after, bucket))
                 owner = doc[first]
                 place = first - (np.cumsum(sizes) - sizes)[owner]
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-                names, payloads = [], []
+                rows = [_directory(keys, number, buckets)]
                 for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True):
-                    used, local = np.unique(owner[a:b], return_inverse=True)
-                    names.append(int(bucket[a]))
-                    payloads.append(_pack((h[a:b] >> np.uint64(40)).astype(np.uint32), _steps(local), _steps(place[a:b]), count[a:b].astype(np.uint8), before[a:b], after[a:b], keys[used, 0], keys[used, 1].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
+                    rows.append((int(bucket[a]), number, pack((h[a:b] >> np.uint64(40)).astype(np.uint32), steps(owner[a:b]), steps(place[a:b]), count[a:b].astype(np.uint8), before[a:b], after[a:b])))
+                yield _rows(rows)
+
+    return texts.mapInArrow(run, _ASKED)
+
 
-    return texts.mapInArrow(run, "bucket int, payload binary")
+def _passed(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"piece": pdf["piece"], "texts": pdf["payload"], "answer": None})
 
 
 #: Parts of a bucket that are judged one by one; anchors of one hash are in one part.
@@ -317,16 +311,22 @@ def _in_two(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The anchors of a bucket that two texts have with a common side: (text, where), one row an anchor.
+    """The anchors of a bucket that two texts have with a common side: for each piece (text, where), one entry an anchor.
 
     ``where`` holds, from the high bits down, bucket and part (24), windows (8) and first window (32).
     """
-    parts = [_unpack(p, "<u4", "<u4", "<u4", "u1", "<u2", "<u2", "<i8", "<i4") for p in pdf["payload"]]
-    base = np.cumsum([0, *(len(p[6]) for p in parts)])
-    h, count, before, after, k1, k2 = (np.concatenate([p[k] for p in parts]) for k in (0, 3, 4, 5, 6, 7))
-    place = np.concatenate([_sums(p[2]) for p in parts])
-    doc = np.concatenate([_sums(p[1]) + np.uint32(b) for p, b in zip(parts, base, strict=False)])
+    bucket = int(pdf["bucket"].iloc[0])
+    if bucket < 0:
+        return _passed(pdf)
+    parts = [unpack(p, "<u4", "<u4", "<u4", "u1", "<u2", "<u2") for p in pdf["payload"]]
+    h, count, before, after = (np.concatenate([p[k] for p in parts]) for k in (0, 3, 4, 5))
+    place = np.concatenate([sums(p[2]) for p in parts])
+    local = np.concatenate([sums(p[1]) for p in parts])
+    cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
     del parts
+    # texts told apart over the pieces
+    most = np.array([int(local[a:b].max(initial=0)) + 1 for a, b in zip(cuts[:-1], cuts[1:], strict=True)], np.int64)
+    doc = local + np.repeat(np.cumsum(most) - most, np.diff(cuts))
     shared = np.flatnonzero(_in_two(h, doc))
     wide, owner = h[shared].astype(np.uint64) << np.uint64(16), doc[shared]
     keep = np.isin(h[shared], np.unique(h[shared][before[shared] == OPEN]))  # sides do not tell these apart
@@ -334,18 +334,41 @@ def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
         told = np.flatnonzero(side > OPEN)
         keep[told] |= _in_two(wide[told] | side[told].astype(np.uint64), owner[told])
     shared = shared[keep]
-    code = int(pdf["bucket"].iloc[0]) * PARTS + (h[shared] % np.uint32(PARTS)).astype(np.int64)
+    code = bucket * PARTS + (h[shared] % np.uint32(PARTS)).astype(np.int64)
     where = code << 40 | count[shared].astype(np.int64) << 32 | place[shared].astype(np.int64)
-    return pd.DataFrame({"k1": k1[doc[shared]], "k2": k2[doc[shared]], "where": where})
+    at = np.searchsorted(shared, cuts)
+    answers = [pack(steps(local[shared[a:b]]), where[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+    return pd.DataFrame({"piece": pdf["piece"], "texts": None, "answer": answers})[np.diff(at) > 0]
 
 
-def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
-    """(bucket, payload): the contexts of some texts that belong to a part of a bucket."""
+def _by_text(local: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by text, texts, where each begins in that order and where the last ends)."""
+    order = np.argsort(local, kind="stable")
+    texts, first = np.unique(local[order], return_index=True)
+    return order, texts, np.r_[first, len(local)]
+
+
+def _found(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(k1, k2, found): the shared anchors of each text of a piece."""
+    k1, k2 = unpack(pdf["texts"].dropna().iloc[0], "<i8", "<i8")
+    parts = [unpack(p, "<u4", "<i8") for p in pdf["answer"].dropna()]
+    if not parts:
+        return pd.DataFrame({"k1": k1[:0], "k2": k2[:0].astype(np.int32), "found": pd.Series([], dtype=object)})
+    where = np.concatenate([p[1] for p in parts])
+    order, texts, cuts = _by_text(np.concatenate([sums(p[0]) for p in parts]))
+    where = where[order]
+    return pd.DataFrame({"k1": k1[texts], "k2": k2[texts].astype(np.int32), "found": [where[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]})
+
+
+def _context_rows(joined: DataFrame, buckets: int, length: int, piece: int) -> DataFrame:
+    """(bucket, piece, payload): the contexts of some texts that belong to a part of a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _numbers(buckets)
         for batch in batches:
             found, at = batch.column("found").to_pylist(), 0
             for keys, sizes, texts in _pieces(batch, piece):
+                number = next(numbers)
                 rows = found[at : at + len(texts)]
                 at += len(texts)
                 where = np.array([w for one in rows for w in one], np.int64)
@@ -356,28 +379,30 @@ def _context_rows(joined: DataFrame, length: int, piece: int) -> DataFrame:
                 data = np.frombuffer(b"".join(texts), np.uint8)
                 start = (np.cumsum(sizes) - sizes)[doc] + place
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-                names, payloads = bucket[cuts], []
+                sent = [_directory(keys, number, buckets * PARTS)]
                 for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True):
                     used, local = np.unique(doc[a:b], return_inverse=True)
                     width = count[a:b] + length - 1
                     member = np.repeat(start[a:b] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-                    payloads.append(_pack(keys[used, 0], keys[used, 1].astype(np.int32), keys[used, 2], _steps(local), _steps(place[a:b]), count[a:b].astype(np.uint8), data[member]))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
+                    sent.append((int(bucket[a]), number, pack(steps(used), keys[used, 2], steps(local), steps(place[a:b]), count[a:b].astype(np.uint8), data[member])))
+                yield _rows(sent)
 
-    return joined.mapInArrow(run, "bucket long, payload binary")
+    return joined.mapInArrow(run, _ASKED)
 
 
 def _judge(length: int):
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Per text of a part: runs (first window, windows) that another text with a smaller id has."""
-        keys, docs, place, count, ids, base = [], [], [], [], [], 0
+        """For the texts of each piece: runs (text, first window, windows) that another text with a smaller id has."""
+        if int(pdf["bucket"].iloc[0]) < 0:
+            return _passed(pdf)
+        names, docs, place, count, ids, own, base = [], [], [], [], [], [], 0
         seen: dict[bytes, int] = {}
         owners: list[int] = []
         for payload in pdf["payload"]:
-            k1, k2, owner, local, p, c, data = _unpack(payload, "<i8", "<i4", "<i8", "<u4", "<u4", "u1", "u1")
-            local, p = _sums(local), _sums(p)
-            k, raw, at = np.stack([k1, k2.astype(np.int64), owner], axis=1), data.tobytes(), 0
-            for size, o in zip((c.astype(np.int64) + length - 1).tolist(), k[local, 2].tolist(), strict=True):
+            used, owner, local, p, c, data = unpack(payload, "<u4", "<i8", "<u4", "<u4", "u1", "u1")
+            used, local, p = sums(used), sums(local), sums(p)
+            raw, at = data.tobytes(), 0
+            for size, o in zip((c.astype(np.int64) + length - 1).tolist(), owner[local].tolist(), strict=True):
                 i = seen.setdefault(raw[at : at + size], len(seen))
                 at += size
                 ids.append(i)
@@ -385,37 +410,49 @@ def _judge(length: int):
                     owners.append(o)
                 elif o < owners[i]:
                     owners[i] = o
-            keys.append(k)
+            names.append(used)
+            own.append(owner)
             docs.append(local.astype(np.int64) + base)
             place.append(p.astype(np.int64))
             count.append(c.astype(np.int64))
-            base += len(k)
+            base += len(used)
         windows = np.array([len(c) for c in seen], np.int64) - length + 1
         bounds = np.cumsum(windows) - windows
         least = least_owner(list(seen), np.array(owners, np.int64), length)
         del seen
-        key, anchor_doc, p, c, i = np.concatenate(keys), *(np.concatenate(x) for x in (docs, place, count)), np.array(ids, np.int64)
+        anchor_doc, p, c, i, owner = *(np.concatenate(x) for x in (docs, place, count)), np.array(ids, np.int64), np.concatenate(own)
         within = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
         doc, window = np.repeat(anchor_doc, c), np.repeat(p, c) + within
-        gone = least[np.repeat(bounds[i], c) + within] < key[doc, 2]
+        gone = least[np.repeat(bounds[i], c) + within] < owner[doc]
         doc, window = doc[gone], window[gone]
         cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (window[1:] != window[:-1] + 1)]) if len(doc) else np.zeros(0, np.int64)
         run_doc, run_first = doc[cut], window[cut]
         run_size = np.diff(np.r_[cut, len(doc)])
-        head = np.flatnonzero(np.r_[True, run_doc[1:] != run_doc[:-1]]) if len(run_doc) else np.zeros(0, np.int64)
-        tail = np.r_[head[1:], len(run_doc)] if len(head) else head
-        rows = [np.r_[run_first[a:b], run_size[a:b]].astype("<u4").tobytes() for a, b in zip(head, tail, strict=True)]
-        mine = key[run_doc[head]]
-        return pd.DataFrame({"k1": mine[:, 0], "k2": mine[:, 1], "runs": rows})
+        text = np.concatenate(names)[run_doc]
+        at = np.searchsorted(run_doc, np.cumsum([0, *(len(n) for n in names)]))
+        answers = [pack(steps(text[a:b]), steps(run_first[a:b]), run_size[a:b].astype(np.uint32)) for a, b in zip(at[:-1], at[1:], strict=True)]
+        return pd.DataFrame({"piece": pdf["piece"], "texts": None, "answer": answers})[np.diff(at) > 0]
 
     return judge
 
 
-def removed_ranges(runs: list[bytes], length: int) -> list[tuple[int, int]]:
+def _runs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(k1, k2, runs): first windows and numbers of windows that go from each text of a piece."""
+    k1, k2 = unpack(pdf["texts"].dropna().iloc[0], "<i8", "<i8")
+    parts = [unpack(p, "<u4", "<u4", "<u4") for p in pdf["answer"].dropna()]
+    if not parts:
+        return pd.DataFrame({"k1": k1[:0], "k2": k2[:0].astype(np.int32), "runs": pd.Series([], dtype=object)})
+    first, size = np.concatenate([sums(p[1]) for p in parts]), np.concatenate([p[2] for p in parts])
+    order, texts, cuts = _by_text(np.concatenate([sums(p[0]) for p in parts]))
+    first, size = first[order], size[order]
+    return pd.DataFrame({"k1": k1[texts], "k2": k2[texts].astype(np.int32), "runs": [np.r_[first[a:b], size[a:b]].astype("<u4").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]})
+
+
+def removed_ranges(runs: bytes | None, length: int) -> list[tuple[int, int]]:
     """Disjoint sorted byte ranges covered by windows given as packed (first, count) runs."""
     if not runs:
         return []
-    pairs = np.concatenate([np.frombuffer(r, "<u4").reshape(2, -1).T for r in runs]).astype(np.int64)
+    pairs = np.frombuffer(runs, "<u4").reshape(2, -1).T.astype(np.int64)
     pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
     stop = np.maximum.accumulate(pairs[:, 0] + pairs[:, 1] + length - 1)
     cut = np.flatnonzero(np.r_[True, pairs[1:, 0] > stop[:-1]])
@@ -431,7 +468,7 @@ def _finished(joined: DataFrame, length: int) -> DataFrame:
             rows = []
             for k1, k2, rep, z, runs in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "ord", "z", "runs")), strict=True):
                 text = expand(z)
-                ranges = removed_ranges(runs or [], length)
+                ranges = removed_ranges(runs, length)
                 sha, at = hashlib.sha256(), 0
                 for a, b in ranges:
                     sha.update(text[at:a])
@@ -448,10 +485,12 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHO
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     texts = _texts(documents)
-    shared = _anchor_rows(texts, buckets, length, anchor, piece).groupBy("bucket").applyInPandas(_shared_anchors, "k1 long, k2 int, where long")
-    per_text = shared.groupBy("k1", "k2").agg(F.collect_list("where").alias("found"))
-    contexts = _context_rows(texts.join(per_text, ["k1", "k2"]).select("k1", "k2", "ord", "z", "found"), length, 2 * piece)
-    runs = contexts.groupBy("bucket").applyInPandas(_judge(length), "k1 long, k2 int, runs binary").groupBy("k1", "k2").agg(F.collect_list("runs").alias("runs"))
+    # as many partitions as buckets: a task's share stays the same however much there is
+    shared = _anchor_rows(texts, buckets, length, anchor, piece).repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(_shared_anchors, _ANSWER)
+    per_text = shared.groupBy("piece").applyInPandas(_found, "k1 long, k2 int, found array<long>")
+    contexts = _context_rows(texts.join(per_text, ["k1", "k2"]).select("k1", "k2", "ord", "z", "found"), buckets, length, 2 * piece)
+    judged = contexts.repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(_judge(length), _ANSWER)
+    runs = judged.groupBy("piece").applyInPandas(_runs, "k1 long, k2 int, runs binary")
     done = _finished(texts.join(runs, ["k1", "k2"], "left"), length)
     rows = _keyed(documents, F.col("doc_id").cast("long").alias("doc_id")).join(done, ["k1", "k2"])
     copy = (F.col("ord") > F.col("rep")) & (F.col("n_bytes") >= length)
