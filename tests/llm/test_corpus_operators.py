@@ -736,3 +736,18 @@ def test_any_turns_come_back(spark):
         assert [tuple(t) for t in got[conv].turns] == [(r, x) for _, r, x in want]
         assert got[conv].loss == "".join(x for _, r, x in want if r == "assistant")
     assert got[1].formatted.count("<|im_start|>") == 2
+
+
+def test_a_long_conversation_has_all_spans(spark):
+    rows = [(1, k, "assistant" if k % 3 else "user", "x" * (k % 5)) for k in range(3000)]
+    out = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    r = out.select("*", chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert len(r.loss_spans) == 2000 and r.loss == "".join(x for _, _, role, x in rows if role == "assistant")
+
+
+def test_empty_frames(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html.extract_pages(pages).count() == 0
+    assert chat.digest(chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+    odd = spark.createDataFrame([(1, None, None, "x"), (1, None, None, "x"), (None, "u", "<p>one two three</p>", "y")], "page_id long, url string, html string, text string")
+    assert sorted((r.n_chars for r in html.extract_pages(odd).collect())) [:2] == [0, 0]

@@ -10,7 +10,7 @@ separators are outside it.
 Turns are ordered by (turn, role, text), null turns first; a null role counts as an empty one, a null
 text as an empty text; repeated rows are turns of their own; rows with a null
 conversation id form one conversation; extra columns are ignored; an empty table
-gives an empty result.
+gives an empty result.  A conversation is one row, however long; work grows with its turns, not with their square.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SPAN_BLOCK = 256
 START, END, SEP = "<|im_start|>", "<|im_end|>\n", "<|im_sep|>"
 
 
@@ -76,16 +77,29 @@ def format_conversations(frame: DataFrame, loss_role: str = "assistant") -> Data
     grouped = frame.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     pieces = grouped.select("conv_id", _pieces(merge_turns(F.col("turns")), loss_role).alias("pieces"))
     formatted = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), "")
+    # places by sums over blocks of pieces, then within each block: no list of all spans is copied for every turn
+    narrow = F.transform("pieces", lambda p: F.struct(F.length(p["head"]).alias("head"), F.length(p["body"]).alias("body"), F.length(p["tail"]).alias("tail"), p["loss"].alias("loss")))
+    sized = pieces.select("conv_id", formatted.alias("formatted"), narrow.alias("sizes"))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("sizes") - 1) / SPAN_BLOCK).cast("int")), lambda k: F.slice("sizes", k * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))
+    sized = sized.withColumn("blocks", cut)
+    whole = lambda p: p["head"] + p["body"] + p["tail"]
+    sized = sized.withColumn("lengths", F.transform("blocks", lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + whole(p))))
+    starts = F.aggregate("lengths", F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    sized = sized.withColumn("starts", starts)
     none = F.array().cast("array<struct<start:int,length:int>>")
-    walked = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"])).alias("at"),
-            F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(p["head"])).alias("start"), F.length(p["body"]).alias("length"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )
-    return pieces.select("conv_id", formatted.alias("formatted"), walked["spans"].alias("loss_spans"))
+
+    def spans(block: Column, k: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.struct(F.get("starts", k).alias("at"), none.alias("spans")),
+            lambda acc, p: F.struct(
+                (acc["at"] + whole(p)).alias("at"),
+                F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["head"]).alias("start"), p["body"].alias("length"))))).otherwise(acc["spans"]).alias("spans"),
+            ),
+            lambda acc: acc["spans"],
+        )
+
+    return sized.select("conv_id", "formatted", F.flatten(F.transform("blocks", spans)).alias("loss_spans"))
 
 
 def parse(formatted: Column) -> Column:
