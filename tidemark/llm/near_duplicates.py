@@ -161,14 +161,15 @@ def _units(reps: DataFrame, bands: int, rows: int, block: int) -> DataFrame:
     stars = placed.join(shared, ["band", "bucket"]).select(F.col("nid").alias("a"), F.col("least").alias("b"))
     nodes = components(stars).withColumnRenamed("node", "nid")
     blocks = lambda size: F.ceil(F.col(size) / block)
-    sizes = nodes.groupBy("root").agg(F.count("*").alias("size"))
+    sizes = settled(nodes.groupBy("root").agg(F.count("*").alias("size")))
     # a bucket belongs to its least member's component
     by_bucket = shared.join(nodes, shared["least"] == nodes["nid"]).groupBy("root").agg(F.sum(F.col("size") * blocks("size")).alias("cost"))
     parted = settled(sizes.where(F.col("size") > block).join(by_bucket, "root").where(F.col("cost") < F.col("size") * blocks("size")).select("root"))
-    whole = nodes.join(sizes, "root").join(parted, "root", "left_anti").select(F.col("root").alias("g"), F.lit(-1).alias("band"), "nid", "size")
+    sized = spread_join(nodes, sizes.join(parted.withColumn("parted", F.lit(True)), "root", "left"), ["root"], "size", ["nid"])
+    whole = sized.where("parted is null").select(F.col("root").alias("g"), F.lit(-1).alias("band"), "nid", "size")
     if parted.isEmpty():
         return whole
-    apart = nodes.join(parted, "root", "left_semi").select("nid")
+    apart = sized.where("parted").select("nid")
     in_buckets = placed.join(apart, "nid", "left_semi").join(shared, ["band", "bucket"]).select(F.col("bucket").alias("g"), "band", "nid", "size")
     return whole.unionByName(in_buckets)
 
@@ -265,9 +266,9 @@ def link(documents: DataFrame, percent: int = 80, tolerance: float = 1e-9, bands
     found = settled(found)
     roots = components(found.where("nid <> least").select(F.col("nid").alias("a"), F.col("least").alias("b")))
     linked = found.groupBy("nid").agg(F.sum("links").alias("links")).join(roots.withColumnRenamed("node", "nid"), "nid")
-    named = reps.select("nid", "k1", "k2", "ord", "copies").join(linked, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-    first = named.where("links is not null").groupBy("root").agg(F.min(F.struct("ord", "k1", "nid")).alias("first"))
-    out = named.join(first, "root", "left")
+    named = settled(reps.select("nid", "k1", "k2", "ord", "copies").join(linked, "nid", "left").withColumn("root", F.coalesce("root", "nid")))
+    first = settled(named.where("links is not null").groupBy("root").agg(F.min(F.struct("ord", "k1", "nid")).alias("first"), F.count("*").alias("n")))
+    out = spread_join(named.where("links is not null"), first, ["root"], "n", ["nid"]).drop("n").unionByName(named.where("links is null"), allowMissingColumns=True)
     label = lambda ord, k1: F.when(F.col(ord) == NO_ID, -1 - F.col(k1).bitwiseAND(F.lit((1 << 62) - 1))).otherwise(F.col(ord))
     return settled(
         out.select(
