@@ -618,15 +618,15 @@ def test_classes_by_brute_force(spark):
 
 
 def test_a_chain_is_compared_by_buckets(spark):
-    words = [f"w{k}" for k in range(3100)]
-    texts = [" ".join(words[i : i + 60]) for i in range(0, 3000)]  # neighbours up to 6 apart are linked: (56 - d) / (56 + d)
+    words = [f"w{k}" for k in range(800)]
+    texts = [" ".join(words[i : i + 60]) for i in range(0, 700)]  # neighbours up to 6 apart are linked: (56 - d) / (56 + d)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    reps = near_duplicates._representatives(frame, 160).withColumn("nid", F.monotonically_increasing_id()).persist()
-    units = near_duplicates._units(reps, 32, 5, 32)
+    reps = near_duplicates._representatives(frame, 8).withColumn("nid", F.monotonically_increasing_id()).persist()
+    units = near_duplicates._units(reps, 8, 1, 16)
     assert units.where("band >= 0").count() > 0 and units.agg(F.max("size")).first()[0] < 300
-    got = {r.doc_id: (r.class_id, r.n_links) for r in near_duplicates.classes(frame, block=32).collect()}
+    got = {r.doc_id: (r.class_id, r.n_links) for r in near_duplicates.classes(frame, block=16, bands=8, rows=1).collect()}
     reps.unpersist()
-    assert got == {i: (0, min(i, 6) + min(2999 - i, 6)) for i in range(3000)}
+    assert got == {i: (0, min(i, 6) + min(699 - i, 6)) for i in range(700)}
 
 
 def test_one_of_each_tells_texts_apart_not_ids(spark):

@@ -165,7 +165,8 @@ def _units(reps: DataFrame, bands: int, rows: int, block: int) -> DataFrame:
     # a bucket belongs to its least member's component
     by_bucket = shared.join(nodes, shared["least"] == nodes["nid"]).groupBy("root").agg(F.sum(F.col("size") * blocks("size")).alias("cost"))
     parted = settled(sizes.where(F.col("size") > block).join(by_bucket, "root").where(F.col("cost") < F.col("size") * blocks("size")).select("root"))
-    sized = spread_join(nodes, sizes.join(parted.withColumn("parted", F.lit(True)), "root", "left"), ["root"], "size", ["nid"])
+    marked = settled(sizes.join(parted.withColumn("parted", F.lit(True)), "root", "left"))
+    sized = settled(spread_join(nodes, marked, ["root"], "size", ["nid"]))
     whole = sized.where("parted is null").select(F.col("root").alias("g"), F.lit(-1).alias("band"), "nid", "size")
     if parted.isEmpty():
         return whole
