@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, contamination, html, lines, near_duplicates, packing, pii, quality, sharding, substrings
+from tidemark.llm import chat, contamination, html, lines, near_duplicates, packing, pii, quality, sessions, sharding, substrings
 from tidemark.llm.common import table
 from tidemark.llm.sql import SQL
 
@@ -60,6 +60,10 @@ def op10_chat(spark: SparkSession, base: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns))
 
 
+def op11_sessions(spark: SparkSession, base: str) -> DataFrame:
+    return sessions.digest(sessions.sessionise(table(spark, base, "clicks")))
+
+
 def pipeline(spark: SparkSession, base: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py``."""
     import corpus_pipeline
@@ -68,7 +72,7 @@ def pipeline(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: tuple[Query, ...] = (
-    op1_sharding, op2_perplexity, op3_html, op4_pii, op5_substrings, op6_lines, op7_decontamination, op8_jaccard, op9_packing, op10_chat, pipeline,
+    op1_sharding, op2_perplexity, op3_html, op4_pii, op5_substrings, op6_lines, op7_decontamination, op8_jaccard, op9_packing, op10_chat, op11_sessions, pipeline,
 )
 
 

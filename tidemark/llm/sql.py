@@ -76,4 +76,23 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(escaped) + CASE WHEN before = role THEN 10 ELSE 13 + length(role) END + CASE WHEN after = role THEN 0 ELSE 11 END) AS BIGINT) AS formatted_chars
 FROM d GROUP BY conv_id""",
+    "op11_sessions": r"""
+WITH RECURSIVE c AS (SELECT click_id, epoch_us(ts) AS us, epoch_us(arrived_at) AS came, client_id, kind, value FROM clicks
+  WHERE click_id IS NOT NULL AND client_id IS NOT NULL AND ts IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY click_id ORDER BY came NULLS FIRST, us, client_id, kind NULLS FIRST, value NULLS FIRST) = 1),
+t AS (SELECT *, coalesce(value >= 60 AND NOT isnan(value) AND kind IN ('purchase', 'signup'), false) AS final, row_number() OVER (PARTITION BY client_id ORDER BY us, click_id) AS rn
+      FROM c WHERE coalesce(came - us <= 900000000, true)),
+h AS (SELECT *, CASE WHEN rn = 1 THEN 'first' WHEN lag(final) OVER w THEN 'end' WHEN us - lag(us) OVER w >= 900000000 THEN 'gap' END AS hard FROM t WINDOW w AS (PARTITION BY client_id ORDER BY rn)),
+g AS MATERIALIZED (SELECT *, count(hard) OVER (PARTITION BY client_id ORDER BY rn) AS seg FROM h),
+u AS (SELECT client_id, seg, us, min(rn) AS rn FROM g GROUP BY ALL),
+j AS MATERIALIZED (SELECT a.client_id, a.rn, b.rn AS nxt FROM (SELECT client_id, seg, rn, us + 3600000000 AS upto FROM g) a ASOF JOIN u b ON a.client_id = b.client_id AND a.seg = b.seg AND a.upto < b.us),
+b AS (SELECT client_id, rn FROM g WHERE hard IS NOT NULL UNION ALL SELECT j.client_id, j.nxt FROM b JOIN j ON j.client_id = b.client_id AND j.rn = b.rn),
+s AS (SELECT g.*, count(b.rn) OVER (PARTITION BY g.client_id ORDER BY g.rn) AS session, b.rn IS NOT NULL AS begins FROM g LEFT JOIN b ON b.client_id = g.client_id AND b.rn = g.rn),
+p AS (SELECT client_id, session, arg_min(click_id, rn) AS session_id, min(us) AS start_us, max(us) AS end_us, count(*) AS n_clicks, arg_max(final, rn) AS final,
+        CAST(sum(CASE WHEN isfinite(value) THEN CAST(floor(100 * value + 0.5) AS BIGINT) ELSE 0 END) AS BIGINT) AS value_cents, string_agg(CAST(click_id AS VARCHAR), ',' ORDER BY rn) AS path,
+        max(CASE WHEN begins THEN coalesce(hard, 'length') END) AS why FROM s GROUP BY 1, 2),
+q AS (SELECT *, lead(start_us) OVER w AS upto, coalesce(lead(why) OVER w, CASE WHEN final THEN 'end' ELSE 'none' END) AS closed_by FROM p WINDOW w AS (PARTITION BY client_id ORDER BY session)),
+l AS (SELECT client_id, us FROM c WHERE came - us > 900000000),
+n AS (SELECT q.client_id, q.session, count(*) AS n_late FROM q JOIN l ON l.client_id = q.client_id AND l.us >= q.start_us AND (q.upto IS NULL OR l.us < q.upto) GROUP BY 1, 2)
+SELECT client_id, session_id, start_us, end_us, n_clicks, coalesce(n_late, 0) AS n_late, value_cents, closed_by, sha256(path) AS path_sha256 FROM q LEFT JOIN n USING (client_id, session)""",
 }
