@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import os
-import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, contamination, html, lines, near_duplicates, packing, pii, quality, sessions, sharding, substrings
+from tidemark.llm import chat, contamination, html, lines, near_duplicates, packing, pii, quality, secrets, sessions, sharding, substrings
 from tidemark.llm.common import table
 from tidemark.llm.sql import SQL
 
@@ -29,7 +28,7 @@ def op3_html(spark: SparkSession, base: str) -> DataFrame:
 
 def op4_pii(spark: SparkSession, base: str) -> DataFrame:
     """Pseudonyms hold within one key: that of ``TIDEMARK_PSEUDONYM_KEY``, or one drawn for this run."""
-    key = os.environ.get("TIDEMARK_PSEUDONYM_KEY", "").encode() or secrets.token_bytes(32)
+    key = os.environ.get("TIDEMARK_PSEUDONYM_KEY", "").encode() or os.urandom(32)
     return pii.digest(pii.pseudonymise(table(spark, base, "documents"), key))
 
 
@@ -64,6 +63,10 @@ def op11_sessions(spark: SparkSession, base: str) -> DataFrame:
     return sessions.digest(sessions.sessionise(table(spark, base, "clicks")))
 
 
+def op12_secrets(spark: SparkSession, base: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(table(spark, base, "documents")))
+
+
 def pipeline(spark: SparkSession, base: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py``."""
     import corpus_pipeline
@@ -72,7 +75,7 @@ def pipeline(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: tuple[Query, ...] = (
-    op1_sharding, op2_perplexity, op3_html, op4_pii, op5_substrings, op6_lines, op7_decontamination, op8_jaccard, op9_packing, op10_chat, op11_sessions, pipeline,
+    op1_sharding, op2_perplexity, op3_html, op4_pii, op5_substrings, op6_lines, op7_decontamination, op8_jaccard, op9_packing, op10_chat, op11_sessions, op12_secrets, pipeline,
 )
 
 

@@ -95,4 +95,31 @@ q AS (SELECT *, lead(start_us) OVER w AS upto, coalesce(lead(why) OVER w, CASE W
 l AS (SELECT client_id, us FROM c WHERE came - us > 900000000),
 n AS (SELECT q.client_id, q.session, count(*) AS n_late FROM q JOIN l ON l.client_id = q.client_id AND l.us >= q.start_us AND (q.upto IS NULL OR l.us < q.upto) GROUP BY 1, 2)
 SELECT client_id, session_id, start_us, end_us, n_clicks, coalesce(n_late, 0) AS n_late, value_cents, closed_by, sha256(path) AS path_sha256 FROM q LEFT JOIN n USING (client_id, session)""",
+    "op12_secrets": r"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text FROM documents),
+rules(kind, rank, least, grp, rx) AS (VALUES
+  ('assign', 0, 8, 2, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  ('access', 1, 16, 0, 'AKIA[A-Z0-9]+'), ('hex', 2, 32, 0, '[0-9a-f]+'),
+  ('identifier', 3, 3, 2, '([Uu][Ss][Ee][Rr][Nn][Aa][Mm][Ee]|[Uu][Ss][Ee][Rr]|[Ll][Oo][Gg][Ii][Nn]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt]|[Cc][Ll][Ii][Ee][Nn][Tt]_?[Ii][Dd]|[Kk][Ee][Yy]_?[Ii][Dd])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9_.@+-]+)'),
+  ('secret', 4, 16, 0, '[A-Za-z0-9+/_-]+'), ('endpoint', 5, 11, 0, 'https?://[A-Za-z0-9._~:/?#@%&=+-]+')),
+m AS (SELECT uid, kind, rank, least, grp, rx, text, regexp_extract_all(text, rx) AS hit, string_split_regex(text, rx) AS gap FROM d, rules),
+u AS (SELECT * EXCLUDE (hit, gap), unnest(range(len(hit))) AS n, unnest(hit) AS x, unnest(gap[1 : len(hit)]) AS g FROM m WHERE len(hit) > 0),
+w AS (SELECT *, CAST(sum(length(g) + length(x)) OVER (PARTITION BY uid, kind ORDER BY n ROWS UNBOUNDED PRECEDING) AS BIGINT) AS b FROM u),
+h AS (SELECT uid, kind, rank, b - length(x) AS a, b, x, text FROM w WHERE length(CASE WHEN grp = 2 THEN regexp_extract(x, rx, 2) ELSE x END) >= least),
+f AS (SELECT * FROM h WHERE rank < 3),
+i AS (SELECT * FROM h WHERE kind = 'identifier' AND NOT EXISTS (SELECT 1 FROM f WHERE f.uid = h.uid AND f.a < h.b AND h.a < f.b)),
+e AS (SELECT * FROM h WHERE kind = 'endpoint' AND NOT EXISTS (SELECT 1 FROM f WHERE f.uid = h.uid AND f.a < h.b AND h.a < f.b)),
+t AS (SELECT uid, a, b FROM f UNION ALL SELECT uid, a, b FROM i UNION ALL SELECT uid, a, b FROM e),
+k AS (SELECT * FROM h WHERE kind = 'secret' AND regexp_matches(x, '[a-z]') AND regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[0-9]')
+      AND NOT EXISTS (SELECT 1 FROM t WHERE t.uid = h.uid AND t.a < h.b AND h.a < t.b)),
+z AS (SELECT * EXCLUDE (x, text), len(regexp_extract_all(substr(text, 1, a), '\n[\x20\t\r]*\n')) AS scope FROM (FROM f UNION ALL FROM i UNION ALL FROM e UNION ALL FROM k)),
+p AS (SELECT l.uid, l.scope, l.rank AS lr, l.a AS la, l.b AS lb, r.rank AS rr, r.a AS ra, r.b AS rb FROM z l JOIN z r ON l.uid = r.uid AND l.scope = r.scope
+      WHERE l.rank IN (1, 3) AND r.rank IN (0, 2, 4) AND greatest(l.a, r.a) - least(l.b, r.b) <= 200),
+q AS (SELECT p.*, z.a AS ea, z.b AS eb FROM p JOIN z ON z.uid = p.uid AND z.scope = p.scope AND z.rank = 5 AND greatest(z.a, la) - least(z.b, lb) <= 200 AND greatest(z.a, ra) - least(z.b, rb) <= 200),
+r AS (SELECT uid, lr AS rank, la AS a, lb AS b FROM p WHERE rr < 3 UNION SELECT uid, rr, ra, rb FROM p WHERE lr < 3 UNION SELECT uid, lr, la, lb FROM q UNION SELECT uid, rr, ra, rb FROM q UNION SELECT uid, 5, ea, eb FROM q),
+s AS (SELECT uid, rank, a, b FROM f UNION SELECT * FROM r WHERE rank >= 3),
+o AS (SELECT uid, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, s.rank) AS spans, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, s.rank) FILTER (s.rank < 3) AS base,
+        count(*) FILTER (s.rank = 0) AS n_assign, count(*) FILTER (s.rank = 1) AS n_access, count(*) FILTER (s.rank = 2) AS n_hex FROM s JOIN rules ON rules.rank = s.rank GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN o USING (uid)""",
 }
