@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, contamination, html, lines, near_duplicates, packing, pii, quality, secrets, sessions, sharding, substrings
+from tidemark.llm import chat, contamination, html, lines, near_duplicates, packing, pii, quality, secrets, sessions, sharding, spelling, substrings
 from tidemark.llm.common import table
 from tidemark.llm.sql import SQL
 
@@ -67,6 +67,10 @@ def op12_secrets(spark: SparkSession, base: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, base, "documents")))
 
 
+def op13_spelling(spark: SparkSession, base: str) -> DataFrame:
+    return spelling.variants(table(spark, base, "documents"))
+
+
 def pipeline(spark: SparkSession, base: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py``."""
     import corpus_pipeline
@@ -75,7 +79,7 @@ def pipeline(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: tuple[Query, ...] = (
-    op1_sharding, op2_perplexity, op3_html, op4_pii, op5_substrings, op6_lines, op7_decontamination, op8_jaccard, op9_packing, op10_chat, op11_sessions, op12_secrets, pipeline,
+    op1_sharding, op2_perplexity, op3_html, op4_pii, op5_substrings, op6_lines, op7_decontamination, op8_jaccard, op9_packing, op10_chat, op11_sessions, op12_secrets, op13_spelling, pipeline,
 )
 
 

@@ -122,4 +122,23 @@ o AS (SELECT uid, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, s.ran
         count(*) FILTER (s.rank = 0) AS n_assign, count(*) FILTER (s.rank = 1) AS n_access, count(*) FILTER (s.rank = 2) AS n_hex FROM s JOIN rules ON rules.rank = s.rank GROUP BY 1)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN o USING (uid)""",
+    "op13_spelling": r"""
+WITH RECURSIVE c0 AS (SELECT range AS k, range AS v, 0 AS step FROM range(256) UNION ALL
+  SELECT k, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, step + 1 FROM c0 WHERE step < 8),
+c AS (SELECT list(v ORDER BY k) AS codes FROM c0 WHERE step = 8),
+r AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+      WHERE length(run) >= 5 GROUP BY ALL),
+b AS (SELECT *, list_concat([CAST(4294967295 AS BIGINT)], flatten([CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END FOR x IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, '')])) AS bytes FROM r),
+h AS (SELECT doc_id, run, n, 4294967295 - list_reduce(bytes, lambda s, x: xor(s // 256, codes[xor(s % 256, x) + 1])) AS h FROM b, c),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+      WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+d AS (SELECT word, n, i, substr(word, 1, i) || '_' || substr(word, i + 2) AS gone FROM (SELECT *, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n AS m FROM d a JOIN d b ON a.gone = b.gone AND a.word <> b.word),
+s AS (SELECT DISTINCT word, n, replace(gone, '_', '') AS short FROM d),
+e AS (SELECT DISTINCT s.word, s.n, w.word AS near, w.n AS m FROM s JOIN w ON w.word = s.short),
+q AS (SELECT word, near, m FROM p UNION ALL SELECT word, near, m FROM e UNION ALL SELECT near, word, n FROM e),
+z AS (SELECT word, count(*) AS n_near, arg_min(near, (-m, near)) AS form, max(m) AS form_n FROM q GROUP BY 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n FROM w LEFT JOIN z USING (word)),
+g AS (SELECT word, word AS root FROM f WHERE form IS NULL UNION ALL SELECT f.word, g.root FROM g JOIN f ON f.form = g.word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN g USING (word)""",
 }
