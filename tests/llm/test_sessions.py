@@ -78,11 +78,24 @@ def crowd(seed, n=1500):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "chunk"), [(1, 60 * MINUTE), (2, 7 * MINUTE), (3, 500 * MINUTE)])
-def test_sessions_against_a_loop(spark, seed, chunk, monkeypatch):
-    monkeypatch.setattr(sessions, "BATCH", 10)
+@pytest.mark.parametrize(("seed", "chunks", "fan"), [(1, 1, 6), (2, 23, 6), (3, 90, 2), (4, 130, 1)])
+def test_sessions_against_a_loop(spark, seed, chunks, fan, monkeypatch):
+    monkeypatch.setattr(sessions, "FAN_BITS", fan)
+    monkeypatch.setattr(sessions, "FAN", 1 << fan)
     rows = crowd(seed)
-    assert by_spark(spark, rows, chunk=chunk) == by_loop(rows)
+    assert by_spark(spark, rows, chunks=chunks) == by_loop(rows)
+
+
+def test_blocks_of_a_chunk_do_not_matter(spark):
+    """The same rows read in blocks of any size give the same sessions (a batch is as many rows as Spark sends at once)."""
+    rows = crowd(5)
+    want = by_loop(rows)
+    for size in (1, 7, 100):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert by_spark(spark, rows, chunks=3, block=size) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_other_zone_long_session_and_empty_table(spark):
@@ -93,13 +106,14 @@ def test_other_zone_long_session_and_empty_table(spark):
         assert by_spark(spark, rows) == by_loop(rows)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+    assert by_spark(spark, rows, chunks=7) == by_loop(rows)
     assert by_spark(spark, []) == []
     assert by_spark(spark, [(None, 1, 1, 1, "view", 1.0), (1, None, 1, 1, None, None)]) == []
 
 
 def test_clashing_columns(spark):
     frame = spark.createDataFrame([(1, at(5), at(6), 2, "view", 1.0, "{}")], SCHEMA)
-    names = ("us", "at", "late", "chunk", "first", "id", "part", "path", "r", "before", "cents")
+    names = ("us", "at", "late", "chunk", "kind2", "seq", "first", "id", "part", "path", "r", "before", "cents")
     assert sessions.sessionise(frame.withColumns({n: F.lit("x") for n in names})).count() == 1
 
 
