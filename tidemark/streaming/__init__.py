@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import market
-from tidemark.session import shared_folder
+from tidemark.session import remove_folder, shared_folder
 from tidemark.sources.tables import table
 
 
@@ -45,20 +45,33 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def run_to_table(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
+def written_batches(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Batch number to folder, as the shared folder has them: what earlier runs wrote counts too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return {int(n): f"{folder}/{n}" for n in sorted(names, key=lambda n: n.zfill(20)) if n.isdigit()}
+
+
+def run_to_table(stream: DataFrame, mode: str, keys: list[str] | None = None, folder: str | None = None) -> DataFrame:
     """Run over all input available now and return the result as a table in the shared folder.
 
     ``append``: every batch's rows; ``complete``: the last batch, which has all; ``update``: of each key the last batch's row.
-    A batch that is replayed replaces its own files.
+    A batch that is replayed replaces its own files.  A run in the ``folder`` of an earlier one goes on where that stopped, and the
+    table holds the batches of both.
     """
-    spark, folder, done = stream.sparkSession, _folder(stream.sparkSession), {}
+    spark, folder = stream.sparkSession, folder or _folder(stream.sparkSession)
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        done[batch_id] = f"{folder}/rows/{batch_id}"
-        frame.write.mode("overwrite").parquet(done[batch_id])
+        frame.write.mode("overwrite").parquet(f"{folder}/rows/{batch_id}")
+        if mode == "complete":  # the batch before is part of this one
+            for k, path in written_batches(spark, f"{folder}/rows").items():
+                if k < batch_id:
+                    remove_folder(spark, path)
 
     query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
+    done = written_batches(spark, f"{folder}/rows")
     if not done:
         return spark.createDataFrame([], stream.schema)
     if mode != "update":
