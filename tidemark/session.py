@@ -6,7 +6,7 @@ joins, so one setting serves 60,000 and 60 billion rows.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,3 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
 def remove_folder(spark: SparkSession, uri: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """``frame`` computed once into the shared folder, so that what was decided by it holds even if executors are lost later."""
+    context = frame.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
+    return frame.checkpoint(eager=True)
