@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import streaming
@@ -98,8 +98,6 @@ def peer_multiples(spark, base):
 @query
 def company_comparison(spark, base):
     f = _latest(spark, base)
-    from pyspark.sql import Window
-
     by = lambda c: Window.partitionBy("peer_group").orderBy(F.round(c, 4).desc_nulls_last(), "company_id")
     return f.select("company_id", "company", "exchange", "peer_group", _r("revenue"), _r("eps"), _r("roe"),
                     F.row_number().over(by("eps")).cast("long").alias("eps_rank"), F.row_number().over(by("roe")).cast("long").alias("roe_rank"))
@@ -218,7 +216,10 @@ def macro_yoy(spark, base):
 
 @query
 def enabled_companies(spark, base):
-    return companies_frame(spark).where("enabled")
+    """Orders of the enabled companies; an order's company is its customer's place in the registry (stand-in for a listing)."""
+    companies = companies_frame(spark).where("enabled").withColumn("place", F.row_number().over(Window.orderBy("company_id")) - 1)
+    orders = table(spark, base, "orders").withColumn("place", F.pmod("o_custkey", F.lit(companies.count())).cast("int"))
+    return orders.join(F.broadcast(companies), "place").groupBy("company_id", "name_ko", "ticker", "currency").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query

@@ -94,8 +94,8 @@ SELECT instrument, trade_id, fx, round(price * fx, 4) AS converted FROM px ASOF
     "macro_yoy": """WITH s AS (SELECT o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2)
 SELECT s.series_id, s.month, round(s.value, 4) AS value, round((s.value - b.value) / nullif(abs(b.value), 0), 4) AS yoy
 FROM s LEFT JOIN s b ON b.series_id = s.series_id AND b.month = s.month - INTERVAL 12 MONTH""",
-    "enabled_companies": """SELECT * FROM (VALUES ('samsung_electronics', '삼성전자', 'Samsung Electronics', '005930', 'KRX', 'KRW', true), ('sk_hynix', 'SK하이닉스', 'SK hynix', '000660', 'KRX', 'KRW', true))
- c(company_id, name_ko, name_en, ticker, exchange, currency, enabled) WHERE enabled""",
+    "enabled_companies": """WITH c(place, company_id, name_ko, ticker, currency) AS (VALUES (0, 'samsung_electronics', '삼성전자', '005930', 'KRW'), (1, 'sk_hynix', 'SK하이닉스', '000660', 'KRW'))
+ SELECT company_id, name_ko, ticker, currency, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN c ON o_custkey % 2 = place GROUP BY ALL""",
     "bronze_json_roundtrip": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS again FROM events",
     "stream_bars_5m_complete": _BARS.format(width="5 minutes", where=""),
     "stream_bars_5m_append": _BARS.format(width="5 minutes", where="WHERE time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import asdict
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from tidemark.operators import market, news, statements, valuation
 from tidemark.plans.catalog import ALIASES, _bar_rows, _companies, _enriched, _latest, _r, _statements, _ticks, query
 from tidemark.session import shared_folder
 from tidemark.sources import gold, layers, silver
-from tidemark.sources.registry import SCHEMA, read_companies
 from tidemark.sources.tables import read_any, table
 
 #: The instrument whose price stands in for that of a company, by the company's number.
@@ -189,11 +187,20 @@ def gold_dashboard(spark, base):
 
 @query
 def company_document_roundtrip(spark, base):
-    """The registry as a JSON document in bronze, written and read back."""
+    """Nations by region as one JSON document in bronze (as many rows as there are nations), written, read back and joined to their customers."""
     store = _store(spark)
-    store.put_json(layers.Layer.BRONZE, "registry/companies.json", {k: asdict(c) for k, c in read_companies().items()})
-    rows = store.get_json(layers.Layer.BRONZE, "registry/companies.json")
-    return spark.createDataFrame([(k, *c.values()) for k, c in rows.items()], SCHEMA)
+    rows = table(spark, base, "nation").join(table(spark, base, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", "n_nationkey", "n_name").collect()
+    document = {region: {r.n_name: r.n_nationkey for r in rows if r.r_name == region} for region in sorted({r.r_name for r in rows})}
+    store.put_json(layers.Layer.BRONZE, "reference/nations.json", document)
+    read = store.get_json(layers.Layer.BRONZE, "reference/nations.json")
+    nations = spark.createDataFrame([(region, name, key) for region, names in read.items() for name, key in names.items()], "region string, nation string, c_nationkey int")
+    return table(spark, base, "customer").join(F.broadcast(nations), "c_nationkey").groupBy("region", "nation").agg(F.count("*").alias("customers"))
+
+
+@query
+def clients_without_sales(spark, base):
+    """Clients of whom no sale is known, each once."""
+    return table(spark, base, "clients").select("client_id").exceptAll(table(spark, base, "sales").select("client_id").distinct())
 
 
 @query

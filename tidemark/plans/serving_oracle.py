@@ -12,8 +12,6 @@ _MARKET = _LATEST.replace(_MET, "").replace(
 )
 _GAP = ORACLE["valuation_gap"].split(_LATEST)[1]
 _HOURS = f"h AS ({_BARS.format(width='1 hour', where='')})"
-_CONF = """(VALUES ('samsung_electronics', '삼성전자', 'Samsung Electronics', '005930', 'KRX', 'KRW', true), ('sk_hynix', 'SK하이닉스', 'SK hynix', '000660', 'KRX', 'KRW', true))
- c(company_id, name_ko, name_en, ticker, exchange, currency, enabled)"""
 
 SERVING: dict[str, str] = {
     "valuation_vs_market": f"WITH {_PRICES}{_MET}{_MARKET}{_GAP.split('SELECT company_id, peer_group')[0]} SELECT company_id, instrument, price_ts, round(price, 4) AS price, round(lo, 4) AS lo, round(mid, 4) AS mid, round(hi, 4) AS hi, CAST(len(vals) AS BIGINT) AS n_models, round((price - mid) / nullif(mid, 0), 4) AS gap FROM z",
@@ -50,7 +48,8 @@ SELECT company_id, round(CASE WHEN x > 0 THEN x END, 4) AS value_residual FROM v
  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "gold_sentiment": ORACLE["news_sentiment_mix"],
     "gold_dashboard": f"WITH o AS ({ORACLE['valuation_gap']}), k AS ({ORACLE['company_comparison']}) SELECT k.company_id, company, k.peer_group, fiscal_year, revenue, eps, roe, price, lo, mid, hi, gap, coalesce(abs(gap) <= 0.1, false) AS near FROM k JOIN o USING (company_id)",
-    "company_document_roundtrip": f"SELECT * FROM {_CONF}",
+    "company_document_roundtrip": "SELECT r_name AS region, n_name AS nation, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2",
+    "clients_without_sales": "SELECT client_id FROM clients WHERE client_id NOT IN (SELECT client_id FROM sales WHERE client_id IS NOT NULL)",
     "bronze_rows_roundtrip": "SELECT event_type, count(*) AS n, round(sum(value), 4) AS value, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY 1",
     "formats_roundtrip": "SELECT n_nationkey, n_name, n_regionkey, format FROM nation, (VALUES ('csv'), ('json'), ('orc'), ('parquet'), ('xml')) f(format)",
     "stream_bars_1s": _BARS.format(width="1 second", where=""),

@@ -11,6 +11,7 @@ import abc
 import enum
 import json
 import re
+import uuid
 from dataclasses import dataclass
 from typing import Any
 
@@ -79,15 +80,20 @@ class LakeStore(DocumentStore):
             fs.mkdirs(path)
 
     def put_json(self, layer: Layer, name: str, value: Any) -> str:
-        """Serialise first, then replace the file: a value that cannot be written leaves the old one."""
+        """Serialise, write beside the file, then put it in the file's place: a failure at any point leaves the old one whole."""
         payload = json.dumps(value, ensure_ascii=False, indent=2).encode("utf-8")
-        uri = self.uri(layer, name)
+        uri, hadoop = self.uri(layer, name), self.spark._jvm.org.apache.hadoop.fs
         fs, path = self._fs(uri)
-        stream = fs.create(path, True)
+        fs.mkdirs(path.getParent())
+        beside = hadoop.Path(path.getParent(), f".{uuid.uuid4().hex}")
+        stream = fs.create(beside, True)
         try:
             stream.write(payload)
         finally:
             stream.close()
+        replace = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        replace[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration()).rename(beside, path, replace)
         return uri
 
     def get_json(self, layer: Layer, name: str) -> Any:

@@ -22,9 +22,17 @@ def _batches(rows: Iterable, size: int) -> Iterator[list]:
 
 def upsert_statement(target: str, columns: list[str], keys: list[str], mark: str = "%s") -> str:
     """INSERT that updates the row of an equal key, as PostgreSQL and SQLite have it."""
-    rest = [c for c in columns if c not in keys]
+    rest = [quoted(c) for c in columns if c not in keys]
     update = f"DO UPDATE SET {', '.join(f'{c} = excluded.{c}' for c in rest)}" if rest else "DO NOTHING"
-    return f"INSERT INTO {target} ({', '.join(columns)}) VALUES ({', '.join([mark] * len(columns))}) ON CONFLICT ({', '.join(keys)}) {update}"
+    table, names, unique = ".".join(map(quoted, target.split("."))), ", ".join(map(quoted, columns)), ", ".join(map(quoted, keys))
+    return f"INSERT INTO {table} ({names}) VALUES ({', '.join([mark] * len(columns))}) ON CONFLICT ({unique}) {update}"
+
+
+def quoted(name: str) -> str:
+    """A name as SQL has it between quotes."""
+    if not name or "\0" in name:
+        raise ValueError(f"not a name: {name!r}")
+    return '"' + name.replace('"', '""') + '"'
 
 
 def database_upsert(connect: Callable[[], object], target: str, keys: list[str], mark: str = "%s", batch: int = BATCH) -> Callable[[DataFrame], None]:
