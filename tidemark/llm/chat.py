@@ -39,10 +39,14 @@ def _role(header: Column) -> Column:
     return F.replace(F.replace(unescape(header), F.lit("~1"), F.lit("\n")), F.lit("~0"), F.lit("~"))
 
 
-def merge_turns(turns: Column) -> Column:
-    """Sorted turns to array<role, texts>: adjacent turns of one role become one."""
+def turn_starts(turns: Column) -> Column:
+    """The places in sorted turns at which another role begins."""
+    return F.filter(F.sequence(F.lit(0), F.size(turns) - 1), lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"]))
+
+
+def merge_turns(turns: Column, starts: Column) -> Column:
+    """Sorted turns to array<role, texts>: adjacent turns of one role become one.  Both are columns of the frame, not expressions: each is looked up for every start."""
     n = F.size(turns)
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"]))
     return F.transform(
         starts,
         lambda s, k: F.struct(
@@ -75,7 +79,8 @@ def format_conversations(frame: DataFrame, loss_role: str = "assistant") -> Data
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
     turn = F.struct(F.col("turn").alias("turn"), empty("role").alias("role"), empty("text").alias("text"))
     grouped = frame.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    pieces = grouped.select("conv_id", _pieces(merge_turns(F.col("turns")), loss_role).alias("pieces"))
+    placed = grouped.withColumn("starts", turn_starts(F.col("turns")))
+    pieces = placed.select("conv_id", _pieces(merge_turns(F.col("turns"), F.col("starts")), loss_role).alias("pieces"))
     formatted = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), "")
     # places by sums over blocks of pieces, then within each block: no list of all spans is copied for every turn
     narrow = F.transform("pieces", lambda p: F.struct(F.length(p["head"]).alias("head"), F.length(p["body"]).alias("body"), F.length(p["tail"]).alias("tail"), p["loss"].alias("loss")))
@@ -115,8 +120,16 @@ def parse(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+    """All text under the loss mask, unescaped.  A block of spans takes its stretch of the string once and finds its spans in that, since a place in a string is walked to from its front."""
+    last = F.floor((F.size(spans) - 1) / SPAN_BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(spans, k * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))
+
+    def cut(block: Column) -> Column:
+        first, end = F.element_at(block, 1)["start"], F.element_at(block, -1)["start"] + F.element_at(block, -1)["length"]
+        return F.struct(block.alias("spans"), first.alias("at"), F.substring(formatted, first + 1, end - first).alias("text"))
+
+    text = lambda b: F.array_join(F.transform(b["spans"], lambda s: unescape(F.substring(b["text"], s["start"] - b["at"] + 1, s["length"]))), "")
+    return F.when(F.size(spans) > 0, F.array_join(F.transform(F.transform(blocks, cut), text), "")).otherwise("")
 
 
 def digest(formatted: DataFrame) -> DataFrame:
