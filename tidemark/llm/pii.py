@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+STRETCH = 256  # characters of a secret permuted together
 
 
 @dataclass(frozen=True)
@@ -141,18 +142,23 @@ def _email(key: bytes, text: str, inverse: bool) -> str | None:
     return _alike("email", key, local, inverse) + at + domain
 
 
-@kind("secret", r"(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)(?:\s{0,2}[=:]\s{0,2}[\"']?))(?=[A-Za-z0-9+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,128}")
+@kind("secret", r"(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)(?:\s{0,2}[=:]\s{0,2}[\"']?))(?=[A-Za-z0-9+/_.\-]*[0-9])[A-Za-z0-9+/_\-]{16,}(?:\.[A-Za-z0-9+/_\-]+)*={0,2}")
 def _secret(key: bytes, text: str, inverse: bool) -> str | None:
-    """The value after the name; hexadecimal digits stay hexadecimal."""
-    at = max(text.rfind(c) for c in "=:\"' ") + 1
-    name, value = text[:at], text[at:]
-    for digits in ("0123456789abcdef", "0123456789ABCDEF"):
-        if set(value) <= set(digits):
-            f = Feistel(key, "hex", 16 ** len(value))
-            n = int(value, 16)
-            image = format(f.back(n) if inverse else f.forward(n), f"0{len(value)}x")
-            return name + (image if digits[-1] == "f" else image.upper())
-    return name + _alike("secret", key, value, inverse)
+    """The value after the name, to its end; hexadecimal digits stay hexadecimal.  A value longer than ``STRETCH`` is permuted in stretches of that, each with a key of its own."""
+    end = len(text.rstrip("="))
+    at = max(text.rfind(c, 0, end) for c in "=:\"' \t\n\r\f\v") + 1
+    name, value, padding = text[:at], text[at:end], text[end:]
+    digits = next((d for d in ("0123456789abcdef", "0123456789ABCDEF") if set(value) <= set(d)), None)
+    out = []
+    for k in range(0, len(value), STRETCH):
+        part, more = value[k : k + STRETCH], f"/{k}" if k else ""
+        if not digits:
+            out.append(_alike(f"secret{more}", key, part, inverse))
+            continue
+        f, n = Feistel(key, f"hex{more}", 16 ** len(part)), int(part, 16)
+        image = format(f.back(n) if inverse else f.forward(n), f"0{len(part)}x")
+        out.append(image if digits[-1] == "f" else image.upper())
+    return name + "".join(out) + padding
 
 
 @kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
