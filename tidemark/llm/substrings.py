@@ -297,6 +297,7 @@ def _passed(pdf: pd.DataFrame) -> pd.DataFrame:
 
 #: Parts of a bucket that are judged one by one; anchors of one hash are in one part.
 PARTS = 8
+MOST = (1 << 23) // PARTS  # buckets; with their parts they fill the bits that a place leaves (see _shared_anchors)
 
 
 def _in_two(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -313,7 +314,7 @@ def _in_two(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
     """The anchors of a bucket that two texts have with a common side: for each piece (text, where), one entry an anchor.
 
-    ``where`` holds, from the high bits down, bucket and part (24), windows (8) and first window (32).
+    ``where`` holds, from the high bits down, bucket and part (23), windows (8) and first window (32).
     """
     bucket = int(pdf["bucket"].iloc[0])
     if bucket < 0:
@@ -483,7 +484,7 @@ def _finished(joined: DataFrame, length: int) -> DataFrame:
 def find_repeats(documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_bytes: int = 32 << 20, piece: int = 3 << 20) -> DataFrame:
     """Per document: doc_id, n_bytes, ranges (deleted bytes, half open, disjoint), kept_sha256."""
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, math.ceil(total / bucket_bytes))
+    buckets = max(1, min(MOST, math.ceil(total / bucket_bytes)))  # beyond that many they grow instead
     texts = _texts(documents)
     # as many partitions as buckets: a task's share stays the same however much there is
     shared = _anchor_rows(texts, buckets, length, anchor, piece).repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(_shared_anchors, _ANSWER)
