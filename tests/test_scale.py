@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import aliases, quantiles, ranges
+from tidemark.operators import aliases, quantiles, ranges, ranking
 
 
 def _tables(spark, seed):
@@ -69,3 +69,14 @@ def test_sketches_merge_within_their_error(spark):
     for r in quantiles.approximate(frame, ["k"], F.col("v"), 0.3).collect():
         own = np.sort(values[r.k :: 2])
         assert r.n == len(own) and abs(np.searchsorted(own, r["quantile"]) / len(own) - 0.3) <= 2 * quantiles.rank_error()
+
+
+@pytest.mark.parametrize("blocks", [2, 64])
+def test_places_in_large_groups(spark, blocks):
+    rng = random.Random(blocks)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice([None, 1.0, 2.0, rng.random() * 9]), n) for n in range(3000)] + [("z", None, 5000)]
+    frame = spark.createDataFrame(rows, "k string, v double, id long").repartition(7)
+    got = {r.id: r.place for r in ranking.numbered_down(frame, ["k"], F.col("v"), ["id"], "place", blocks).collect()}
+    for k in ("a", "b", None, "z"):
+        own = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        assert [got[r[2]] for r in own] == list(range(1, len(own) + 1))

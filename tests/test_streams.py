@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import streaming
-from tidemark.sources import serving
+from tidemark.sources import feeds, serving
 from tidemark.streaming import joins, ledger, timers, windows
 
 START = datetime.datetime(2024, 3, 1)
@@ -152,3 +152,34 @@ def test_failure_between_two_stores(spark, tmp_path):
     assert read(files) == read(table) == [("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5)]
     ledger.run(feed(spark, tmp_path, schema), {"files": files, "table": table}, base).awaitTermination()
     assert read(files) == read(table) and ledger.Ledger(spark, f"{base}/ledger").committed() == [0, 1, 2]
+
+
+def test_lanes_are_fetched_by_executors(spark, tmp_path):
+    lanes = tmp_path / "lanes"
+    lanes.mkdir()
+
+    def newest():
+        return {p.name: len(p.read_text().splitlines()) for p in lanes.iterdir()}
+
+    def tail(lane, start, most):
+        import os
+
+        return [f"{x} {os.getpid()}" for x in (lanes / lane).read_text().splitlines()[start : start + min(most, 3)]]
+
+    def put(lane, *messages):
+        with (lanes / lane).open("a") as f:
+            f.writelines(f"{m}\n" for m in messages)
+
+    spark.dataSource.register(feeds.lane_feed("lanes_recorded", newest, tail, 4))
+    put("a", *(f"a{k}" for k in range(10)))
+    put("b", "b0")
+    make = lambda: spark.readStream.format("lanes_recorded").load()
+    first = streaming.run_to_table(make(), "append", folder=f"file://{tmp_path}/out").collect()
+    assert sorted((r.source, r.number, r.payload.split()[0]) for r in first) == [*(("lanes_recorded/a", k, f"a{k}") for k in range(10)), ("lanes_recorded/b", 0, "b0")]
+    import os
+
+    assert str(os.getpid()) not in {r.payload.split()[1] for r in first}
+    put("a", "a10")
+    put("c", "c0", "c1")
+    again = streaming.run_to_table(make(), "append", folder=f"file://{tmp_path}/out")
+    assert sorted((r.source[-1], r.number) for r in again.collect()) == [*(("a", k) for k in range(11)), ("b", 0), ("c", 0), ("c", 1)]

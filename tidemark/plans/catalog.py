@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import streaming
-from tidemark.operators import macro, market, news, statements, valuation
+from tidemark.operators import macro, market, news, ranking, statements, valuation
 from tidemark.sources.layers import payload_field
 from tidemark.sources.registry import companies_frame
 from tidemark.sources.tables import table
@@ -97,10 +97,11 @@ def peer_multiples(spark, base):
 
 @query
 def company_comparison(spark, base):
-    f = _latest(spark, base)
-    by = lambda c: Window.partitionBy("peer_group").orderBy(F.round(c, 4).desc_nulls_last(), "company_id")
-    return f.select("company_id", "company", "exchange", "peer_group", _r("revenue"), _r("eps"), _r("roe"),
-                    F.row_number().over(by("eps")).cast("long").alias("eps_rank"), F.row_number().over(by("roe")).cast("long").alias("roe_rank"))
+    """Each company's place in its region; a region is never sorted in one task."""
+    f = _latest(spark, base).select("company_id", "company", "exchange", "peer_group", _r("revenue"), _r("eps"), _r("roe"))
+    for c in ("eps", "roe"):
+        f = ranking.numbered_down(f, ["peer_group"], F.col(c), ["company_id"], f"{c}_rank")
+    return f
 
 
 def _bar_rows(frame: DataFrame) -> DataFrame:
@@ -175,11 +176,11 @@ def latest_price(spark, base):
 
 @query
 def price_fx_asof(spark, base):
-    """Prices of every instrument but 'view' converted at the rate in force: the last 'view' tick no later.  Sorted by days, rates carried over."""
+    """Prices of every instrument but 'view' converted at the rate in force: the last 'view' tick no later.  Sorted by hours, rates carried over."""
     all_ticks = _ticks(spark, base)
     fx = all_ticks.where("instrument = 'view'").select(F.col("ts").alias("fx_ts"), F.col("price").alias("fx"))
     px = all_ticks.where("instrument <> 'view'").select("instrument", "ts", "trade_id", "price")
-    out = market.as_of(px, fx, [], "ts", "fx_ts", "fx", "trade_id", salt="to_date(_ts)")
+    out = market.as_of(px, fx, [], "ts", "fx_ts", "fx", "trade_id", salt="date_trunc('hour', _ts)")
     return out.select("instrument", "trade_id", "fx", F.round(F.col("price") * F.col("fx"), 4).alias("converted"))
 
 

@@ -3,7 +3,7 @@
 ``paged_feed`` is a Python data source over the pages of an HTTP API.  Executors fetch; a page is
 tried again after a pause when the service fails, and a partition reads its pages until one has no records.
 ``live_feed`` is a streaming source over numbered messages (a socket's log, a broker's topic), which can be
-read again from any number, as recovery needs.  The fetch functions are injected, so both run
+read again from any number, as recovery needs; ``lane_feed`` is one whose messages executors fetch.  The fetch functions are injected, so both run
 against recorded payloads without a network.
 """
 
@@ -18,7 +18,7 @@ from urllib.request import Request, urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 
 BRONZE_SCHEMA = "source string, page int, payload string"
 LIVE_SCHEMA = "source string, number long, payload string"
@@ -165,6 +165,60 @@ def live_feed(name: str, tail: Tail, most: int = 10_000) -> type[DataSource]:
     return LiveFeed
 
 
+LaneTail = Callable[[str, int, int], list[str]]
+
+
+def lane_feed(name: str, newest: Callable[[], dict[str, int]], tail: LaneTail, most: int = 10_000) -> type[DataSource]:
+    """A streaming data source over a service with several numbered lanes (partitions of a topic, channels of a socket's log).
+
+    The driver only asks ``newest`` for the number after each lane's last message.  Executors fetch: a lane's new numbers are cut into stretches of ``most`` and
+    ``tail(lane, start, most)`` gives the payloads of one, so a batch of any size passes no single process.  A batch that is replayed fetches the same numbers again.
+    A lane that appears later is read from its first message.
+    """
+
+    class Reader(DataSourceStreamReader):
+        def initialOffset(self) -> dict:
+            return {}
+
+        def latestOffset(self) -> dict:
+            return newest()
+
+        def partitions(self, start: dict, end: dict) -> list[_Stretch]:
+            return [_Stretch(lane, at, min(at + most, upto)) for lane, upto in sorted(end.items()) for at in range(start.get(lane, 0), upto, most)]
+
+        def read(self, partition: _Stretch) -> Iterator[tuple]:
+            at = partition.start
+            while at < partition.end:
+                found = tail(partition.lane, at, partition.end - at)
+                if not found:
+                    raise ValueError(f"{name}: {partition.lane} has no message {at} any more")
+                yield from ((f"{name}/{partition.lane}", at + k, x) for k, x in enumerate(found))
+                at += len(found)
+
+        def commit(self, end: dict) -> None:
+            pass
+
+    class LaneFeed(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return name
+
+        def schema(self) -> str:
+            return LIVE_SCHEMA
+
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return Reader()
+
+    return LaneFeed
+
+
+@dataclass
+class _Stretch(InputPartition):
+    lane: str
+    start: int
+    end: int
+
+
 def records(bronze: DataFrame, path: str, schema: str) -> DataFrame:
     """The records of an array inside each payload (``$.list``; ``$``: the payload is one record), typed by ``schema``."""
     if path == "$":
