@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import tables as table_functions
-from tidemark.operators import hierarchy, versions
+from tidemark.operators import hierarchy, news, versions
 from tidemark.sources import gold, layers, semi, serving
 
 
@@ -119,3 +119,28 @@ def test_functions_over_tables(spark):
         spark.sql("SELECT * FROM drawdowns(TABLE(falls), 'y', 't', 'k')")
     rows = spark.sql("SELECT k, weighted_median(x, t) AS m FROM falls GROUP BY k").collect()
     assert {r.k: r.m for r in rows} == {"a": 2.0, "b": None, None: 1.0}
+
+
+def test_no_text_is_paid_for_twice(spark, tmp_path):
+    log, folder = tmp_path / "sent", f"file://{tmp_path}/answers"
+    log.touch()
+
+    def service(texts):
+        with log.open("a") as f:
+            f.writelines(f"{t}\n" for t in texts)
+        if any("bad" in t for t in texts):
+            raise OSError("the service is down")
+        return [{"sentiment": t.lower().strip(), "category": None} for t in texts]
+
+    first = [(1, "One"), (2, "two"), (3, " one "), (4, None), (None, "two")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.sentiment) for r in news.enrich_once(frame(first), folder, service).collect()}
+    assert got == {(1, "one"), (3, "one"), (2, "two"), (None, "two"), (4, None)}
+    assert len(log.read_text().split()) == 2
+    news.enrich_once(frame([*first, (5, "three")]), folder, service)
+    assert sorted(x.lower().strip() for x in log.read_text().splitlines()) == ["one", "three", "two"]
+    with pytest.raises(Exception, match="down"):
+        news.enrich_once(frame([(k, f"text {k}") for k in range(20)] + [(99, "bad")]), folder, service)
+    paid = news.answers(spark, folder).count()
+    news.enrich_once(frame([(k, f"text {k}") for k in range(20)]), folder, service)
+    assert news.answers(spark, folder).count() == 23 and paid >= 3

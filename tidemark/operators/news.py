@@ -6,13 +6,15 @@ module's frames (see ``valuation.FORBIDDEN``).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text_key
+from tidemark.session import written_batches
 
 
 def dedup(news: DataFrame) -> DataFrame:
@@ -72,14 +74,62 @@ def top_issues(enriched: DataFrame, by: str, k: int) -> DataFrame:
     return enriched.where("sentiment is not null").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def enrich(news: DataFrame, call: Callable[[list[str]], list[dict]], batch: int = 32) -> DataFrame:
+def enrich(news: DataFrame, call: Callable[[list[str]], list[dict]], batch: int = 32, key: str = "long") -> DataFrame:
     """Send texts in batches through ``call`` and keep its sentiment, category and summary."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for at in range(0, len(pdf), batch):
                 part = pdf.iloc[at : at + batch]
-                replies = pd.DataFrame(call(part["text"].fillna("").tolist()), index=part.index)
-                yield pd.concat([part[["doc_id"]], replies.reindex(columns=["sentiment", "category", "summary"])], axis=1)
+                replies = call(part["text"].fillna("").tolist())
+                columns = {c: [r.get(c) for r in replies] for c in ("sentiment", "category", "summary")}
+                ids = part["doc_id"].reset_index(drop=True)
+                yield pd.DataFrame({"doc_id": ids.astype(object) if key == "string" else ids} | {c: pd.Series(x, dtype=object) for c, x in columns.items()})
 
-    return news.select("doc_id", "text").mapInPandas(run, "doc_id long, sentiment string, category string, summary string")
+    return news.select("doc_id", "text").mapInPandas(run, f"doc_id {key}, sentiment string, category string, summary string")
+
+
+def tried(call: Callable[[list[str]], list[dict]], tries: int = 4, pause: float = 0.5) -> Callable[[list[str]], list[dict]]:
+    """``call``, asked again after a growing pause when it fails or answers for another number of texts."""
+
+    def asked(texts: list[str]) -> list[dict]:
+        for k in range(tries):
+            try:
+                answers = call(texts)
+                if len(answers) != len(texts):
+                    raise ValueError(f"{len(answers)} answers for {len(texts)} texts")
+                return answers
+            except Exception:
+                if k + 1 == tries:
+                    raise
+                time.sleep(pause * 2**k)
+        raise AssertionError
+
+    return asked
+
+
+ANSWER = "text_sha256 string, sentiment string, category string, summary string"
+
+
+def answers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every answer in the store, one a text."""
+    if not written_batches(spark, folder):
+        return spark.createDataFrame([], ANSWER)
+    return spark.read.schema(ANSWER).parquet(*written_batches(spark, folder).values())
+
+
+def enrich_once(news: DataFrame, folder: str, call: Callable[[list[str]], list[dict]], batch: int = 32, rounds: int = 4) -> DataFrame:
+    """``news`` (doc_id, text, ...) with the service's sentiment, category and summary; a text that the store in ``folder`` has an answer for is never sent again.
+
+    Equal texts (``text_key``) are sent once.  New ones go in ``rounds``, by a hash of the text; each round's answers are a folder of their own, so after a failure
+    what was paid for before it stays.  Runs over one store must not overlap.  Null texts are not sent and have no answer.
+    """
+    spark = news.sparkSession
+    texts = news.where("text IS NOT NULL").groupBy(text_key(F.col("text")).alias("text_sha256")).agg(F.min("text").alias("text"))
+    for k in range(rounds):
+        done = written_batches(spark, folder)
+        some = texts.where(F.pmod(F.xxhash64("text_sha256"), F.lit(rounds)) == k)
+        todo = some.join(answers(spark, folder).select("text_sha256"), "text_sha256", "left_anti")
+        paid = enrich(todo.withColumnRenamed("text_sha256", "doc_id"), tried(call), batch, "string").withColumnRenamed("doc_id", "text_sha256")
+        paid.write.mode("overwrite").parquet(f"{folder}/{max(done, default=-1) + 1}")
+    return news.withColumn("text_sha256", text_key(F.col("text"))).join(answers(spark, folder), "text_sha256", "left")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.functions import tables as table_functions
-from tidemark.operators import hierarchy, versions
+from tidemark.operators import hierarchy, news, versions
 from tidemark.plans.catalog import _r, query
 from tidemark.session import shared_folder
 from tidemark.sources import gold, semi
@@ -120,3 +120,17 @@ def weighted_median_price(spark, base):
     table_functions.register(spark)
     table(spark, base, "sale_lines").createOrReplaceTempView("lines_sold")
     return spark.sql("SELECT item_id, weighted_median(amount, quantity) AS price FROM lines_sold GROUP BY item_id").select("item_id", _r("price"))
+
+
+def _by_length(texts: list[str]) -> list[dict]:
+    """Stand-in for the outside service: an answer that depends on the text alone."""
+    return [{"sentiment": ("positive", "neutral", "negative")[len(t.strip(" ")) % 3], "category": "news", "summary": t[:20]} for t in texts]
+
+
+@query
+def news_enriched_once(spark, base):
+    """Half of the news enriched, then all of it over the same store: answers by language, and how many texts were paid for."""
+    docs, folder = table(spark, base, "documents").select("doc_id", "lang", "text"), f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}"
+    news.enrich_once(docs.where(F.col("doc_id") % 2 == 0), folder, _by_length)
+    out = news.enrich_once(docs, folder, _by_length)
+    return news.sentiment_mix(out, "lang").crossJoin(F.broadcast(news.answers(spark, folder).agg(F.count("*").alias("paid"))))

@@ -31,5 +31,7 @@ STORES = {
     "weighted_median_price": """WITH g AS (SELECT item_id, amount, sum(quantity) AS w FROM sale_lines WHERE amount IS NOT NULL AND quantity > 0 GROUP BY 1, 2),
  t AS (SELECT *, sum(w) OVER (PARTITION BY item_id ORDER BY amount) AS upto, sum(w) OVER (PARTITION BY item_id) AS whole FROM g)
  SELECT i.item_id, round(min(amount) FILTER (2 * upto >= whole), 4) AS price FROM (SELECT DISTINCT item_id FROM sale_lines) i LEFT JOIN t ON t.item_id IS NOT DISTINCT FROM i.item_id GROUP BY 1""",
+    "news_enriched_once": """WITH d AS (SELECT lang, CASE WHEN text IS NOT NULL THEN length(trim(text, ' ')) % 3 END AS k, sha256(lower(trim(text, ' '))) AS t FROM documents)
+ SELECT lang, count(*) FILTER (k = 0) AS positive, count(*) FILTER (k = 1) AS neutral, count(*) FILTER (k = 2) AS negative, count(*) FILTER (k IS NULL) AS unlabelled, (SELECT count(DISTINCT t) FROM d) AS paid FROM d GROUP BY 1""",
 }
 ORACLE.update(STORES)

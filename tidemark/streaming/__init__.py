@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import market
-from tidemark.session import remove_folder, shared_folder
+from tidemark.session import remove_folder, shared_folder, written_batches
 from tidemark.sources.tables import table
 
 
@@ -45,14 +45,6 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def written_batches(spark: SparkSession, folder: str) -> dict[int, str]:
-    """Batch number to folder, as the shared folder has them: what earlier runs wrote counts too."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
-    return {int(n): f"{folder}/{n}" for n in sorted(names, key=lambda n: n.zfill(20)) if n.isdigit()}
-
-
 def run_to_table(stream: DataFrame, mode: str, keys: list[str] | None = None, folder: str | None = None) -> DataFrame:
     """Run over all input available now and return the result as a table in the shared folder.
 
