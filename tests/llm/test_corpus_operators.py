@@ -500,6 +500,16 @@ def test_frequent_lines_are_split(spark):
     assert sum(r.n_removed for r in got) == 2999 and all(r.n_removed == (r.doc_id > 0) for r in got)
 
 
+def test_long_repeats_end(spark):
+    n = 100_000
+    text = "\n".join(f"line {k}" for k in range(n))
+    docs = [(1, "\n".join(["-"] * n)), (2, text), (3, text + "\nend")]
+    start = time.time()
+    got = {r.doc_id: (r.n_removed, r.n_runs, r.longest_run) for r in lines.digest(lines.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"))).collect()}
+    assert got == {1: (n - 1, 1, n - 1), 2: (0, 0, 0), 3: (n, 1, n)}
+    assert time.time() - start < 600  # lengths tried one by one would take days
+
+
 # ---- contamination
 
 

@@ -1,19 +1,19 @@
 """Line deduplication: prefix doubling over line sequences, common-prefix intervals, maximal repeated runs.
 
-Each document is the sequence of its lines that hold a word.  A line's number is its hash; the rank of the run of
-2^k lines at a place is the hash of those lines' numbers, so that equal ranks mean equal runs.  The places of one rank are an interval of the
-suffix array, all suffixes with a common prefix of at least 2^k lines.  Only the intervals are needed, not their order, so
-places are grouped by rank instead of sorted, which also holds where a third of all lines are the same one.
+Each document is the sequence of its lines that hold a word.  A line's number is its hash; the rank of 2k lines at a place is
+the hash of the ranks of the k lines there and the k lines after them, so that equal ranks mean equal runs.  Places with a
+common prefix of some length are an interval of the suffix array, a node of its tree of common prefixes.  Which intervals contain which is
+needed, the order beside each other is not, so places are grouped by rank instead of sorted.
 
 The first place of an interval in order (doc_id, text hash, line) stays; at every later place the lines are deleted, as judged on the
 input.  A single line repeats on its own if it has at least ``min_words`` words, a run if it has at least ``min_lines`` lines; what goes are
-the lines of all such repeats, and lines without a word inside them.
+the lines of all maximal runs, and lines without a word inside them.
 
-The runs reported are maximal: a run of n lines has an earlier verbatim copy, the n + 1 lines from the same place have none, and
-no longer such run of the document contains it.  Such a run can begin only where an earlier copy of its first ``min_lines`` lines follows another
-line (or at the first line of the document), so lengths are looked for at these places only: first by doubling, from ``min_lines`` on; then, in
-the interval of the greatest such length that repeats, all lengths up to twice as many.  Each member of an interval names as many runs as it may
-have lines, so the work is in proportion to the lines that repeat.
+A run is maximal if it has an earlier verbatim copy, one line more from the same place has none, and
+no longer such run of the document contains it.  It can begin only where an earlier copy of its first ``min_lines`` lines follows another
+line (or at the first line of the document).  The intervals of these places are parted: by 2, 4, 8, ... lines more while any agree, then by half of what
+failed, down to one.  Places that agree go on as an interval of their own and leave their first one behind, which stands for all of them, so each
+step has at most two rows a place, whatever the lengths; a text of one line repeated n times takes n log n work.
 
 A null id comes after all others; a null or empty text has no lines; rows equal in id
 and text count as one place; a very long text is one row of line numbers; other columns stay as they are; an empty table gives an
@@ -22,10 +22,12 @@ empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import settled, spread_join
+from tidemark.llm.common import Rounds, settled, spread_join
 
 MIN_LINES, MIN_WORDS = 2, 5
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -80,56 +82,66 @@ def _starts(later: DataFrame) -> DataFrame:
     return runs.where(sure).select(*keep).unionByName(rest.select(*keep))
 
 
-def _named(asked: DataFrame, sequences: DataFrame) -> DataFrame:
-    """(ord, u1, u2, idx, start, size, h, c): the rank of each run that ``asked`` names by its documents' ``wants`` (idx, start, size)."""
-    seqs = sequences.select("u1", "u2", "ord", F.transform("seq", lambda s: s["h"]).alias("hs"), F.transform("seq", lambda s: s["c"]).alias("cs")).dropDuplicates(["u1", "u2"])
-    rows = asked.join(seqs, ["u1", "u2"]).select("ord", "u1", "u2", "hs", "cs", F.explode("wants").alias("w"))
-    size = F.col("w.size")
-    return rows.select(
-        "ord", "u1", "u2", F.col("w.idx").alias("idx"), F.col("w.start").alias("start"), size.alias("size"),
-        F.xxhash64(size, F.slice("hs", F.col("w.idx") + 1, size)).alias("h"), F.hash(size, F.slice("cs", F.col("w.idx") + 1, size)).alias("c"),
-    )
+def _split(entries: DataFrame, sequences: DataFrame, j: int, rounds: Rounds) -> DataFrame:
+    """Each node's places (u1, u2, idx, n1, n2, cur, asks, members) parted by the 2^j lines after the ``cur`` lines that the node has in common.
 
+    Places that agree with others make a node of their own (``grown``); of these the first also stays, for all of them.
+    A node none of whose later places asks is left out.
+    """
+    step = 1 << j
+    held = F.collect_list(F.struct("idx", "n1", "n2", "cur", "asks", "members")).alias("held")
+    rows = entries.groupBy("u1", "u2").agg(held).join(sequences, ["u1", "u2"])
 
-def _repeating(named: DataFrame) -> DataFrame:
-    """Of the starts in ``named``, the runs that have an earlier copy."""
-    first = settled(named.groupBy("size", "h", "c").agg(F.min(_place()).alias("first"), F.count("*").alias("n")).where("n > 1"))
-    return spread_join(named.where("start"), first, ["size", "h", "c"], "n", ["u1", "idx"]).where(F.col("first") < _place())
+    def ranks(column: str, pair: Callable[[Column, Column], Column]) -> Column:
+        # rank(2k, i) from rank(k, i) and rank(k, i + k); places with too few lines left are not asked for
+        double = lambda r, k: F.zip_with(r, F.slice(r, k + 1, F.size("seq")), pair)
+        return F.aggregate(F.array(*(F.lit(1 << k) for k in range(j))).cast("array<int>"), F.transform("seq", lambda s: s[column]), double)
 
+    def name(r: Column, x: Column) -> Column:
+        at = x["idx"] + x["cur"]
+        fits = at + step <= F.size("seq")
+        k1 = F.when(fits, F.xxhash64(x["n1"], F.get(r["h"], at))).otherwise(F.xxhash64("u1", x["idx"], x["n1"]))
+        kept = (x[c].alias(c) for c in ("idx", "n1", "n2", "cur", "asks", "members"))
+        return F.struct(*kept, fits.alias("fits"), k1.alias("k1"), F.hash(x["n2"], F.get(r["c"], at)).alias("k2"))
 
-def _wants(members: DataFrame, sizes: Column) -> DataFrame:
-    """(u1, u2, wants): what each document has to name, from members (idx, start, left) and the sizes that their interval asks for."""
-    rows = members.select("u1", "u2", "idx", "start", F.explode(F.filter(sizes, lambda n: n <= F.col("left"))).alias("size"))
-    return rows.groupBy("u1", "u2").agg(F.collect_set(F.struct("idx", "start", "size")).alias("wants"))
+    # bound by a lambda, so that the ranks of a document are made once
+    both = F.array(F.struct(ranks("h", lambda a, b: F.xxhash64(a, b)).alias("h"), ranks("c", lambda a, b: F.hash(a, b)).alias("c")))
+    named = rounds.keep(rows.select("ord", "u1", "u2", F.inline(F.get(F.transform(both, lambda r: F.transform("held", lambda x: name(r, x))), F.lit(0)))))
+    asking = F.sum(F.col("asks").cast("int"))
+    groups = named.where("fits").groupBy("k1", "k2").agg(F.min(F.struct(*PLACE, "asks")).alias("first"), F.count("*").alias("n"), asking.alias("asking"))
+    groups = rounds.keep(groups.where("n > 1").withColumn("alive", F.col("asking") > F.col("first.asks").cast("int")).drop("asking"))
+    joined = spread_join(named, groups, ["k1", "k2"], "n", ["u1", "idx"], how="left")
+    one = F.coalesce(F.struct(*(F.col(f"first.{c}") for c in PLACE)) == _place(), F.lit(False))
+    alone = F.col("n").isNull()
 
+    def row(n1: str, n2: str, cur: Column, asks: Column, members: Column, grown: bool) -> Column:
+        return F.struct(F.col(n1).alias("n1"), F.col(n2).alias("n2"), cur.alias("cur"), asks.alias("asks"), members.alias("members"), F.lit(grown).alias("grown"))
 
-def _doubled(least: int, most: Column) -> Column:
-    return F.filter(F.array(*(F.lit(least << k) for k in range(28) if least << k < 1 << 30)), lambda n: n <= most)
+    grown = F.when(F.col("alive"), row("k1", "k2", F.col("cur") + step, F.col("asks") & ~one, F.col("n"), True))
+    stays = F.when(alone | (one & (F.col("n") != F.col("members"))), row("n1", "n2", F.col("cur"), F.col("asks"), F.lit(-1).cast("long"), False))
+    return rounds.keep(joined.select("u1", "u2", "idx", F.inline(F.array_compact(F.array(grown, stays)))))
 
 
 def _lengths(places: DataFrame, starts: DataFrame, sequences: DataFrame, min_lines: int) -> DataFrame:
     """(u1, u2, idx, size): the longest run from each start that has an earlier copy."""
-    # the members of the starts' intervals, and how far these ask
-    asks = starts.groupBy("h", "c").agg(F.max("left").alias("most"))
-    sizes = places.where("run").groupBy("h", "c").agg(F.count("*").alias("n"))
-    asks = settled(asks.join(sizes, ["h", "c"]))
-    mark = starts.select("u1", "u2", "idx", F.lit(True).alias("start")).distinct()
-    members = spread_join(places.where("run").select("u1", "u2", "idx", "left", "h", "c"), asks, ["h", "c"], "n", ["u1", "idx"]).join(mark, ["u1", "u2", "idx"], "left")
-    members = members.withColumn("start", F.coalesce("start", F.lit(False)))
-    powers = settled(_named(_wants(members, _doubled(min_lines, F.col("most"))), sequences))
-    best = settled(_repeating(powers).groupBy("u1", "u2", "idx").agg(F.max(F.struct("size", "h", "c")).alias("best")).select("u1", "u2", "idx", "best.*"))
-    # in the interval of the greatest of them: every length up to the next
-    groups = best.groupBy("size", "h", "c").agg(F.lit(1).alias("_one"))
-    counts = powers.groupBy("size", "h", "c").agg(F.count("*").alias("n"))
-    groups = settled(groups.join(counts, ["size", "h", "c"]).drop("_one"))
-    mine = best.select("u1", "u2", "idx", "size", "h", "c", F.lit(True).alias("mine"))
-    inner = spread_join(powers.drop("start"), groups, ["size", "h", "c"], "n", ["u1", "idx"]).join(mine, ["u1", "u2", "idx", "size", "h", "c"], "left")
-    inner = inner.select("u1", "u2", "idx", F.coalesce("mine", F.lit(False)).alias("start"), "size")
-    left = sequences.select("u1", "u2", F.size("seq").alias("n")).dropDuplicates(["u1", "u2"])
-    inner = inner.join(left, ["u1", "u2"]).withColumn("left", F.col("n") - F.col("idx"))
-    between = F.sequence(F.col("size") + 1, F.greatest(2 * F.col("size") - 1, F.col("size") + 1))
-    more = _repeating(settled(_named(_wants(inner, between), sequences))).select("u1", "u2", "idx", "size")
-    return best.select("u1", "u2", "idx", "size").unionByName(more).groupBy("u1", "u2", "idx").agg(F.max("size").alias("size"))
+    groups = starts.groupBy("h", "c").agg(F.lit(1).alias("_one"))
+    sizes = places.where("run").groupBy("h", "c").agg(F.count("*").alias("members"))
+    groups = settled(groups.join(sizes, ["h", "c"]).drop("_one"))
+    mark = starts.select("u1", "u2", "idx", F.lit(True).alias("asks")).distinct()
+    entries = spread_join(places.where("run").select("u1", "u2", "idx", "h", "c"), groups, ["h", "c"], "members", ["u1", "idx"]).join(mark, ["u1", "u2", "idx"], "left")
+    rounds = Rounds(places.sparkSession)
+    entries = rounds.keep(entries.select("u1", "u2", "idx", F.col("h").alias("n1"), F.col("c").alias("n2"), F.lit(min_lines).alias("cur"), F.coalesce("asks", F.lit(False)).alias("asks"), "members"))
+    sequences = rounds.keep(sequences.join(entries.select("u1", "u2").distinct(), ["u1", "u2"], "left_semi"))
+    # up: 2^j lines more as long as any agree; then down, for what failed at 2^j: 2^(j-1), 2^(j-2), ... lines more
+    j, rising, failed = min_lines.bit_length() - 1, entries, {}
+    while not rising.isEmpty():
+        parted = _split(rising, sequences, j, rounds)
+        failed[j - 1], rising = parted.where("not grown").drop("grown"), parted.where("grown").drop("grown")
+        j += 1
+    falling = entries.limit(0)
+    for k in range(j - 2, -1, -1):
+        falling = _split(falling.unionByName(failed[k]) if k in failed else falling, sequences, k, rounds).drop("grown")
+    return rounds.last(falling.where("asks").select("u1", "u2", "idx", F.col("cur").alias("size")))
 
 
 def _joined(ranges: Column) -> Column:
@@ -144,38 +156,31 @@ def _joined(ranges: Column) -> Column:
     return F.aggregate(ranges, start, add)
 
 
-def repeated(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, runs: bool = True) -> DataFrame:
-    """(u1, u2, ranges, n_runs, longest_run): per text the line ranges to delete, sorted, disjoint, half open; with ``runs`` its maximal repeats."""
+def repeated(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """(u1, u2, ranges, n_runs, longest_run): per text the line ranges to delete, sorted, disjoint, half open, and the maximal repeats they come from."""
     if min_lines < 2:
         raise ValueError("a run has two lines at least")
-    sequences = settled(_sequences(documents, min_words))  # read by every step
+    sequences = settled(_sequences(documents, min_words).dropDuplicates(["u1", "u2"]))  # read by every step
     places = settled(_places(sequences, min_lines))
     first = settled(places.groupBy("h", "c").agg(F.min(F.struct(*PLACE, "before")).alias("first"), F.count("*").alias("n")).where("n > 1"))
     later = spread_join(places, first, ["h", "c"], "n", ["u1", "idx"])
-    later = later.where(F.struct(*(F.col(f"first.{c}") for c in PLACE)) < _place())
-    if not runs:
-        return _ranges(later)
-    later = settled(later.drop("n"))
+    later = settled(later.where(F.struct(*(F.col(f"first.{c}") for c in PLACE)) < _place()).drop("n"))
     starts = settled(_starts(later))
     found = _lengths(places, starts, sequences, min_lines).unionByName(later.where("not run").select("u1", "u2", "idx", F.lit(1).alias("size")))
-    listed = found.groupBy("u1", "u2").agg(F.array_sort(F.collect_set(F.struct("idx", (-F.col("size")).alias("less")))).alias("runs"))
     # longest first at each place: what does not reach beyond all before it is contained
-    kept = F.aggregate(
-        "runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"), F.lit(0).alias("most")),
-        lambda acc, r: F.when(r["idx"] - r["less"] > acc["end"], F.struct((r["idx"] - r["less"]).alias("end"), (acc["n"] + 1).alias("n"), F.greatest(acc["most"], -r["less"]).alias("most"))).otherwise(acc),
-    )
-    counted = listed.select("u1", "u2", kept.alias("k")).select("u1", "u2", F.col("k.n").cast("long").alias("n_runs"), F.col("k.most").cast("long").alias("longest_run"))
-    return _ranges(later).join(counted, ["u1", "u2"], "left")
-
-
-def _ranges(later: DataFrame) -> DataFrame:
-    return later.groupBy("u1", "u2").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("r")).select("u1", "u2", _joined(F.col("r")).alias("ranges"))
+    before = Window.partitionBy("u1", "u2").orderBy("idx", F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("idx") + F.col("size")
+    maximal = found.withColumn("reached", F.coalesce(F.max(end).over(before), F.lit(0))).where(end > F.col("reached"))
+    runs = maximal.groupBy("u1", "u2").agg(F.array_sort(F.collect_list(F.struct("idx", "size"))).alias("runs"), F.count("*").alias("n_runs"), F.max("size").cast("long").alias("longest_run"))
+    line = lambda i: F.get("seq", i)["line"]
+    ranges = F.transform("runs", lambda r: F.struct(line(r["idx"]).alias("a"), (line(r["idx"] + r["size"] - 1) + 1).alias("b")))
+    return runs.join(sequences, ["u1", "u2"]).select("u1", "u2", _joined(ranges).alias("ranges"), "n_runs", "longest_run")
 
 
-def without_repeats(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, runs: bool = True) -> DataFrame:
+def without_repeats(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``documents`` with deleted lines cut from ``text``, and the columns ``ranges``, ``before`` (the text as it was), ``n_runs`` and ``longest_run``."""
-    new = ("ranges", "before", *(("n_runs", "longest_run") if runs else ()))
-    found = repeated(documents, min_lines, min_words, runs)
+    new = ("ranges", "before", "n_runs", "longest_run")
+    found = repeated(documents, min_lines, min_words)
     found = found.withColumnsRenamed({c: f"_{c}" for c in found.columns})
     u1, u2 = _uid()
     joined = documents.withColumns({"_u1": u1, "_u2": u2}).join(found, ["_u1", "_u2"], "left")
@@ -203,7 +208,7 @@ def digest(deduplicated: DataFrame) -> DataFrame:
 
 def dedup_stage(documents: DataFrame) -> DataFrame:
     """``documents`` without repeated lines; a document that loses all its words goes."""
-    out = without_repeats(documents, runs=False)
+    out = without_repeats(documents)
     out = out.where((F.size("ranges") == 0) | F.coalesce(F.col("text").rlike(_HAS_WORD), F.lit(False)))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("ranges") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
