@@ -2,7 +2,7 @@
 
 Each round hangs every node's neighbours on its least neighbour (large star, then
 small star); hubs are summed on the map side, and no component is ever gathered in one
-place.  Rounds are checkpointed, so the plan stays short and lost executors cost one round.
+place.  Rounds are written as tables, so the plan stays short and lost executors cost one round.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import settled
+from tidemark.llm.common import Rounds
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,16 +25,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b); root: the least node of its component."""
-    now = settled(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    rounds = Rounds(edges.sparkSession)
+    now = rounds.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
-    for _ in range(rounds):
-        now = settled(_star(_star(now, True), False))
+    for _ in range(most):
+        now = rounds.keep(_star(_star(now, True), False))
         seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if seen == mark:
             break
         mark = seen
     else:
-        raise RuntimeError(f"no fixed point after {rounds} rounds")
+        raise RuntimeError(f"no fixed point after {most} rounds")
+    now = rounds.last(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
