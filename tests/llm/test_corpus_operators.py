@@ -121,13 +121,6 @@ def test_a_base_weight_moves_only_its_subtrees(spark):
 # ---- quality
 
 
-def six_bits(word, lang):
-    """The six bits by which predecessors are counted (of the operator's own word hash)."""
-    data = word.encode()
-    h = shingles.span_hashes(np.frombuffer(data, np.uint8), np.zeros(1, np.int64), np.full(1, len(data)))
-    return int(h[0]) >> 58
-
-
 def _plain_scores(rows, vocabulary, frequent):
     """Score of each (lang, text), straight from the definitions: no hashes, no buckets; and the counts."""
     strip = lambda w: w[:-1] if len(w) > 1 and w[-1] in ".,;:!?" else w
@@ -139,16 +132,16 @@ def _plain_scores(rows, vocabulary, frequent):
         size = len(w.encode())
         return (any(c in "#*$%&|<>" for c in w), any(c in "0123456789" for c in w), sum("A" <= c <= "Z" for c in w) > 1, any(ord(c) > 127 for c in w), (size > 3) + (size > 7) + (size > 12))
 
+    kinds = Counter((lang, 1, form(w)) for lang, w in count if (lang, w) not in known)  # unknown words of a class
     sequences = [[(lang, 0), *((lang, w) if (lang, w) in known else (lang, 1, form(w)) for w in ws), (lang, 0)] if ws else [] for lang, ws in plain]
-    spelled = [[None, *(six_bits(w, lang) for w in ws), None] if ws else [] for lang, ws in plain]
-    pairs, seen = Counter(), defaultdict(set)
-    for s, h in zip(sequences, spelled, strict=True):
-        for k, p in enumerate(zip(s, s[1:], strict=False)):
-            pairs[p] += 1
-            seen[p].add((h[k - 1] if k else h[k + 2] if k + 2 < len(h) else None) or 0)
-    for p, bits in seen.items():  # different predecessors by linear counting, from 60 of 64 on the plain count
-        if len(bits) < 60:
-            pairs[p] = min(pairs[p], max(1, round(-64 * math.log(1 - len(bits) / 64))))
+    def triples(s):  # a pair and what stands before it, or after it where it opens the text
+        return [(p, s[k - 1] if k else s[2]) for k, p in enumerate(zip(s, s[1:], strict=False))]
+
+    seen = defaultdict(set)
+    for s in sequences:
+        for p, u in triples(s):
+            seen[p].add(u)
+    pairs = {p: len(us) for p, us in seen.items()}
     total, before, after = Counter(), Counter(), defaultdict(list)
     for (v, w), n in pairs.items():
         total[v] += n
@@ -169,17 +162,25 @@ def _plain_scores(rows, vocabulary, frequent):
 
     singles = {w: single(w) for w in before}
     out = []
-    for s in sequences:
-        own, value = Counter(zip(s, s[1:], strict=False)), 0.0
-        for (v, w), k in own.items():
+    for s, (_, t) in zip(sequences, rows, strict=True):
+        times, mine, value = Counter(zip(s, s[1:], strict=False)), defaultdict(set), 0.0
+        for p, u in triples(s):
+            mine[p].add(u)
+        for (v, w), k in times.items():
             d = cut[v[0]]
-            c, mass = max(pairs[v, w] - k, 0), max(total[v] - k, 1)
+            c = len(seen[v, w] - mine[v, w])
+            mass = max(sum(len(seen[p] - mine[p]) if p in mine else n for p, n in pairs.items() if p[0] == v), 1)
             back = sum(d[min(n, 3)] for n in after[v]) / total[v]
-            value -= k * math.log(((c - d[min(c, 3)]) / mass if c else 0) + back * singles[w])
-        out.append(value / (len(s) - 1) if s else None)
+            value -= k * math.log((((c - d[min(c, 3)]) / mass if c else 0) + back * singles[w]) / kinds.get(w, 1))
+        out.append(value / (real_words(t) + 1) if s else None)
     return out
 
 
+def real_words(text):
+    """Words with a letter or digit."""
+    return sum(bool(re.search(r"\w", w)) for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
 def test_scores_by_definition(spark):
     rng = random.Random(3)
     pool = {x: ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(25)] + ["#x1", "ABC", "|", "end."] for x, letters in (("en", "abcdé"), ("fr", "fghij"))}
@@ -194,8 +195,58 @@ def test_scores_by_definition(spark):
 
 
 def test_hash_of_pairs_is_a_permutation():
-    key = np.r_[np.arange(1000), np.random.default_rng(1).integers(0, 1 << 40, 1000)].astype(np.uint64)
-    assert (quality.unhashed(quality.hashed(key)) == key).all() and quality.hashed(key).max() < 1 << 40
+    key = np.r_[np.arange(1000), np.random.default_rng(1).integers(0, 1 << 42, 1000)].astype(np.uint64)
+    assert (quality.unhashed(quality.hashed(key)) == key).all() and quality.hashed(key).max() < 1 << 42
+
+
+def test_probabilities_sum_to_one(spark):
+    """After each context, over all words of its language: the table's model as it is, and at most one with a text's own share left out."""
+    rng = random.Random(5)
+    pool = [f"w{k}" for k in range(12)]
+    texts = [" ".join(rng.choices(pool, weights=range(1, 13), k=40)) for _ in range(30)]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    words = quality.fit_vocabulary(docs)
+    assert len(words.words) == 12
+    table, model = quality.fit_pairs(docs, words, 10**9, 1)
+    keys, counts = quality._table(table.first()["payload"])
+    known = dict(zip(keys.tolist(), counts.tolist(), strict=True))
+    mine = np.flatnonzero(model.slot == 1).astype(np.uint64)
+    mass = dict.fromkeys(mine.tolist(), 0.0)
+    h, _, _, own, context = quality.by_document(*words.triples(texts[:1], ["en"]))
+    left_out = dict(zip(h.tolist(), zip(own.tolist(), context.tolist(), strict=True), strict=True))
+    for v in mine:
+        if not any(int(quality.unhashed(np.uint64(k))) >> quality.ID_BITS == v for k in known):
+            continue
+        after = quality.hashed((np.full(len(mine), v) << np.uint64(quality.ID_BITS)) | mine)
+        n, zero = np.array([known.get(k, 0) for k in after.tolist()]), np.zeros(len(mine), np.int64)
+        assert np.exp(model.log_probability(after, n, zero, zero) / quality.NAT).sum() == pytest.approx(1, abs=2e-3)
+        own = np.array([left_out.get(k, (0, 0))[0] for k in after.tolist()])
+        context = np.full(len(mine), own.sum())
+        assert all(left_out[k][1] == own.sum() for k in after.tolist() if k in left_out)
+        assert 0.9 < np.exp(model.log_probability(after, n, own, context) / quality.NAT).sum() < 1.1
+
+
+def test_own_words_do_not_speak_for_a_text():
+    """A pair seen after three words, one of them in this text, three times: two are left."""
+    pair, doc = np.uint64(77), np.zeros(3, np.int64)
+    h, _, times, own, context = quality.by_document(np.full(3, (pair << np.uint64(quality.ID_BITS)) | np.uint64(5)), doc)
+    assert (h.tolist(), times.tolist(), own.tolist(), context.tolist()) == ([77], [3], [1], [1])
+
+
+def test_known_words_grow_with_the_table(spark):
+    known = []
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        words = quality.fit_vocabulary(docs)
+        known.append(len(words.words))
+    assert known[0] < known[1] < known[2] <= quality.MOST_WORDS
+    first, found = (len(words.slots) + 1) * (quality.SHAPES + 1), defaultdict(list)
+    for r in docs.where("text is not null").select("lang", "text").collect():
+        found[r.lang].append(r.text)
+    for lang, texts in found.items():
+        ids = words.sequence(texts, [lang] * len(texts))[0]
+        ids = ids[ids != words.slots[lang] * (quality.SHAPES + 1)]  # without boundaries
+        assert (ids >= first).mean() > 0.9, lang
 
 
 def test_stats_bands_and_verdicts(spark, data):

@@ -55,13 +55,14 @@ def _kept_by_quality(rows):
     kept = []
     for lang in {rows[k][2] for k in good}:
         mine = [k for k in good if rows[k][2] == lang]
-        score = {k: round(scores[k] * (len(words[k]) + 1) * quality.NAT) / quality.NAT / (len(words[k]) + 1) for k in mine}
+        size = {k: plain.real_words(rows[k][1]) + 1 for k in mine}
+        score = {k: round(scores[k] * size[k] * quality.NAT) / quality.NAT / size[k] for k in mine}
         middle = np.percentile([floor(score[k]) for k in mine], 50) / quality.NAT
         z = {k: (score[k] - middle) / math.sqrt(1 + quality.SHORT / len(words[k])) for k in mine}
         q1, q3 = (np.percentile([floor(z[k]) for k in mine], q) / quality.NAT for q in (25, 75))
         spread = max(q3 - q1, 0.01)
-        assert all(min(abs(z[k] + 2.5 * spread), abs(z[k] - 2.75 * spread)) > 0.003 for k in mine), "too near to a band's edge to tell"
-        kept += [k for k in mine if -2.5 * spread <= z[k] <= 2.75 * spread]
+        assert all(min(abs(z[k] + quality.BELOW * spread), abs(z[k] - quality.ABOVE * spread)) > 0.003 for k in mine), "too near to a band's edge to tell"
+        kept += [k for k in mine if -quality.BELOW * spread <= z[k] <= quality.ABOVE * spread]
     return [rows[k] for k in sorted(kept)]
 
 

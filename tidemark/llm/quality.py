@@ -2,23 +2,28 @@
 
 The language model is an interpolated modified Kneser-Ney model over pairs of words, counted over all documents.
 
-1. Vocabulary: a word of a language with a share of at least ``VOCABULARY`` of the table's bytes; so there are at most
-   ``1 / (2 * VOCABULARY)`` of them, whatever the table.  Every other word is one of 64 unknown classes of its
-   language, by its form (symbols, digits, capitals, characters beyond ASCII, length).
-2. Pairs: each document is its words between two boundaries.  A pair's key is hashed by a permutation of the 40-bit
+1. Vocabulary: a word that its language's texts hold twice at least, with a share of at least ``languages / MOST_WORDS`` of the
+   language's words; so there are at most ``MOST_WORDS`` (about two million) of them, and up to that the vocabulary grows with the table.  Every other word
+   is one of 64 unknown classes of its language, by its form (symbols, digits, capitals, characters beyond ASCII, length); the class's
+   probability is shared by all different words in it, so that a score is one of words, not of classes.
+2. Pairs: each document is its words between two boundaries.  A pair's key is hashed by a permutation of the 42-bit
    numbers, so different pairs never collide, and counted in buckets of the hash.  As in the lower orders of Kneser-Ney, the count
-   is of the different words seen before the pair (64 bits of linear counting; a pair that fills them has its plain
-   count), so that a passage copied many times does not make itself expected.  A bucket's model is a sorted hash
+   is of the different words seen before the pair, so that a passage copied many times does not make itself expected.  It is exact: what is
+   shuffled is each different triple of a task, and a bucket holds all triples of its pairs.  A bucket's model is a sorted hash
    array with the counts; it grows with the table.
 3. What the formula needs of single words (context totals, discounts, continuation counts) is summed over
-   the buckets; it is bounded by the vocabulary and sent to all tasks, as are the pairs with a share of at least ``FREQUENT`` of the
+   the buckets; it is bounded by the vocabulary and sent to all tasks, as are the pairs whose occurrences are at least a share of ``FREQUENT`` of the
    table's bytes.  All other pairs of the documents go to their bucket, which answers with sums of log probabilities.
    These are whole numbers (1/1024 nat), so the order of addition does not show in the score.
-4. A document is scored without itself: its own occurrences of a pair are taken out of the pair's count and out of its context's.
+4. A document's own words do not speak for it: of a pair's different predecessors, those that it has in the document itself do not count, and the
+   same are taken out of the context's total.  The share that a context leaves to the lower order stays that of the whole table; without
+   this step the probabilities after a context sum to one, with it to one at most but for that share's change.
 
-The score is the log perplexity per word.  Its language's band lies around the median, ``below`` and ``above`` times the spread
+The score is the log perplexity per word; what has no letter or digit (rules of tables, bullets) is predicted, but does not
+count as a word, so that separators, which are easy to foresee, do not make a text look fluent.  Its language's band lies around the median, ``below`` and ``above`` times the spread
 between the quartiles to each side, over the documents that pass the base rules; distances are first divided
-by what a text's length adds to chance.  Median and quartiles come from exact histograms.  A document outside is rejected.
+by what a text's length adds to chance.  The lower side is the wider one: near copies with edits of their own lend each other
+predecessors, and a text is not bad for having copies.  Median and quartiles come from exact histograms.  A document outside is rejected.
 
 Verdicts belong to (language, text), so rows with null or repeated ids take nothing from each other.  A null text has no words
 and fails the base rules; a null language is a language of its own (the empty one); languages with less than a thousandth of the rows share
@@ -44,15 +49,18 @@ from tidemark.llm.blocks import pack, steps, sums, unpack
 from tidemark.llm.common import settled, spread_join
 from tidemark.llm.shingles import in_pieces, span_hashes, word_spans
 
-VOCABULARY, FREQUENT = 1e-5, 1e-6
-ID_BITS, SHAPES = 20, 64
+FREQUENT = 1e-6
+ID_BITS, SHAPES = 21, 64  # three ids fit 63 bits
 SLOTS = 1024  # a language with more than one in so many rows has a slot, others share slot 0
+MOST_WORDS = (1 << ID_BITS) - SLOTS * (SHAPES + 1)  # ids that boundaries and unknown classes leave
 NAT = 1024  # log probabilities are kept in this part of a nat
+BELOW, ABOVE = 4.0, 2.75  # spreads
 SHORT = 120  # words of a text at which chance doubles the variance of its score
 _KEY_BITS = 2 * ID_BITS
 _LOW = np.uint64((1 << _KEY_BITS) - 1)
 _ODD = (0x9E3779B97F4A7C15 & ((1 << _KEY_BITS) - 1) | 1, 0xD6E8FEB86659FD93 & ((1 << _KEY_BITS) - 1) | 1)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_BARE = re.compile(r"(?<![^\x20\x09-\x0D])[^\w\x20\x09-\x0D]+(?![^\x20\x09-\x0D])")  # a word without letters and digits
 _SPACES = " \t\n\x0b\x0c\r"
 _MIX = np.random.default_rng(8).integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -108,21 +116,22 @@ _ENDING = np.isin(np.arange(256), list(b".,;:!?"))
 
 
 def words_of(texts: list[str], slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of every word with its text's slot in the low bits, its form, words of each text); a mark at a word's end is left off."""
+    """(hash of every word with its form and its text's slot in the low bits, its form, words of each text); a mark at a word's end is left off."""
     data, start, stop, sizes = word_spans(texts)
     if not len(start):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes
     stop = stop - (_ENDING[data[stop - 1]] & (stop - start > 1))
-    h = span_hashes(data, start, stop) & ~np.uint64(SLOTS - 1) | np.repeat(slots, sizes).astype(np.uint64)
+    h = span_hashes(data, start, stop)
     kind = _CLASS[data]
     some = [(np.add.reduceat(kind == k, start) if k == 3 else np.maximum.reduceat(kind == k, start)) for k in (1, 2, 3, 4)]
     length = stop - start
     form = (some[0] > 0) * 1 + (some[1] > 0) * 2 + (some[2] > 1) * 4 + (some[3] > 0) * 8 + ((length > 3) * 16 + (length > 7) * 16 + (length > 12) * 16)
-    return h, form.astype(np.int64), sizes
+    low = form.astype(np.uint64) * np.uint64(SLOTS) + np.repeat(slots, sizes).astype(np.uint64)
+    return h & ~np.uint64(SHAPES * SLOTS - 1) | low, form.astype(np.int64), sizes
 
 
 def hashed(key: np.ndarray) -> np.ndarray:
-    """A permutation of the numbers below 2**40."""
+    """A permutation of the numbers below 2**42."""
     for odd in _ODD:
         key = (key * np.uint64(odd)) & _LOW
         key = key ^ (key >> np.uint64(ID_BITS))
@@ -138,18 +147,26 @@ def unhashed(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the known words (the slot in their low bits), and the slots of the languages that have one."""
+    """Sorted hashes of the known words (the slot in their low bits), the slots of the languages that have one, and how many unknown words a class has.
+
+    The last are by slot, with the boundary (one) first.
+    """
 
     words: np.ndarray
     slots: dict[str, int]
+    unknown: np.ndarray
 
     @property
     def slot_of_id(self) -> np.ndarray:
         """Ids are the boundary and the unknown classes of each slot, then the words."""
         return np.r_[np.arange((len(self.slots) + 1) * (SHAPES + 1)) // (SHAPES + 1), (self.words & np.uint64(SLOTS - 1)).astype(np.int64)]
 
-    def sequence(self, texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of the words of all texts, each text between two boundaries; six bits of each word's hash; words of each text)."""
+    @property
+    def words_of_id(self) -> np.ndarray:
+        return np.r_[np.maximum(self.unknown, 1).ravel(), np.ones(len(self.words), np.int64)]
+
+    def sequence(self, texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words of all texts, each text between two boundaries; words of each text)."""
         slot = np.array([self.slots.get(x, 0) for x in langs], np.int64)
         h, form, sizes = words_of(texts, slot)
         base = slot * (SHAPES + 1)
@@ -159,43 +176,52 @@ class Vocabulary:
         known[inside] = self.words[at[inside]] == h[inside]
         ids = np.where(known, (len(self.slots) + 1) * (SHAPES + 1) + at, np.repeat(base, sizes) + 1 + form)
         place = np.arange(len(h)) + np.repeat(2 * np.arange(len(sizes)) + 1, sizes)
-        out, six = np.empty(len(h) + 2 * len(sizes), np.int64), np.zeros(len(h) + 2 * len(sizes), np.uint64)
+        out = np.empty(len(h) + 2 * len(sizes), np.int64)
         first = np.cumsum(sizes + 2) - sizes - 2
         out[first] = out[first + sizes + 1] = base
-        out[place], six[place] = ids, h >> np.uint64(58)
-        return out, six, sizes
+        out[place] = ids
+        return out, sizes
 
-    def pairs(self, texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hashed pairs, text of each, words of each text, six bits of the word before each pair); texts without words have none.
+    def triples(self, texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashed pairs, each with the id before it in the low bits; text of each); texts without words have none.
 
         A pair that opens its text has the word after it instead.
         """
-        ids, six, sizes = self.sequence(texts, langs)
-        doc = np.repeat(np.arange(len(sizes)), sizes + 2)
-        key = (ids[:-1].astype(np.uint64) << np.uint64(ID_BITS)) | ids[1:].astype(np.uint64)
+        ids, sizes = self.sequence(texts, langs)
+        doc, ids = np.repeat(np.arange(len(sizes)), sizes + 2), ids.astype(np.uint64)
         inside = (doc[:-1] == doc[1:]) & (sizes[doc[:-1]] > 0)
-        opens = np.r_[True, doc[1:] != doc[:-1]][:-1]
-        before = np.where(opens, np.r_[six[2:], np.uint64(0)][: len(key)], np.r_[np.uint64(0), six[:-2]][: len(key)])
-        return hashed(key[inside]), doc[:-1][inside], sizes, before[inside]
+        at = np.flatnonzero(inside)
+        opens = (at == 0) | (doc[at] != doc[at - 1])
+        before = ids[np.where(opens, at + 2, at - 1)]
+        return (hashed((ids[at] << np.uint64(ID_BITS)) | ids[at + 1]) << np.uint64(ID_BITS)) | before, doc[at]
+
+
+def by_document(triples: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, text, occurrences, different predecessors, those of all pairs of the text with the same first word), one entry a pair and text."""
+    order = np.lexsort((triples, doc))
+    triples, doc = triples[order], doc[order]
+    h = triples >> np.uint64(ID_BITS)
+    other = np.r_[True, doc[1:] != doc[:-1]][: len(doc)]
+    first = np.flatnonzero(other | np.r_[True, h[1:] != h[:-1]][: len(doc)])
+    if not len(first):
+        return (h, doc, *(np.zeros(0, np.int64) for _ in range(3)))
+    fresh = other | np.r_[True, triples[1:] != triples[:-1]]
+    times, own = np.diff(np.r_[first, len(h)]), np.add.reduceat(fresh.astype(np.int64), first)
+    h, doc = h[first], doc[first]
+    _, context = np.unique((doc.astype(np.uint64) << np.uint64(ID_BITS)) | (unhashed(h) >> np.uint64(ID_BITS)), return_inverse=True)
+    return h, doc, times, own, np.bincount(context, own).astype(np.int64)[context]
 
 
-Sums = tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted keys, counts, bits of what stood before
-_NOTHING: Sums = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+Sums = tuple[np.ndarray, np.ndarray]  # sorted keys, counts
+_NOTHING: Sums = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def _sum_by_key(parts: list[Sums]) -> Sums:
-    keys, counts, bits = (np.concatenate(x) for x in zip(*parts, strict=True))
+    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(keys, kind="stable")
-    keys, counts, bits = keys[order], counts[order], bits[order]
+    keys, counts = keys[order], counts[order]
     at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return (keys[at], np.add.reduceat(counts, at), np.bitwise_or.reduceat(bits, at)) if len(at) else _NOTHING
-
-
-def different(counts: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Number of different predecessors by linear counting in 64 bits; the plain count where they are all but full."""
-    ones = np.bitwise_count(bits).astype(np.int64)
-    guess = np.rint(-64 * np.log(1 - np.minimum(ones, 63) / 64)).astype(np.int64)
-    return np.where(ones >= 60, counts, np.minimum(counts, np.maximum(guess, 1)))
+    return (keys[at], np.add.reduceat(counts, at)) if len(at) else _NOTHING
 
 
 def _keys() -> tuple[Column, Column]:
@@ -208,22 +234,21 @@ def _narrow(documents: DataFrame) -> DataFrame:
     return documents.select(*_keys(), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _counted(frame: DataFrame, keys: Callable[[list[str], list[str]], tuple[np.ndarray, np.ndarray]], bits: int, buckets: int, held_keys: int) -> DataFrame:
-    """(bucket, payload): sorted hashes with their counts and bits, summed by each task before the shuffle."""
+def _counted(frame: DataFrame, keys: Callable[[list[str], list[str]], np.ndarray], starts: np.ndarray, held_keys: int) -> DataFrame:
+    """(bucket, payload): sorted keys with their counts, summed by each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _NOTHING
 
         def flush() -> pa.RecordBatch:
-            cuts = np.searchsorted(held[0], _starts(buckets, bits))
-            rows = [(b, _payload(*(x[a:z] for x in held))) for b, (a, z) in enumerate(zip(cuts, np.r_[cuts[1:], len(held[0])], strict=True)) if z > a]
+            rows = [(b, _payload(*(x[a:z] for x in held))) for b, a, z in _cut(held[0], starts)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "payload"])
 
         for batch in batches:
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             for a, z in in_pieces(texts, 4 << 20):
-                h, before = keys(texts[a:z], langs[a:z])
-                held = _sum_by_key([held, _sum_by_key([(h, np.ones(len(h), np.int64), before)])])
+                h = keys(texts[a:z], langs[a:z])
+                held = _sum_by_key([held, _sum_by_key([(h, np.ones(len(h), np.int64))])])
                 if len(held[0]) > held_keys:
                     yield flush()
                     held = _NOTHING
@@ -237,13 +262,24 @@ def _starts(buckets: int, bits: int) -> np.ndarray:
     return np.array([-(-(b << bits) // buckets) for b in range(buckets)], np.uint64)
 
 
-def _payload(h: np.ndarray, counts: np.ndarray, bits: np.ndarray) -> bytes:
-    return pack(steps(h, np.uint64), counts, bits)
+def _cut(h: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, from, to) of the buckets that have some of the sorted hashes."""
+    cuts = np.r_[np.searchsorted(h, starts), len(h)]
+    for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        yield b, int(cuts[b]), int(cuts[b + 1])
+
+
+_BEFORE = np.uint64((1 << ID_BITS) - 1)
+
+
+def _payload(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    # the low bits apart, since only the high ones rise slowly
+    return pack(steps(keys >> np.uint64(ID_BITS), np.uint64), (keys & _BEFORE).astype(np.uint32), counts)
 
 
 def _merged(payloads) -> Sums:
-    parts = [unpack(p, "<u8", "<i8", "<u8") for p in payloads]
-    return _sum_by_key([(sums(h), n, bits) for h, n, bits in parts])
+    parts = [unpack(p, "<u8", "<u4", "<i8") for p in payloads]
+    return _sum_by_key([((sums(h) << np.uint64(ID_BITS)) | low, n) for h, low, n in parts])
 
 
 def _table(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -252,24 +288,33 @@ def _table(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return sums(h), n
 
 
-def fit_vocabulary(documents: DataFrame, total: int, buckets: int, held_keys: int = 1 << 21) -> Vocabulary:
-    """The words that are frequent enough, and the languages' slots; both bounded by their shares."""
-    rows = settled(documents.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count("*").alias("n")))
-    every = rows.agg(F.sum("n")).first()[0] or 0
-    own = sorted(r["lang"] for r in rows.where(F.col("n") * SLOTS > every).collect())  # fewer than SLOTS can be
-    slots = {x: k + 1 for k, x in enumerate(own)}
-    least = max(2, math.ceil(total * VOCABULARY))
+def fit_vocabulary(documents: DataFrame, held_keys: int = 1 << 21) -> Vocabulary:
+    """The words that are frequent enough in their language, and the languages' slots; both bounded by their shares."""
+    words = F.coalesce(F.regexp_count("text", F.lit(_WORD.pattern)), F.lit(0)).cast("long")
+    rows = settled(documents.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count("*").alias("n"), F.sum(words).alias("words")))
+    every, size = rows.agg(F.sum("n"), F.sum("words")).first()
+    own = rows.where(F.col("n") * SLOTS > (every or 0)).sort("lang").collect()  # fewer than SLOTS can be
+    slots = {r["lang"]: k + 1 for k, r in enumerate(own)}
+    held = np.array([(size or 0) - sum(r["words"] for r in own), *(r["words"] for r in own)], np.float64)
+    least = np.maximum(2, np.ceil(held * ((held > 0).sum() / MOST_WORDS)))
 
-    def keys(texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        h = words_of(texts, np.array([slots.get(x, 0) for x in langs], np.int64))[0]
-        return h, np.zeros(len(h), np.uint64)
+    def keys(texts: list[str], langs: list[str]) -> np.ndarray:
+        return words_of(texts, np.array([slots.get(x, 0) for x in langs], np.int64))[0]
 
     def frequent(pdf: pd.DataFrame) -> pd.DataFrame:
-        h, n, _ = _merged(pdf["payload"])
-        return pd.DataFrame({"word": h[n >= least].view(np.int64)})
+        h, n = _merged(pdf["payload"])
+        known = n >= least[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
+        kind, words = np.unique((h[~known] & np.uint64(SHAPES * SLOTS - 1)).astype(np.int64), return_counts=True)
+        return pd.DataFrame({"word": np.r_[h[known].view(np.int64), kind], "words": np.r_[np.zeros(known.sum(), np.int64), words]})
 
-    found = _counted(_narrow(documents), keys, 64, buckets, held_keys).groupBy("bucket").applyInPandas(frequent, "word long")
-    return Vocabulary(np.sort(found.toPandas()["word"].to_numpy(np.int64).view(np.uint64)), slots)
+    buckets = max(64, math.ceil((size or 0) / (32 << 20)))
+    found = _counted(_narrow(documents), keys, _starts(buckets, 64), held_keys).groupBy("bucket").applyInPandas(frequent, "word long, words long")
+    found = found.groupBy("word").agg(F.sum("words").alias("words")).toPandas()  # the known words, and a row a class
+    word, words = found["word"].to_numpy(np.int64), found["words"].to_numpy(np.int64)
+    unknown = np.zeros((len(slots) + 1, SHAPES + 1), np.int64)
+    kind = word[words > 0]
+    unknown[kind % SLOTS, 1 + kind // SLOTS] = words[words > 0]
+    return Vocabulary(np.sort(word[words == 0].view(np.uint64)), slots, unknown)
 
 
 # ---- the model
@@ -292,19 +337,19 @@ class Model:
     total: np.ndarray  # of a context's pairs
     back: np.ndarray  # the mass that a context leaves to the lower order, times its total
     single: np.ndarray  # probability of a word after any context
+    words: np.ndarray  # words that share an id
     cut: np.ndarray  # discounts of pairs by slot
     pairs: np.ndarray
     counts: np.ndarray
 
-    def log_probability(self, h: np.ndarray, count: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Of each pair, with its ``own`` occurrences in the text left out of ``count``; in 1/``NAT`` nats, rounded."""
+    def log_probability(self, h: np.ndarray, count: np.ndarray, own: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Of each pair, with the text's ``own`` predecessors left out of ``count``, and those of ``context`` out of its first word's; in 1/``NAT`` nats, rounded."""
         key = unhashed(h)
         v, w = (key >> np.uint64(ID_BITS)).astype(np.int64), (key & np.uint64((1 << ID_BITS) - 1)).astype(np.int64)
-        c = np.maximum(count - own, 0)
-        mass = np.maximum(self.total[v] - own, 1)
+        c = count - own
         top = c - self.cut[self.slot[v], np.minimum(c, 3)]
-        p = (top + self.back[v] / self.total[v] * mass * self.single[w]) / mass
-        return np.rint(np.log(p) * NAT).astype(np.int64)
+        p = top / np.maximum(self.total[v] - context, 1) + self.back[v] / self.total[v] * self.single[w]
+        return np.rint(np.log(p / self.words[w]) * NAT).astype(np.int64)
 
 
 def _word_stats(model: DataFrame) -> DataFrame:
@@ -332,34 +377,29 @@ def fit_pairs(documents: DataFrame, words: Vocabulary, total: int, buckets: int,
     """The counts of all pairs by bucket, settled, and what is sent to all tasks."""
     shared = documents.sparkSession.sparkContext.broadcast(words)
 
-    def keys(texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        h, _, _, before = shared.value.pairs(texts, langs)
-        return h, np.uint64(1) << before
+    def keys(texts: list[str], langs: list[str]) -> np.ndarray:
+        return shared.value.triples(texts, langs)[0]
 
-    counted = _counted(_narrow(documents), keys, _KEY_BITS, buckets, held_keys)
+    counted = _counted(_narrow(documents), keys, _starts(buckets, _KEY_BITS) << np.uint64(ID_BITS), held_keys)
+    least = max(2, math.ceil(total * FREQUENT))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        h, n, bits = _merged(pdf["payload"])
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "payload": [pack(steps(h, np.uint64), different(n, bits))]})
+        triples, n = _merged(pdf["payload"])
+        h = triples >> np.uint64(ID_BITS)
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        h, ways, often = h[first], np.diff(np.r_[first, len(h)]), np.add.reduceat(n, first) >= least
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "payload": [pack(steps(h, np.uint64), ways)], "frequent": [pack(steps(h[often], np.uint64), ways[often])]})
 
-    table = settled(counted.groupBy("bucket").applyInPandas(merge, "bucket int, payload binary"))
+    table = settled(counted.groupBy("bucket").applyInPandas(merge, "bucket int, payload binary, frequent binary"))
     slot = words.slot_of_id
     stats = np.zeros((len(slot), len(_WORD_STATS) - 1), np.int64)
     rows = _word_stats(table).toPandas()  # at most one row per word id
     stats[rows["id"].to_numpy(np.int64)] = rows[_WORD_STATS[1:]].to_numpy(np.int64)
-    least = max(2, math.ceil(total * FREQUENT))
-
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for payload in batch.column("payload"):
-                h, n = _table(payload.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(h[n >= least].astype(np.int64)), pa.array(n[n >= least])], ["h", "n"])
-
-    top = table.select("payload").mapInArrow(frequent, "h long, n long").toPandas().sort_values("h")
-    return table, model_of(slot, stats, top["h"].to_numpy(np.int64).astype(np.uint64), top["n"].to_numpy(np.int64))
+    top = [_table(p) for p in table.sort("bucket").select("frequent").toPandas()["frequent"]]  # in order of the hashes; fewer than 1 / (2 * FREQUENT) pairs
+    return table, model_of(slot, words.words_of_id, stats, *(np.concatenate([none, *x]) for none, x in zip(_NOTHING, zip(*top, strict=True) if top else ([], []), strict=True)))
 
 
-def model_of(slot: np.ndarray, stats: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> Model:
+def model_of(slot: np.ndarray, words: np.ndarray, stats: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> Model:
     """Modified Kneser-Ney of order 2 over the words of a slot, from each word's figures (columns as in ``_WORD_STATS``)."""
     total, by_count, before = stats[:, 0], stats[:, 1:6], stats[:, 6]
     size = int(slot.max(initial=0)) + 1
@@ -373,7 +413,7 @@ def model_of(slot: np.ndarray, stats: np.ndarray, pairs: np.ndarray, counts: np.
         if ways.sum():
             single[mine] = (ways - taken + taken.sum() / len(mine)) / ways.sum()
     back = (cut[slot][:, 1:] * np.c_[by_count[:, 0], by_count[:, 1], by_count[:, 2:].sum(axis=1)]).sum(axis=1)
-    return Model(slot, np.maximum(total, 1), back, single, cut, pairs, counts)
+    return Model(slot, np.maximum(total, 1), back, single, words, cut, pairs, counts)
 
 
 # ---- scores
@@ -391,28 +431,20 @@ def _requests(narrow: DataFrame, shared, buckets: int, chunk: int) -> DataFrame:
             for a, z in in_pieces(texts, chunk):
                 parts, known = [], np.zeros(z - a, np.int64)
                 for b, y in in_pieces(texts[a:z], 1 << 20):
-                    h, doc, _, _ = words.pairs(texts[a + b : a + y], langs[a + b : a + y])
-                    # a document's occurrences of a pair, as one entry
-                    order = np.lexsort((doc, h))
-                    h, doc = h[order], doc[order]
-                    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]) if len(h) else np.zeros(0, np.int64)
-                    own = np.diff(np.r_[first, len(h)])
-                    h, doc = h[first], doc[first] + b
+                    h, doc, times, own, context = by_document(*words.triples(texts[a + b : a + y], langs[a + b : a + y]))
+                    doc = doc + b
                     at = np.minimum(np.searchsorted(model.pairs, h), max(len(model.pairs) - 1, 0))
                     top = model.pairs[at] == h if len(model.pairs) else np.zeros(len(h), bool)
-                    np.add.at(known, doc[top], own[top] * model.log_probability(h[top], model.counts[at[top]], own[top]))
-                    parts.append((h[~top], doc[~top], own[~top]))
-                h, doc, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    np.add.at(known, doc[top], times[top] * model.log_probability(h[top], model.counts[at[top]], own[top], context[top]))
+                    parts.append([x[~top] for x in (h, doc, times, own, context)])
+                h, doc, *weights = (np.concatenate(x) for x in zip(*parts, strict=True))
                 order = np.lexsort((doc, h))
-                h, doc, own = h[order], doc[order], own[order]
-                cuts = np.searchsorted(h, starts)
+                h, doc, weights = h[order], doc[order], [x[order].astype(np.uint32) for x in weights]
                 names = {x: k for k, x in enumerate(dict.fromkeys(langs[a:z]))}
-                stats = np.array([text_stats(t) for t in texts[a:z]], np.int64).reshape(-1, len(_STATS))
+                stats = np.array([(*text_stats(t), len(_BARE.findall(t))) for t in texts[a:z]], np.int64).reshape(-1, len(_STATS) + 1)
                 code = np.array([names[x] for x in langs[a:z]], np.int64)
                 rows = [(-1 - (number + TaskContext.get().partitionId()) % buckets, pack(np.c_[keys[a:z], known, code, stats].T.ravel(), np.frombuffer(json.dumps(list(names)).encode(), np.uint8)))]
-                for b, (low, high) in enumerate(zip(cuts, np.r_[cuts[1:], len(h)], strict=True)):
-                    if high > low:
-                        rows.append((b, pack(steps(h[low:high], np.uint64), steps(doc[low:high]), np.minimum(own[low:high], 255).astype(np.uint8), own[low:high][own[low:high] >= 255])))
+                rows += [(b, pack(steps(h[low:high], np.uint64), steps(doc[low:high]), *(x[low:high] for x in weights))) for b, low, high in _cut(h, starts)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "chunk", "payload"])
                 number += 1
 
@@ -430,10 +462,9 @@ def _answer(shared) -> Callable[[pd.DataFrame], pd.DataFrame]:
         (mine,) = payload[chunk < 0]
         keys, counts = _table(mine)
         for k in asked:
-            h, doc, own, many = unpack(payload[k], "<u8", "<u4", "u1", "<i8")
-            h, doc, own = sums(h), sums(doc), own.astype(np.int64)
-            own[own == 255] = many
-            value = own * model.log_probability(h, counts[np.searchsorted(keys, h)], own)
+            h, doc, *weights = unpack(payload[k], "<u8", "<u4", "<u4", "<u4", "<u4")
+            h, doc, (times, own, context) = sums(h), sums(doc), (x.astype(np.int64) for x in weights)
+            value = times * model.log_probability(h, counts[np.searchsorted(keys, h)], own, context)
             out.append(pack(-np.bincount(doc, value).astype(np.int64)))  # whole numbers below 2**53
         return pd.DataFrame({"chunk": chunk[asked], "figures": None, "sums": out})
 
@@ -444,15 +475,15 @@ def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
     """The documents of a chunk with their figures and score."""
     (figures,) = pdf["figures"].dropna()
     flat, names = unpack(figures, "<i8", "u1")
-    table = flat.reshape(4 + len(_STATS), -1)
+    table = flat.reshape(5 + len(_STATS), -1)
     total = -table[2]
     for answer in pdf["sums"].dropna():
         (part,) = unpack(answer, "<i8")
         total[: len(part)] += part
     langs = np.array(json.loads(names.tobytes()), object)
     words = table[4]
-    score = np.where(words > 0, total / NAT / (words + 1), np.nan)
-    out = {"k1": table[0], "k2": table[1], "lang": langs[table[3]]} | dict(zip(_STATS, table[4:], strict=True)) | {"score": pd.array(score, "Float64").fillna(pd.NA)}
+    score = np.where(words > 0, total / NAT / (words - table[-1] + 1), np.nan)
+    out = {"k1": table[0], "k2": table[1], "lang": langs[table[3]]} | dict(zip(_STATS, table[4:-1], strict=True)) | {"score": pd.array(score, "Float64").fillna(pd.NA)}
     return pd.DataFrame(out)
 
 
@@ -494,11 +525,11 @@ def bands(scored: DataFrame) -> DataFrame:
 class Rules:
     """The model and the bands fitted on a table, and the verdict on each of its texts."""
 
-    def __init__(self, documents: DataFrame, below: float = 2.5, above: float = 2.75, bucket_bytes: int = 32 << 20, chunk: int = 8 << 20) -> None:
+    def __init__(self, documents: DataFrame, below: float = BELOW, above: float = ABOVE, bucket_bytes: int = 32 << 20, chunk: int = 8 << 20) -> None:
         self.below, self.above = below, above
         total = documents.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
         buckets = max(1, math.ceil(total / bucket_bytes))
-        self.words = fit_vocabulary(documents, total, buckets)
+        self.words = fit_vocabulary(documents)
         table, self.model = fit_pairs(documents, self.words, total, buckets)
         scored = settled(_scored(documents, self.words, self.model, table, buckets, chunk))
         self.bands = settled(bands(scored))
