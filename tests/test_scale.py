@@ -1,13 +1,17 @@
 """Range joins, aliases and quantiles against plain Python."""
 
+import datetime
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from compare import connect, difference
 from pyspark.sql import functions as F
 
 from tidemark.operators import aliases, quantiles, ranges, ranking
+from tidemark.plans import ORACLE, QUERIES
 
 
 def _tables(spark, seed):
@@ -80,3 +84,31 @@ def test_places_in_large_groups(spark, blocks):
     for k in ("a", "b", None, "z"):
         own = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
         assert [got[r[2]] for r in own] == list(range(1, len(own) + 1))
+
+
+def _crowded(spark, folder):
+    """Orders and lines on few days, thousands of each; some without a day, flag or key, and a key twice."""
+    rng = random.Random(4)
+    day = lambda n: datetime.datetime(2000, 1, 1) + datetime.timedelta(days=n, hours=rng.randrange(24))
+    dates = [rng.choice([0, 0, 2, 5, 13, 14, 40, 90]) for _ in range(3000)]
+    orders = [(k, rng.choice([300_000.0, 500_000.0, 600_000.0]), day(d)) for k, d in enumerate(dates)]
+    orders += [(7, 500_000.0, day(200)), (7, 500_000.0, day(0)), (None, 500_000.0, day(1)), (5000, 500_000.0, None), (5001, None, day(1)), (6000, 500_000.0, day(700))]
+    lines = [(k, 1, rng.choice(["A", "N", "R", None]), day(rng.choice([1, 1, 3, 50, 100, 300]))) for k in range(3000)] + [(1, 2, "A", None), (1, 3, "Z", day(2000))]
+    for name, rows, schema in (("orders", orders, "o_orderkey long, o_totalprice double, o_orderdate timestamp_ntz"), ("lineitem", lines, "l_orderkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp_ntz")):
+        pq.write_table(spark.createDataFrame(rows, schema).toArrow(), folder / f"{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["line_windows"])
+def test_crowded_days_are_not_paired(spark, tmp_path, monkeypatch, name):
+    base, join, sizes = _crowded(spark, tmp_path), ranges.range_join, []
+
+    def counted(*args):
+        out = join(*args)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ranges, "range_join", counted)
+    frame = QUERIES[name](spark, base)
+    assert 0 < sum(sizes) < 500
+    assert difference(frame, connect(base), ORACLE[name]) == ([], [], [])

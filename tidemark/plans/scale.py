@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aliases, quantiles, ranges
 from tidemark.plans.catalog import _r, query
+from tidemark.session import settled
 from tidemark.sources.tables import table
 
 #: Orders above this price whose window of days is looked at.
@@ -31,10 +32,13 @@ def shipments_in_order_windows(spark, base):
 
 @query
 def line_windows(spark, base):
-    """Single shipments inside the windows, by return flag: every line against every window, hot days split."""
-    lines = table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", _day("l_shipdate").alias("day"))
-    out = ranges.range_join(lines, _windows(spark, base, 30), "day", "first_day", "last_day")
-    return out.groupBy("l_returnflag").agg(F.count("*").alias("pairs"), F.countDistinct("o_orderkey").alias("windows"))
+    """Single shipments inside the windows, by return flag: equal days and equal windows meet once, with how many they are."""
+    days = settled(table(spark, base, "lineitem").groupBy("l_returnflag", _day("l_shipdate").alias("day")).agg(F.count("*").alias("lines")))
+    windows = _windows(spark, base, 30)
+    met = ranges.range_join(days, settled(windows.groupBy("first_day", "last_day").agg(F.count("*").alias("n"))), "day", "first_day", "last_day")
+    pairs = met.groupBy(F.col("l_returnflag").alias("flag")).agg(F.sum(F.col("lines") * F.col("n")).alias("pairs"))
+    found = windows.join(met.select("l_returnflag", "first_day", "last_day").distinct(), ["first_day", "last_day"]).groupBy("l_returnflag").agg(F.countDistinct("o_orderkey").alias("windows"))
+    return found.join(pairs, F.col("l_returnflag").eqNullSafe(F.col("flag"))).select("l_returnflag", "pairs", "windows")
 
 
 @query
