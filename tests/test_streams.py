@@ -7,9 +7,11 @@ import sqlite3
 from collections import Counter
 
 import pytest
+from compare import connect, difference
 from pyspark.sql import functions as F
 
 from tidemark import streaming
+from tidemark.plans import ORACLE, QUERIES
 from tidemark.sources import feeds, serving
 from tidemark.streaming import joins, ledger, timers, windows
 
@@ -183,3 +185,10 @@ def test_lanes_are_fetched_by_executors(spark, tmp_path):
     put("c", "c0", "c1")
     again = streaming.run_to_table(make(), "append", folder=f"file://{tmp_path}/out")
     assert sorted((r.source[-1], r.number) for r in again.collect()) == [*(("a", k) for k in range(11)), ("b", 0), ("c", 0), ("c", 1)]
+
+
+@pytest.mark.parametrize("name", ["stream_two_stores", "stream_sales_after_clicks", "stream_sales_without_clicks"])
+def test_tables_of_several_files(spark, data, tmp_path, name):
+    for table in ("clicks", "sales"):
+        spark.read.parquet(f"{data}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert difference(QUERIES[name](spark, str(tmp_path)), connect(data), ORACLE[name]) == ([], [], [])
