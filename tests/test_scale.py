@@ -99,7 +99,7 @@ def _crowded(spark, folder):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["line_windows"])
+@pytest.mark.parametrize("name", ["line_windows", "overlapping_order_windows"])
 def test_crowded_days_are_not_paired(spark, tmp_path, monkeypatch, name):
     base, join, sizes = _crowded(spark, tmp_path), ranges.range_join, []
 
@@ -112,3 +112,16 @@ def test_crowded_days_are_not_paired(spark, tmp_path, monkeypatch, name):
     frame = QUERIES[name](spark, base)
     assert 0 < sum(sizes) < 500
     assert difference(frame, connect(base), ORACLE[name]) == ([], [], [])
+
+
+def test_others_that_overlap(spark):
+    rng = random.Random(6)
+    spans = lambda: [(rng.randrange(40), lo := rng.randrange(60), lo + rng.choice([0, 2, 9, -1])) for _ in range(150)] + [(41, 500, 501), (3, None, 5)]
+    a, b = spans(), spans()
+    out = ranges.overlapping_others(spark.createDataFrame(a, "k long, lo long, hi long"), spark.createDataFrame(b, "k2 long, lo2 long, hi2 long"), ("lo", "hi"), ("lo2", "hi2"), "k", "k2")
+    want = {}
+    for k, lo, hi in a:
+        for k2, lo2, hi2 in b:
+            if k != k2 and None not in (lo, lo2) and max(lo, lo2) <= min(hi, hi2):
+                want.setdefault(k, []).append(k2)
+    assert {r.k: (r.n, r.least, r.most) for r in out.collect()} == {k: (len(v), min(v), max(v)) for k, v in want.items()} and len(want) > 30

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import settled
+
 SHARES = 200
 
 
@@ -52,3 +54,30 @@ def overlaps(a: DataFrame, b: DataFrame, of_a: tuple[str, str], of_b: tuple[str,
     first = range_join(a, b, of_a[0], *of_b, keys).select(*order)
     later = range_join(b, a, of_b[0], *of_a, keys).where(F.col(of_b[0]) > F.col(of_a[0])).select(*order)
     return first.unionByName(later)
+
+
+def _two_ends(frame: DataFrame, keys: tuple[str, ...], value: str) -> DataFrame:
+    """Of each group (``keys`` are not null): ``n``, and the two least and the two greatest different values; null where there is one value only."""
+    ends = frame.groupBy(*keys).agg(F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"))
+    inner = frame.join(ends.drop("n"), [*keys]).groupBy(*keys).agg(
+        F.min(F.when(F.col(value) > F.col("least"), F.col(value))).alias("least2"), F.max(F.when(F.col(value) < F.col("most"), F.col(value))).alias("most2"),
+    )
+    return ends.join(inner, [*keys])
+
+
+def overlapping_others(a: DataFrame, b: DataFrame, of_a: tuple[str, str], of_b: tuple[str, str], id_a: str, id_b: str) -> DataFrame:
+    """(``id_a``, n, least, most): how many ranges of ``b`` with another id overlap the id's ranges in ``a``, and the least and greatest of their ids.
+
+    Ids are not null.  Equal ranges are met once, with their number and their two least and greatest ids, so the work grows with the rows and with the pairs of
+    *different* ranges, not with the pairs of rows.  An id's own ranges are counted apart and taken off; the second least or greatest stands in for itself.
+    """
+    spans = settled(_two_ends(b.where(F.col(of_b[0]) <= F.col(of_b[1])), of_b, id_b).withColumnRenamed("n", "same"))
+    met = settled(overlaps(a.select(*of_a).distinct(), spans, of_a, of_b))
+    values = met.select(*of_a, F.explode(F.array("least", "least2", "most2", "most")).alias("id")).where("id IS NOT NULL")
+    found = met.groupBy(*of_a).agg(F.sum("same").alias("every")).join(_two_ends(values, of_a, "id").drop("n"), [*of_a])
+    itself = (F.col(id_a) == F.col(id_b)) & (F.col(of_a[0]) <= F.col(of_b[1])) & (F.col(of_b[0]) <= F.col(of_a[1]))
+    whole = b.where(F.col(of_b[0]) <= F.col(of_b[1])).groupBy(id_b, *of_b).agg(F.count("*").alias("_times"))
+    own = a.select(id_a, *of_a).distinct().join(whole, itself).groupBy(id_a, *of_a).agg(F.sum("_times").alias("own"))
+    rows = a.select(id_a, *of_a).join(found, [*of_a]).join(own, [id_a, *of_a], "left").withColumn("n", F.col("every") - F.coalesce("own", F.lit(0)))
+    other = lambda c: F.when(F.col(c) == F.col(id_a), F.col(f"{c}2")).otherwise(F.col(c)).alias(c)
+    return rows.where("n > 0").select(id_a, "n", other("least"), other("most")).groupBy(id_a).agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))

@@ -43,11 +43,10 @@ def line_windows(spark, base):
 
 @query
 def overlapping_order_windows(spark, base):
-    """Pairs of windows of different length that share a day, from another order each."""
-    a = _windows(spark, base, 3)
-    b = _windows(spark, base, 10).select(F.col("o_orderkey").alias("other"), F.col("first_day").alias("other_first"), F.col("last_day").alias("other_last"))
-    out = ranges.overlaps(a, b, ("first_day", "last_day"), ("other_first", "other_last")).where("o_orderkey <> other")
-    return out.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.min("other").alias("least"), F.max("other").alias("most"))
+    """What windows of different length share a day, from another order each: how many, and the first and last order of them."""
+    a = _windows(spark, base, 3).where("o_orderkey IS NOT NULL")
+    b = _windows(spark, base, 10).where("o_orderkey IS NOT NULL").select(F.col("o_orderkey").alias("other"), F.col("first_day").alias("other_first"), F.col("last_day").alias("other_last"))
+    return ranges.overlapping_others(a, b, ("first_day", "last_day"), ("other_first", "other_last"), "o_orderkey", "other")
 
 
 def _names(spark, base):
