@@ -6,6 +6,7 @@ import random
 import sqlite3
 from collections import Counter
 
+import pandas as pd
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -192,3 +193,59 @@ def test_tables_of_several_files(spark, data, tmp_path, name):
     for table in ("clicks", "sales"):
         spark.read.parquet(f"{data}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
     assert difference(QUERIES[name](spark, str(tmp_path)), connect(data), ORACLE[name]) == ([], [], [])
+
+
+def test_silences_of_a_frequent_key(spark, tmp_path):
+    rng = random.Random(7)
+    hours = [0, 0.4, 1.9, 2, 5.25, 6.05, 9]
+    times = sorted([START + datetime.timedelta(hours=h, seconds=rng.randrange(900)) for h in hours for _ in range(300)])
+    last = times[-1]
+    # a gap of 45 minutes to the microsecond, and one of a microsecond less
+    times += [last + datetime.timedelta(minutes=45), last + datetime.timedelta(minutes=90, microseconds=-1), last + datetime.timedelta(days=1)]
+    rows = [("a", t) for t in times]
+    rng.shuffle(rows)
+    schema = "k string, ts timestamp"
+    drop(spark, tmp_path, [rows], schema)
+    got, _ = finished(timers.silences(feed(spark, tmp_path, schema), "k", 45), tmp_path)
+    want = [("a", t) for t, nxt in zip(times, times[1:], strict=False) if nxt - t >= datetime.timedelta(minutes=45)]
+    assert sorted((r.k, r.last_seen) for r in got) == want and ("a", last) in want and len(want) > 4
+
+
+class Held:
+    """Stands for a handle, whose states count the values that are written to them all."""
+
+    def __init__(self, written=None):
+        self.value, self.written = None, [] if written is None else written
+
+    def getValueState(self, *_):  # noqa: N802
+        return Held(self.written)
+
+    getListState = getValueState  # noqa: N815
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+        self.written.extend(value)
+
+    def appendList(self, values):  # noqa: N802
+        self.value = (self.value or []) + values
+        self.written.extend(values)
+
+    def registerTimer(self, _):  # noqa: N802
+        pass
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return 0
+
+
+def test_silences_write_little_state():
+    held, of_key = Held(), timers.Silences("k", 45 * 60_000)
+    of_key.init(held)
+    us = pd.Series(range(1_000_000, 11_000_000, 1000))
+    assert list(of_key.handleInputRows(("a", 0), iter([pd.DataFrame({"us": us})] * 3), held)) == []
+    assert len(held.written) < 5

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,10 +15,11 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class Silences(StatefulProcessor):
-    """State of a key: its last time that the watermark has passed, and the times after the watermark, whose order isn't final yet.
+    """State of a key and a slice of time as long as the gap: the slice's last time, and the first time of the slice after it.
 
-    One timer waits for the first of those, another for the last time plus the gap.  When that fires nothing can come between any more: the silence
-    is reported, and the last time forgotten, so a key that is never heard of again costs nothing.
+    Two times of one slice are less than a gap apart, so only the last can begin a silence, and only the first of the next slice can prevent that.
+    One timer waits for the last time plus the gap, or for the slice's end.  When that fires nothing can come between any more: the silence is reported,
+    and the state forgotten, so a key that is never heard of again costs nothing.
     """
 
     def __init__(self, key: str, gap_ms: int) -> None:
@@ -27,36 +27,35 @@ class Silences(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last, self.waiting = handle.getValueState("last", "us long"), handle.getListState("waiting", "us long")
+        self.seen = handle.getValueState("seen", "last long, next long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        end = (int(key[1]) + 1) * self.gap_ms * 1000
+        last, following = self.seen.get() or (None, None)
         for pdf in rows:
-            self.waiting.appendList([(t,) for t in pdf["us"].tolist()])
-        yield from self._settle(key, timerValues)
+            us = pdf["us"]
+            own, after = us[us < end], us[us >= end]
+            if len(own):
+                last = int(own.max()) if last is None else max(last, int(own.max()))
+            if len(after):
+                following = int(after.min()) if following is None else min(following, int(after.min()))
+        yield from self._settle(key, last, following, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._settle(key, timerValues)
-
-    def _settle(self, key: tuple, timer_values) -> Iterator[pd.DataFrame]:
-        now = timer_values.getCurrentWatermarkInMs()
-        times = sorted(t for (t,) in self.waiting.get()) if self.waiting.exists() else []
-        passed = bisect_right(times, now, key=lambda t: t // 1000)
-        known = ([self.last.get()[0]] if self.last.exists() else []) + times[:passed]
-        silent = [a for a, b in zip(known, known[1:], strict=False) if b - a >= self.gap_ms * 1000]
-        if known and known[-1] // 1000 + self.gap_ms <= now:
-            silent.append(known[-1])
-            self.last.clear()
-        elif known:
-            self.last.update((known[-1],))
-            self.handle.registerTimer(known[-1] // 1000 + self.gap_ms)
-        if passed:
-            self.waiting.clear()
-            if times[passed:]:
-                self.waiting.put([(t,) for t in times[passed:]])
-        if times[passed:]:
-            self.handle.registerTimer(times[passed] // 1000)
-        if silent:
-            yield pd.DataFrame({self.key: pd.Series([key[0]] * len(silent), dtype=object), "last_seen": pd.to_datetime(pd.Series(silent, dtype="int64"), unit="us", utc=True)})
+        if self.seen.exists():
+            yield from self._settle(key, *self.seen.get(), timerValues)
+
+    def _settle(self, key: tuple, last: int | None, following: int | None, timer_values) -> Iterator[pd.DataFrame]:
+        now, end_ms = timer_values.getCurrentWatermarkInMs(), (int(key[1]) + 1) * self.gap_ms
+        heard = last is not None and following is not None and following - last < self.gap_ms * 1000
+        due = end_ms if last is None or heard else last // 1000 + self.gap_ms
+        if due > now:  # a later time of the slice may still come
+            self.seen.update((last, following))
+            self.handle.registerTimer(due)
+            return
+        self.seen.clear()
+        if last is not None and not heard:
+            yield pd.DataFrame({self.key: pd.Series([key[0]], dtype=object), "last_seen": pd.to_datetime(pd.Series([last], dtype="int64"), unit="us", utc=True)})
 
     def close(self) -> None:
         pass
@@ -66,11 +65,15 @@ def silences(stream: DataFrame, key: str, gap_minutes: int, late: str = "10 minu
     """(key, last_seen): times after which nothing of ``key`` came for ``gap_minutes``, each once; for rows with ``ts``.
 
     A silence is reported once the latest time seen by then is ``late`` past its end, so rows that come in any order within that make no difference; later ones are
-    not taken into account.  Rows without key or time are left out.  A key's times of the last ``late`` are state and are sorted together.
+    not taken into account.  Rows without key or time are left out.  The state is two times for each key and slice of ``gap_minutes`` that is still open, and a
+    row goes to its own slice and the one before, so a key with most of the rows is spread over the tasks.
     """
     spark = stream.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKS:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    gap_ms = gap_minutes * 60_000
     rows = zoned(stream).where(F.col(key).isNotNull() & F.col("ts").isNotNull()).withWatermark("ts", late).select(key, "ts", F.unix_micros("ts").alias("us"))
+    own = F.floor(F.col("us") / F.lit(gap_ms * 1000)).cast("long")
+    rows = rows.withColumn("_slice", F.explode(F.array(own, own - 1)))
     kind = dict(stream.dtypes)[key]
-    return rows.groupBy(key).transformWithStateInPandas(Silences(key, gap_minutes * 60_000), f"{key} {kind}, last_seen timestamp", "append", "eventTime")
+    return rows.groupBy(key, "_slice").transformWithStateInPandas(Silences(key, gap_ms), f"{key} {kind}, last_seen timestamp", "append", "eventTime")
