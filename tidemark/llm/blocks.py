@@ -35,3 +35,31 @@ def steps(a: np.ndarray, kind: type = np.uint32) -> np.ndarray:
 
 def sums(a: np.ndarray) -> np.ndarray:
     return np.cumsum(a, dtype=a.dtype)
+
+
+SHORT_KINDS = ["u1", "<u4"]
+
+
+def short(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers below 2**32 that are mostly small: a byte for each, and apart those that need more."""
+    return np.minimum(a, 255).astype(np.uint8), a[a >= 255].astype(np.uint32)
+
+
+def long(low: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """What ``short`` was given."""
+    out = low.astype(np.uint32)
+    out[low == 255] = rest
+    return out
+
+
+def run_steps(a: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of runs of rising numbers: each run's first number, then its differences."""
+    out = np.diff(a, prepend=a[:1])
+    out[starts] = a[starts]
+    return out
+
+
+def run_sums(d: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """What ``run_steps`` was given, as 64-bit numbers."""
+    total = np.cumsum(d, dtype=np.uint64)
+    return total - np.repeat(total[starts] - d[starts], np.diff(starts, append=len(d)))

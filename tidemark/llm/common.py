@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.session import remove_folder, shared_folder
 from tidemark.sources.tables import table
 
-__all__ = ["Rounds", "remove_folder", "settled", "shared_folder", "spread_join", "table"]
+__all__ = ["Rounds", "release", "remove_folder", "settled", "shared_folder", "spread_join", "table"]
 
 
 def settled(frame: DataFrame) -> DataFrame:
@@ -21,6 +22,13 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that are settled or gone: it does when the driver's garbage is collected, which may be long after."""
+    for _ in range(2):  # what the first round lets go of may hold more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 class Rounds:
     """The frames of a loop as tables of one folder in the shared folder.
 

@@ -45,11 +45,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import pack, steps, sums, unpack
-from tidemark.llm.common import settled, spread_join
+from tidemark.llm.blocks import SHORT_KINDS, long, pack, run_steps, run_sums, short, steps, sums, unpack
+from tidemark.llm.common import release, settled, spread_join
 from tidemark.llm.shingles import in_pieces, span_hashes, word_spans
 
-FREQUENT = 1e-6
 ID_BITS, SHAPES = 21, 64  # three ids fit 63 bits
 SLOTS = 1024  # a language with more than one in so many rows has a slot, others share slot 0
 MOST_WORDS = (1 << ID_BITS) - SLOTS * (SHAPES + 1)  # ids that boundaries and unknown classes leave
@@ -74,11 +73,11 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
     """The base figures of a text, in the order of ``_STATS``."""
     if not text:
         return 0, 0, 0, 0, 0
-    found = _WORD.findall(text)
+    found = text.encode("utf-8", "surrogatepass").split()  # bytes end at just these separators
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
     ids: dict[str, int] = {}
-    number = np.array([ids.setdefault(w, len(ids) + 1) for w in found], np.uint64)
     repeats, n = 0, len(found)
+    number = np.fromiter(map(ids.setdefault, found, range(1, n + 1)), np.uint64, n)
     if n > 8 and len(ids) < n:
         h = number[: n - 7] * _MIX[0]
         for k in range(1, 8):
@@ -103,15 +102,16 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 
 
 def _classes() -> np.ndarray:
-    """Per byte: 0 others, 1 symbol, 2 digit, 3 capital, 4 beyond ASCII."""
+    """Per byte: 0 others, 1 symbol, 2 digit, 8 beyond ASCII."""
     out = np.zeros(256, np.uint8)
-    for code, chars in {1: b"#*$%&|<>", 2: b"0123456789", 3: b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}.items():
+    for code, chars in {1: b"#*$%&|<>", 2: b"0123456789"}.items():
         out[list(chars)] = code
-    out[128:] = 4
+    out[128:] = 8
     return out
 
 
 _CLASS = _classes()
+_CAPITAL = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 _ENDING = np.isin(np.arange(256), list(b".,;:!?"))
 
 
@@ -122,10 +122,10 @@ def words_of(texts: list[str], slots: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes
     stop = stop - (_ENDING[data[stop - 1]] & (stop - start > 1))
     h = span_hashes(data, start, stop)
-    kind = _CLASS[data]
-    some = [(np.add.reduceat(kind == k, start) if k == 3 else np.maximum.reduceat(kind == k, start)) for k in (1, 2, 3, 4)]
+    kind = np.bitwise_or.reduceat(_CLASS[data], start)
+    capitals = np.bincount(np.searchsorted(start, np.flatnonzero(_CAPITAL[data]), "right") - 1, minlength=len(start))
     length = stop - start
-    form = (some[0] > 0) * 1 + (some[1] > 0) * 2 + (some[2] > 1) * 4 + (some[3] > 0) * 8 + ((length > 3) * 16 + (length > 7) * 16 + (length > 12) * 16)
+    form = kind + (capitals > 1) * 4 + ((length > 3) * 16 + (length > 7) * 16 + (length > 12) * 16)
     low = form.astype(np.uint64) * np.uint64(SLOTS) + np.repeat(slots, sizes).astype(np.uint64)
     return h & ~np.uint64(SHAPES * SLOTS - 1) | low, form.astype(np.int64), sizes
 
@@ -147,19 +147,27 @@ def unhashed(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the known words (the slot in their low bits), the slots of the languages that have one, and how many unknown words a class has.
+    """Sorted hashes of the known words (the slot in their low bits), the slots of the languages that have one, how many unknown words a class has, and the words' ranks.
 
-    The last are by slot, with the boundary (one) first.
+    The unknown words are by slot, with the boundary (one) first.  Ranks begin with the most frequent word, so that most ids are small numbers.
     """
 
     words: np.ndarray
     slots: dict[str, int]
     unknown: np.ndarray
+    rank: np.ndarray
+
+    @property
+    def first(self) -> int:
+        """The id of the most frequent word."""
+        return (len(self.slots) + 1) * (SHAPES + 1)
 
     @property
     def slot_of_id(self) -> np.ndarray:
-        """Ids are the boundary and the unknown classes of each slot, then the words."""
-        return np.r_[np.arange((len(self.slots) + 1) * (SHAPES + 1)) // (SHAPES + 1), (self.words & np.uint64(SLOTS - 1)).astype(np.int64)]
+        """Ids are the boundary and the unknown classes of each slot, then the words by rank."""
+        out = np.arange(self.first + len(self.words)) // (SHAPES + 1)
+        out[self.first + self.rank] = (self.words & np.uint64(SLOTS - 1)).astype(np.int64)
+        return out
 
     @property
     def words_of_id(self) -> np.ndarray:
@@ -171,10 +179,10 @@ class Vocabulary:
         h, form, sizes = words_of(texts, slot)
         base = slot * (SHAPES + 1)
         at = np.searchsorted(self.words, h)
-        known = np.zeros(len(h), bool)
-        inside = at < len(self.words)
-        known[inside] = self.words[at[inside]] == h[inside]
-        ids = np.where(known, (len(self.slots) + 1) * (SHAPES + 1) + at, np.repeat(base, sizes) + 1 + form)
+        ids = np.repeat(base, sizes) + 1 + form
+        known = np.flatnonzero(at < len(self.words))
+        known = known[self.words[at[known]] == h[known]]
+        ids[known] = self.first + self.rank[at[known]]
         place = np.arange(len(h)) + np.repeat(2 * np.arange(len(sizes)) + 1, sizes)
         out = np.empty(len(h) + 2 * len(sizes), np.int64)
         first = np.cumsum(sizes + 2) - sizes - 2
@@ -183,17 +191,21 @@ class Vocabulary:
         return out, sizes
 
     def triples(self, texts: list[str], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(hashed pairs, each with the id before it in the low bits; text of each); texts without words have none.
+        """The ``triples_of`` texts."""
+        return triples_of(*self.sequence(texts, langs))
+
+
+def triples_of(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed pairs, each with the id before it in the low bits; text of each); texts without words have none.
 
-        A pair that opens its text has the word after it instead.
-        """
-        ids, sizes = self.sequence(texts, langs)
-        doc, ids = np.repeat(np.arange(len(sizes)), sizes + 2), ids.astype(np.uint64)
-        inside = (doc[:-1] == doc[1:]) & (sizes[doc[:-1]] > 0)
-        at = np.flatnonzero(inside)
-        opens = (at == 0) | (doc[at] != doc[at - 1])
-        before = ids[np.where(opens, at + 2, at - 1)]
-        return (hashed((ids[at] << np.uint64(ID_BITS)) | ids[at + 1]) << np.uint64(ID_BITS)) | before, doc[at]
+    A pair that opens its text has the word after it instead.
+    """
+    doc, ids = np.repeat(np.arange(len(sizes)), sizes + 2), ids.astype(np.uint64)
+    inside = (doc[:-1] == doc[1:]) & (sizes[doc[:-1]] > 0)
+    at = np.flatnonzero(inside)
+    opens = (at == 0) | (doc[at] != doc[at - 1])
+    before = ids[np.where(opens, at + 2, at - 1)]
+    return (hashed((ids[at] << np.uint64(ID_BITS)) | ids[at + 1]) << np.uint64(ID_BITS)) | before, doc[at]
 
 
 def by_document(triples: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -299,22 +311,29 @@ def fit_vocabulary(documents: DataFrame, held_keys: int = 1 << 21) -> Vocabulary
     least = np.maximum(2, np.ceil(held * ((held > 0).sum() / MOST_WORDS)))
 
     def keys(texts: list[str], langs: list[str]) -> np.ndarray:
-        return words_of(texts, np.array([slots.get(x, 0) for x in langs], np.int64))[0]
+        slot = np.array([slots.get(x, 0) for x in langs], np.int64)
+        return np.concatenate([words_of(texts[a:z], slot[a:z])[0] for a, z in in_pieces(texts, 1 << 18)])
 
     def frequent(pdf: pd.DataFrame) -> pd.DataFrame:
         h, n = _merged(pdf["payload"])
         known = n >= least[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
         kind, words = np.unique((h[~known] & np.uint64(SHAPES * SLOTS - 1)).astype(np.int64), return_counts=True)
-        return pd.DataFrame({"word": np.r_[h[known].view(np.int64), kind], "words": np.r_[np.zeros(known.sum(), np.int64), words]})
+        none = np.zeros(known.sum(), np.int64)
+        return pd.DataFrame({"word": np.r_[h[known].view(np.int64), kind], "words": np.r_[none, words], "times": np.r_[n[known], 0 * words]})
 
     buckets = max(64, math.ceil((size or 0) / (32 << 20)))
-    found = _counted(_narrow(documents), keys, _starts(buckets, 64), held_keys).groupBy("bucket").applyInPandas(frequent, "word long, words long")
-    found = found.groupBy("word").agg(F.sum("words").alias("words")).toPandas()  # the known words, and a row a class
-    word, words = found["word"].to_numpy(np.int64), found["words"].to_numpy(np.int64)
+    found = _counted(_narrow(documents), keys, _starts(buckets, 64), held_keys).groupBy("bucket").applyInPandas(frequent, "word long, words long, times long")
+    found = found.groupBy("word").agg(F.sum("words").alias("words"), F.sum("times").alias("times")).toPandas()  # the known words, and a row a class
+    word, words, times = (found[c].to_numpy(np.int64) for c in ("word", "words", "times"))
     unknown = np.zeros((len(slots) + 1, SHAPES + 1), np.int64)
     kind = word[words > 0]
     unknown[kind % SLOTS, 1 + kind // SLOTS] = words[words > 0]
-    return Vocabulary(np.sort(word[words == 0].view(np.uint64)), slots, unknown)
+    word, times = word[words == 0].view(np.uint64), times[words == 0]
+    order = np.argsort(word)
+    word, times = word[order], times[order]
+    rank = np.empty(len(word), np.int64)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(word))
+    return Vocabulary(word, slots, unknown, rank)
 
 
 # ---- the model
@@ -331,7 +350,7 @@ def discounts(counts: list[int]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What the formula needs of single words, by id, and the frequent pairs as a sorted hash array."""
+    """What the formula needs of single words, by id."""
 
     slot: np.ndarray
     total: np.ndarray  # of a context's pairs
@@ -339,8 +358,6 @@ class Model:
     single: np.ndarray  # probability of a word after any context
     words: np.ndarray  # words that share an id
     cut: np.ndarray  # discounts of pairs by slot
-    pairs: np.ndarray
-    counts: np.ndarray
 
     def log_probability(self, h: np.ndarray, count: np.ndarray, own: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Of each pair, with the text's ``own`` predecessors left out of ``count``, and those of ``context`` out of its first word's; in 1/``NAT`` nats, rounded."""
@@ -352,54 +369,174 @@ class Model:
         return np.rint(np.log(p / self.words[w]) * NAT).astype(np.int64)
 
 
-def _word_stats(model: DataFrame) -> DataFrame:
-    """(id, total, n1, n2, n3, n4, more, before): a word's pairs as their first word, by count, and as their second."""
+_WORD_STATS = ["id", "total", "n1", "n2", "n3", "n4", "more", "before"]
+
+
+def _word_stats(pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Rows as in ``_WORD_STATS``: what a bucket's pairs say of their words, as first word by count, and as second."""
+    ids, at = np.unique(np.r_[pairs >> np.uint64(ID_BITS), pairs & _BEFORE].astype(np.int64), return_inverse=True)
+    first, second = at[: len(pairs)], at[len(pairs) :]
+    size = len(ids)
+    columns = [np.bincount(first, n, size), *(np.bincount(first[n == k], minlength=size) for k in (1, 2, 3, 4)), np.bincount(first[n > 4], minlength=size), np.bincount(second, minlength=size)]
+    return np.array([ids, *columns], np.int64)
+
+
+def _chunks(documents: DataFrame, words: Vocabulary, chunk: int) -> DataFrame:
+    """(unit, payload): some documents as their keys, language and figures, and the ids of their words; the unit has the partition's number in its high bits."""
+    shared = documents.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, unit = shared.value, TaskContext.get().partitionId() << 32
         for batch in batches:
-            for payload in batch.column("payload"):
-                h, n = _table(payload.as_py())
-                key = unhashed(h)
-                ids, at = np.unique(np.r_[key >> np.uint64(ID_BITS), key & np.uint64((1 << ID_BITS) - 1)].astype(np.int64), return_inverse=True)
-                first, second = at[: len(h)], at[len(h) :]
-                size = len(ids)
-                columns = [np.bincount(first, n, size), *(np.bincount(first[n == k], minlength=size) for k in (1, 2, 3, 4)), np.bincount(first[n > 4], minlength=size), np.bincount(second, minlength=size)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(c.astype(np.int64)) for c in columns)], _WORD_STATS)
+            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2")], axis=1)
+            for a, z in in_pieces(texts, chunk):
+                ids = np.concatenate([words.sequence(texts[a + b : a + y], langs[a + b : a + y])[0].astype(np.uint32) for b, y in in_pieces(texts[a:z], 1 << 18)])
+                names = {x: k for k, x in enumerate(dict.fromkeys(langs[a:z]))}
+                code = np.array([names[x] for x in langs[a:z]], np.int64)
+                stats = np.array([(*text_stats(t), len(_BARE.findall(t))) for t in texts[a:z]], np.int64).reshape(-1, len(_STATS) + 1)
+                payload = pack(np.c_[keys[a:z], code, stats].T.ravel(), np.frombuffer(json.dumps(list(names)).encode(), np.uint8), *short(_turned(ids, words, -1)))
+                yield pa.RecordBatch.from_arrays([pa.array([unit], pa.int64()), pa.array([payload], pa.binary())], ["unit", "payload"])
+                unit += 1
 
-    rows = model.select("payload").mapInArrow(run, ", ".join(f"{c} long" for c in _WORD_STATS))
-    return rows.groupBy("id").agg(*(F.sum(c).alias(c) for c in _WORD_STATS[1:]))
+    return _narrow(documents).mapInArrow(run, "unit long, payload binary")
 
 
-_WORD_STATS = ["id", "total", "n1", "n2", "n3", "n4", "more", "before"]
+def _turned(ids: np.ndarray, words: Vocabulary | tuple[int, int], way: int) -> np.ndarray:
+    """Ids with the words before boundaries and unknown classes (``way`` -1), so that frequent words are the least numbers; or back (1)."""
+    first, size = map(np.uint32, (words.first, words.first + len(words.words)) if isinstance(words, Vocabulary) else words)
+    ids = ids.astype(np.uint32)
+    if way > 0:
+        ids += first
+        ids[ids >= size] -= size
+    else:
+        low = ids < first
+        ids -= first
+        ids[low] += size
+    return ids
 
 
-def fit_pairs(documents: DataFrame, words: Vocabulary, total: int, buckets: int, held_keys: int = 1 << 21) -> tuple[DataFrame, Model]:
-    """The counts of all pairs by bucket, settled, and what is sent to all tasks."""
-    shared = documents.sparkSession.sparkContext.broadcast(words)
+def _read_chunk(payload: bytes, words: Vocabulary | tuple[int, int]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(a row for each of k1, k2, language, figures and bare words; names of the languages; ids of all texts between boundaries)."""
+    flat, names, *ids = unpack(payload, "<i8", "u1", *SHORT_KINDS)
+    return flat.reshape(4 + len(_STATS), -1), json.loads(names.tobytes()), _turned(long(*ids), words, 1)
 
-    def keys(texts: list[str], langs: list[str]) -> np.ndarray:
-        return shared.value.triples(texts, langs)[0]
 
-    counted = _counted(_narrow(documents), keys, _starts(buckets, _KEY_BITS) << np.uint64(ID_BITS), held_keys)
-    least = max(2, math.ceil(total * FREQUENT))
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)]]
+
+
+def _united(parts: list[np.ndarray]) -> np.ndarray:
+    whole = np.concatenate([np.zeros(0, np.uint64), *parts])
+    parts.clear()
+    whole.sort()
+    return _distinct(whole)
+
+
+def _texts(ids: np.ndarray, sizes: np.ndarray, piece: int = 1 << 18) -> Iterator[tuple[slice, tuple[np.ndarray, np.ndarray]]]:
+    """(which texts of a unit, their ids and sizes): some at a time, so that arrays over their words stay small."""
+    ends = np.cumsum(sizes + 2)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // piece)) + 1).tolist(), len(sizes)]
+    for a, z in zip(cuts, cuts[1:], strict=False):
+        if z > a:
+            yield slice(a, z), (ids[ends[a] - sizes[a] - 2 : ends[z - 1]], sizes[a:z])
+
+
+def _pairs_payload(triples: np.ndarray, turn: tuple[int, int]) -> bytes:
+    """Different triples with their pair unhashed, in the order of turned ids: neighbours share the first word, and most numbers are small."""
+    key = unhashed(triples >> np.uint64(ID_BITS))
+    v, w, u = (_turned(x, turn, -1).astype(np.uint64) for x in (key >> np.uint64(ID_BITS), key & _BEFORE, triples & _BEFORE))
+    t = np.sort((v << np.uint64(_KEY_BITS)) | (w << np.uint64(ID_BITS)) | u)
+    pair, u = t >> np.uint64(ID_BITS), t & _BEFORE
+    first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+    ways = np.diff(first, append=len(t))
+    v, w = steps(pair[first] >> np.uint64(ID_BITS)), pair[first] & _BEFORE
+    return pack(*short(v), *short(run_steps(w, np.r_[0, np.flatnonzero(v[1:]) + 1])), *short(ways), *short(run_steps(u, first)))
+
+
+def _read_pairs(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs of a payload, its triples), of turned ids, both sorted."""
+    parts = unpack(payload, *SHORT_KINDS * 4)
+    v, w, ways, u = (long(*parts[k : k + 2]) for k in (0, 2, 4, 6))
+    pair = (sums(v).astype(np.uint64) << np.uint64(ID_BITS)) | run_sums(w, np.r_[0, np.flatnonzero(v[1:]) + 1])
+    return pair, (np.repeat(pair, ways) << np.uint64(ID_BITS)) | run_sums(u, np.cumsum(ways, dtype=np.int64) - ways)
+
+
+def _counted_pairs(chunks: DataFrame, words: Vocabulary, buckets: int) -> DataFrame:
+    """(bucket, unit, payload): the different triples of each unit by bucket."""
+    turn = (words.first, words.first + len(words.words))
+    starts = _starts(buckets, _KEY_BITS) << np.uint64(ID_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for unit, payload in zip(batch.column("unit").to_pylist(), batch.column("payload"), strict=True):
+                table, _, ids = _read_chunk(payload.as_py(), turn)
+                triples = _united([_distinct(np.sort(triples_of(*x)[0])) for _, x in _texts(ids, table[3])])
+                rows = [(b, _pairs_payload(triples[a:z], turn)) for b, a, z in _cut(triples, starts)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([unit] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "unit", "payload"])
+
+    return chunks.mapInArrow(run, "bucket int, unit long, payload binary")
+
+
+def _joined(payloads) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(pairs of a bucket, by turned ids; of each the number of different words before it; the pairs of each payload)."""
+    pairs, triples = map(list, zip(*map(_read_pairs, payloads), strict=True))
+    pair = _united(triples) >> np.uint64(ID_BITS)
+    first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+    return pair[first], np.diff(first, append=len(pair)), pairs
+
+
+def _true_pairs(pairs: np.ndarray, turn: tuple[int, int]) -> np.ndarray:
+    v, w = (_turned(x, turn, 1).astype(np.uint64) for x in (pairs >> np.uint64(ID_BITS), pairs & _BEFORE))
+    return (v << np.uint64(ID_BITS)) | w
+
+
+def count_pairs(chunks: DataFrame, words: Vocabulary, buckets: int) -> DataFrame:
+    """(unit, bucket, payload): for each unit the counts of its different pairs, in the order of their turned ids; at unit -1 the bucket's ``_word_stats``."""
+    turn = (words.first, words.first + len(words.words))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        triples, n = _merged(pdf["payload"])
-        h = triples >> np.uint64(ID_BITS)
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        h, ways, often = h[first], np.diff(np.r_[first, len(h)]), np.add.reduceat(n, first) >= least
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "payload": [pack(steps(h, np.uint64), ways)], "frequent": [pack(steps(h[often], np.uint64), ways[often])]})
+        pairs, ways, asked = _joined(pdf["payload"])
+        out = [pack(*(steps(x) if k == 0 else x.astype(np.uint32) for k, x in enumerate(_word_stats(_true_pairs(pairs, turn), ways))))]
+        out += [pack(*short(ways[np.searchsorted(pairs, p)])) for p in asked]
+        return pd.DataFrame({"unit": np.r_[-1, pdf["unit"].to_numpy(np.int64)], "bucket": pdf["bucket"].iloc[0], "payload": out})
+
+    return _counted_pairs(chunks, words, buckets).groupBy("bucket").applyInPandas(merge, "unit long, bucket int, payload binary")
+
+
+def fit_model(counts: DataFrame, words: Vocabulary) -> Model:
+    """What is sent to all tasks, from the ``_word_stats`` of all buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column("payload"):
+                ids, *rest = unpack(payload.as_py(), *["<u4"] * len(_WORD_STATS))
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (sums(ids), *rest)], _WORD_STATS)
 
-    table = settled(counted.groupBy("bucket").applyInPandas(merge, "bucket int, payload binary, frequent binary"))
+    rows = counts.where("unit = -1").select("payload").mapInArrow(run, ", ".join(f"{c} long" for c in _WORD_STATS))
+    rows = rows.groupBy("id").agg(*(F.sum(c).alias(c) for c in _WORD_STATS[1:])).toPandas()  # at most one row per word id
     slot = words.slot_of_id
     stats = np.zeros((len(slot), len(_WORD_STATS) - 1), np.int64)
-    rows = _word_stats(table).toPandas()  # at most one row per word id
     stats[rows["id"].to_numpy(np.int64)] = rows[_WORD_STATS[1:]].to_numpy(np.int64)
-    top = [_table(p) for p in table.sort("bucket").select("frequent").toPandas()["frequent"]]  # in order of the hashes; fewer than 1 / (2 * FREQUENT) pairs
-    return table, model_of(slot, words.words_of_id, stats, *(np.concatenate([none, *x]) for none, x in zip(_NOTHING, zip(*top, strict=True) if top else ([], []), strict=True)))
+    return model_of(slot, words.words_of_id, stats)
 
 
-def model_of(slot: np.ndarray, words: np.ndarray, stats: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> Model:
+def fit_pairs(documents: DataFrame, words: Vocabulary, total: int, buckets: int, chunk: int = 16 << 20) -> tuple[DataFrame, Model]:
+    """The counts of all pairs by bucket as sorted hash arrays, for those who want the table itself, and the model.  ``total`` is not needed any more."""
+    turn = (words.first, words.first + len(words.words))
+    chunks = settled(_chunks(documents, words, chunk))
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs, ways, _ = _joined(pdf["payload"])
+        h = hashed(_true_pairs(pairs, turn))
+        order = np.argsort(h)
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "payload": [pack(steps(h[order], np.uint64), ways[order])]})
+
+    table = _counted_pairs(chunks, words, buckets).groupBy("bucket").applyInPandas(merge, "bucket int, payload binary")
+    return table, fit_model(count_pairs(chunks, words, buckets), words)
+
+
+def model_of(slot: np.ndarray, words: np.ndarray, stats: np.ndarray) -> Model:
     """Modified Kneser-Ney of order 2 over the words of a slot, from each word's figures (columns as in ``_WORD_STATS``)."""
     total, by_count, before = stats[:, 0], stats[:, 1:6], stats[:, 6]
     size = int(slot.max(initial=0)) + 1
@@ -413,86 +550,61 @@ def model_of(slot: np.ndarray, words: np.ndarray, stats: np.ndarray, pairs: np.n
         if ways.sum():
             single[mine] = (ways - taken + taken.sum() / len(mine)) / ways.sum()
     back = (cut[slot][:, 1:] * np.c_[by_count[:, 0], by_count[:, 1], by_count[:, 2:].sum(axis=1)]).sum(axis=1)
-    return Model(slot, np.maximum(total, 1), back, single, words, cut, pairs, counts)
+    return Model(slot, np.maximum(total, 1), back, single, words, cut)
 
 
 # ---- scores
 
 
-def _requests(narrow: DataFrame, shared, buckets: int, chunk: int) -> DataFrame:
-    """(bucket, chunk, payload): of some documents, the pairs that are not sent to all tasks, by bucket; below 0: the documents' figures."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
-        starts, number = _starts(buckets, _KEY_BITS), TaskContext.get().partitionId() << 32
-        for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2")], axis=1)
-            for a, z in in_pieces(texts, chunk):
-                parts, known = [], np.zeros(z - a, np.int64)
-                for b, y in in_pieces(texts[a:z], 1 << 20):
-                    h, doc, times, own, context = by_document(*words.triples(texts[a + b : a + y], langs[a + b : a + y]))
-                    doc = doc + b
-                    at = np.minimum(np.searchsorted(model.pairs, h), max(len(model.pairs) - 1, 0))
-                    top = model.pairs[at] == h if len(model.pairs) else np.zeros(len(h), bool)
-                    np.add.at(known, doc[top], times[top] * model.log_probability(h[top], model.counts[at[top]], own[top], context[top]))
-                    parts.append([x[~top] for x in (h, doc, times, own, context)])
-                h, doc, *weights = (np.concatenate(x) for x in zip(*parts, strict=True))
-                order = np.lexsort((doc, h))
-                h, doc, weights = h[order], doc[order], [x[order].astype(np.uint32) for x in weights]
-                names = {x: k for k, x in enumerate(dict.fromkeys(langs[a:z]))}
-                stats = np.array([(*text_stats(t), len(_BARE.findall(t))) for t in texts[a:z]], np.int64).reshape(-1, len(_STATS) + 1)
-                code = np.array([names[x] for x in langs[a:z]], np.int64)
-                rows = [(-1 - (number + TaskContext.get().partitionId()) % buckets, pack(np.c_[keys[a:z], known, code, stats].T.ravel(), np.frombuffer(json.dumps(list(names)).encode(), np.uint8)))]
-                rows += [(b, pack(steps(h[low:high], np.uint64), steps(doc[low:high]), *(x[low:high] for x in weights))) for b, low, high in _cut(h, starts)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "chunk", "payload"])
-                number += 1
-
-    return narrow.mapInArrow(run, "bucket int, chunk long, payload binary")
-
-
-def _answer(shared) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The sums of log probabilities that a bucket's model has for the documents of each chunk; figures of documents pass through."""
-        bucket, chunk, payload = int(pdf["bucket"].iloc[0]), pdf["chunk"].to_numpy(), pdf["payload"].to_numpy()
-        if bucket < 0:
-            return pd.DataFrame({"chunk": chunk, "figures": payload, "sums": None})
-        model, out = shared.value[1], []
-        asked = np.flatnonzero(chunk >= 0)
-        (mine,) = payload[chunk < 0]
-        keys, counts = _table(mine)
-        for k in asked:
-            h, doc, *weights = unpack(payload[k], "<u8", "<u4", "<u4", "<u4", "<u4")
-            h, doc, (times, own, context) = sums(h), sums(doc), (x.astype(np.int64) for x in weights)
-            value = times * model.log_probability(h, counts[np.searchsorted(keys, h)], own, context)
-            out.append(pack(-np.bincount(doc, value).astype(np.int64)))  # whole numbers below 2**53
-        return pd.DataFrame({"chunk": chunk[asked], "figures": None, "sums": out})
-
-    return answer
-
-
-def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The documents of a chunk with their figures and score."""
-    (figures,) = pdf["figures"].dropna()
-    flat, names = unpack(figures, "<i8", "u1")
-    table = flat.reshape(5 + len(_STATS), -1)
-    total = -table[2]
-    for answer in pdf["sums"].dropna():
-        (part,) = unpack(answer, "<i8")
-        total[: len(part)] += part
-    langs = np.array(json.loads(names.tobytes()), object)
-    words = table[4]
-    score = np.where(words > 0, total / NAT / (words - table[-1] + 1), np.nan)
-    out = {"k1": table[0], "k2": table[1], "lang": langs[table[3]]} | dict(zip(_STATS, table[4:-1], strict=True)) | {"score": pd.array(score, "Float64").fillna(pd.NA)}
-    return pd.DataFrame(out)
-
-
-def _scored(documents: DataFrame, words: Vocabulary, model: Model, table: DataFrame, buckets: int, chunk: int) -> DataFrame:
-    """(k1, k2, lang, the base figures, score, copies), one row for each language and text."""
-    shared = documents.sparkSession.sparkContext.broadcast((words, model))
-    asked = _requests(_narrow(documents), shared, buckets, chunk).unionByName(table.select("bucket", F.lit(-1).cast("long").alias("chunk"), "payload"))
-    answers = asked.groupBy("bucket").applyInPandas(_answer(shared), "chunk long, figures binary, sums binary")
-    rows = answers.groupBy("chunk").applyInPandas(_finish, "k1 long, k2 long, lang string, " + ", ".join(f"{c} long" for c in _STATS) + ", score double")
+def _unit_scores(payload: bytes, answers: dict[int, bytes], words: Vocabulary, model: Model, buckets: int) -> Iterator[tuple]:
+    """The documents of a unit with their figures and score; ``answers``: the counts of its pairs by bucket."""
+    table, names, ids = _read_chunk(payload, words)
+    sizes, turn = table[3], (words.first, words.first + len(words.words))
+    pairs = _united([_distinct(np.sort(triples_of(*x)[0] >> np.uint64(ID_BITS))) for _, x in _texts(ids, sizes)])
+    counts, met = np.zeros(len(pairs), np.int64), 0
+    for b, a, z in _cut(pairs, _starts(buckets, _KEY_BITS)):
+        key = unhashed(pairs[a:z])
+        v, w = (_turned(x, turn, -1).astype(np.uint64) for x in (key >> np.uint64(ID_BITS), key & _BEFORE))
+        n = long(*unpack(answers[b], *SHORT_KINDS))
+        if len(n) != z - a:
+            raise ValueError("the counts are not those of the unit's pairs")
+        counts[a + np.argsort((v << np.uint64(ID_BITS)) | w)] = n
+        met += 1
+    if met != len(answers):
+        raise ValueError("there are counts of pairs that the unit has not")
+    total = np.zeros(len(sizes))
+    for some, x in _texts(ids, sizes):
+        h, doc, times, own, context = by_document(*triples_of(*x))
+        total[some] = -np.bincount(doc, times * model.log_probability(h, counts[np.searchsorted(pairs, h)], own, context), len(x[1]))  # whole numbers below 2**53
+    score = np.where(sizes > 0, total / NAT / (sizes - table[-1] + 1), np.nan)
+    for k1, k2, code, *stats, x in zip(*table[:-1].tolist(), score.tolist(), strict=True):
+        yield k1, k2, names[code], *stats, None if math.isnan(x) else x
+
+
+def _scored(chunks: DataFrame, counts: DataFrame, words: Vocabulary, model: Model, buckets: int) -> DataFrame:
+    """(k1, k2, lang, the base figures, score, copies), one row for each language and text.
+
+    The chunks stay where they are; only the counts go to the partition that the unit's high bits name.
+    """
+    context = chunks.sparkSession.sparkContext
+    shared = context.broadcast((words, model))
+    mine = chunks.rdd
+    theirs = counts.where("unit >= 0").rdd.map(lambda r: (r["unit"] >> 32, tuple(r))).partitionBy(max(1, mine.getNumPartitions()), int)
+    if theirs.getNumPartitions() > mine.getNumPartitions():  # more than asked for: the rest is empty
+        mine = mine.union(context.parallelize([], theirs.getNumPartitions() - mine.getNumPartitions()))
+
+    def run(both: tuple[list, list]) -> Iterator[tuple]:
+        answers: dict[int, dict[int, bytes]] = {}
+        for _, (unit, bucket, payload) in both[1]:
+            answers.setdefault(unit, {})[bucket] = payload
+        for unit, payload in both[0]:
+            yield from _unit_scores(payload, answers.pop(unit, {}), *shared.value, buckets)
+        if answers:
+            raise ValueError("counts came to a partition that has not their unit")
+
+    rows = mine.glom().zip(theirs.glom()).flatMap(run)
+    kinds = "k1 long, k2 long, lang string, " + ", ".join(f"{c} long" for c in _STATS) + ", score double"
+    rows = chunks.sparkSession.createDataFrame(rows, kinds, verifySchema=False)
     return rows.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("lang", *_STATS, "score")), F.count("*").alias("copies"))
 
 
@@ -525,13 +637,18 @@ def bands(scored: DataFrame) -> DataFrame:
 class Rules:
     """The model and the bands fitted on a table, and the verdict on each of its texts."""
 
-    def __init__(self, documents: DataFrame, below: float = BELOW, above: float = ABOVE, bucket_bytes: int = 32 << 20, chunk: int = 8 << 20) -> None:
+    def __init__(self, documents: DataFrame, below: float = BELOW, above: float = ABOVE, bucket_bytes: int = 32 << 20, chunk: int = 16 << 20) -> None:
         self.below, self.above = below, above
         total = documents.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
         buckets = max(1, math.ceil(total / bucket_bytes))
         self.words = fit_vocabulary(documents)
-        table, self.model = fit_pairs(documents, self.words, total, buckets)
-        scored = settled(_scored(documents, self.words, self.model, table, buckets, chunk))
+        release(documents.sparkSession)
+        chunks = settled(_chunks(documents, self.words, chunk))
+        release(documents.sparkSession)
+        counts = settled(count_pairs(chunks, self.words, buckets))
+        release(documents.sparkSession)
+        self.model = fit_model(counts, self.words)
+        scored = settled(_scored(chunks, counts, self.words, self.model, buckets))
         self.bands = settled(bands(scored))
         out = scored.join(_few(self.bands), "lang", "left")
         failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
