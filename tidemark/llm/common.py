@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,10 @@ def settled(frame: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of frames that are settled or gone: it does when the driver's garbage is collected, which may be long after."""
-    for _ in range(2):  # what the first round lets go of may hold more
+    for _ in range(2):  # events of the last job may still hold it in the first round
         gc.collect()
         spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 class Rounds:

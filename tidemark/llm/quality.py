@@ -9,12 +9,11 @@ The language model is an interpolated modified Kneser-Ney model over pairs of wo
 2. Pairs: each document is its words between two boundaries.  A pair's key is hashed by a permutation of the 42-bit
    numbers, so different pairs never collide, and counted in buckets of the hash.  As in the lower orders of Kneser-Ney, the count
    is of the different words seen before the pair, so that a passage copied many times does not make itself expected.  It is exact: what is
-   shuffled is each different triple of a task, and a bucket holds all triples of its pairs.  A bucket's model is a sorted hash
-   array with the counts; it grows with the table.
+   shuffled is each different triple of a unit of documents, and a bucket holds all triples of its pairs.  Each unit gets back the counts of its
+   different pairs, without the pairs, in their order; the ids of its words were kept meanwhile.
 3. What the formula needs of single words (context totals, discounts, continuation counts) is summed over
-   the buckets; it is bounded by the vocabulary and sent to all tasks, as are the pairs whose occurrences are at least a share of ``FREQUENT`` of the
-   table's bytes.  All other pairs of the documents go to their bucket, which answers with sums of log probabilities.
-   These are whole numbers (1/1024 nat), so the order of addition does not show in the score.
+   the buckets; it is bounded by the vocabulary and sent to all tasks.  Log probabilities are
+   whole numbers (1/1024 nat), so the order of addition does not show in the score.
 4. A document's own words do not speak for it: of a pair's different predecessors, those that it has in the document itself do not count, and the
    same are taken out of the context's total.  The share that a context leaves to the lower order stays that of the whole table; without
    this step the probabilities after a context sum to one, with it to one at most but for that share's change.
@@ -382,7 +381,7 @@ def _word_stats(pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _chunks(documents: DataFrame, words: Vocabulary, chunk: int) -> DataFrame:
-    """(unit, payload): some documents as their keys, language and figures, and the ids of their words; the unit has the partition's number in its high bits."""
+    """(unit, payload): some documents as their keys, language and figures, and the ids of their words."""
     shared = documents.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -582,29 +581,18 @@ def _unit_scores(payload: bytes, answers: dict[int, bytes], words: Vocabulary, m
 
 
 def _scored(chunks: DataFrame, counts: DataFrame, words: Vocabulary, model: Model, buckets: int) -> DataFrame:
-    """(k1, k2, lang, the base figures, score, copies), one row for each language and text.
-
-    The chunks stay where they are; only the counts go to the partition that the unit's high bits name.
-    """
-    context = chunks.sparkSession.sparkContext
-    shared = context.broadcast((words, model))
-    mine = chunks.rdd
-    theirs = counts.where("unit >= 0").rdd.map(lambda r: (r["unit"] >> 32, tuple(r))).partitionBy(max(1, mine.getNumPartitions()), int)
-    if theirs.getNumPartitions() > mine.getNumPartitions():  # more than asked for: the rest is empty
-        mine = mine.union(context.parallelize([], theirs.getNumPartitions() - mine.getNumPartitions()))
-
-    def run(both: tuple[list, list]) -> Iterator[tuple]:
-        answers: dict[int, dict[int, bytes]] = {}
-        for _, (unit, bucket, payload) in both[1]:
-            answers.setdefault(unit, {})[bucket] = payload
-        for unit, payload in both[0]:
-            yield from _unit_scores(payload, answers.pop(unit, {}), *shared.value, buckets)
-        if answers:
-            raise ValueError("counts came to a partition that has not their unit")
-
-    rows = mine.glom().zip(theirs.glom()).flatMap(run)
-    kinds = "k1 long, k2 long, lang string, " + ", ".join(f"{c} long" for c in _STATS) + ", score double"
-    rows = chunks.sparkSession.createDataFrame(rows, kinds, verifySchema=False)
+    """(k1, k2, lang, the base figures, score, copies), one row for each language and text."""
+    shared = chunks.sparkSession.sparkContext.broadcast((words, model))
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        mine = pdf["bucket"] < 0
+        (payload,) = pdf["payload"][mine]
+        rows = _unit_scores(payload, dict(zip(pdf["bucket"][~mine], pdf["payload"][~mine], strict=True)), *shared.value, buckets)
+        out = pd.DataFrame(list(rows), columns=["k1", "k2", "lang", *_STATS, "score"])
+        return out.assign(score=out["score"].astype("Float64"))
+
+    rows = chunks.select("unit", F.lit(-1).alias("bucket"), "payload").unionByName(counts.where("unit >= 0"))
+    rows = rows.groupBy("unit").applyInPandas(finish, "k1 long, k2 long, lang string, " + ", ".join(f"{c} long" for c in _STATS) + ", score double")
     return rows.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("lang", *_STATS, "score")), F.count("*").alias("copies"))
 
 
@@ -648,6 +636,7 @@ class Rules:
         counts = settled(count_pairs(chunks, self.words, buckets))
         release(documents.sparkSession)
         self.model = fit_model(counts, self.words)
+        release(documents.sparkSession)
         scored = settled(_scored(chunks, counts, self.words, self.model, buckets))
         self.bands = settled(bands(scored))
         out = scored.join(_few(self.bands), "lang", "left")
