@@ -4,7 +4,9 @@ import datetime
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from compare import connect, difference
@@ -125,3 +127,21 @@ def test_others_that_overlap(spark):
             if k != k2 and None not in (lo, lo2) and max(lo, lo2) <= min(hi, hi2):
                 want.setdefault(k, []).append(k2)
     assert {r.k: (r.n, r.least, r.most) for r in out.collect()} == {k: (len(v), min(v), max(v)) for k, v in want.items()} and len(want) > 30
+
+
+def test_half_cents_follow_the_order_of_the_rows(spark, tmp_path):
+    """Sums that end on half cents, over files of unequal size; one thread of SQL adds rows in the table's order."""
+    rng, folder = random.Random(14), tmp_path / "lineitem.parquet"
+    folder.mkdir()
+    for part, lines in enumerate((700, 3000, 1, 5000)):
+        rows = [(rng.choice([*range(40), None]), rng.randrange(1, 10_000_000) / 100, rng.choice([0.5, 0.05]), datetime.datetime(rng.choice([1997, 1999]), 5, 6)) for _ in range(lines)]
+        rows += [(50, None, 0.5, datetime.datetime(1997, 5, 6)), (51, 0.01, 0.5, None)]
+        names, types = ("l_suppkey", "l_extendedprice", "l_discount", "l_shipdate"), (pa.int64(), pa.float64(), pa.float64(), pa.timestamp("us"))
+        out = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+        for name, value in {"l_tax": 0.0, "l_quantity": 1.0, "l_returnflag": "R", "l_linestatus": "O"}.items():
+            out = out.append_column(name, pa.array([value] * len(rows)))
+        pq.write_table(out, folder / f"part-{part}.parquet", row_group_size=900)
+    con = duckdb.connect()
+    con.execute("SET threads = 1")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{folder}/*.parquet')")
+    assert difference(QUERIES["statement_trend"](spark, str(tmp_path)), con, ORACLE["statement_trend"]) == ([], [], [])

@@ -35,6 +35,22 @@ def yearly_statements(lineitem: DataFrame) -> DataFrame:
     return out.withColumn("equity", F.col("assets") - F.col("liabilities")).withColumn("eps", F.try_divide("net_income", "shares"))
 
 
+def revenue_in_order(lineitem: DataFrame, *position: Column) -> DataFrame:
+    """Revenue by company and fiscal year, added up row by row in the order of ``position``.
+
+    A floating sum depends on the order of addition, which shows where exact sums end on half of the digit they are rounded to.
+    One shuffle and a sort that spills; the rows of a company's year meet in one task, since such a sum has no partial sums.
+    """
+    keys, places = ["company_id", "fiscal_year"], [f"place_{i}" for i in range(len(position))]
+    rows = lineitem.select(
+        F.col("l_suppkey").alias("company_id"), F.year("l_shipdate").alias("fiscal_year"), F.expr(ITEMS["revenue"]).alias("x"),
+        *(p.alias(name) for p, name in zip(position, places, strict=True)),
+    )
+    w = Window.partitionBy(*keys).orderBy(*places)
+    so_far, later = F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lead(F.lit(1)).over(w)
+    return rows.select(*keys, so_far.alias("revenue"), later.alias("later")).where("later is null").drop("later")
+
+
 def with_metrics(statements: DataFrame, tax_rate: float = 0.25) -> DataFrame:
     """FCF, EPS, ROE, ROIC and growth against the company's preceding fiscal year; null where that year is missing.
 

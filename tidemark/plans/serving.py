@@ -95,10 +95,11 @@ def volume_last_3h(spark, base):
 
 @query
 def statement_trend(spark, base):
-    """Each company's years in order, with the running total."""
+    """Each company's years in order, with the running total.  Sums end on half cents, so rows are added up in the table's order."""
+    st = statements.revenue_in_order(table(spark, base, "lineitem"), F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     w = Window.partitionBy("company_id").orderBy("fiscal_year")
     cents = F.round(F.col("revenue") * 100).cast("long")
-    out = _statements(spark, base).select("company_id", "fiscal_year", cents.alias("revenue_cents"), F.sum(cents).over(w).alias("cents_to_date"), F.row_number().over(w).cast("long").alias("n_years"))
+    out = st.select("company_id", "fiscal_year", cents.alias("revenue_cents"), F.sum(cents).over(w).alias("cents_to_date"), F.row_number().over(w).cast("long").alias("n_years"))
     return out.orderBy("company_id", "fiscal_year")
 
 
