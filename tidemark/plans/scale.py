@@ -17,8 +17,11 @@ def _day(name: str) -> F.Column:
     return F.datediff(F.col(name).cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
 
 
-def _windows(spark, base, days):
-    o = table(spark, base, "orders").where(F.col("o_totalprice") > LARGE)
+def _large(spark, base):
+    return table(spark, base, "orders").where(F.col("o_totalprice") > LARGE)
+
+
+def _windows(o, days):
     return o.select("o_orderkey", _day("o_orderdate").alias("first_day"), (_day("o_orderdate") + days).alias("last_day"))
 
 
@@ -26,7 +29,7 @@ def _windows(spark, base, days):
 def shipments_in_order_windows(spark, base):
     """What was shipped in the week after each large order, whosever it was: a join on a range alone."""
     shipped = table(spark, base, "lineitem").groupBy(_day("l_shipdate").alias("day")).agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
-    out = ranges.range_join(shipped, _windows(spark, base, 7), "day", "first_day", "last_day")
+    out = ranges.range_join(shipped, _windows(_large(spark, base), 7), "day", "first_day", "last_day")
     return out.groupBy("o_orderkey").agg(F.sum("lines").alias("lines"), F.sum("quantity").alias("quantity"))
 
 
@@ -34,7 +37,7 @@ def shipments_in_order_windows(spark, base):
 def line_windows(spark, base):
     """Single shipments inside the windows, by return flag: equal days and equal windows meet once, with how many they are."""
     days = settled(table(spark, base, "lineitem").groupBy("l_returnflag", _day("l_shipdate").alias("day")).agg(F.count("*").alias("lines")))
-    windows = _windows(spark, base, 30)
+    windows = _windows(_large(spark, base), 30)
     met = ranges.range_join(days, settled(windows.groupBy("first_day", "last_day").agg(F.count("*").alias("n"))), "day", "first_day", "last_day")
     pairs = met.groupBy(F.col("l_returnflag").alias("flag")).agg(F.sum(F.col("lines") * F.col("n")).alias("pairs"))
     found = windows.join(met.select("l_returnflag", "first_day", "last_day").distinct(), ["first_day", "last_day"]).groupBy("l_returnflag").agg(F.countDistinct("o_orderkey").alias("windows"))
@@ -43,9 +46,10 @@ def line_windows(spark, base):
 
 @query
 def overlapping_order_windows(spark, base):
-    """What windows of different length share a day, from another order each: how many, and the first and last order of them."""
-    a = _windows(spark, base, 3).where("o_orderkey IS NOT NULL")
-    b = _windows(spark, base, 10).where("o_orderkey IS NOT NULL").select(F.col("o_orderkey").alias("other"), F.col("first_day").alias("other_first"), F.col("last_day").alias("other_last"))
+    """Of all orders, what windows of different length share a day, from another order each: how many, and the first and last order of them."""
+    orders = table(spark, base, "orders").where("o_orderkey IS NOT NULL")
+    a = _windows(orders, 3)
+    b = _windows(orders, 10).select(F.col("o_orderkey").alias("other"), F.col("first_day").alias("other_first"), F.col("last_day").alias("other_last"))
     return ranges.overlapping_others(a, b, ("first_day", "last_day"), ("other_first", "other_last"), "o_orderkey", "other")
 
 

@@ -2,12 +2,13 @@
 
 from tidemark.plans.oracle import ORACLE
 
-_W = "w AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + {days} AS b FROM orders WHERE o_totalprice > 400000)"
+_ALL = "w AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + {days} AS b FROM orders)"
+_W = _ALL.replace("FROM orders", "FROM orders WHERE o_totalprice > 400000")
 
 SCALE = {
     "shipments_in_order_windows": f"WITH {_W.format(days=7)} SELECT o_orderkey, count(*) AS lines, sum(l_quantity) AS quantity FROM w JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN a AND b GROUP BY 1",
     "line_windows": f"WITH {_W.format(days=30)} SELECT l_returnflag, count(*) AS pairs, count(DISTINCT o_orderkey) AS windows FROM w JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN a AND b GROUP BY 1",
-    "overlapping_order_windows": f"""WITH {_W.format(days=3)}, {_W.format(days=10).replace('w AS', 'v AS')} SELECT w.o_orderkey, count(*) AS n, min(v.o_orderkey) AS least, max(v.o_orderkey) AS most
+    "overlapping_order_windows": f"""WITH {_ALL.format(days=3)}, {_ALL.format(days=10).replace('w AS', 'v AS')} SELECT w.o_orderkey, count(*) AS n, min(v.o_orderkey) AS least, max(v.o_orderkey) AS most
  FROM w JOIN v ON w.a <= v.b AND v.a <= w.b AND w.o_orderkey <> v.o_orderkey GROUP BY 1""",
     "news_aliases": r"""WITH b AS (SELECT item_id AS company, regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark),
  n AS (SELECT company, unnest(w) AS alias FROM b UNION SELECT company, unnest(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) FROM b),
